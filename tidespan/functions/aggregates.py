@@ -167,7 +167,8 @@ def max_by(x, order) -> Mergeable:
 
 def product(x) -> Mergeable:
     """Products never divide, so zeros are safe."""
-    return Mergeable({"m": col(x).cast("double")}, {"m": F.product}, lambda p: p["m"])
+    one = F.lit(1.0)
+    return Mergeable({"m": col(x).cast("double")}, {"m": F.product}, lambda p: F.coalesce(p["m"], one))
 
 
 def single_or_default(x) -> Mergeable:
