@@ -106,12 +106,14 @@ def _spread(x, sample: bool, root: bool) -> Additive:
     wide = col(x).cast("decimal(19,4)")
 
     def finish(p):
-        n = p["n"].cast("double")
-        s, q = p["s"].cast("decimal(38,4)"), p["q"].cast("decimal(38,8)")
-        mean = s.cast("double") / n
-        dev = F.greatest(q.cast("double") - s.cast("double") * mean, F.lit(0.0))
-        den = n - 1 if sample else n
-        var = F.when(den > 0, dev / den)
+        n, s, q = p["n"], p["s"].cast("decimal(38,4)"), p["q"].cast("decimal(38,8)")
+        # n*q - s*s without rounding where 38 digits suffice, else in doubles
+        exact = F.try_subtract(F.try_multiply(n.cast("decimal(19,0)"), q), F.try_multiply(s, s)).cast("double")
+        wide_n, wide_s = n.cast("double"), s.cast("double")
+        rough = wide_n * q.cast("double") - wide_s * wide_s
+        spread = F.greatest(F.coalesce(exact, rough), F.lit(0.0))
+        pairs = wide_n * (wide_n - 1) if sample else wide_n * wide_n
+        var = F.when(pairs > 0, spread / pairs)
         return F.sqrt(var) if root else var
 
     square = (wide * wide).cast("decimal(38,8)")
