@@ -45,14 +45,14 @@ class Pattern:
             self.nullable,
         )
 
-    def then(self, other: Pattern, prefixes=False) -> Pattern:
-        """Concatenation; with `prefixes`, what precedes may also be a whole match."""
+    def then(self, other: Pattern) -> Pattern:
+        """Concatenation."""
         b = other._moved(len(self.elements))
         follow = {p: set(q) for p, q in (self.follow | b.follow).items()}
         for p in self.last:
             follow[p] |= b.first
         first = self.first | (b.first if self.nullable else frozenset())
-        last = b.last | (self.last if b.nullable or prefixes else frozenset())
+        last = b.last | (self.last if b.nullable else frozenset())
         return Pattern(self.elements + b.elements, first, last, follow, self.nullable and b.nullable)
 
     def either(self, other: Pattern) -> Pattern:
@@ -149,10 +149,11 @@ def sequence(*patterns) -> Pattern:
 
 def sequence_prefixes(*patterns) -> Pattern:
     """A sequence of which each prefix is a match too."""
-    out = patterns[0]
+    out, ends = patterns[0], set(patterns[0].last)
     for p in patterns[1:]:
-        out = out.then(p, prefixes=True)
-    return out
+        out = out.then(p)
+        ends |= out.last
+    return Pattern(out.elements, out.first, ends, out.follow, out.nullable)
 
 
 def one_of(*patterns) -> Pattern:

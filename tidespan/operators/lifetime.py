@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from collections import deque
+from heapq import heappop, heappush
+
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ..functions.time import INF, col, plus, snap_left, snap_right
+from ..plans.ordered import scan_ordered
 from ..plans.slices import match
 from ..plans.timeline import instants, with_following, with_latest, with_neighbours, with_running
 
-VS, VE = F.col, F.col
-
-
 def number(x):
     return F.lit(x) if isinstance(x, int) else col(x)
 
@@ -148,11 +149,11 @@ class LifetimeOps:
         tangled = (
             placed.alias("l").join(deep.alias("r"), match("l", "r", [*group, "_from"]), "leftsemi").select("l.*")
         )
-        fields = [f for f in self.df.schema.fields if f.name in group]
-        out = StructType([f for f in fields] + [f for f in self.df.schema.fields if f.name in ("vs", "ve")])
-        schema = StructType([StructField(f.name, f.dataType, True) for f in out.fields])
-        linked = tangled.groupBy(*group, "_from").applyInPandas(_link_chains(schema.names), schema)
-        cols = [f.name for f in fields] + ["vs", "ve"]
+        types = {f.name: f.dataType for f in self.df.schema.fields}
+        schema = StructType([StructField(c, types[c], True) for c in (*group, "vs", "ve")])
+        tangled = tangled.select(*group, "_from", "vs", "ve", "_copies")
+        linked = scan_ordered(tangled, [*group, "_from"], ["vs", "ve"], _Links, schema)
+        cols = schema.names
         return self._with(simple.select(*cols).unionByName(linked.select(*cols)))
 
     def session(self, timeout: int, max_duration: int | None = None):
@@ -187,26 +188,35 @@ class LifetimeOps:
         return self._with(df.withColumn("ve", F.col("_end")).select(*cols))
 
 
-def _link_chains(names):
-    """Link each end to one start at the same instant, first come first served."""
-
-    def run(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values(["vs", "ve"])
-        waiting: dict[int, list[int]] = {}
-        done = []
-        for vs, ve, copies in zip(pdf["vs"], pdf["ve"], pdf["_copies"], strict=True):
-            for _ in range(int(copies)):
-                queue = waiting.get(vs)
-                start = queue.pop(0) if queue else vs
-                waiting.setdefault(ve, []).append(start)
-        for end, starts in waiting.items():
-            done.extend((s, end) for s in starts)
-        first = pdf.iloc[0]
-        out = {n: [first[n]] * len(done) for n in names if n not in ("vs", "ve")}
-        out["vs"] = [s for s, _ in done]
-        out["ve"] = [e for _, e in done]
-        return pd.DataFrame(out, columns=names)
-
-    return run
+class _Links:
+    """Links each end to one start at the same instant, first come first served.
+
+    Holds the chains open at the current instant; those that ended before it are emitted.
+    """
+
+    def __init__(self, key):
+        self.payload = key[:-1]
+        self.waiting: dict[int, deque] = {}
+        self.ends: list[int] = []
+
+    def row(self, values):
+        vs, ve, copies = values[-3:]
+        out = self._emit(vs)
+        for _ in range(copies):
+            queue = self.waiting.get(vs)
+            start = queue.popleft() if queue else vs
+            if ve not in self.waiting:
+                self.waiting[ve] = deque()
+                heappush(self.ends, ve)
+            self.waiting[ve].append(start)
+        return out
+
+    def _emit(self, before):
+        out = []
+        while self.ends and (before is None or self.ends[0] < before):
+            end = heappop(self.ends)
+            out.extend((*self.payload, start, end) for start in self.waiting.pop(end))
+        return out
+
+    def end(self):
+        return self._emit(None)

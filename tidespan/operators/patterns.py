@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections import namedtuple
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..functions.automaton import Matcher
 from ..functions.time import INF, col
+from ..plans.ordered import scan_ordered
 from ..plans.slices import match
 from ..plans.timeline import instants, with_following, with_latest, with_neighbours
 
@@ -106,9 +107,8 @@ class PatternOps:
         an arc for the next event of its key ends. Registers are tuples laid out as `schema` (or mapped to
         such tuples by `result`).
         """
-        machine = pattern.compile()
-        tables = machine.tables(register)
-        conds = machine.conditions()
+        automaton = pattern.compile()
+        tables, conds = automaton.tables(register), automaton.conditions()
         payload = self.payload
         tests = [f"_c{i}" for i in range(len(conds))]
         rows = self.df.select(
@@ -119,10 +119,9 @@ class PatternOps:
         key_fields = [f for f in self.df.schema.fields if f.name in self.keys]
         times = _parse_datatype_string("vs bigint, ve bigint")
         out = StructType([*times.fields, *key_fields, *reg_type.fields])
-        run = _detector(
-            tables, max_duration, overlapping, deterministic, self.keys, payload, tests, out.names, result
-        )
-        return self._with(rows.groupBy(*self.keys, "_chunk").applyInPandas(run, out))
+        rows = rows.select(*self.keys, "_chunk", "vs", "_own", F.array(*tests).alias("_flags"), *payload)
+        machine = _runner(tables, max_duration, overlapping, deterministic, len(self.keys), payload, result)
+        return self._with(scan_ordered(rows, [*self.keys, "_chunk"], ["vs"], machine, out))
 
     def detect_sequence(self, conds, max_duration: int, select):
         """A fixed sequence of single events, wholly native: conditions over the next rows of the key.
@@ -152,28 +151,36 @@ class PatternOps:
         return self._with(out)
 
 
-def _detector(tables, max_duration, overlapping, deterministic, keys, payload, tests, names, result):
-    from collections import namedtuple
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        event_type = namedtuple("Event", payload, rename=True)
-        pdf = pdf.sort_values("vs", kind="stable")
-        matcher = Matcher(tables, max_duration, overlapping, deterministic)
-        times = pdf["vs"].tolist()
-        own = pdf["_own"].tolist()
-        events = [event_type(*v) for v in zip(*(pdf[c].tolist() for c in payload), strict=True)]
-        flags = list(zip(*(pdf[c].tolist() for c in tests), strict=True)) if tests else [()] * len(times)
-        found, i, total = [], 0, len(times)
-        while i < total:
-            j = i + 1
-            while j < total and times[j] == times[i]:
-                j += 1
-            found.extend(matcher.at(times[i], list(zip(events[i:j], flags[i:j], strict=True)), own[i]))
-            i = j
-        key = tuple(pdf[k].iloc[0] for k in keys)
-        made = [(vs, ve, *key, *(result(reg) if result else reg)) for vs, ve, reg in found]
-        return pd.DataFrame(made, columns=names)
-
-    return run
+def _runner(tables, max_duration, overlapping, deterministic, n_keys, payload, result):
+    """Groups the rows of an instant and feeds them to the automaton."""
 
+    event_types = []
 
+    def start(key):
+        if not event_types:  # made once per task
+            event_types.append(namedtuple("Event", payload, rename=True))
+        matcher = Matcher(tables, max_duration, overlapping, deterministic)
+        return _Run(matcher, key[:n_keys], event_types[0], result)
+
+    return start
+
+
+class _Run:
+    def __init__(self, matcher, key, event_type, result):
+        self.matcher, self.key, self.event_type, self.result = matcher, key, event_type, result
+        self.time, self.own, self.events = None, True, []
+
+    def row(self, values):
+        t, own, flags = values[len(self.key) + 1 : len(self.key) + 4]
+        out = []
+        if t != self.time:
+            out = self.end()
+            self.time, self.own, self.events = t, own, []
+        self.events.append((self.event_type._make(values[len(self.key) + 4 :]), flags))
+        return out
+
+    def end(self):
+        if not self.events:
+            return []
+        found = self.matcher.at(self.time, self.events, self.own)
+        return [(vs, ve, *self.key, *(self.result(r) if self.result else r)) for vs, ve, r in found]
