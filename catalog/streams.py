@@ -1 +1,193 @@
-"""To come."""
+"""Queries on streams: the table is replayed as files and processed by Structured Streaming."""
+
+from pyspark.sql import functions as F
+
+from tidespan.functions import automaton as P
+from tidespan.sources.scratch import scratch_dir
+from tidespan.streaming import stateful as ST
+from tidespan.streaming import windows as SW
+from tidespan.streaming.runner import QueryContainer, replay
+
+from .base import DAY, HOUR, INTERVALS, POINTS, query, segments_sql
+from .patterns import FIRST, RUNS, note
+from .lifetimes import session_sql
+
+FAR = 7258118400000000  # year 2200, in microseconds
+
+
+def feed(t, frame, parts=2):
+    """Replay a frame in time order, followed by one row far in the future that closes all windows."""
+    df = frame.df
+    path = scratch_dir(t.spark, "feed")
+    cuts = [1704067200000000 + 30 * DAY * i // parts for i in range(1, parts)]
+    bounds = [0, *cuts, FAR]
+    pieces = [df.where(F.col("vs").between(a, b - 1)) for a, b in zip(bounds, bounds[1:], strict=False)]
+    last = t.spark.range(1).select(
+        *[
+            (F.lit(FAR if c in ("vs", "ve") else None)).cast(df.schema[c].dataType).alias(c)
+            for c in df.columns
+        ]
+    )
+    replay(path, *pieces, last)
+    return path, df.schema
+
+
+def streamed(t, frame, build, parts=2):
+    """Run `build(stream)` over the replayed frame, file by file, and read back what it wrote."""
+    path, schema = feed(t, frame, parts)
+    box = QueryContainer(t.spark)
+    box.register_output("out", build(box.register_input("in", path, schema, files_per_trigger=1)))
+    box.run()
+    out = box.result("out")
+    return out.where(F.col("vs") < FAR)
+
+
+def up(x, p):
+    return f"(({x} + {p} - 1) // {p} * {p})"
+
+
+@query(
+    "stream_tumbling",
+    f"SELECT event_type, {up('vs', 6 * HOUR)} AS vs, {up('vs', 6 * HOUR)} + {6 * HOUR} AS ve, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total FROM ({POINTS}) GROUP BY ALL",
+)
+def stream_tumbling(t):
+    return streamed(
+        t,
+        t.points(),
+        lambda s: SW.tumbling_windows(s, ["event_type"], 6 * HOUR, "1 hour", n=F.count("*"), total=F.sum("cents")),
+    )
+
+
+@query(
+    "stream_hopping",
+    f"""SELECT user_id, h AS vs, h + {2 * HOUR} AS ve, count(*) AS n
+FROM (SELECT user_id, unnest(range({up('vs', 2 * HOUR)}, {up('vs', 2 * HOUR)} + {6 * HOUR}, {2 * HOUR})) AS h FROM ({POINTS})) GROUP BY ALL""",
+)
+def stream_hopping(t):
+    return streamed(
+        t, t.points(), lambda s: SW.hopping_windows(s, ["user_id"], 6 * HOUR, 2 * HOUR, "1 hour", n=F.count("*"))
+    )
+
+
+@query(
+    "stream_partial_windows",
+    f"""SELECT event_type, h AS vs, h + {2 * HOUR} AS ve, count(*) AS n
+FROM (SELECT event_type, unnest(range(vs // {2 * HOUR} * {2 * HOUR}, vs // {6 * HOUR} * {6 * HOUR} + {6 * HOUR}, {2 * HOUR})) AS h FROM ({POINTS})) GROUP BY ALL""",
+)
+def stream_partial_windows(t):
+    """Early results while a window fills."""
+    return streamed(
+        t, t.points(), lambda s: SW.partial_windows(s, ["event_type"], 6 * HOUR, 2 * HOUR, "1 hour", n=F.count("*"))
+    )
+
+
+@query(
+    "stream_sessions",
+    session_sql(POINTS, "user_id", 8 * HOUR)
+    + " SELECT user_id, min(vs) AS vs, max(send) AS ve, count(*) AS n FROM e GROUP BY user_id, sid",
+)
+def stream_sessions(t):
+    return streamed(t, t.points(), lambda s: SW.sessions(s, ["user_id"], 8 * HOUR, "1 hour", n=F.count("*")))
+
+
+@query(
+    "stream_interval_join",
+    f"""SELECT a.user_id, a.event_id AS v_id, b.event_id AS p_id, greatest(a.vs, b.vs) AS vs, least(a.vs, b.vs) + {HOUR} AS ve
+FROM ({POINTS}) a JOIN ({POINTS}) b ON a.user_id = b.user_id AND abs(a.vs - b.vs) < {HOUR}
+WHERE a.event_type = 'view' AND b.event_type = 'purchase'""",
+)
+def stream_interval_join(t):
+    """Two streams joined within a fixed distance, with watermarks on both sides."""
+
+    def build(s):
+        v = s.where("event_type = 'view'").select("user_id", "vs", F.col("event_id").alias("v_id"))
+        p = s.where("event_type = 'purchase'").select("user_id", "vs", F.col("event_id").alias("p_id"))
+        return SW.interval_join(v, p, "user_id", HOUR, "1 hour")
+
+    return streamed(t, t.points(), build)
+
+
+@query("stream_snapshot", segments_sql(INTERVALS, "user_id", "count(*) AS n, CAST(sum(cents) AS BIGINT) AS total"))
+def stream_snapshot(t):
+    """General lifetimes on a stream."""
+    f = t.intervals("user_id", "cents")
+    return streamed(t, f, lambda s: ST.stream_snapshot(s, ["user_id"], "cents", "1 hour"))
+
+
+@query(
+    "stream_signal",
+    f"""SELECT * FROM (SELECT event_id, user_id, vs, lead(vs) OVER (PARTITION BY user_id ORDER BY vs) AS ve FROM ({POINTS})) WHERE ve IS NOT NULL""",
+)
+def stream_signal(t):
+    """Each row until the user's next; the last ones stay open and are not reported yet."""
+    return streamed(t, t.points("event_id", "user_id"), lambda s: ST.stream_signal(s, ["user_id"], "1 hour"))
+
+
+@query(
+    "stream_session_capped",
+    session_sql(POINTS, "user_id", 12 * HOUR)
+    + f""",
+f AS (SELECT *, min(vs) OVER (PARTITION BY user_id, sid) AS first_vs FROM e),
+c AS (SELECT *, first_vs - first_vs % {DAY} + CASE WHEN first_vs % {DAY} = 0 THEN {DAY} ELSE {2 * DAY} END AS cap FROM f),
+g AS (SELECT *, CASE WHEN vs < cap THEN cap ELSE vs - vs % {DAY} + {DAY} END AS stop FROM c)
+SELECT event_id, user_id, vs, least(stop, max(vs) OVER (PARTITION BY user_id, sid, stop) + {12 * HOUR}) AS ve FROM g""",
+)
+def stream_session_capped(t):
+    f = t.points("event_id", "user_id")
+    return streamed(t, f, lambda s: ST.stream_session(s, ["user_id"], 12 * HOUR, "1 hour", max_duration=DAY))
+
+
+@query(
+    "stream_detect",
+    RUNS
+    + f""" SELECT a.user_id, a.event_id AS first_id, CAST(b.rn - a.rn + 1 AS BIGINT) AS n, b.vs, a.vs + {3 * DAY} AS ve
+FROM r a JOIN r b ON b.user_id = a.user_id AND b.run = a.run + 1
+WHERE a.event_type = 'view' AND b.event_type = 'click' AND b.vs < a.vs + {3 * DAY}""",
+)
+def stream_detect(t):
+    """view+ click+ on a stream, with the batch automaton."""
+    kind = F.col("event_type")
+    pattern = P.sequence(P.single(kind == "view", note).repeated(), P.single(kind == "click", note).repeated())
+    f = t.points("event_id", "user_id", "event_type")
+    return streamed(t, f, lambda s: ST.stream_detect(s, ["user_id"], pattern, 3 * DAY, FIRST, "1 hour"))
+
+
+@query("stream_stitch", f"SELECT event_id, vs, ve FROM ({INTERVALS})")
+def stream_stitch(t):
+    """Chopped rows put together again on a stream."""
+    f = t.intervals("event_id").chop(0, 2 * HOUR)
+    return streamed(t, f, lambda s: ST.stream_stitch(s, ["event_id"], "1 hour"))
+
+
+@query(
+    "stream_restart",
+    f"SELECT event_type, {up('vs', DAY)} AS vs, {up('vs', DAY)} + {DAY} AS ve, count(*) AS n FROM ({POINTS}) GROUP BY ALL",
+)
+def stream_restart(t):
+    """Stopped after the first half and resumed from the checkpoint by a new container."""
+    df = t.points("event_type").df
+    path, home = scratch_dir(t.spark, "feed"), scratch_dir(t.spark, "container")
+    middle = 1704067200000000 + 15 * DAY
+    far = t.spark.range(1).select(
+        F.lit("").alias("event_type"), F.lit(FAR).alias("vs"), F.lit(FAR).alias("ve")
+    )
+
+    def run():
+        box = QueryContainer(t.spark, home)
+        s = box.register_input("in", path, df.schema, files_per_trigger=1)
+        box.register_output("out", SW.tumbling_windows(s, ["event_type"], DAY, "1 hour", n=F.count("*")))
+        box.run()
+        return box
+
+    replay(path, df.where(F.col("vs") < middle))
+    run()
+    replay(path, df.where(F.col("vs") >= middle), far.select(*df.columns))
+    return run().result("out").where(F.col("vs") < FAR)
+
+
+@query("stream_passive_replay", f"SELECT event_id, user_id, vs, ve FROM ({POINTS})")
+def stream_passive_replay(t):
+    """A stream written out as it came."""
+    return streamed(t, t.points("event_id", "user_id"), lambda s: s)
+
+

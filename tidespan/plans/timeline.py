@@ -35,7 +35,7 @@ def with_latest(df: DataFrame, keys, time: str, marked: Column, name: str, inclu
     df = df.withColumn("_m", marked)
     df = carry(df, keys, {"_s": F.max("_m")}, lambda w: {"_c": F.max("_s").over(w.rowsBetween(*BEFORE))})
     w = local(keys).orderBy(time).rowsBetween(*(UPTO if inclusive else BEFORE))
-    return df.withColumn(name, F.coalesce(F.max("_m").over(w), F.col("_c"))).drop("_m", "_c")
+    return df.withColumn(name, F.greatest(F.max("_m").over(w), F.col("_c"))).drop("_m", "_c")
 
 
 def with_following(df: DataFrame, keys, time: str, marked: Column, name: str, inclusive=True) -> DataFrame:
@@ -49,7 +49,7 @@ def with_following(df: DataFrame, keys, time: str, marked: Column, name: str, in
 
     df = carry(df, keys, {"_s": F.min("_m")}, later)
     w = local(keys).orderBy(F.col(time).desc()).rowsBetween(*(UPTO if inclusive else BEFORE))
-    return df.withColumn(name, F.coalesce(F.min("_m").over(w), F.col("_c"))).drop("_m", "_c")
+    return df.withColumn(name, F.least(F.min("_m").over(w), F.col("_c"))).drop("_m", "_c")
 
 
 def with_running(df: DataFrame, keys, order: str, sums: dict[str, str]) -> DataFrame:
