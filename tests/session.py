@@ -13,6 +13,10 @@ def local_session(cores: str = "8", partitions: str = "8") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "12g"))
+        # test data is tiny: keep its few rows spread over the cores
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # queries here have many small stages: keep their generated code between runs
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

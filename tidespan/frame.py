@@ -16,6 +16,7 @@ from .operators.quality import QualityOps
 from .operators.sets import SetOps
 from .plans.slices import Cuts
 from .sources.egress import EgressOps
+from .sources.scratch import settle
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,9 @@ class TemporalFrame(
     QualityOps,
     EgressOps,
 ):
-    def __init__(self, df: DataFrame, keys=(), props: Props | None = None, cuts: Cuts | None = None):
+    def __init__(
+        self, df: DataFrame, keys=(), props: Props | None = None, cuts: Cuts | None = None, wide=False
+    ):
         for c in ("vs", "ve"):
             if c not in df.columns:
                 raise ValueError(f"a temporal frame needs the lifetime column {c!r}")
@@ -57,6 +60,8 @@ class TemporalFrame(
             raise ValueError(f"key columns not found: {missing}")
         self.props = props or Props()
         self._cuts = cuts
+        self._wide = wide
+        self._settled = None
 
     @property
     def payload(self) -> list[str]:
@@ -68,14 +73,28 @@ class TemporalFrame(
             self._cuts = Cuts(self.df, self.keys, "vs")
         return self._cuts
 
-    def _with(self, df: DataFrame, keys=None, props: Props | None = None, moved=False) -> TemporalFrame:
-        """A derived frame. Cuts are inherited unless times moved far away from the source's times."""
+    def _with(self, df: DataFrame, keys=None, props=None, cuts=None, wide=None) -> TemporalFrame:
+        """A derived frame. It inherits the cuts, unless times moved away from the source's times."""
         return TemporalFrame(
             df,
             self.keys if keys is None else keys,
             Props() if props is None else props,
-            None if moved else self.cuts,
+            cuts or self.cuts,
+            self._wide if wide is None else wide,
         )
 
+    def settle(self) -> TemporalFrame:
+        """Write the rows to a table in the shared folder and go on from there.
+
+        The operators that shuffle read their input several times. They settle it themselves when it comes out
+        of another such operator, so that a chain of operators costs the sum, not the product, of its parts.
+        """
+        if self._settled is None:
+            self._settled = self._with(settle(self.df), props=self.props, wide=False)
+        return self._settled
+
+    def _ready(self) -> TemporalFrame:
+        return self.settle() if self._wide else self
+
     def __repr__(self) -> str:
         return f"TemporalFrame(keys={self.keys}, payload={self.payload}, props={self.props})"

@@ -247,6 +247,7 @@ class Matcher:
         self.starts, self.register = tables["starts"], tables["register"]
         self.max_duration, self.overlapping, self.deterministic = max_duration, overlapping, deterministic
         self.instances = list(instances)
+        self.lists = any(not single for out in self.arcs.values() for single, *_ in out)
 
     def _moves(self, state, t, events, reg):
         for is_single, cond, update, reach in self.arcs.get(state, ()):

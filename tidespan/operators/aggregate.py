@@ -20,7 +20,8 @@ class AggregateOps:
         """
         keys = self.keys
         if self.props.tumbling:
-            return self._with(_tumbling(self.df, keys, aggs), props=self.props)
+            return self._with(_tumbling(self.df, keys, aggs), props=self.props, wide=True)
+        self = self._ready()
         families = []
         additive = {n: a for n, a in aggs.items() if isinstance(a, Additive)}
         if additive:
@@ -37,7 +38,7 @@ class AggregateOps:
             extra = [c for c in more.columns if c not in (*keys, "vs", "ve")]
             cond = match("l", "r", [*keys, "vs"])
             out = out.alias("l").join(more.alias("r"), cond).select("l.*", *[f"r.{c}" for c in extra])
-        return self._with(out.select(*keys, "vs", "ve", *aggs))
+        return self._with(out.select(*keys, "vs", "ve", *aggs), wide=True)
 
     def group_aggregate(self, group, **aggs):
         """Aggregate per group; the group columns become payload of the result."""
@@ -66,13 +67,15 @@ class AggregateOps:
             types = dict(self.df.dtypes) | {c: t for c, t in right.df.dtypes if c not in self.df.columns}
             cols = [F.col(c) if c in f.df.columns else F.lit(None).cast(types[c]).alias(c) for c in names]
             sides.append(f.df.select("vs", "ve", *self.keys, *cols, F.lit(i).alias("side")))
-        return self._with(sides[0].unionByName(sides[1])).aggregate(**aggs)
+        both = self._with(sides[0].unionByName(sides[1]), wide=self._wide or right._wide)
+        return both.aggregate(**aggs)
 
     def top_k(self, k: int, by, ascending=False):
         """Rows ranked by `by` within each snapshot, with gaps after ties; ties at the cut are all kept.
 
         One output row per snapshot and ranked row, with its `rank`.
         """
+        self = self._ready()
         keys, payload = self.keys, self.payload
         order = F.col("_o").asc_nulls_last() if ascending else F.col("_o").desc_nulls_last()
         packed = F.struct(*payload).alias("_p")
@@ -85,7 +88,7 @@ class AggregateOps:
         found = look_up(lookups, best, keys)
         in_segment = Window.partitionBy(*keys, "vs").orderBy(order)
         out = found.withColumn("rank", F.rank().over(in_segment)).where(F.col("rank") <= k)
-        return self._with(out.select(*keys, "vs", "ve", "rank", "_p.*"))
+        return self._with(out.select(*keys, "vs", "ve", "rank", "_p.*"), wide=True)
 
     def top_k_lists(self, k: int, by, ascending=False, name="top"):
         """As `top_k`, packed into one array of (rank, payload) per snapshot."""
@@ -97,12 +100,13 @@ class AggregateOps:
 
     def aggregate_pandas(self, fn, value, schema_type: str, name="result"):
         """An opaque user aggregate: `fn` is a grouped pandas function over the active values of a snapshot."""
+        self = self._ready()
         keys = self.keys
         rows = self.df.select(*keys, "vs", "ve", col(value).alias("_v"))
         blocks, lookups = blocks_and_lookups(rows, keys, self.cuts)
         found = look_up(lookups, blocks.drop("vs", "ve"), keys)
         udf = F.pandas_udf(fn, schema_type)
-        return self._with(found.groupBy(*keys, "vs", "ve").agg(udf("_v").alias(name)))
+        return self._with(found.groupBy(*keys, "vs", "ve").agg(udf("_v").alias(name)), wide=True)
 
 
 def _grouped(frame, group):

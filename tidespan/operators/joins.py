@@ -59,7 +59,7 @@ class Sides:
             *self.left_cols(),
             *self.right_cols(),
         )
-        return self.left._with(out)
+        return self.left._with(out, wide=True)
 
 
 class JoinOps:
@@ -71,6 +71,8 @@ class JoinOps:
         `small="left"` or `"right"` asks for a broadcast of that side; it happens only if the side is counted
         to have at most SMALL_ROWS rows. `hint` is a Spark join hint for open-ended inputs.
         """
+        if small is None:
+            self, right = self._ready(), right._ready()
         s = Sides(self, right, on)
         extra = s.residual(residual)
         if small is not None:
@@ -79,7 +81,9 @@ class JoinOps:
                 return self._join_small(s, extra, small)
         if s.lk and self.props.open_ended and right.props.open_ended:
             return self._join_open(s, extra, hint)
-        return s.result(overlap_join(s.ldf, s.rdf, s.lkeys, s.rkeys, extra))
+        return s.result(
+            overlap_join(s.ldf, s.rdf, s.lkeys, s.rkeys, extra, lprops=self.props, rprops=right.props)
+        )
 
     def _join_small(self, s, extra, small):
         cond = (F.col("l_vs") < F.col("r_ve")) & (F.col("r_vs") < F.col("l_ve"))
@@ -89,7 +93,9 @@ class JoinOps:
             cond = cond & extra
         ldf = F.broadcast(s.ldf) if small == "left" else s.ldf
         rdf = F.broadcast(s.rdf) if small == "right" else s.rdf
-        return s.result(ldf.join(rdf, cond))
+        out = s.result(ldf.join(rdf, cond))
+        out._wide = self._wide or s.right._wide
+        return out
 
     def _join_open(self, s, extra, hint):
         """Both sides open-ended: every pair of equal keys overlaps, a plain equality join."""
@@ -111,12 +117,13 @@ class JoinOps:
 
     def coverage_gaps(self):
         """Per key, the maximal periods without any active row, from the start of time to its end."""
+        self = self._ready()
         keys = self.keys
         seg = sweep(self.df, keys, {}, self.cuts, keep_idle=True)
         inner = seg.where(F.col(ACTIVE) == 0).select(*keys, "vs", "ve")
         first = self.df.groupBy(*keys).agg(F.min("vs").alias("ve"))
         head = first.where(F.col("ve") > MIN_T).select(*keys, F.lit(MIN_T).cast("long").alias("vs"), "ve")
-        return self._with(inner.unionByName(head))
+        return self._with(inner.unionByName(head), wide=True)
 
     def where_not_exists(self, right, on=None, residual=None):
         """Left lifetimes minus the union of the matching right lifetimes.
@@ -129,14 +136,15 @@ class JoinOps:
             hits = self.join(right, on, residual)
             hits = hits._with(hits.df.select("vs", "ve", *cols), keys=[])
             return self.where_not_exists(hits, on=cols)
+        self, right = self._ready(), right._ready()
         s = Sides(self, right, on)
         cover = right._with(
             right.df.select("vs", "ve", *[F.col(b).alias("_k%d" % i) for i, b in enumerate(s.rk)]),
             keys=["_k%d" % i for i in range(len(s.rk))],
         )
-        gaps = prefixed(cover.coverage_gaps().df, "r_")
+        gaps = prefixed(cover.coverage_gaps().settle().df, "r_")
         gkeys = ["r__k%d" % i for i in range(len(s.rk))]
-        pieces = overlap_join(s.ldf, gaps, s.lkeys, gkeys).select(
+        pieces = overlap_join(s.ldf, gaps, s.lkeys, gkeys, lprops=self.props).select(
             F.greatest("l_vs", "r_vs").alias("vs"), F.least("l_ve", "r_ve").alias("ve"), *s.left_cols()
         )
         if s.lk:
@@ -149,15 +157,17 @@ class JoinOps:
         else:
             free = self.df.where(right.df.agg(F.count(F.lit(1)).alias("n")).scalar() == 0)
         cols = ["vs", "ve", *[c for c in self.df.columns if c not in ("vs", "ve")]]
-        return self._with(pieces.select(*cols).unionByName(free.select(*cols)))
+        return self._with(pieces.select(*cols).unionByName(free.select(*cols)), wide=True)
 
     def left_outer_join(self, right, on=None, residual=None):
         """Inner matches, plus the unmatched stretches of the left side with nulls on the right."""
+        self, right = self._ready(), right._ready()
         inner = self.join(right, on, residual)
         alone = self.where_not_exists(right, on, residual)
         return inner._with(inner.df.unionByName(_with_nulls(alone.df, inner.df)))
 
     def full_outer_join(self, right, on=None):
+        self, right = self._ready(), right._ready()
         s = Sides(self, right, on)
         left_part = self.left_outer_join(right, on)
         alone = right.where_not_exists(self, on=list(zip(s.rk, s.lk, strict=True)))
@@ -169,6 +179,7 @@ class JoinOps:
 
     def clip_by(self, right, on=None):
         """End each lifetime at the first right start strictly after its own start, if that comes earlier."""
+        self, right = self._ready(), (self._ready() if right is self else right._ready())
         s = Sides(self, right, on)
         ks = ["_k%d" % i for i in range(len(s.lk))]
         lt = self.df.select(*[F.col(a).alias(k) for a, k in zip(s.lk, ks, strict=True)], F.col("vs").alias("_t"))
@@ -182,11 +193,12 @@ class JoinOps:
             cond = cond & F.col(f"l.`{a}`").eqNullSafe(F.col(f"r.`{k}`"))
         df = self.df.alias("l").join(tl.alias("r"), cond, "left").select("l.*", "r._at")
         df = df.withColumn("ve", F.least("ve", F.coalesce("_at", F.lit(INF)))).drop("_at")
-        return self._with(df)
+        return self._with(df, wide=True)
 
     def as_signal(self):
         """Each row lives until the next distinct start of its key."""
-        return self.set_duration(INF).clip_by(self)
+        ready = self._ready()
+        return ready.set_duration(INF).clip_by(ready)
 
 
 def _with_nulls(df: DataFrame, like: DataFrame) -> DataFrame:

@@ -18,14 +18,14 @@ def number(x):
 
 
 class LifetimeOps:
-    def _lifetime(self, vs=None, ve=None, props=None, moved=False):
+    def _lifetime(self, vs=None, ve=None, props=None, cuts=None):
         """Replace start and end at once, both computed from the old values."""
         times = {}
         if vs is not None:
             times["vs"] = vs.cast("long")
         if ve is not None:
             times["ve"] = ve.cast("long")
-        return self._with(self.df.withColumns(times), props=props, moved=moved)
+        return self._with(self.df.withColumns(times), props=props, cuts=cuts)
 
     def tumbling(self, size: int, offset: int = 0):
         """Windows (T-size, T], reported over [T, T+size)."""
@@ -75,12 +75,18 @@ class LifetimeOps:
     def shift(self, ticks):
         """Move lifetimes, keeping their duration."""
         by = number(ticks)
-        return self._lifetime(F.col("vs") + by, plus("ve", by), moved=True)
+        out = self._lifetime(F.col("vs") + by, plus("ve", by), self.props.but(hop=None))
+        out._cuts = self.cuts.shifted(ticks) if isinstance(ticks, int) else None
+        return out
 
     def set_lifetime(self, start, duration):
         """New start and duration, as expressions over `vs`, `ve`, keys and payload."""
         start, d = number(start), number(duration)
-        return self._lifetime(start, F.when(d >= INF, F.lit(INF)).otherwise(start + d), moved=True)
+        out = self._lifetime(start, F.when(d >= INF, F.lit(INF)).otherwise(start + d))
+        if isinstance(duration, int) and duration < INF:
+            out.props = out.props.but(duration=duration)
+        out._cuts = None
+        return out
 
     def extend(self, ticks: int):
         """Lengthen (or shorten) finite lifetimes; rows left without a lifetime are dropped."""
@@ -119,6 +125,7 @@ class LifetimeOps:
         Copies of a row that never overlap are merged by islands. Only connected stretches in which copies
         overlap need one-to-one linking of ends with starts, done per stretch.
         """
+        self = self._ready()
         group = [*self.keys, *self.payload]
         one = F.lit(1).cast("long")
         rows = self.df.groupBy(*group, "vs", "ve").agg(F.count(one).alias("_copies"))
@@ -154,12 +161,13 @@ class LifetimeOps:
         tangled = tangled.select(*group, "_from", "vs", "ve", "_copies")
         linked = scan_ordered(tangled, [*group, "_from"], ["vs", "ve"], _Links, schema)
         cols = schema.names
-        return self._with(simple.select(*cols).unionByName(linked.select(*cols)))
+        return self._with(simple.select(*cols).unionByName(linked.select(*cols)), wide=True)
 
     def session(self, timeout: int, max_duration: int | None = None):
         """Lifetimes [vs, session end). A session ends `timeout` after its last event; a gap of exactly
         `timeout` separates sessions. With `max_duration`, sessions also end on a grid of that size: the first
         at the second grid point after a start off the grid, later ones at every grid point."""
+        self = self._ready()
         keys, t = self.keys, F.col("vs")
         tl = instants(self.df, keys, "vs", self.cuts)
         tl = with_neighbours(tl, keys, "vs")
@@ -185,7 +193,7 @@ class LifetimeOps:
         cond = match("l", "r", [*keys, "vs"])
         df = self.df.alias("l").join(ends.alias("r"), cond).select("l.*", "r._end")
         cols = self.df.columns
-        return self._with(df.withColumn("ve", F.col("_end")).select(*cols))
+        return self._with(df.withColumn("ve", F.col("_end")).select(*cols), wide=True)
 
 
 class _Links:

@@ -54,26 +54,29 @@ class PatternOps:
         """
         if 0 <= within < 2:
             raise ValueError("within must be at least 2")
+        self = self._ready()
         limit = F.col("ve") if within < 0 else F.col("vs") + F.lit(within - 1)
         rows = self._with_next_start(other).where(col(first)).where(F.col("_next") <= limit)
         target = (other or self).df.where(col(second))
         out = _chosen(_pair(rows, target, self.keys, "_next"), self.keys, "vs", select)
-        return self._with(out)
+        return self._with(out, wide=True)
 
     def consecutive_pairs(self, select):
         """Every event with the event(s) at the next instant of its key."""
+        self = self._ready()
         rows = self._with_next_start()
-        return self._with(_chosen(_pair(rows, self.df, self.keys, "_next"), self.keys, "vs", select))
+        out = _chosen(_pair(rows, self.df, self.keys, "_next"), self.keys, "vs", select)
+        return self._with(out, wide=True)
 
     def sessionize(self, is_start, is_end, session_key, select):
         """Each start event with the first later end event of its session key; several open starts all match."""
         names = [session_key] if isinstance(session_key, str) else list(session_key)
-        inner = self.group_by(*names)
+        inner = self._ready().group_by(*names)
         starts = inner.where(col(is_start))
         ends = inner.where(col(is_end))
         rows = starts._with_next_start(ends)
         out = _chosen(_pair(rows, ends.df, inner.keys, "_next"), inner.keys, "vs", select)
-        return inner._with(out).ungroup(*names)
+        return inner._with(out, wide=True).ungroup(*names)
 
     def _chunks(self, df: DataFrame, max_duration: int, overlapping: bool) -> DataFrame:
         """Independent pieces of each key's history: `_chunk`, and `_own` for rows that may start a match.
@@ -107,6 +110,7 @@ class PatternOps:
         an arc for the next event of its key ends. Registers are tuples laid out as `schema` (or mapped to
         such tuples by `result`).
         """
+        self = self._ready()
         automaton = pattern.compile()
         tables, conds = automaton.tables(register), automaton.conditions()
         payload = self.payload
@@ -121,7 +125,8 @@ class PatternOps:
         out = StructType([*times.fields, *key_fields, *reg_type.fields])
         rows = rows.select(*self.keys, "_chunk", "vs", "_own", F.array(*tests).alias("_flags"), *payload)
         machine = _runner(tables, max_duration, overlapping, deterministic, len(self.keys), payload, result)
-        return self._with(scan_ordered(rows, [*self.keys, "_chunk"], ["vs"], machine, out))
+        found = scan_ordered(rows, [*self.keys, "_chunk"], ["vs"], machine, out)
+        return self._with(found, wide=True)
 
     def detect_sequence(self, conds, max_duration: int, select):
         """A fixed sequence of single events, wholly native: conditions over the next rows of the key.
@@ -129,16 +134,19 @@ class PatternOps:
         `select(e)` maps names to results, where `e[i]` accesses the columns of the i-th event. Simultaneous
         events of a key break a match, as in `detect`.
         """
+        self = self._ready()
         keys, n = self.keys, len(conds)
-        df = self.df.withColumns({f"_m{i}": F.coalesce(c, F.lit(False)) for i, c in enumerate(conds)})
+        marks = [F.coalesce(c, F.lit(False)).alias(f"_m{i}") for i, c in enumerate(conds)]
+        # one row per instant: a crowded instant can only break a match, so its rows need not be kept
+        event = F.struct(*self.df.columns, *marks)
+        df = self.df.groupBy(*keys, "vs").agg((F.count(F.lit(1)) == 1).alias("_lone"), F.any_value(event).alias("_e0"))
         df = self._chunks(df, max_duration, overlapping=True)
-        lone = Window.partitionBy(*keys, "_chunk", "vs")
         w = Window.partitionBy(*keys, "_chunk").orderBy("vs")
-        df = df.withColumn("_lone", F.count(F.lit(1)).over(lone) == 1)
-        row = F.struct(*[c for c in df.columns])
-        df = df.select("*", *[F.lead(row, i).over(w).alias(f"_e{i}") for i in range(1, n)])
-        df = df.withColumn("_e0", F.struct(*self.df.columns, "_lone", *[f"_m{i}" for i in range(n)]))
-        ok = [F.col(f"_e{i}._m{i}") & F.col(f"_e{i}._lone") for i in range(n)]
+        step = F.struct("_lone", "_e0")
+        df = df.select("*", *[F.lead(step, i).over(w).alias(f"_s{i}") for i in range(1, n)])
+        df = df.withColumns({f"_e{i}": F.col(f"_s{i}._e0") for i in range(1, n)})
+        lone = [F.col("_lone"), *[F.col(f"_s{i}._lone") for i in range(1, n)]]
+        ok = [F.col(f"_e{i}._m{i}") & lone[i] for i in range(n)]
         last = F.col(f"_e{n - 1}.vs")
         hit = reduce(lambda a, b: a & b, ok) & F.col("_own") & (last < F.col("vs") + F.lit(max_duration))
         exprs = select([lambda c, i=i: F.col(f"_e{i}.`{c}`") for i in range(n)])
@@ -148,7 +156,7 @@ class PatternOps:
             *keys,
             *[e.alias(n) for n, e in exprs.items()],
         )
-        return self._with(out)
+        return self._with(out, wide=True)
 
 
 def _runner(tables, max_duration, overlapping, deterministic, n_keys, payload, result):
@@ -176,7 +184,9 @@ class _Run:
         if t != self.time:
             out = self.end()
             self.time, self.own, self.events = t, own, []
-        self.events.append((self.event_type._make(values[len(self.key) + 4 :]), flags))
+        # without arcs over whole instants, two events already say that the instant is crowded
+        if self.matcher.lists or len(self.events) < 2:
+            self.events.append((self.event_type._make(values[len(self.key) + 4 :]), flags))
         return out
 
     def end(self):

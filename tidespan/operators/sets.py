@@ -11,13 +11,13 @@ class SetOps:
     def union(self, *others) -> "TemporalFrame":
         """Bag union of frames with the same columns."""
         df = reduce(lambda a, b: a.unionByName(b), [o.df for o in others], self.df)
-        return self._with(df)
+        return self._with(df, wide=any(f._wide for f in (self, *others)))
 
     def ordered_union(self, *others, source="src") -> "TemporalFrame":
         """Union that remembers the input number, so that ties in time have a fixed order at the sink."""
         frames = [self, *others]
         tagged = [f.df.withColumn(source, F.lit(i)) for i, f in enumerate(frames)]
-        return self._with(reduce(lambda a, b: a.unionByName(b), tagged))
+        return self._with(reduce(lambda a, b: a.unionByName(b), tagged), wide=any(f._wide for f in frames))
 
     def multicast(self, fn, other=None):
         """Feed this frame to a function of sub-queries; `other` is passed as second argument."""

@@ -9,13 +9,21 @@ even without keys, instead of all pairs of a key or a nested loop.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.time import INF
+
 LVL, BUCKET = "_w", "_b"
 
 
+OPEN = 62  # the class of open lifetimes: one bucket holds all of time
+
+
 def width_class(vs="vs", ve="ve") -> Column:
-    return F.ceil(F.log2((F.col(ve) - F.col(vs)).cast("double"))).cast("int")
+    length = F.ceil(F.log2((F.col(ve) - F.col(vs)).cast("double"))).cast("int")
+    return F.when(F.col(ve) >= INF, F.lit(OPEN)).otherwise(length)
 
 
 def file_intervals(df: DataFrame, vs: str, ve: str) -> DataFrame:
@@ -30,8 +38,13 @@ def file_points(df: DataFrame, t: str, widths: Column) -> DataFrame:
     return df.withColumn(LVL, F.explode(widths)).withColumn(BUCKET, F.expr(f"shiftright(`{t}`, {LVL})"))
 
 
-def widths_of(df: DataFrame, vs: str, ve: str) -> Column:
-    """The interval widths that occur: at most 63 small integers, as a scalar subquery."""
+def widths_of(df: DataFrame, vs: str, ve: str, props) -> Column:
+    """The interval widths that occur: known from the declared properties, or else at most 63 small integers
+    as a scalar subquery."""
+    if props is not None and props.open_ended:
+        return F.array(F.lit(OPEN))
+    if props is not None and props.duration is not None:
+        return F.array(F.lit((props.duration - 1).bit_length()))
     return df.agg(F.sort_array(F.collect_set(width_class(vs, ve))).alias("w")).scalar()
 
 
@@ -42,15 +55,19 @@ def equal(lk, rk) -> Column:
     return cond
 
 
-def overlap_join(left: DataFrame, right: DataFrame, lk=(), rk=(), residual: Column | None = None) -> DataFrame:
+def overlap_join(
+    left: DataFrame, right: DataFrame, lk=(), rk=(), residual: Column | None = None, lprops=None, rprops=None
+) -> DataFrame:
     """Inner overlap join. Inputs have disjoint column names; times are `l_vs, l_ve` and `r_vs, r_ve`."""
     halves = []
-    for ivs, pts, lo, hi, t, strict in (
-        (left, right, "l_vs", "l_ve", "r_vs", False),
-        (right, left, "r_vs", "r_ve", "l_vs", True),
+    for ivs, pts, lo, hi, t, strict, props in (
+        (left, right, "l_vs", "l_ve", "r_vs", False, lprops),
+        (right, left, "r_vs", "r_ve", "l_vs", True, rprops),
     ):
+        if strict and props is not None and props.duration == 1:
+            continue  # nothing starts strictly inside a point
         filed = file_intervals(ivs, lo, hi)
-        points = file_points(pts, t, widths_of(ivs, lo, hi))
+        points = file_points(pts, t, widths_of(ivs, lo, hi, props))
         a, b = (filed, points) if not strict else (points, filed)
         after = F.col(t) > F.col(lo) if strict else F.col(t) >= F.col(lo)
         cond = equal(lk, rk) & after & (F.col(t) < F.col(hi))
@@ -62,4 +79,4 @@ def overlap_join(left: DataFrame, right: DataFrame, lk=(), rk=(), residual: Colu
                 *[F.col(f"l.`{c}`") for c in left.columns], *[F.col(f"r.`{c}`") for c in right.columns]
             )
         )
-    return halves[0].unionByName(halves[1])
+    return reduce(DataFrame.unionByName, halves)

@@ -8,26 +8,28 @@ N log N even when many lifetimes overlap.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.time import INF
+from ..sources.scratch import settle
 from .slices import BEFORE, SLICE, Cuts, carry, local, match
 from .timeline import instants
 
 
-def aligned_blocks(lo: str, hi: str) -> Column:
-    """Array of (lvl, node): the aligned power-of-two blocks that make up [lo, hi)."""
-    return F.expr(
-        f"""filter(flatten(transform(
-              sequence(0, cast(floor(log2(`{hi}` - `{lo}`)) as int) + 1),
-              j -> transform(
-                array(shiftright(`{lo}` + shiftleft(1L, j) - 1, j), shiftright(`{hi}`, j)),
-                (edge, side) -> struct(j as lvl,
-                  case when shiftright(`{lo}` + shiftleft(1L, j) - 1, j) < shiftright(`{hi}`, j)
-                            and edge % 2 = 1
-                       then edge - side end as node)))),
-            b -> b.node is not null)"""
-    )
+def with_blocks(df: DataFrame) -> DataFrame:
+    """One row per aligned power-of-two block (`_lvl`, `_node`) of the range [_lo, _hi).
+
+    On each level the range's aligned part is [lo, hi) in units of that level; what the next level cannot hold
+    is an odd first block and an odd last one.
+    """
+    top = F.floor(F.log2(F.col("_hi") - F.col("_lo"))).cast("int") + 1
+    df = df.withColumn("_lvl", F.explode(F.sequence(F.lit(0), top)))
+    lo = F.expr("shiftright(_lo + shiftleft(1L, _lvl) - 1, _lvl)")
+    df = df.withColumns({"_lo": lo, "_hi": F.expr("shiftright(_hi, _lvl)")})
+    df = df.where("_lo < _hi and (_lo % 2 = 1 or _hi % 2 = 1)")
+    ends = F.array(F.when(F.col("_lo") % 2 == 1, F.col("_lo")), F.when(F.col("_hi") % 2 == 1, F.col("_hi") - 1))
+    df = df.withColumn("_node", F.explode(ends)).where(F.col("_node").isNotNull())
+    return df.drop("_lo", "_hi")
 
 
 def ranked_segments(df: DataFrame, keys, cuts: Cuts) -> DataFrame:
@@ -62,26 +64,17 @@ def ranked_rows(rows: DataFrame, segments: DataFrame, keys) -> DataFrame:
 
 
 def blocks_and_lookups(rows: DataFrame, keys, cuts: Cuts):
-    """Rows exploded to blocks, and segments exploded to the blocks above them."""
-    segments = ranked_segments(rows, keys, cuts)
-    ranked = ranked_rows(rows, segments, keys)
+    """Rows exploded to blocks, and segments exploded to the blocks above them.
+
+    Segments are read three times and ranked rows twice, so both are written out once.
+    """
+    segments = settle(ranked_segments(rows, keys, cuts))
+    ranked = settle(ranked_rows(rows, segments, keys))
     span = ranked.agg(F.max(F.col("_hi") - F.col("_lo")).alias("m")).scalar()
-    blocks = ranked.withColumn("_b", F.explode(aligned_blocks("_lo", "_hi")))
-    blocks = blocks.withColumn("_lvl", F.col("_b.lvl")).withColumn("_node", F.col("_b.node"))
-    blocks = blocks.drop("_b", "_lo", "_hi")
-    lookups = (
-        segments.where(F.col("vs") < INF)
-        .withColumn("_top", F.coalesce(F.floor(F.log2(span)).cast("int"), F.lit(0)))
-        .select(
-            *keys,
-            "vs",
-            "ve",
-            F.explode(
-                F.expr("transform(sequence(0, _top), j -> struct(j as lvl, shiftright(_rank, j) as node))")
-            ).alias("_b"),
-        )
-        .select(*keys, "vs", "ve", F.col("_b.lvl").alias("_lvl"), F.col("_b.node").alias("_node"))
-    )
+    blocks = with_blocks(ranked)
+    levels = F.sequence(F.lit(0), F.coalesce(F.floor(F.log2(span)).cast("int"), F.lit(0)))
+    lookups = segments.where(F.col("vs") < INF).withColumn("_lvl", F.explode(levels))
+    lookups = lookups.withColumn("_node", F.expr("shiftright(_rank, _lvl)")).drop("_rank")
     return blocks, lookups
 
 
@@ -89,7 +82,8 @@ def look_up(lookups: DataFrame, blocks: DataFrame, keys) -> DataFrame:
     """Block contents for each segment. One block may serve very many segments of a hot key: the block side is
     pre-aggregated, so adaptive skew handling can split the segment side freely."""
     group = [*keys, "_lvl", "_node"]
-    joined = lookups.alias("l").join(blocks.alias("r"), match("l", "r", group))
+    # size estimates do not see the explosion to levels: never let them choose a broadcast
+    joined = lookups.hint("merge").alias("l").join(blocks.alias("r"), match("l", "r", group))
     rest = [c for c in blocks.columns if c not in (*group, "vs", "ve")]
     return joined.select(
         *[F.col(f"l.`{c}`") for c in (*keys, "vs", "ve")], *[F.col(f"r.`{c}`") for c in rest]

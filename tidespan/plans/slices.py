@@ -11,6 +11,8 @@ every retry, sees the same cuts. The cuts reach the plan as one scalar subquery
 
 from __future__ import annotations
 
+from copy import copy
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 SLICE = "_slice"
@@ -35,6 +37,13 @@ class Cuts:
         self._keys = list(keys)
         self.count = slice_count(df.sparkSession)
         self._column = None
+        self._shift = 0
+
+    def shifted(self, ticks: int) -> Cuts:
+        """The same cuts for times moved by a constant."""
+        other = copy(self)
+        other._shift = self._shift + ticks
+        return other
 
     def column(self) -> Column:
         if self._column is None:
@@ -48,16 +57,17 @@ class Cuts:
 
     def attach(self, df: DataFrame, time: str, name: str = SLICE) -> DataFrame:
         """Add the slice number of `time` (number of cut points not after it, by binary search)."""
-        strides, step = [], self.count // 2
-        while step:
-            strides.append(F.lit(step))
-            step //= 2
-        found = F.aggregate(
-            F.array(*strides),
-            F.lit(0),
-            lambda lo, s: F.when(F.element_at(CUTS, lo + s) <= F.col(time), lo + s).otherwise(lo),
-        )
-        return df.withColumn(CUTS, self.column()).withColumn(name, F.coalesce(found, F.lit(0))).drop(CUTS)
+        t = F.col(time) - F.lit(self._shift)
+        df = df.withColumn(CUTS, self.column()).withColumn(name, F.lit(0))
+        span = self.count
+        while span > 1:
+            # each step narrows the range to a quarter (or half); plain expressions, so it stays in generated code
+            ways = 4 if span % 4 == 0 else 2
+            span //= ways
+            hits = [F.coalesce(F.element_at(CUTS, F.col(name) + i * span) <= t, F.lit(False)) for i in range(1, ways)]
+            passed = sum((h.cast("int") for h in hits), F.lit(0))
+            df = df.withColumn(name, F.col(name) + passed * F.lit(span))
+        return df.drop(CUTS)
 
 
 def match(left: str, right: str, cols) -> Column:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.time import INF, col
-from ..plans.slices import Cuts, match
+from ..plans.slices import SLICE, Cuts, match
 from ..plans.timeline import instants, with_running
 
 
@@ -39,14 +39,18 @@ class EgressOps:
         Rows with the same time are ordered by `tie`, which must make (key, time, tie) unique.
         """
         tie = tie or order
-        cols = self.df.columns
-        # rows are numbered by (time, tie): count rows up to each instant, then number within the instant
+        cols, at = self.df.columns, [*self.keys, order]
+        # rows before each instant, then rows before each row within its instant; both counts are sliced
         tl = instants(self.df, self.keys, order, Cuts(self.df, self.keys, order), _n=F.count(F.lit(1)))
         tl = with_running(tl, self.keys, order, {"_n": "_upto"})
-        cond = match("l", "r", [*self.keys, order])
-        rows = self.df.alias("l").join(tl.alias("r"), cond).select("l.*", "r._n", "r._upto")
-        inside = Window.partitionBy(*self.keys, order).orderBy(tie)
-        pos = F.col("_upto") - F.col("_n") + F.row_number().over(inside) - 1
+        cond = match("l", "r", at)
+        rows = self.df.alias("l").join(tl.alias("r"), cond).select("l.*", (F.col("r._upto") - F.col("r._n")).alias("_before"))
+        if tie != order:
+            rows = Cuts(self.df, self.keys, tie).attach(rows, tie).withColumn("_one", F.lit(1).cast("long"))
+            rows = with_running(rows.repartition(*at, SLICE), at, tie, {"_one": "_nth"})
+        else:
+            rows = rows.withColumn("_nth", F.lit(1).cast("long"))
+        pos = F.col("_before") + F.col("_nth") - 1
         rows = rows.withColumn("chunk", F.floor(pos / size)).withColumn("_pos", pos)
         item = F.struct(F.col("_pos"), F.struct(*[c for c in cols if c not in self.keys]).alias("_v"))
         out = rows.groupBy(*self.keys, "chunk").agg(F.array_sort(F.collect_list(item)).alias(name))
