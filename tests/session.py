@@ -17,6 +17,8 @@ def local_session(cores: str = "8", partitions: str = "8") -> SparkSession:
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # queries here have many small stages: keep their generated code between runs
         .config("spark.sql.codegen.cache.maxEntries", "2000")
+        # do not record the Python call site of every expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # Fixed values of the time domain.
 INF = 3155378975999999999
@@ -16,6 +16,9 @@ def col(c) -> Column:
 
 def micros(ts) -> Column:
     """Microseconds since 1970 of a TIMESTAMP_NTZ column, whatever the session zone."""
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        return F.unix_micros(col(ts).cast("timestamp"))  # the same value, several times faster
     return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), col(ts))
 
 
