@@ -53,11 +53,30 @@ def sliced(spark, request):
 def test_snapshot_aggregates(spark, sliced, seed):
     given = events(seed)
     f = TemporalFrame(spark.createDataFrame(given, SCHEMA), "k")
-    out = f.aggregate(n=A.count(), s=A.sum_("v"), lo=A.min_("v"), hi=A.max_("v"), d=A.count_distinct("v"))
-    want = snapshots(given, lambda a: (len(a), sum(a), min(a), max(a), len(set(a))))
+    out = f.aggregate(n=A.count(), s=A.sum_("v"), lo=A.min_("v"), hi=A.max_("v"), d=A.percentile_discrete("v", 0.3))
+    want = snapshots(given, lambda a: (len(a), sum(a), min(a), max(a), sorted(a)[max(-(-3 * len(a) // 10), 1) - 1]))
     assert bag(out, "k", "vs", "ve", "n", "s", "lo", "hi", "d") == want
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_percentiles_by_descent(spark, monkeypatch, seed):
+    """Many active values: found level by level instead of listed."""
+    from tidespan.plans import quantiles
+
+    monkeypatch.setattr(quantiles, "LISTED", 0)
+    given = [(vs, ve, k, v * 37 + i % 5 if i % 7 else None) for i, (vs, ve, k, v) in enumerate(events(seed))]
+    f = TemporalFrame(spark.createDataFrame(given, SCHEMA), "k")
+    out = f.aggregate(d=A.percentile_discrete("v", 0.3), c=A.percentile_continuous("v", 0.5))
+
+    def middle(active):
+        a = sorted(x for x in active if x is not None)
+        if not a:
+            return (None, None)
+        return a[max(-(-3 * len(a) // 10), 1) - 1], (a[(len(a) - 1) // 2] + a[len(a) // 2]) / 2
+
+    assert bag(out, "k", "vs", "ve", "d", "c") == snapshots(given, middle)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_top_two(spark, sliced, seed):
     given = events(seed)

@@ -1,10 +1,12 @@
 """Aggregates for `TemporalFrame.aggregate`.
 
-Three families decide the physical plan:
+Four families decide the physical plan:
 
 * `Additive` can be undone: per-row parts are summed, so one sweep over the edges gives all snapshots.
 * `Mergeable` has a state that merges (min, max, product, ...): one state per block of a segment tree.
-* `Multiset` needs the active values themselves: blocks hold (value, count) pairs.
+* `Quantile` wants values by rank: a descent through the ordered values with one sweep per level.
+* `Multiset` needs all active values of every snapshot (lists, folds): blocks hold (value, count) pairs, and the work
+  grows with the number of distinct active values of all snapshots.
 
 Sums over doubles are exact only as far as double addition is; use integers or decimals where snapshots must
 add up to the last digit.
@@ -61,6 +63,22 @@ class Multiset:
         return guarded(self.value, self.conds)
 
 
+def same(x: Column) -> Column:
+    return x
+
+
+@dataclass(frozen=True)
+class Quantile(Multiset):
+    """Order statistics: `ranks(m)` names the wanted ranks among `m` values, `pick(m, found)` makes the result.
+
+    `finish` is the plain aggregate for tumbling windows; `post` applies to either result.
+    """
+
+    ranks: Callable = None
+    pick: Callable = None
+    post: Callable = same
+
+
 def guarded(value: Column, conds) -> Column:
     for c in conds:
         value = F.when(c, value)
@@ -183,31 +201,45 @@ def single_or_default(x) -> Mergeable:
     return Mergeable({"m": col(x), "n": present(col(x))}, {"m": F.min, "n": F.sum}, finish)
 
 
-def percentile_continuous(x, p: float, descending=False) -> Multiset:
+def percentile_continuous(x, p: float, descending=False) -> Quantile:
     """Linear interpolation at p*(n-1) of the ordered values."""
     share = 1 - p if descending else p
-    return Multiset(col(x), lambda v, n: F.percentile(v, F.lit(share), n))
 
+    def ranks(m):
+        at = F.lit(share) * (m - 1)
+        return {"_lo": F.floor(at), "_hi": F.ceil(at)}
+
+    def between(m, found):
+        lo, hi = found["_lo"].cast("double"), found["_hi"].cast("double")
+        at = F.lit(share) * (m - 1)
+        return lo + (hi - lo) * (at - F.floor(at))
 
-def percentile_discrete(x, p: float, descending=False) -> Multiset:
+    return Quantile(col(x), lambda v, n: F.percentile(v, F.lit(share), n), ranks=ranks, pick=between)
+
+
+def percentile_discrete(x, p: float, descending=False) -> Quantile:
     """Value at rank ceil(p*n) of the ordered values (the first for p = 0)."""
 
+    def ranks(m):
+        nth = F.greatest(F.ceil(F.lit(p) * m), F.lit(1))
+        return {"_at": m - nth if descending else nth - 1}
+
     def finish(v, n):
-        pairs = F.sort_array(F.collect_list(F.struct(v.alias("v"), n.alias("n"))), asc=not descending)
+        pairs = F.sort_array(F.collect_list(F.struct(v.alias("v"), n.alias("n"))))
         seen = F.filter(pairs, lambda e: e["v"].isNotNull())
         total = F.aggregate(seen, F.lit(0).cast("long"), lambda a, e: a + e["n"])
-        target = F.greatest(F.ceil(F.lit(p) * total), F.lit(1))
+        target = ranks(total)["_at"]
         start = F.struct(F.lit(0).cast("long").alias("run"), F.get(seen, F.lit(0))["v"].alias("v"))
         walked = F.aggregate(
             seen,
             start,
             lambda a, e: F.struct(
-                (a["run"] + e["n"]).alias("run"), F.when(a["run"] < target, e["v"]).otherwise(a["v"]).alias("v")
+                (a["run"] + e["n"]).alias("run"), F.when(a["run"] <= target, e["v"]).otherwise(a["v"]).alias("v")
             ),
         )
         return walked["v"]
 
-    return Multiset(col(x), finish)
+    return Quantile(col(x), finish, ranks=ranks, pick=lambda m, found: found["_at"])
 
 
 def collect(x) -> Multiset:
@@ -217,10 +249,6 @@ def collect(x) -> Multiset:
     )
 
 
-def count_distinct(x) -> Multiset:
-    return Multiset(col(x), lambda v, n: F.count(v))
-
-
 def user_aggregate(parts: dict, finish, merge: dict | None = None):
     """A user aggregate from column expressions.
 
@@ -247,11 +275,7 @@ def skip_nulls(agg, x):
 
 def or_default(agg, value):
     """`value` instead of null."""
-    if isinstance(agg, Multiset):
-        inner = agg.finish
-        return replace(agg, finish=lambda v, n: F.coalesce(inner(v, n), F.lit(value)))
-    inner = agg.finish
-    return replace(agg, finish=lambda p: F.coalesce(inner(p), F.lit(value)))
+    return wrap(agg, lambda x: F.coalesce(x, F.lit(value)))
 
 
 def null_when_empty(agg: Additive, x) -> Additive:
@@ -263,8 +287,10 @@ def null_when_empty(agg: Additive, x) -> Additive:
 
 def wrap(agg, fn):
     """Apply `fn` to the result."""
+    inner = agg.finish
+    if isinstance(agg, Quantile):
+        post = agg.post
+        return replace(agg, finish=lambda v, n: fn(inner(v, n)), post=lambda x: fn(post(x)))
     if isinstance(agg, Multiset):
-        inner = agg.finish
         return replace(agg, finish=lambda v, n: fn(inner(v, n)))
-    inner = agg.finish
     return replace(agg, finish=lambda p: fn(inner(p)))

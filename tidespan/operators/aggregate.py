@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.aggregates import Additive, Mergeable, Multiset
+from ..functions.aggregates import Additive, Mergeable, Multiset, Quantile
 from ..functions.time import col
+from ..plans.quantiles import counted_segments, few_active, order_statistics
 from ..plans.ranks import blocks_and_lookups, look_up
 from ..plans.slices import match
 from ..plans.sweep import sweep
@@ -30,7 +31,9 @@ class AggregateOps:
         if mergeable:
             families.append(_merged(self.df, keys, mergeable, self.cuts))
         for n, a in aggs.items():
-            if isinstance(a, Multiset):
+            if isinstance(a, Quantile):
+                families.append(_by_rank(self.df, keys, n, a, self.cuts))
+            elif isinstance(a, Multiset):
                 families.append(_from_values(self.df, keys, n, a, self.cuts))
         out = families[0]
         for more in families[1:]:
@@ -172,6 +175,17 @@ def _merged(df, keys, aggs, cuts) -> DataFrame:
     return out.select(*keys, "vs", "ve", *[_finish(n, a, F.col) for n, a in aggs.items()])
 
 
+def _by_rank(df, keys, name, agg, cuts) -> DataFrame:
+    rows = df.select(*keys, "vs", "ve", agg.row().alias("_v"))
+    segments = counted_segments(rows, keys, cuts)
+    if few_active(segments):
+        return _from_values(df, keys, name, agg, cuts)
+    found = order_statistics(segments, rows, keys, cuts, agg.ranks)
+    names = agg.ranks(F.lit(1))
+    result = agg.post(agg.pick(F.col("_m"), {n: F.col(n) for n in names}))
+    return found.select(*keys, "vs", "ve", result.alias(name))
+
+
 def _from_values(df, keys, name, agg, cuts) -> DataFrame:
     rows = df.select(*keys, "vs", "ve", agg.row().alias("_v"))
     rows = rows.groupBy(*keys, "vs", "ve", "_v").agg(F.count(F.lit(1)).alias("_c"))

@@ -63,6 +63,5 @@ def with_running(df: DataFrame, keys, order: str, sums: dict[str, str]) -> DataF
         },
     )
     w = local(keys).orderBy(order).rowsBetween(*UPTO)
-    for i, (c, out) in enumerate(sums.items()):
-        df = df.withColumn(out, F.sum(c).over(w) + F.coalesce(F.col(f"_c{i}"), F.lit(0)))
-    return df.drop(*[f"_c{i}" for i, _ in enumerate(sums)])
+    run = [(F.sum(c).over(w) + F.coalesce(F.col(f"_c{i}"), F.lit(0))).alias(o) for i, (c, o) in enumerate(sums.items())]
+    return df.select("*", *run).drop(*[f"_c{i}" for i, _ in enumerate(sums)])
