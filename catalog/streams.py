@@ -191,3 +191,53 @@ def stream_passive_replay(t):
     return streamed(t, t.points("event_id", "user_id"), lambda s: s)
 
 
+
+
+@query(
+    "stream_evolving_state",
+    f"""SELECT event_type, t AS vs, CAST(sum(w) AS BIGINT) AS change FROM (
+  SELECT event_type, vs AS t, 1 AS w FROM ({INTERVALS}) UNION ALL SELECT event_type, ve, -1 FROM ({INTERVALS}))
+GROUP BY ALL HAVING sum(w) <> 0""",
+)
+def stream_evolving_state(t):
+    """Inserts and deletes of the current multiset, netted per instant."""
+    f = t.intervals("event_type")
+    return streamed(t, f, lambda s: SW.evolving_state(s, ["event_type"], "8 hours"))
+
+
+@query(
+    "stream_interval_join_outer",
+    f"""SELECT a.user_id, a.event_id AS v_id, b.event_id AS p_id, greatest(a.vs, coalesce(b.vs, a.vs)) AS vs,
+  least(a.vs, coalesce(b.vs, a.vs)) + {HOUR} AS ve
+FROM (SELECT * FROM ({POINTS}) WHERE event_type = 'view') a
+LEFT JOIN (SELECT * FROM ({POINTS}) WHERE event_type = 'purchase') b ON a.user_id = b.user_id AND abs(a.vs - b.vs) < {HOUR}""",
+)
+def stream_interval_join_outer(t):
+    """Left rows without a partner come out once the watermark has passed their reach."""
+
+    def build(s):
+        # the closing row must pass both inputs for both watermarks to move
+        last = F.col("vs") >= FAR
+        v = s.where((F.col("event_type") == "view") | last).select("user_id", "vs", F.col("event_id").alias("v_id"))
+        p = s.where((F.col("event_type") == "purchase") | last).select("user_id", "vs", F.col("event_id").alias("p_id"))
+        return SW.interval_join(v, p, "user_id", HOUR, "1 hour", how="leftOuter")
+
+    return streamed(t, t.points(), build)
+
+
+@query(
+    "stream_two_outputs",
+    f"""SELECT 'purchase' AS part, event_id, vs, ve FROM ({POINTS}) WHERE event_type = 'purchase'
+UNION ALL SELECT 'dear', event_id, vs, ve FROM ({POINTS}) WHERE cents > 5000""",
+)
+def stream_two_outputs(t):
+    """Two consumers of one stream; the second attaches after the first has finished and still sees all of it."""
+    path, schema = feed(t, t.points())
+    box = QueryContainer(t.spark)
+    s = box.register_input("in", path, schema)
+    box.register_output("first", s.where("event_type = 'purchase'").select("event_id", "vs", "ve"))
+    box.run()
+    box.register_output("second", s.where("cents > 5000").select("event_id", "vs", "ve"))
+    box.run()
+    first = box.result("first").withColumn("part", F.lit("purchase"))
+    return first.unionByName(box.result("second").withColumn("part", F.lit("dear")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.time import snap_left, snap_right
+from ..functions.time import INF, snap_left, snap_right
 
 
 def _marked(df: DataFrame, time, delay: str, name="_at") -> DataFrame:
@@ -68,14 +68,27 @@ def interval_join(left: DataFrame, right: DataFrame, on: str, duration: int, del
     """
     a = _marked(left.withColumnRenamed("vs", "l_vs"), F.col("l_vs"), delay, "_l")
     b = _marked(right.withColumnRenamed("vs", "r_vs").withColumnRenamed(on, "_on"), F.col("r_vs"), delay, "_r")
-    near = F.expr(f"INTERVAL '{duration - 1}' MICROSECOND") if duration < 1_000_000 else None
-    if near is None:
-        whole, rest = divmod(duration - 1, 1_000_000)
-        near = F.expr(f"make_dt_interval(0, 0, 0, {whole}.{rest:06d})")
+    whole, rest = divmod(duration - 1, 1_000_000)
+    near = F.expr(f"INTERVAL '{whole}.{rest:06d}' SECOND")  # a literal, from which Spark derives state limits
     cond = (F.col(on) == F.col("_on")) & (F.col("_r") >= F.col("_l") - near) & (F.col("_r") <= F.col("_l") + near)
     out = a.join(b, cond, how)
-    vs = F.greatest("l_vs", "r_vs")
+    vs = F.greatest("l_vs", "r_vs")  # greatest and least skip the null of an unmatched row
     keep = [c for c in a.columns if c not in ("l_vs", "_l")] + [
         c for c in b.columns if c not in ("r_vs", "_r", "_on")
     ]
     return out.select(vs.alias("vs"), (F.least("l_vs", "r_vs") + duration).alias("ve"), *keep)
+
+
+def evolving_state(df: DataFrame, keys, delay: str) -> DataFrame:
+    """How the number of active rows per key changes: net change per instant, for rows with `vs` and `ve`.
+
+    The state at a time is the sum of the changes up to it; a consumer adds them up as they arrive.
+    """
+    edges = F.array(
+        F.struct(F.col("vs").alias("t"), F.lit(1).cast("long").alias("w")),
+        F.struct(F.col("ve").alias("t"), F.lit(-1).cast("long").alias("w")),
+    )
+    rows = df.select(*keys, F.explode(edges).alias("_e")).where(F.col("_e.t") < INF)
+    rows = _marked(rows, F.col("_e.t"), delay)
+    out = rows.groupBy("_at", *keys).agg(F.sum("_e.w").alias("change")).where("change <> 0")
+    return out.select(*keys, F.unix_micros("_at").alias("vs"), "change")
