@@ -24,7 +24,8 @@ def feed(t, frame, parts=2):
     pieces = [df.where(F.col("vs").between(a, b - 1)) for a, b in zip(bounds, bounds[1:], strict=False)]
     last = t.spark.range(1).select(
         *[
-            (F.lit(FAR if c in ("vs", "ve") else None)).cast(df.schema[c].dataType).alias(c)
+            # keys must not be null: joins drop null keys before the watermark sees the row
+            (F.lit(FAR) if c in ("vs", "ve") else F.lit(-1)).cast(df.schema[c].dataType).alias(c)
             for c in df.columns
         ]
     )
