@@ -50,7 +50,7 @@ class Cuts:
             total = self._rows.agg(F.count(F.lit(1)).alias("n")).scalar()
             step = F.greatest(F.lit(1), F.floor(total / F.lit(SAMPLE_TARGET))).cast("long")
             picked = self._rows.where(F.pmod(F.xxhash64(*self._keys, "_t"), step) == 0)
-            shares = F.array(*[F.lit(i / self.count) for i in range(1, self.count)])
+            shares = F.expr(f"array({', '.join(f'{i / self.count!r}D' for i in range(1, self.count))})")
             points = F.transform(F.percentile("_t", shares), lambda x: x.cast("long"))
             self._column = picked.agg(points.alias("p")).scalar()
         return self._column
