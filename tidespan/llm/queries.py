@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, packing, simhash
-from .base import table
+from . import exact_dedup, packing, quality, simhash, toxicity
+from .base import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels outside the held-out third."""
+    held_out = toxicity.remainder("doc_id", 3) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -51,3 +60,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, TOKENIZER, packing.Capacity(tokens=2048), with_ids=False)
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels outside the held-out fifth."""
+    held_out = quality.remainder("doc_id", 5) == 0
+    stats = settle(quality.measured(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    model = quality.fit(stats, table(spark, sf_dir, "labels").where(~held_out))
+    return quality.score(stats, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
