@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, packing, quality, simhash, toxicity
+from . import exact_dedup, mixing, packing, quality, simhash, toxicity
 from .base import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_mixing", mixing.sample_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic, raked weight, sampling probability and draw of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    out = mixing.mark(docs)
+    places = [F.round(c, 9).alias(c) for c in ("probability", "weight")]
+    return out.select("doc_id", "topic", "tokens", *places, "kept")
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labels outside the held-out third."""
