@@ -19,7 +19,7 @@ from .base import replacing, settle, whole
 BLANKS = " \t\n\x0b\x0c\r"
 BLOCK_BITS = 32_768
 BITS_PER_ROW = 16
-MOST_BLOCKS = 16_384
+MOST_BLOCKS = 16_384  # a power of two
 PROBES = 4
 
 
@@ -42,7 +42,7 @@ def _hashed(docs: DataFrame, text: str, blocks: int) -> DataFrame:
         docs.select(F.struct("*").alias("row"))
         .withColumn("text", F.col("row").getField(text))
         .withColumn("_hash", h)
-        .select("row", F.pmod("_hash", F.lit(blocks)).cast("int").alias("block"), F.array(*places).alias("places"))
+        .select("row", F.col("_hash").bitwiseAND(blocks - 1).cast("int").alias("block"), F.array(*places).alias("places"))
     )
 
 
@@ -88,7 +88,9 @@ def _parts(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
         ).alias("rank"),
     )
     best = rest.groupBy("digest").agg(F.min("rank").alias("best"), F.count("*").alias("size"))
-    return alone, rest.join(best, "digest")
+    best = settle(best).withColumnRenamed("digest", "group")  # read from a table, so a hot group can be split in the join
+    # null-safe, although digests are never null: else the digests of all rows are computed to test them for null
+    return alone, rest.join(best, F.col("digest").eqNullSafe(F.col("group")))
 
 
 def mark_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

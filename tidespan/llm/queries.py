@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, packing, quality, simhash, toxicity
+from . import exact_dedup, mixing, packing, pii, quality, simhash, toxicity
 from .base import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "topic", "tokens", *places, "kept")
 
 
+@query("op2_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms of every document."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.col("spans.kind")
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    base, terms = pii.spelled("spans"), pii.spelled("terms")
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(base, 256).alias("base_sha256"),
+        F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(terms, F.lit(""))).alias("spans"),
+        F.size("terms").cast("long").alias("n_terms"),
+    )
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labels outside the held-out third."""

@@ -124,7 +124,7 @@ def links(prints: DataFrame, radius: int = RADIUS, file_rows: int = FILE_ROWS) -
     ]
     files = prints.select("print_", F.explode(F.array(*filed)).alias("file")).select("print_", "file.m", "file.v")
     sizes = files.groupBy("m", "v").agg(F.count("*").alias("n")).where("n >= 2")
-    sizes = sizes.select("m", "v", F.ceil(F.col("n") / file_rows).cast("int").alias("parts"))
+    sizes = settle(sizes.select("m", "v", F.ceil(F.col("n") / file_rows).cast("int").alias("parts")))
     mine = F.pmod(F.xxhash64("print_"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = (
@@ -164,18 +164,20 @@ def links(prints: DataFrame, radius: int = RADIUS, file_rows: int = FILE_ROWS) -
 def components(edges: DataFrame) -> DataFrame:
     """Of every node of the edges (a, b) the smallest node it is connected to: (node, root).
 
-    Alternating large-star and small-star steps; each round is written, so lineage stays short. Only minima are
-    aggregated: the neighbours of a node are never gathered in one place.
+    Alternating large-star and small-star steps; each step is written, so lineage stays short. Only minima are
+    aggregated, the neighbours of a node are never gathered in one place, and as both sides of every join are read from
+    tables, Spark can split the rows of a hot node.
     """
     ordered = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = settle(ordered.distinct())
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = settle(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a != b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = settle(large)
+        low = settle(large.groupBy("a").agg(F.min("b").alias("m")))
         moved = F.array(F.struct(F.col("b").alias("a"), "m"), F.struct("a", "m"))
         small = large.join(low, "a").select(F.explode(moved).alias("e"))
         edges = settle(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b")).where("a != b").distinct())
@@ -202,9 +204,10 @@ def near_copies(
     named = classes.join(roots, F.col("print_") == F.col("node"), "left").select(
         "print_", "first", F.coalesce("root", "print_").alias("root")
     )
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(smallest, "root").join(degree, "print_", "left")
-    return rows.join(named.select("print_", "component_id", "n"), "print_").select(
+    named = settle(named)
+    smallest = settle(named.groupBy("root").agg(F.min("first").alias("component_id")))
+    named = named.join(smallest, "root").join(settle(degree), "print_", "left")
+    return rows.join(settle(named.select("print_", "component_id", "n")), "print_").select(
         key,
         F.lower(F.lpad(F.hex("print_"), 16, "0")).alias("fingerprint"),
         "component_id",
