@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, packing, pii, quality, simhash, toxicity
+from . import exact_dedup, mixing, packing, pii, quality, simhash, toxicity, warc
 from .base import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = settle(quality.measured(table(spark, sf_dir, "documents").select("doc_id", "text")))
     model = quality.fit(stats, table(spark, sf_dir, "labels").where(~held_out))
     return quality.score(stats, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op10_warc")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from the archives."""
+    records = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), least=0, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
