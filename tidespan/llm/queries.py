@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, packing, pii, quality, simhash, toxicity, warc
+from . import chat, exact_dedup, hamming, mixing, packing, pii, quality, simhash, toxicity, warc
 from .base import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,75 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_topk_search",
+    """
+WITH e AS (SELECT vec_id, [CASE WHEN x > 0 THEN 1 ELSE 0 END for x in embedding] AS b
+           FROM embeddings WHERE len(embedding) = 64),
+p AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbour_id,
+             CAST(list_sum([CASE WHEN q.b[i] <> r.b[i] THEN 1 ELSE 0 END for i in range(1, 65)]) AS BIGINT) AS distance
+      FROM e q JOIN e r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, neighbour_id, distance FROM n WHERE rank <= 10""",
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of all sign codes, for every vector whose id is divisible by 20."""
+    codes = table(spark, sf_dir, "embeddings").select("vec_id", hamming.sign_code("embedding").alias("code"))
+    return hamming.nearest(codes, codes.where("vec_id % 20 = 0"), k=10)
+
+
+#: What the tools that op4 derives from user turns accept.
+TOOLS = {
+    "search": {
+        "type": "object",
+        "required": ["query", "limit"],
+        "properties": {"query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "maximum": 20}},
+        "additionalProperties": False,
+    },
+    "lookup": {
+        "type": "object",
+        "required": ["key"],
+        "properties": {"key": {"type": "string", "pattern": "^[0-9a-f]{32}$"}, "exact": {"type": "boolean"}},
+    },
+    "shorten": {
+        "type": "object",
+        "required": ["text", "words"],
+        "properties": {"text": {"type": "string", "maxLength": 2000}, "words": {"type": "number", "minimum": 1}},
+    },
+}
+
+
+def tool_log(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results as the turns of conversations imply them.
+
+    A user turn calls one of three tools, chosen by its length, with its text as argument, and builds on the call two
+    turns before; an assistant turn is the result of the call one turn before.
+    """
+    size = F.length("text")
+    id_ = lambda back: F.concat_ws("-", F.lit("call"), "conv_id", F.col("turn") - back)
+    search = F.to_json(F.struct((size % 24).alias("limit"), F.col("text").alias("query")))
+    lookup = F.to_json(F.struct(F.md5(F.col("text").cast("binary")).alias("key"), (size % 2 == 0).alias("exact")))
+    shorten = F.to_json(F.struct("text", (size / 16).alias("words")))
+    kind = size % 3
+    calls = turns.where("role = 'user'").select(
+        "conv_id",
+        "turn",
+        id_(0).alias("call_id"),
+        F.when(kind == 0, "search").when(kind == 1, "lookup").otherwise("shorten").alias("name"),
+        F.when(kind == 0, search).when(kind == 1, lookup).otherwise(shorten).alias("arguments"),
+        F.when(F.col("turn") >= 2, F.array(id_(2))).otherwise(F.array().cast("array<string>")).alias("refers"),
+    )
+    results = turns.where("role = 'assistant'").select("conv_id", "turn", id_(1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+@query("op4_chat_formatting")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tool calls that all conversations imply, linked, ordered and checked."""
+    calls, results = tool_log(table(spark, sf_dir, "conversations"))
+    return chat.link(calls, results, TOOLS)
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labels outside the held-out third."""
