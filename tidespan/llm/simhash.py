@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import replacing, settle
+from .base import replacing, settle, whole
 
 WORDS = 3
 RADIUS = 2
@@ -56,15 +56,18 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS) -> DataFrame:
-    """The key and the signed 64-bit `print_` of every row."""
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, print_ bigint"
+    """Of every row the `key`, a `hash` of its text, and the signed 64-bit `print_`."""
+    schema = f"key {docs.schema[key].dataType.simpleString()}, hash bigint, print_ bigint"
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = np.array([fingerprint(t.as_py() or "", words) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64))], names=[key, "print_"])
+            prints = np.array([fingerprint(t.as_py(), words) for t in b.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(prints.view(np.int64))], names=["key", "hash", "print_"]
+            )
 
-    return docs.select(key, F.col(text).alias("_text")).mapInArrow(hashed, schema)
+    body = whole(text)
+    return docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("hash"), body.alias("text")).mapInArrow(hashed, schema)
 
 
 def _masks(radius: int) -> list[int]:
@@ -187,6 +190,22 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _joined(docs: DataFrame, text: str, key: str, words: int, radius: int) -> DataFrame:
+    """Of every row `key`, `hash`, `print_`, the smallest key `first` of its component, and its links `n`."""
+    rows = settle(fingerprints(docs, text, key, words))
+    classes = settle(rows.groupBy("print_").agg(F.min("key").alias("first")))
+    found = settle(links(classes.select("print_"), radius))
+    roots = components(found)
+    degree = found.select(F.explode(F.array("a", "b")).alias("print_")).groupBy("print_").agg(F.count("*").alias("n"))
+    named = classes.join(roots, F.col("print_") == F.col("node"), "left").select(
+        "print_", "first", F.coalesce("root", "print_").alias("root")
+    )
+    named = settle(named)
+    smallest = settle(named.groupBy("root").agg(F.min("first").alias("first")))
+    named = named.select("print_", "root").join(smallest, "root").join(settle(degree), "print_", "left")
+    return rows.join(settle(named.select("print_", "first", "n")), "print_")
+
+
 def near_copies(
     docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, radius: int = RADIUS
 ) -> DataFrame:
@@ -196,21 +215,10 @@ def near_copies(
     a component; null only if all its keys are null. `component_links` is the number of links from the row's fingerprint
     that were kept to connect its component. Null and empty texts have fingerprint zero and are linked like others.
     """
-    rows = settle(fingerprints(docs, text, key, words))
-    classes = settle(rows.groupBy("print_").agg(F.min(key).alias("first")))
-    found = settle(links(classes.select("print_"), radius))
-    roots = components(found)
-    degree = found.select(F.explode(F.array("a", "b")).alias("print_")).groupBy("print_").agg(F.count("*").alias("n"))
-    named = classes.join(roots, F.col("print_") == F.col("node"), "left").select(
-        "print_", "first", F.coalesce("root", "print_").alias("root")
-    )
-    named = settle(named)
-    smallest = settle(named.groupBy("root").agg(F.min("first").alias("component_id")))
-    named = named.join(smallest, "root").join(settle(degree), "print_", "left")
-    return rows.join(settle(named.select("print_", "component_id", "n")), "print_").select(
-        key,
+    return _joined(docs, text, key, words, radius).select(
+        F.col("key").alias(key),
         F.lower(F.lpad(F.hex("print_"), 16, "0")).alias("fingerprint"),
-        "component_id",
+        F.col("first").alias("component_id"),
         F.coalesce("n", F.lit(0).cast("long")).alias("component_links"),
     )
 
@@ -220,10 +228,11 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows whose key is the smallest of their component, with the input's columns.
 
-    Of rows that share a key all stay or all go. A component without any key stays whole.
+    Rows that agree in key and text all stay or all go. A component without any key stays whole.
     """
-    chosen = near_copies(docs, text, key, words, radius).where(F.col(key).eqNullSafe(F.col("component_id")))
-    chosen = chosen.select(F.col(key).alias("_key")).distinct()
+    chosen = _joined(docs, text, key, words, radius).where(F.col("key").eqNullSafe(F.col("first")))
+    chosen = settle(chosen.select(F.col("key").alias("_key"), F.col("hash").alias("_hash")).distinct())
     rows = docs.select(F.struct("*").alias("row"))
-    kept = rows.join(chosen, F.col("row").getField(key).eqNullSafe(F.col("_key")), "left_semi")
-    return kept.select(*replacing("row", docs.columns))
+    same = F.col("row").getField(key).eqNullSafe(F.col("_key"))
+    same_text = F.xxhash64(F.coalesce(F.col("row").getField(text), F.lit(""))) == F.col("_hash")
+    return rows.join(chosen, same & same_text, "left_semi").select(*replacing("row", docs.columns))
