@@ -32,22 +32,26 @@ def test_symbols():
     assert len(toxicity.symbols("日本")) == 4
 
 
-def test_model_is_a_distribution(monkeypatch):
-    """With a small alphabet, the probabilities of all symbols after a context add up to one in both classes."""
+def test_models_are_distributions(monkeypatch):
+    """With a small alphabet, the probabilities of all symbols after a context add up to one."""
     monkeypatch.setattr(toxicity, "SYMBOLS", 3)
-    monkeypatch.setattr(toxicity, "ORDER", 3)
-    monkeypatch.setattr(toxicity, "STEP", 1e-3)
-    kept = []
-    monkeypatch.setattr(toxicity, "_stored", lambda r: kept.append(r) or np.zeros(len(r), np.int8))
-    logs = []
-    real = np.log
-    monkeypatch.setattr(toxicity.np, "log", lambda x: logs.append(np.array(x)) or real(x))
-    keys = np.arange(27)
     rng = np.random.default_rng(0)
-    toxicity.kneser_ney(keys, rng.integers(1, 9, 27).astype(float), rng.integers(1, 9, 27).astype(float))
-    monkeypatch.undo()
-    for probabilities in (logs[1], logs[3]):
-        assert np.allclose(probabilities.reshape(9, 3).sum(axis=1), 1)
+    keys = np.sort(rng.choice(3**5, 90, replace=False))
+    shared = toxicity._continuations(keys, 1, 2, np.full((1, 3), 1 / 3))
+    lower = toxicity._continuations(keys[::2], 3, 4, shared)
+    assert shared.shape == (3, 3) and lower.shape == (27, 3)
+    assert np.allclose(shared.sum(axis=1), 1) and np.allclose(lower.sum(axis=1), 1) and lower.min() > 0
+    counts = np.zeros(3**5)
+    counts[keys] = rng.integers(1, 9, len(keys))
+    full = toxicity._mixed(counts.reshape(-1, 3), toxicity._repeated(lower, 81))
+    assert np.allclose(full.sum(axis=1), 1) and full.min() > 0
+    blocks = toxicity.kneser_ney(keys, counts[keys], np.where(np.arange(len(keys)) % 2, 0, counts[keys]))
+    other = toxicity._continuations(keys[::2], 3, 4, shared)
+    halved = counts.copy()
+    halved[keys[1::2]] = 0
+    less = toxicity._mixed(halved.reshape(-1, 3), toxicity._repeated(other, 81))
+    first = toxicity._mixed(counts.reshape(-1, 3), toxicity._repeated(toxicity._continuations(keys, 3, 4, shared), 81))
+    assert (blocks == toxicity._stored(np.log(first) - np.log(less)).reshape(-1)).all()
 
 
 def test_windows_across_chunks(monkeypatch):

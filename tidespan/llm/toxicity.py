@@ -2,15 +2,16 @@
 
 Texts become strings of 28 symbols: a boundary, a to z without accents, and one for all digits; letters of other
 scripts are mapped onto the 26. For each class, toxic and ordinary, the symbol 5-grams of the labelled training texts
-are counted. A class model discounts its own counts and backs off to one distribution that both share, built from
-continuation counts over both, so expressions that a class has hardly seen weigh nearly the same under either model.
+are counted. A class model discounts its counts and backs off to shorter contexts, and from contexts of one symbol to
+one distribution that both classes share: it is built from the continuation counts of all texts, labelled or not, so
+expressions that a class has hardly seen weigh nearly the same under either model.
 
 A text is scored by the log-likelihood ratio per symbol, in a sliding window: an insult of one word must not be diluted
 by thousands of ordinary ones. The highest window and the mean over the text, as a logistic function fitted on training
 rows whose grams were not counted, give the probability.
 
 The tables have one cell for each possible gram, 28**5 bytes (17 MB), at any corpus size; that bounds the broadcast.
-What is counted grows with the labelled rows.
+The labels that a model learns from are a bounded sample, at most `SAMPLE` rows, so texts need no shuffle to meet them.
 """
 
 from __future__ import annotations
@@ -26,14 +27,18 @@ from .base import process_state, replacing, settle
 
 SYMBOLS = 28
 ORDER = 5
+#: Up to this order the distributions are shared by the classes.
+SHARED = 2
 GRAMS = SYMBOLS**ORDER
-DISCOUNT = 0.75
+DISCOUNT = 0.9
 WINDOWS = (6, 12)
 #: Log ratios are stored as small integers of this many nats.
 STEP = 1 / 12
 #: Symbols that are worked on at a time.
 CHUNK = 1 << 20
 THRESHOLD = 0.7
+#: Labelled rows whose grams are counted, and labelled rows that fit the logistic function.
+SAMPLE, CALIBRATION_ROWS = 200_000, 20_000
 #: One in so many training rows fits the logistic function instead of being counted.
 CALIBRATION = 4
 
@@ -110,32 +115,45 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _mixed(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Discounted counts by context (row) and symbol (column), with the mass left over spread like `lower`."""
+    totals, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mixed = np.maximum(counts - DISCOUNT, 0) / totals + DISCOUNT * kinds / totals * lower
+    return np.where(totals > 0, mixed, lower)
+
+
+def _repeated(lower: np.ndarray, contexts: int) -> np.ndarray:
+    """The distributions of shorter contexts, for each of the contexts that end in them."""
+    return np.tile(lower, (contexts // len(lower), 1))
+
+
+def _continuations(keys: np.ndarray, lowest: int, highest: int, lower: np.ndarray) -> np.ndarray:
+    """The distribution of the order `highest`, from how many symbols were seen before each shorter gram."""
+    for order in range(lowest, highest + 1):
+        before = np.unique(keys % SYMBOLS ** (order + 1)) % SYMBOLS**order
+        counts = np.bincount(before, minlength=SYMBOLS**order).reshape(-1, SYMBOLS).astype(np.float64)
+        lower = _mixed(counts, _repeated(lower, len(counts)))
+    return lower
+
+
 def kneser_ney(keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """Log ratios of all grams from the counts of the grams seen (keys in rising order)."""
-    shared = np.full(SYMBOLS, 1 / SYMBOLS)  # the distribution of the order below, by context and symbol
-    for order in range(1, ORDER):
-        # how many different symbols were seen before each gram of this order
-        below = keys % SYMBOLS ** (order + 1)
-        below = np.unique(below) % SYMBOLS**order
-        types = np.bincount(below, minlength=SYMBOLS**order).reshape(-1, SYMBOLS).astype(np.float64)
-        totals, kinds = types.sum(axis=1, keepdims=True), (types > 0).sum(axis=1, keepdims=True)
-        lower = np.tile(shared.reshape(-1, SYMBOLS), (types.shape[0] // (shared.size // SYMBOLS), 1))
-        with np.errstate(invalid="ignore", divide="ignore"):
-            mixed = np.maximum(types - DISCOUNT, 0) / totals + DISCOUNT * kinds / totals * lower
-        shared = np.where(totals > 0, mixed, lower)
-    contexts = SYMBOLS ** (ORDER - 1)
-    back = shared.reshape(-1)  # by the last ORDER - 1 symbols
-    context = keys // SYMBOLS
-    logs = []
-    for counts in (toxic, ordinary):
-        total = np.bincount(context, weights=counts, minlength=contexts)
-        kinds = np.bincount(context, weights=counts > 0, minlength=contexts)
-        weight = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-        own = np.maximum(counts - DISCOUNT, 0) / np.maximum(total[context], 1)
-        logs.append((np.log(weight), np.log(own + weight[context] * back[keys % contexts])))
-    # an unseen gram has only the backed-off part, whose ratio is that of the weights
-    out = np.repeat(_stored(logs[0][0] - logs[1][0]), SYMBOLS)
-    out[keys] = _stored(logs[0][1] - logs[1][1])
+    """Log ratios of all grams, from the grams seen (keys in rising order) and their counts in either class.
+
+    A gram may have no count: it was seen in a text without a label and serves the shared distribution only.
+    """
+    shared = _continuations(keys, 1, SHARED, np.full((1, SYMBOLS), 1 / SYMBOLS))
+    lower = [_continuations(keys[c > 0], SHARED + 1, ORDER - 1, shared) for c in (toxic, ordinary)]
+    out = np.empty(SYMBOLS**ORDER, np.int8)
+    contexts = SYMBOLS ** (ORDER - 2)  # those that begin with one symbol
+    for first in range(SYMBOLS):
+        lo, hi = np.searchsorted(keys, [first * contexts * SYMBOLS, (first + 1) * contexts * SYMBOLS])
+        logs = []
+        for counts, below in zip((toxic, ordinary), lower, strict=True):
+            own = np.zeros(contexts * SYMBOLS)
+            own[keys[lo:hi] % (contexts * SYMBOLS)] = counts[lo:hi]
+            logs.append(np.log(_mixed(own.reshape(-1, SYMBOLS), _repeated(below, contexts))))
+        out[first * contexts * SYMBOLS : (first + 1) * contexts * SYMBOLS] = _stored(logs[0] - logs[1]).reshape(-1)
     return out
 
 
@@ -172,32 +190,47 @@ def _fold(key: str):
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the grams of (text, label) rows: one row (gram, toxic, ordinary) for each gram of the partition."""
+    """The grams of (text, label) rows, of the whole partition: (gram, toxic, ordinary); without a label both are 0."""
+    present = np.zeros(GRAMS, bool)
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     waiting, size = [], 0
 
     def merged(keys, counts):
-        new, first = np.unique(np.concatenate(waiting), return_counts=True)
+        new, often = np.unique(np.concatenate(waiting), return_counts=True)
         both, place = np.unique(np.concatenate([keys, new]), return_inverse=True)
-        return both, np.bincount(place, np.concatenate([counts, first]), len(both)).astype(np.int64)
+        return both, np.bincount(place, np.concatenate([counts, often]), len(both)).astype(np.int64)
 
     for b in batches:
         for text, label in zip(b.column(0), b.column(1).to_pylist(), strict=True):
             found = symbols(text.as_py() or "")
             for at in range(0, len(found) - 1, CHUNK):
                 lead = max(0, at - ORDER + 2)
-                part = grams(found[lead : at + CHUNK + 1])[at - lead :].astype(np.int64)
-                waiting.append(2 * part + (label == 1))
-                size += len(part)
+                part = grams(found[lead : at + CHUNK + 1])[at - lead :]
+                present[part] = True
+                if label is not None:
+                    waiting.append(2 * part.astype(np.int64) + (label == 1))
+                    size += len(part)
             if size > 2 * CHUNK:
                 keys, counts = merged(keys, counts)
                 waiting, size = [], 0
     if waiting:
         keys, counts = merged(keys, counts)
-    seen, place = np.unique(keys // 2, return_inverse=True)
+    seen = np.flatnonzero(present)
+    place = np.searchsorted(seen, keys // 2)
     toxic = np.bincount(place, counts * (keys % 2), len(seen)).astype(np.int64)
     ordinary = np.bincount(place, counts * (1 - keys % 2), len(seen)).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(toxic), pa.array(ordinary)], names=["gram", "toxic", "ordinary"])
+    columns = [pa.array(seen), pa.array(toxic), pa.array(ordinary)]
+    yield pa.RecordBatch.from_arrays(columns, names=["gram", "toxic", "ordinary"])
+
+
+def _sampled(known: DataFrame, rows: int) -> DataFrame:
+    """The distinct (key, label) rows, of more than `rows` a part by the hashes of their keys, fewer than `rows`."""
+    known = settle(known.distinct())
+    total = known.count()
+    if total <= rows:
+        return known
+    span = 1 << 30
+    return known.where(F.pmod(F.xxhash64("_key", F.lit("sample")), F.lit(span)) < int(0.9 * rows / total * span))
 
 
 def fit(
@@ -206,18 +239,22 @@ def fit(
     text: str = "text",
     key: str = "doc_id",
     label: str = "toxic",
-    calibration_rows: int = 20_000,
+    sample: int = SAMPLE,
+    calibration_rows: int = CALIBRATION_ROWS,
 ) -> Model:
-    """Models of both classes from the labelled rows; rows with a null key or label are left out.
+    """Models of both classes from the labelled rows, and their shared distribution from all rows.
 
-    One in `CALIBRATION` labelled rows is not counted; of these at most `calibration_rows`, those with the smallest
-    hashes of their keys, fit the logistic function. All others are counted.
+    Label rows with a null key or label are left out, repeated ones count once. One in `CALIBRATION` fits the logistic
+    function, at most `calibration_rows` of them; the others are counted, at most `sample`. Both bounds are kept by
+    sampling label rows, so what is broadcast is bounded.
     """
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).dropna()
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    taught = known.where(_fold("_key") != 0)
-    rows = texts.join(taught, "_key").select("_text", "_label")
+    taught = F.broadcast(_sampled(known.where(_fold("_key") != 0), sample))
+    picked = F.broadcast(_sampled(known.where(_fold("_key") == 0), calibration_rows))
+
+    rows = texts.join(taught, "_key", "left").select("_text", "_label")
     counts = rows.mapInArrow(_counted, "gram bigint, toxic bigint, ordinary bigint")
     total = counts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()
     seen = total.column("gram").to_numpy()
@@ -226,12 +263,11 @@ def fit(
     model = Model(kneser_ney(seen[order].astype(np.int64), *columns))
 
     shared = spark.sparkContext.broadcast(vars(model).copy())
-    picked = known.where(_fold("_key") == 0).orderBy(F.xxhash64("_key"), "_key", "_label").limit(calibration_rows)
-    picked = F.broadcast(settle(picked))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(**shared.value)
         for b in batches:
-            values = [Model(**shared.value).features(t.as_py() or "") for t in b.column(0)]
+            values = [model.features(t.as_py() or "") for t in b.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, type=pa.list_(pa.float64())), b.column(1)], names=["features", "label"]
             )
