@@ -143,7 +143,16 @@ def ordered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     out = placed[0]
     for part in placed[1:]:
         out = out.unionByName(part)
-    return out
+    out = settle(out)
+    lost = fresh = settle(out.where("depth IS NULL").select(F.col("node").alias("parent")))
+    while not fresh.isEmpty():  # what builds on a circle in a later stage is lost as well
+        behind = edges.join(fresh, "parent").select("node").distinct().select(F.col("node").alias("parent"))
+        fresh = settle(behind.join(lost, "parent", "left_anti"))
+        lost = settle(lost.unionByName(fresh))
+    lost = lost.select(F.col("parent").alias("_lost"))
+    return out.join(lost, F.col("node") == F.col("_lost"), "left").select(
+        "node", "stage", F.when(F.col("_lost").isNull(), F.col("depth")).alias("depth")
+    )
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], scope: str = "conv_id") -> DataFrame:
