@@ -161,7 +161,7 @@ def _stored(ratio: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(ratio / STEP), -127, 127).astype(np.int8)
 
 
-def logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> tuple[float, ...]:
+def logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 0.5, rounds: int = 50) -> tuple[float, ...]:
     """Coefficients by Newton's method, the constant first; without both classes the share of the one there is."""
     x = np.concatenate([np.ones((len(features), 1)), features], axis=1)
     w = np.zeros(x.shape[1])
