@@ -90,21 +90,24 @@ def from_clock(t):
     return f.to_rows(doc_id="doc_id", lang="lang", recent=F.col("vs") > 1704067200000000, ve="ve")
 
 
+def batches(t):
+    """Points as arrays of at most a hundred."""
+    number = F.floor(F.col("event_id") / 100)
+    item = F.struct("event_id", "user_id", F.col("vs").alias("at"))
+    return t.points("event_id", "user_id").df.groupBy(number).agg(F.collect_list(item).alias("batch"))
+
+
 @query("from_arrays", f"SELECT event_id, user_id, vs, vs + {HOUR} AS ve FROM ({POINTS})")
 def from_arrays(t):
     """Batches of rows as arrays of structs."""
-    packed = t.points("event_id", "user_id").df.groupBy("user_id").agg(
-        F.collect_list(F.struct("event_id", "user_id", F.col("vs").alias("at"))).alias("batch")
-    )
+    packed = batches(t)
     f = ingress.from_arrays(packed, "batch", F.col("at"), F.col("at") + HOUR)
     return f.select("event_id", "user_id")
 
 
 @query("from_arrays_open", f"SELECT event_id, user_id, vs, {INF} AS ve FROM ({POINTS})")
 def from_arrays_open(t):
-    packed = t.points("event_id", "user_id").df.groupBy("user_id").agg(
-        F.collect_list(F.struct("event_id", "user_id", F.col("vs").alias("at"))).alias("batch")
-    )
+    packed = batches(t)
     return ingress.from_arrays(packed, "batch", "at").select("event_id", "user_id")
 
 

@@ -45,6 +45,10 @@ def string_index(t):
     )
 
 
+# Where the 20 characters that end at position 30, or at the end of a shorter text, begin.
+BACK = "greatest(0, least(length(text), 31) - 20)"
+
+
 def last(piece, part, base="0"):
     n = len(part)
     back = f"instr(reverse({piece}), '{part[::-1]}')"
@@ -55,19 +59,15 @@ def last(piece, part, base="0"):
     "string_last_index",
     sql(
         f"{last('text', 'on')} AS last, {last('substr(text, 1, 31)', 'on')} AS before, "
-        f"{last('substr(text, 12, 20)', 'on', '11')} AS within"
-    ).replace("FROM documents", "FROM documents WHERE length(text) > 31"),
+        f"{last(f'substr(text, {BACK} + 1, 20)', 'on', BACK)} AS within"
+    ),
 )
 def string_last_index(t):
-    return (
-        t.read("documents")
-        .where(F.length("text") > 31)
-        .select(
-            "doc_id",
-            S.last_index_of("text", "on").alias("last"),
-            S.last_index_of("text", "on", 30).alias("before"),
-            S.last_index_of("text", "on", 30, 20).alias("within"),
-        )
+    return t.read("documents").select(
+        "doc_id",
+        S.last_index_of("text", "on").alias("last"),
+        S.last_index_of("text", "on", 30).alias("before"),
+        S.last_index_of("text", "on", 30, 20).alias("within"),
     )
 
 

@@ -59,11 +59,7 @@ def test_snapshot_aggregates(spark, sliced, seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_percentiles_by_descent(spark, monkeypatch, seed):
-    """Many active values: found level by level instead of listed."""
-    from tidespan.plans import quantiles
-
-    monkeypatch.setattr(quantiles, "LISTED", 0)
+def test_percentiles(spark, seed):
     given = [(vs, ve, k, v * 37 + i % 5 if i % 7 else None) for i, (vs, ve, k, v) in enumerate(events(seed))]
     f = TemporalFrame(spark.createDataFrame(given, SCHEMA), "k")
     out = f.aggregate(d=A.percentile_discrete("v", 0.3), c=A.percentile_continuous("v", 0.5))

@@ -64,9 +64,9 @@ def test_slices_are_balanced(spark):
     assert max(sizes) <= 2 * 20000 / cuts.count + crowd
 
 
-def test_small_side_is_counted_before_broadcast(spark, monkeypatch):
+def test_small_side_is_measured_before_broadcast(spark, monkeypatch):
     from tidespan.operators import joins
 
-    monkeypatch.setattr(joins, "SMALL_ROWS", 5)
+    monkeypatch.setattr(joins, "SMALL_BYTES", 100)
     text, df = plan(spark, "broadcast_join")
     assert "ResolvedHint (strategy=broadcast)" not in df._jdf.queryExecution().analyzed().toString()

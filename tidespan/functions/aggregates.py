@@ -1,15 +1,18 @@
 """Aggregates for `TemporalFrame.aggregate`.
 
-Four families decide the physical plan:
+Families decide the physical plan:
 
-* `Additive` can be undone: per-row parts are summed, so one sweep over the edges gives all snapshots.
+* `Additive` can be undone: per-row parts are summed, so one sweep over the edges gives all snapshots. Parts that are
+  floating-point numbers are merged instead: taking an infinity or a large number away again would not give back the
+  sum of what is left.
+* `Moments` are count, mean and squared deviations of floating-point numbers, merged like those sums.
 * `Mergeable` has a state that merges (min, max, product, ...): one state per block of a segment tree.
 * `Quantile` wants values by rank: a descent through the ordered values with one sweep per level.
 * `Multiset` needs all active values of every snapshot (lists, folds): blocks hold (value, count) pairs, and the work
   grows with the number of distinct active values of all snapshots.
 
-Sums over doubles are exact only as far as double addition is; use integers or decimals where snapshots must
-add up to the last digit.
+Sums over doubles are rounded like any sum of doubles over the active rows; use integers or decimals where snapshots
+must add up to the last digit.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .time import col
 
@@ -35,6 +38,17 @@ class Additive:
     def rows(self) -> dict[str, Column]:
         return {n: guarded(c, self.conds) for n, c in self.parts.items()}
 
+    def over(self, df: DataFrame) -> Additive | Mergeable:
+        """This aggregate over the rows of `df`: merged if a part is a floating-point number."""
+        types = df.select(*[c.alias(n) for n, c in self.parts.items()]).schema
+        if not any(isinstance(f.dataType, (T.FloatType, T.DoubleType)) for f in types):
+            return self
+
+        def finish(p):
+            return self.finish({n: F.coalesce(c, F.lit(0)) for n, c in p.items()})
+
+        return Mergeable(self.parts, dict.fromkeys(self.parts, F.sum), finish, self.conds)
+
 
 @dataclass(frozen=True)
 class Mergeable:
@@ -119,39 +133,87 @@ def average_squares(x) -> Additive:
     return Additive({"s": x * x, "n": present(x)}, lambda p: ratio(p["s"], p["n"]))
 
 
-def _spread(x, sample: bool, root: bool) -> Additive:
-    """Variance family from exact decimal sums, so that retraction does not lose digits."""
-    wide = col(x).cast("decimal(19,4)")
+@dataclass(frozen=True)
+class Moments:
+    """A function of the count, the mean and the sum of squared deviations of a floating-point value."""
 
-    def finish(p):
-        n, s, q = p["n"], p["s"].cast("decimal(38,4)"), p["q"].cast("decimal(38,8)")
-        # n*q - s*s without rounding where 38 digits suffice, else in doubles
-        exact = F.try_subtract(F.try_multiply(n.cast("decimal(19,0)"), q), F.try_multiply(s, s)).cast("double")
-        wide_n, wide_s = n.cast("double"), s.cast("double")
-        rough = wide_n * q.cast("double") - wide_s * wide_s
-        spread = F.greatest(F.coalesce(exact, rough), F.lit(0.0))
-        pairs = wide_n * (wide_n - 1) if sample else wide_n * wide_n
+    value: Column
+    finish: Callable[[Column, Column, Column], Column]
+    conds: tuple = ()
+
+    def where(self, cond) -> Moments:
+        return replace(self, conds=(*self.conds, col(cond)))
+
+    def row(self) -> Column:
+        return guarded(self.value.cast("double"), self.conds)
+
+
+@dataclass(frozen=True)
+class Spread:
+    """Variance or standard deviation; how it is computed depends on the type of its value."""
+
+    value: Column
+    sample: bool
+    root: bool
+    conds: tuple = ()
+    post: Callable = same
+
+    def where(self, cond) -> Spread:
+        return replace(self, conds=(*self.conds, col(cond)))
+
+    def _result(self, spread: Column, n: Column) -> Column:
+        """From n times the sum of squared deviations."""
+        pairs = n * (n - 1) if self.sample else n * n
         var = F.when(pairs > 0, spread / pairs)
-        return F.sqrt(var) if root else var
+        return self.post(F.sqrt(var) if self.root else var)
+
+    def over(self, df: DataFrame) -> Additive | Moments:
+        """Exact decimal sums for integers and decimals of at most 19 digits, so that retraction loses nothing, and
+        merged moments for all other numbers."""
+        kind = df.select(self.value.alias("x")).schema["x"].dataType
+        if isinstance(kind, T.IntegralType):
+            digits, scale = 19, 0
+        elif isinstance(kind, T.DecimalType) and kind.precision <= 19:
+            digits, scale = kind.precision, kind.scale
+        else:
+
+            def deviations(n, mean, m2):
+                wide = n.cast("double")
+                return self._result(wide * m2, wide)
+
+            return Moments(self.value, deviations, self.conds)
+        wide = self.value.cast(f"decimal({digits},{scale})")
+        square = (wide * wide).cast(f"decimal(38,{2 * scale})")
+
+        def finish(p):
+            n, s, q = p["n"], p["s"].cast(f"decimal(38,{scale})"), p["q"].cast(f"decimal(38,{2 * scale})")
+            # n*q - s*s without rounding where 38 digits suffice, else in doubles
+            exact = F.try_subtract(F.try_multiply(n.cast("decimal(19,0)"), q), F.try_multiply(s, s)).cast("double")
+            wide_n, wide_s = n.cast("double"), s.cast("double")
+            rough = wide_n * q.cast("double") - wide_s * wide_s
+            return self._result(F.greatest(F.coalesce(exact, rough), F.lit(0.0)), wide_n)
+
+        return Additive({"s": wide, "q": square, "n": present(self.value)}, finish, self.conds)
+
 
-    square = (wide * wide).cast("decimal(38,8)")
-    return Additive({"s": wide, "q": square, "n": present(col(x))}, finish)
+def _spread(x, sample: bool, root: bool) -> Spread:
+    return Spread(col(x), sample, root)
 
 
-def variance(x) -> Additive:
+def variance(x) -> Spread:
     """Sample variance; null for fewer than two values."""
     return _spread(x, sample=True, root=False)
 
 
-def population_variance(x) -> Additive:
+def population_variance(x) -> Spread:
     return _spread(x, sample=False, root=False)
 
 
-def stddev(x) -> Additive:
+def stddev(x) -> Spread:
     return _spread(x, sample=True, root=True)
 
 
-def population_stddev(x) -> Additive:
+def population_stddev(x) -> Spread:
     return _spread(x, sample=False, root=True)
 
 
@@ -192,13 +254,13 @@ def product(x) -> Mergeable:
 
 
 def single_or_default(x) -> Mergeable:
-    """The only active value, null when there is none; more than one is an error."""
+    """The value of the only active row, null when there is none; more than one row is an error, null or not."""
 
     def finish(p):
         many = F.raise_error(F.lit("single_or_default: more than one active row"))
         return F.when(p["n"] > 1, many).otherwise(p["m"])
 
-    return Mergeable({"m": col(x), "n": present(col(x))}, {"m": F.min, "n": F.sum}, finish)
+    return Mergeable({"m": col(x), "n": F.lit(1).cast("long")}, {"m": F.min, "n": F.sum}, finish)
 
 
 def percentile_continuous(x, p: float, descending=False) -> Quantile:
@@ -287,6 +349,9 @@ def null_when_empty(agg: Additive, x) -> Additive:
 
 def wrap(agg, fn):
     """Apply `fn` to the result."""
+    if isinstance(agg, Spread):
+        outer = agg.post
+        return replace(agg, post=lambda x: fn(outer(x)))
     inner = agg.finish
     if isinstance(agg, Quantile):
         post = agg.post

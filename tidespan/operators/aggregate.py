@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.aggregates import Additive, Mergeable, Multiset, Quantile
-from ..functions.time import col
-from ..plans.quantiles import counted_segments, few_active, order_statistics
+from ..functions.aggregates import Additive, Mergeable, Moments, Multiset, Quantile, Spread
+from ..functions.time import INF, col
+from ..plans.quantiles import counted_segments, order_statistics
 from ..plans.ranks import blocks_and_lookups, look_up
-from ..plans.slices import match
+from ..plans.slices import BEFORE, SLICE, UPTO, by, local, match
 from ..plans.sweep import sweep
+from ..plans.timeline import instants
 
 
 class AggregateOps:
@@ -20,16 +21,22 @@ class AggregateOps:
         `stitch` merges equal neighbours. Nothing is reported while no row is active.
         """
         keys = self.keys
-        if self.props.tumbling:
+        if self.props.tumbling and not any(isinstance(a, Quantile) for a in aggs.values()):
+            aggs = {n: a.over(self.df) if isinstance(a, Spread) else a for n, a in aggs.items()}
             return self._with(_tumbling(self.df, keys, aggs), props=self.props, wide=True)
         self = self._ready()
+        aggs = {n: a.over(self.df) if isinstance(a, (Additive, Spread)) else a for n, a in aggs.items()}
         families = []
         additive = {n: a for n, a in aggs.items() if isinstance(a, Additive)}
         if additive:
             families.append(_swept(self.df, keys, additive, self.cuts))
         mergeable = {n: a for n, a in aggs.items() if isinstance(a, Mergeable)}
         if mergeable:
-            families.append(_merged(self.df, keys, mergeable, self.cuts))
+            plan = _running if self.props.open_ended else _merged
+            families.append(plan(self.df, keys, mergeable, self.cuts))
+        moments = {n: a for n, a in aggs.items() if isinstance(a, Moments)}
+        if moments:
+            families.append(_moments(self.df, keys, moments, self.cuts))
         for n, a in aggs.items():
             if isinstance(a, Quantile):
                 families.append(_by_rank(self.df, keys, n, a, self.cuts))
@@ -138,6 +145,13 @@ def _tumbling(df: DataFrame, keys, aggs) -> DataFrame:
             merges.append(a.finish(F.col(f"_{n}"), F.lit(1).cast("long")).alias(n))
             outs.append(F.col(n))
             continue
+        if isinstance(a, Moments):
+            v = f"_{n}"
+            inputs[v] = a.row()
+            state = (F.count(v), F.avg(v), F.var_pop(v) * F.count(v))
+            merges += [c.alias(f"{v}_{i}") for i, c in enumerate(state)]
+            outs.append(a.finish(*[F.col(f"{v}_{i}") for i in range(3)]).alias(n))
+            continue
         for p, c in a.rows().items():
             name = f"_{n}_{p}"
             inputs[name] = c
@@ -175,11 +189,74 @@ def _merged(df, keys, aggs, cuts) -> DataFrame:
     return out.select(*keys, "vs", "ve", *[_finish(n, a, F.col) for n, a in aggs.items()])
 
 
+def _running(df, keys, aggs, cuts) -> DataFrame:
+    """Open-ended rows never leave: a running merge along time, carried from slice to slice."""
+    parts = _parts(aggs)
+    merge = {f"_{n}_{p}": a.merge[p] for n, a in aggs.items() for p in a.parts}
+    rows = df.select(*keys, F.col("vs").alias("_t"), *[c.alias(p) for ps in parts.values() for p, c in ps.items()])
+    tl = instants(rows, keys, "_t", cuts, **{p: m(p) for p, m in merge.items()})
+    group = [*keys, SLICE]
+    slices = tl.groupBy(*group).agg(F.min("_t").alias("_first"), *[m(p).alias(p) for p, m in merge.items()])
+    order = Window.partitionBy(*by(keys)).orderBy(SLICE)
+    carried = slices.select(
+        *group,
+        F.lead("_first").over(order).alias("_nextfirst"),
+        *[m(p).over(order.rowsBetween(*BEFORE)).alias(p) for p, m in merge.items()],
+    )
+    # what earlier slices leave behind goes before the first row of each slice
+    before = carried.withColumn("_t", F.lit(None).cast("long"))
+    lines = tl.withColumn("_nextfirst", F.lit(None).cast("long")).unionByName(before)
+    inside = local(keys).orderBy("_t")
+    run = inside.rowsBetween(*UPTO)
+    out = lines.select(
+        *keys,
+        F.col("_t").alias("vs"),
+        F.lead("_t").over(inside).alias("_next"),
+        F.first("_nextfirst", ignorenulls=True).over(local(keys)).alias("_nextfirst"),
+        *[m(p).over(run).alias(p) for p, m in merge.items()],
+    ).where(F.col("vs").isNotNull())
+    ends = F.coalesce("_next", "_nextfirst", F.lit(INF)).alias("ve")
+    return out.select(*keys, "vs", ends, *[_finish(n, a, F.col) for n, a in aggs.items()])
+
+
+def _moments(df, keys, aggs, cuts) -> DataFrame:
+    """Counts, means and squared deviations of each block, merged for each snapshot.
+
+    A snapshot has at most one block of each level and side, so what is listed for it is short.
+    """
+    rows = df.select(*keys, "vs", "ve", *[a.row().alias(f"_{n}") for n, a in aggs.items()])
+    blocks, lookups = blocks_and_lookups(rows, keys, cuts)
+    state = {
+        n: F.struct(
+            F.count(f"_{n}").alias("n"),
+            F.avg(f"_{n}").alias("mean"),
+            (F.var_pop(f"_{n}") * F.count(f"_{n}")).alias("m2"),
+        )
+        for n in aggs
+    }
+    states = blocks.groupBy(*keys, "_lvl", "_node").agg(*[c.alias(f"_{n}") for n, c in state.items()])
+    found = look_up(lookups, states, keys).groupBy(*keys, "vs", "ve")
+    found = found.agg(*[F.array_sort(F.collect_list(f"_{n}")).alias(f"_{n}") for n in aggs])
+
+    def merged(a, b):
+        n = a["n"] + b["n"]
+        gap = b["mean"] - a["mean"]
+        mean = a["mean"] + gap * b["n"] / n
+        m2 = a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n
+        one = lambda name, c: F.when(a["n"] == 0, b[name]).when(b["n"] == 0, a[name]).otherwise(c).alias(name)
+        return F.struct(n.alias("n"), one("mean", mean), one("m2", m2))
+
+    empty = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    outs = []
+    for n, a in aggs.items():
+        total = F.aggregate(f"_{n}", empty, merged)
+        outs.append(a.finish(total["n"], total["mean"], total["m2"]).alias(n))
+    return found.select(*keys, "vs", "ve", *outs)
+
+
 def _by_rank(df, keys, name, agg, cuts) -> DataFrame:
     rows = df.select(*keys, "vs", "ve", agg.row().alias("_v"))
     segments = counted_segments(rows, keys, cuts)
-    if few_active(segments):
-        return _from_values(df, keys, name, agg, cuts)
     found = order_statistics(segments, rows, keys, cuts, agg.ranks)
     names = agg.ranks(F.lit(1))
     result = agg.post(agg.pick(F.col("_m"), {n: F.col(n) for n in names}))

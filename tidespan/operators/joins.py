@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.time import INF, MIN_T
 from ..plans.overlap import overlap_join
 from ..plans.sweep import ACTIVE, sweep
 from ..plans.timeline import instants, with_following
 
-SMALL_ROWS = 100_000
+#: Bytes of a side that may be broadcast.
+SMALL_BYTES = 32 << 20
+
+
+def byte_size(df: DataFrame) -> int:
+    """Bytes of the rows: texts and binary values by length, nested ones by their text, others 8, and 16 a row."""
+    sizes = [F.lit(16).cast("long")]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("long"))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            sizes.append(F.coalesce(F.octet_length(c.cast("string")), F.lit(0)).cast("long"))
+        else:
+            sizes.append(F.lit(8).cast("long"))
+    return df.agg(F.sum(sum(sizes[1:], sizes[0]))).first()[0] or 0
 
 
 def pairs(on, left, right) -> tuple[list[str], list[str]]:
@@ -68,17 +83,18 @@ class JoinOps:
 
         `on` names the equality columns (default: shared group keys; none means overlap alone).
         `residual(l, r)` is an extra condition, given accessors for the two sides' columns.
-        `small="left"` or `"right"` asks for a broadcast of that side; it happens only if the side is counted
-        to have at most SMALL_ROWS rows. `hint` is a Spark join hint for open-ended inputs.
+        `small="left"` or `"right"` asks for a broadcast of that side; it happens only if the side is measured
+        to have at most SMALL_BYTES bytes. `hint` is a Spark join hint for open-ended inputs.
         """
-        if small is None:
-            self, right = self._ready(), right._ready()
+        if small is not None:
+            # only the side that is measured is settled for it
+            first = self._ready() if small == "left" else right._ready()
+            if byte_size(first.df) <= SMALL_BYTES:
+                s = Sides(first, right, on) if small == "left" else Sides(self, first, on)
+                return self._join_small(s, s.residual(residual), small)
+        self, right = self._ready(), right._ready()
         s = Sides(self, right, on)
         extra = s.residual(residual)
-        if small is not None:
-            side = self.df if small == "left" else right.df
-            if side.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-                return self._join_small(s, extra, small)
         if s.lk and self.props.open_ended and right.props.open_ended:
             return self._join_open(s, extra, hint)
         return s.result(

@@ -3,8 +3,8 @@
 A percentile cannot be merged from parts, and listing the active values of each snapshot would cost the sum of all
 snapshot sizes. Instead all snapshots descend together through the ordered distinct values, sixteen ways at a time:
 a sweep counts the active values in each of the sixteen parts, the wanted rank selects one part, and the next level
-looks only into it. The cost is one sweep per level, and there are log16(number of distinct values) levels. Where few values are active at a time, listing them is cheaper; the choice
-follows from an exact count of the active values.
+looks only into it. The cost is one sweep per level, and there are log16(number of distinct values) levels. Values may
+be of any ordered type, as only their numbers are compared.
 """
 
 from __future__ import annotations
@@ -31,22 +31,12 @@ def numbered_values(rows: DataFrame) -> DataFrame:
     return distinct.select("_v", nth.cast("long").alias("_id"))
 
 
-# Mean number of active values up to which listing them is cheaper than the descent.
-LISTED = 256
-
-
 def counted_segments(rows: DataFrame, keys, cuts: Cuts) -> DataFrame:
     """Segments (keys, vs, ve) with the number `_m` of non-null active values `_v`."""
     present = F.when(F.col("_v").isNotNull(), F.lit(1).cast("long"))
     return settle(sweep(rows, keys, {"_m": present}, cuts).select(*keys, "vs", "ve", "_m"))
 
 
-def few_active(segments: DataFrame) -> bool:
-    """Whether the active values of all segments together are few, by an exact count."""
-    total, n = segments.agg(F.sum(F.col("_m").cast("decimal(38,0)")), F.count("_m")).first()
-    return total is None or total <= LISTED * n
-
-
 def order_statistics(segments: DataFrame, rows: DataFrame, keys, cuts: Cuts, ranks) -> DataFrame:
     """The segments with one column per wanted rank.
 

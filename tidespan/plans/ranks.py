@@ -70,10 +70,15 @@ def blocks_and_lookups(rows: DataFrame, keys, cuts: Cuts):
     """
     segments = settle(ranked_segments(rows, keys, cuts))
     ranked = settle(ranked_rows(rows, segments, keys))
-    span = ranked.agg(F.max(F.col("_hi") - F.col("_lo")).alias("m")).scalar()
+    # each key has as many levels as its own longest lifetime needs
+    spans = ranked.groupBy(*keys).agg(F.floor(F.log2(F.max(F.col("_hi") - F.col("_lo")))).cast("int").alias("_top"))
     blocks = with_blocks(ranked)
-    levels = F.sequence(F.lit(0), F.coalesce(F.floor(F.log2(span)).cast("int"), F.lit(0)))
-    lookups = segments.where(F.col("vs") < INF).withColumn("_lvl", F.explode(levels))
+    asked = segments.where((F.col("vs") < INF) & F.col("ve").isNotNull())
+    if keys:
+        asked = asked.alias("l").join(settle(spans).alias("r"), match("l", "r", keys)).select("l.*", "r._top")
+    else:
+        asked = asked.withColumn("_top", spans.scalar())
+    lookups = asked.withColumn("_lvl", F.explode(F.sequence(F.lit(0), F.coalesce("_top", F.lit(0))))).drop("_top")
     lookups = lookups.withColumn("_node", F.expr("shiftright(_rank, _lvl)")).drop("_rank")
     return blocks, lookups
 

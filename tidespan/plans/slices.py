@@ -4,7 +4,8 @@ A window partitioned by key alone puts every row of a key into one task. Here th
 (key, slice) instead, where slices hold about equally many rows, and a summary with at most one row per
 (key, slice) carries running values from slice to slice.
 
-Cut points are exact percentiles of a hash-selected part of the time column. The selection affects only where
+Cut points are exact percentiles of a hash-selected part of the time column, which may have any ordered type (for types
+without percentiles, of its distinct values). The selection affects only where
 the cuts lie, never which rows are processed, and it is a pure function of the data: every branch of a plan, and
 every retry, sees the same cuts. The cuts reach the plan as one scalar subquery of bounded size.
 """
@@ -13,20 +14,19 @@ from __future__ import annotations
 
 from copy import copy
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 SLICE = "_slice"
 CUTS = "_cuts"
 SAMPLE_TARGET = 20_000
-MAX_SLICES = 4096
+PICKED_PER_SLICE = 64
 
 
 def slice_count(spark: SparkSession) -> int:
     """Power of two near twice the shuffle partitions; `tidespan.slices` overrides."""
     given = spark.conf.get("tidespan.slices", None)
     wanted = int(given) if given else 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(2, min(MAX_SLICES, wanted))
-    return 1 << (wanted - 1).bit_length()
+    return 1 << (max(2, wanted) - 1).bit_length()
 
 
 class Cuts:
@@ -48,23 +48,35 @@ class Cuts:
     def column(self) -> Column:
         if self._column is None:
             total = self._rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-            step = F.greatest(F.lit(1), F.floor(total / F.lit(SAMPLE_TARGET))).cast("long")
+            target = max(SAMPLE_TARGET, PICKED_PER_SLICE * self.count)
+            step = F.greatest(F.lit(1), F.floor(total / F.lit(target))).cast("long")
             picked = self._rows.where(F.pmod(F.xxhash64(*self._keys, "_t"), step) == 0)
-            shares = F.expr(f"array({', '.join(f'{i / self.count!r}D' for i in range(1, self.count))})")
-            points = F.transform(F.percentile("_t", shares), lambda x: x.cast("long"))
+            kind = self._rows.schema["_t"].dataType
+            if isinstance(kind, (T.IntegralType, T.FloatType, T.DoubleType)):
+                shares = F.expr(f"array({', '.join(f'{i / self.count!r}D' for i in range(1, self.count))})")
+                points = F.percentile("_t", shares)
+                if isinstance(kind, T.IntegralType):
+                    points = F.transform(points, lambda x: x.cast("long"))
+            else:
+                values = F.sort_array(F.collect_set("_t"))
+                places = F.expr(f"sequence(1, {self.count - 1})")
+                points = F.transform(places, lambda i: F.get(values, F.floor(i * F.size(values) / self.count).cast("int")))
             self._column = picked.agg(points.alias("p")).scalar()
         return self._column
 
     def attach(self, df: DataFrame, time: str, name: str = SLICE) -> DataFrame:
-        """Add the slice number of `time` (number of cut points not after it, by binary search)."""
-        t = F.col(time) - F.lit(self._shift)
+        """Add the slice number of `time` (number of cut points not after it, by binary search); nulls go last."""
+        t = F.col(time) - F.lit(self._shift) if self._shift else F.col(time)
         df = df.withColumn(CUTS, self.column()).withColumn(name, F.lit(0))
         span = self.count
         while span > 1:
             # each step narrows the range to a quarter (or half); plain expressions, so it stays in generated code
             ways = 4 if span % 4 == 0 else 2
             span //= ways
-            hits = [F.coalesce(F.element_at(CUTS, F.col(name) + i * span) <= t, F.lit(False)) for i in range(1, ways)]
+            hits = [
+                t.isNull() | F.coalesce(F.element_at(CUTS, F.col(name) + i * span) <= t, F.lit(False))
+                for i in range(1, ways)
+            ]
             passed = sum((h.cast("int") for h in hits), F.lit(0))
             df = df.withColumn(name, F.col(name) + passed * F.lit(span))
         return df.drop(CUTS)

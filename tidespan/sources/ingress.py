@@ -42,7 +42,7 @@ def from_changelog(df: DataFrame, sync="sync", other="other", keys=()) -> Tempor
 
     Edges have `other = INF` for starts and `other = start time` for ends (`sync > other`); rows with
     `sync < other < INF` are intervals already. A start without an end stays open. Equal rows are a bag: with n
-    starts and m ends at times e1 <= e2 <= ..., the first m starts get those ends.
+    starts and m ends at times e1 <= e2 <= ..., the first m starts get those ends. More ends than starts fail the query.
     """
     rest = [c for c in df.columns if c not in (sync, other)]
     s, o = F.col(sync), F.col(other)
@@ -59,9 +59,15 @@ def from_changelog(df: DataFrame, sync="sync", other="other", keys=()) -> Tempor
     ends = (
         edges.where("not _whole and _end is not null").groupBy(*rest, "vs", "_end").agg(F.count("*").alias("_n"))
     )
-    closed = ends.select("vs", F.col("_end").alias("ve"), *rest, F.explode(F.expr("sequence(1L, _n)")).alias("_i"))
     total = ends.groupBy(*rest, "vs").agg(F.sum("_n").alias("_m"))
     cond = match("l", "r", [*rest, "vs"])
+    lone = F.raise_error(F.concat(F.lit("end edge without a start at "), F.col("l._end").cast("string")))
+    known = bag.alias("b").join(total.alias("t"), match("b", "t", [*rest, "vs"])).select("b.*", "t._m")
+    paired = ends.alias("l").join(known.alias("r"), cond).select(
+        "l.vs", F.when(F.col("r._m") <= F.col("r._starts"), F.col("l._end")).otherwise(lone).alias("ve"),
+        *[F.col(f"l.`{c}`") for c in rest], "l._n",
+    )
+    closed = paired.select("vs", "ve", *rest, F.explode(F.expr("sequence(1L, _n)")).alias("_i"))
     left = bag.alias("l").join(total.alias("r"), cond, "left").select("l.*", "r._m")
     left = left.withColumn("_open", F.col("_starts") - F.coalesce("_m", F.lit(0))).where("_open > 0")
     still = left.select("vs", F.lit(INF).alias("ve"), *rest, F.explode(F.expr("sequence(1L, _open)")).alias("_i"))
@@ -72,16 +78,17 @@ def from_changelog(df: DataFrame, sync="sync", other="other", keys=()) -> Tempor
 def from_sequence(df: DataFrame, order, per_tick: int = 1, keys=()) -> TemporalFrame:
     """Give timeless rows a time by position: `per_tick` rows share each tick, and rows stay open.
 
-    `order` is a unique ordering column; positions come from sliced counts, not from a global window.
+    `order` is a unique ordering column of any ordered type, a null being last; positions come from sliced counts, not
+    from a global window.
     """
     df = df.withColumn("_o", col(order))
     tl = instants(df, [], "_o", Cuts(df, [], "_o"))
     tl = carry(
         tl, [], {"_n": F.count(F.lit(1))}, lambda w: {"_base": F.sum("_n").over(w.rowsBetween(*BEFORE))}
     )
-    pos = F.row_number().over(local([]).orderBy("_o")) - 1 + F.coalesce("_base", F.lit(0))
-    tl = tl.select("_o", F.floor(pos / per_tick).cast("long").alias("vs"))
-    df = df.join(tl, "_o").drop("_o")
+    pos = F.row_number().over(local([]).orderBy(F.col("_o").asc_nulls_last())) - 1 + F.coalesce("_base", F.lit(0))
+    tl = tl.select(F.col("_o").alias("_p"), F.floor(pos / per_tick).cast("long").alias("vs"))
+    df = df.join(tl, F.col("_o").eqNullSafe(F.col("_p"))).drop("_o", "_p")
     return TemporalFrame(df.withColumn("ve", F.lit(INF)), keys, Props(open_ended=True))
 
 
