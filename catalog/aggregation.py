@@ -4,6 +4,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tidespan.functions import aggregates as A
+from tidespan.functions.time import INF, micros
+from tidespan.sources import ingress
 
 from .base import DAY, HOUR, INTERVALS, ITEMS, OPENED, POINTS, query, segments_sql
 
@@ -527,3 +529,122 @@ def collect_values(t):
 def partial_and_final_count(t):
     """Counts per map task, then summed: Spark's own partial aggregation."""
     return t.points("event_id").tumbling(DAY).count()
+
+
+# Doubles: the raw values, very small ones, large ones with small differences, and now and then an infinity.
+DOUBLES = (
+    "SELECT event_type, value, value / 1e7 AS tiny, 1e12 + value AS large, "
+    "CASE WHEN event_id % 500 = 0 THEN 'infinity'::DOUBLE ELSE value END AS wild, "
+    f"vs, ve FROM (SELECT *, epoch_us(ts) AS vs, epoch_us(ts) + (1 + event_id % 7) * {HOUR} AS ve FROM events)"
+)
+
+
+def doubles(t):
+    vs = micros("ts")
+    wild = F.when(F.col("event_id") % 500 == 0, F.lit(float("inf"))).otherwise(F.col("value"))
+    df = t.read("events").withColumns(
+        {"tiny": F.col("value") / 1e7, "large": F.lit(1e12) + F.col("value"), "wild": wild}
+    )
+    f = ingress.from_intervals(df, vs, vs + (F.lit(1) + F.pmod("event_id", F.lit(7))) * HOUR, check=False)
+    return f.select("event_type", "value", "tiny", "large", "wild")
+
+
+def near(digits):
+    return lambda x: F.round(x, digits)
+
+
+@query(
+    "sum_doubles",
+    segments_sql(
+        DOUBLES,
+        "event_type",
+        "round(sum(value), 5) AS total, round(avg(value), 6) AS mean, round(sum(value * value), 6) AS squares, "
+        "isinf(sum(wild)) AS endless, round(sum(value) FILTER (WHERE value > 50), 5) AS high",
+    ),
+)
+def sum_doubles(t):
+    """Sums of doubles, after an infinity has come and gone too."""
+    out = doubles(t).group_by("event_type").aggregate(
+        total=A.wrap(A.sum_("value"), near(5)),
+        mean=A.wrap(A.average("value"), near(6)),
+        squares=A.wrap(A.sum_squares("value"), near(6)),
+        endless=A.sum_("wild"),
+        high=A.wrap(A.null_when_empty(A.sum_("value").where(F.col("value") > 50), "value"), near(5)),
+    )
+    return out.select("total", "mean", "squares", "high", endless=F.col("endless") == float("inf"))
+
+
+@query(
+    "spread_doubles",
+    segments_sql(
+        DOUBLES,
+        "event_type",
+        "round(stddev_samp(value), 6) AS sd, abs(var_pop(tiny) * 1e14 - var_pop(value)) < 1e-6 AS small, abs(stddev_pop(large) - stddev_pop(value)) < 0.01 AS big",
+    ),
+)
+def spread_doubles(t):
+    """Variances of doubles of all magnitudes."""
+    out = doubles(t).group_by("event_type").aggregate(
+        sd=A.wrap(A.stddev("value"), near(6)),
+        small=A.wrap(A.population_variance("tiny"), lambda x: x * 1e14),
+        big=A.population_stddev("large"),
+        plain=A.population_stddev("value"),
+    )
+    small = F.abs(F.col("small") - F.col("plain") * F.col("plain")) < 1e-6
+    return out.select("sd", small=small, big=F.abs(F.col("big") - F.col("plain")) < 0.01)
+
+
+@query(
+    "spread_doubles_tumbling",
+    f"""SELECT event_type, vs, vs + {DAY} AS ve, round(stddev_samp(value), 6) AS sd FROM (
+  SELECT event_type, value, (epoch_us(ts) + {DAY} - 1) // {DAY} * {DAY} AS vs FROM events) GROUP BY event_type, vs""",
+)
+def spread_doubles_tumbling(t):
+    f = ingress.from_points(t.read("events"), micros("ts")).select("event_type", "value")
+    return f.tumbling(DAY).group_by("event_type").aggregate(sd=A.wrap(A.stddev("value"), near(6)))
+
+
+ORDERED = f"SELECT event_type, user_id, value, CAST(ts AS DATE) AS day, vs, ve FROM (SELECT *, epoch_us(ts) AS vs, epoch_us(ts) + (1 + event_id % 7) * {HOUR} AS ve FROM events)"
+
+
+@query(
+    "percentile_ordered_types",
+    segments_sql(
+        ORDERED,
+        "",
+        "quantile_disc(event_type, 0.5) AS name, quantile_disc(day, 0.5) AS day, quantile_disc(value, 0.3) AS value",
+    ),
+)
+def percentile_ordered_types(t):
+    """Discrete percentiles of texts, dates and fractions, without a key."""
+    vs = micros("ts")
+    df = t.read("events").withColumn("day", F.to_date("ts"))
+    f = ingress.from_intervals(df, vs, vs + (F.lit(1) + F.pmod("event_id", F.lit(7))) * HOUR, check=False)
+    return f.select("event_type", "value", "day").aggregate(
+        name=A.percentile_discrete("event_type", 0.5),
+        day=A.percentile_discrete("day", 0.5),
+        value=A.percentile_discrete("value", 0.3),
+    )
+
+
+@query(
+    "percentile_tumbling_text",
+    f"""SELECT vs, vs + {DAY} AS ve, count(*) AS n, quantile_disc(event_type, 0.4) AS name FROM (
+  SELECT event_type, (epoch_us(ts) + {DAY} - 1) // {DAY} * {DAY} AS vs FROM events) GROUP BY vs""",
+)
+def percentile_tumbling_text(t):
+    """Without a key, a window may hold most rows: no window's values are listed."""
+    f = ingress.from_points(t.read("events"), micros("ts")).select("event_type")
+    return f.tumbling(DAY).aggregate(n=A.count(), name=A.percentile_discrete("event_type", 0.4))
+
+
+@query(
+    "extremes_open",
+    f"""SELECT vs, coalesce(lead(vs) OVER (ORDER BY vs), {INF}) AS ve, min(lo) OVER w AS lo, max(hi) OVER w AS hi,
+  max(late) OVER w AS late FROM (
+  SELECT vs, min(cents) AS lo, max(cents) AS hi, max(event_type) AS late FROM ({OPENED}) GROUP BY vs)
+WINDOW w AS (ORDER BY vs ROWS UNBOUNDED PRECEDING)""",
+)
+def extremes_open(t):
+    """Rows that never end: extremes run along time, without a key."""
+    return t.opened().aggregate(lo=A.min_("cents"), hi=A.max_("cents"), late=A.max_("event_type"))

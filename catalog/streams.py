@@ -6,7 +6,7 @@ from tidespan.functions import automaton as P
 from tidespan.sources.scratch import scratch_dir
 from tidespan.streaming import stateful as ST
 from tidespan.streaming import windows as SW
-from tidespan.streaming.runner import QueryContainer, replay
+from tidespan.streaming.runner import REPLAY_FILES, QueryContainer, replay
 
 from .base import DAY, HOUR, INTERVALS, POINTS, query, segments_sql
 from .patterns import FIRST, RUNS, note
@@ -34,10 +34,10 @@ def feed(t, frame, parts=2):
 
 
 def streamed(t, frame, build, parts=2):
-    """Run `build(stream)` over the replayed frame, file by file, and read back what it wrote."""
+    """Run `build(stream)` over the replayed frame, part by part, and read back what it wrote."""
     path, schema = feed(t, frame, parts)
     box = QueryContainer(t.spark)
-    box.register_output("out", build(box.register_input("in", path, schema, files_per_trigger=1)))
+    box.register_output("out", build(box.register_input("in", path, schema, files_per_trigger=REPLAY_FILES)))
     box.run()
     out = box.result("out")
     return out.where(F.col("vs") < FAR)
@@ -175,7 +175,7 @@ def stream_restart(t):
 
     def run():
         box = QueryContainer(t.spark, home)
-        s = box.register_input("in", path, df.schema, files_per_trigger=1)
+        s = box.register_input("in", path, df.schema, files_per_trigger=REPLAY_FILES)
         box.register_output("out", SW.tumbling_windows(s, ["event_type"], DAY, "1 hour", n=F.count("*")))
         box.run()
         return box
@@ -186,6 +186,22 @@ def stream_restart(t):
     return run().result("out").where(F.col("vs") < FAR)
 
 
+WIDE = "event_id + 9007199254740993"  # beyond what a double holds exactly
+
+
+@query(
+    "stream_signal_wide",
+    f"""SELECT * FROM (SELECT user_id, event_id, vs, lead(vs) OVER (PARTITION BY user_id ORDER BY vs) AS ve,
+  CASE WHEN event_id % 3 > 0 THEN {WIDE} END AS wide FROM ({POINTS})) WHERE ve IS NOT NULL""",
+)
+def stream_signal_wide(t):
+    """Integers beyond 2**53, some of them null, keep all their digits."""
+    wide = F.expr(f"CASE WHEN event_id % 3 > 0 THEN {WIDE} END")
+    f = t.points("user_id", "event_id").select("user_id", "event_id", wide=wide)
+    out = streamed(t, f, lambda s: ST.stream_signal(s, ["user_id"], "1 hour"))
+    return out.where(F.col("ve") < FAR)
+
+
 @query("stream_passive_replay", f"SELECT event_id, user_id, vs, ve FROM ({POINTS})")
 def stream_passive_replay(t):
     """A stream written out as it came."""

@@ -205,3 +205,75 @@ def test_argument_checks(frame):
         f.progressive_quantize(10, 10, 3)
     with pytest.raises(ValueError):
         f.followed_by_immediate(F.lit(True), F.lit(True), 1, lambda l, r: {})
+
+
+SPANS = "vs long, ve long, v double"
+
+
+def test_an_infinity_passes(frame):
+    out = frame([(0, 10, float("inf")), (5, 30, 1.0)], SPANS).aggregate(s=A.sum_("v"), m=A.average("v"), q=A.sum_squares("v"))
+    inf = float("inf")
+    assert rows(out, "vs", "ve", "s", "m", "q") == [(0, 5, inf, inf, inf), (5, 10, inf, inf, inf), (10, 30, 1.0, 1.0, 1.0)]
+
+
+def test_a_large_number_passes(frame):
+    out = frame([(0, 10, 1e17), (5, 30, 1.0)], SPANS).aggregate(s=A.sum_("v"))
+    assert rows(out, "vs", "s") == [(0, 1e17), (5, 1e17 + 1.0), (10, 1.0)]
+
+
+@pytest.mark.parametrize("size", [1e-5, 1.0, 1e16])
+@pytest.mark.parametrize("tumbled", [False, True])
+def test_spreads_of_any_size(frame, size, tumbled):
+    given = frame([(1, 2, size), (1, 2, 3 * size)], SPANS)
+    f = given.tumbling(10) if tumbled else given
+    out = f.aggregate(sd=A.stddev("v"), var=A.variance("v"), psd=A.population_stddev("v"), pv=A.population_variance("v"))
+    ((sd, var, psd, pv),) = rows(out, "sd", "var", "psd", "pv")
+    assert (sd, var, psd, pv) == pytest.approx((2**0.5 * size, 2 * size**2, size, size**2), rel=1e-9)
+
+
+def test_spread_of_few_values(frame):
+    f = frame([(0, 9, 5.0), (3, 6, None), (4, 5, 7.0)], SPANS)
+    out = f.aggregate(sd=A.stddev("v"), psd=A.population_stddev("v"))
+    assert rows(out, "vs", "sd", "psd")[2] == (4, pytest.approx(2**0.5), 1.0)
+    assert [(r[0], r[1] is None, r[2]) for r in rows(out, "vs", "sd", "psd") if r[0] != 4] == [(0, True, 0.0), (3, True, 0.0), (5, True, 0.0), (6, True, 0.0)]
+
+
+def test_exact_spread_of_integers(frame):
+    f = frame([(0, 9, 2**40), (0, 9, 2**40 + 2)], "vs long, ve long, v long")
+    assert rows(f.aggregate(var=A.population_variance("v")), "var") == [(1.0,)]
+
+
+def test_single_or_default_counts_rows(frame):
+    f = frame([(0, 9, 7.0), (3, 6, None)], SPANS)
+    with pytest.raises(Exception, match="more than one active row"):
+        f.aggregate(x=A.single_or_default("v")).df.collect()
+    assert rows(f.aggregate(x=A.skip_nulls(A.single_or_default("v"), "v")), "x") == [(7.0,)] * 3
+
+
+def test_a_lone_end_edge_fails(spark):
+    edges = spark.createDataFrame([(20, 5)], "sync long, other long")
+    with pytest.raises(Exception, match="without a start"):
+        ingress.from_changelog(edges).df.collect()
+    more = spark.createDataFrame([(5, INF), (20, 5), (21, 5)], "sync long, other long")
+    with pytest.raises(Exception, match="without a start"):
+        ingress.from_changelog(more).df.collect()
+
+
+@pytest.mark.parametrize("kind,values", [("string", ["b", None, "a"]), ("int", [2, None, 1]), ("double", [0.2, None, 0.1])])
+def test_sequence_of_any_ordered_type(spark, kind, values):
+    out = ingress.from_sequence(spark.createDataFrame([(v,) for v in values], f"o {kind}"), "o")
+    assert [(r.vs, r.o) for r in out.df.orderBy("vs").collect()] == [(0, values[2]), (1, values[0]), (2, None)]
+
+
+def test_arrays_with_text_ties(frame):
+    f = frame([(1, 2, "b"), (1, 2, "a"), (1, 2, "c"), (0, 1, "z")], "vs long, ve long, t string")
+    out = f.to_arrays(3, tie="t").orderBy("chunk").collect()
+    assert [[x["t"] for x in r["items"]] for r in out] == [["z", "a", "b"], ["c"]]
+
+
+def test_running_extremes_without_end(frame):
+    f = frame([(1, INF, 5.0), (1, INF, 4.0), (3, INF, 9.0), (7, INF, 1.0)], SPANS).declare(open_ended=True)
+    out = f.aggregate(lo=A.min_("v"), hi=A.max_("v"), s=A.sum_("v"), p=A.product("v"))
+    assert rows(out, "vs", "ve", "lo", "hi", "s", "p") == [
+        (1, 3, 4.0, 5.0, 9.0, 20.0), (3, 7, 4.0, 9.0, 18.0, 180.0), (7, INF, 1.0, 9.0, 19.0, 180.0),
+    ]

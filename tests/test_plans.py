@@ -70,3 +70,69 @@ def test_small_side_is_measured_before_broadcast(spark, monkeypatch):
     monkeypatch.setattr(joins, "SMALL_BYTES", 100)
     text, df = plan(spark, "broadcast_join")
     assert "ResolvedHint (strategy=broadcast)" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_slices_are_balanced_on_fractions_and_texts(spark):
+    from pyspark.sql import functions as F
+
+    from tidespan.plans.slices import Cuts
+
+    df = spark.range(20000).select(F.rand(1).alias("x"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    for column in ("x", "t"):
+        cuts = Cuts(df, [], column)
+        sizes = [r["count"] for r in cuts.attach(df, column).groupBy("_slice").count().collect()]
+        assert len(sizes) == cuts.count and max(sizes) <= 2 * 20000 / cuts.count
+
+
+def test_slices_follow_the_setting(spark):
+    from tidespan.plans.slices import slice_count
+
+    spark.conf.set("tidespan.slices", "20000")
+    try:
+        assert slice_count(spark) == 1 << 15
+    finally:
+        spark.conf.unset("tidespan.slices")
+
+
+def test_levels_per_key(spark):
+    """Short keys beside a long one are looked up on their own few levels."""
+    from pyspark.sql import functions as F
+
+    from tidespan.plans.ranks import blocks_and_lookups
+    from tidespan.plans.slices import Cuts
+
+    hot = spark.range(1024).select(F.lit(-1).cast("long").alias("k"), F.col("id").alias("vs"), F.lit(5000).cast("long").alias("ve"))
+    cold = spark.range(500).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("vs"), F.lit(2).cast("long").alias("ve"))
+    df = hot.unionByName(cold)
+    _, lookups = blocks_and_lookups(df, ["k"], Cuts(df, ["k"], "vs"))
+    assert lookups.where("k >= 0").count() == 500
+
+
+def test_anti_join_has_no_copies_outside_the_right_side(spark):
+    """A left row is filed for the gaps between right rows only; before and after them it needs no bucket."""
+    from pyspark.sql import functions as F
+
+    from tidespan import INF, TemporalFrame
+
+    left = spark.range(2000).select(F.col("id").alias("vs"), F.lit(INF).alias("ve"), "id")
+    right = spark.createDataFrame([(100, 110), (105, 120)], "vs long, ve long")
+    out = TemporalFrame(left).where_not_exists(TemporalFrame(right))
+    assert out.df.count() == 2000 + 100  # rows that begin before 100 live before and after, others once
+    assert out.df.where("vs < 120 AND ve > 100").isEmpty()
+
+
+def test_stream_inspection(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidespan.streaming.runner import QueryContainer, replay
+
+    rows = spark.range(10).select(F.col("id").alias("vs"), (F.col("id") + 1).alias("ve"))
+    replay(str(tmp_path / "in"), rows)
+    box = QueryContainer(spark, str(tmp_path / "home"))
+    stream = box.register_input("in", str(tmp_path / "in"), rows.schema)
+    box.register_output("out", stream.withColumn("at", F.timestamp_micros("vs")).withWatermark("at", "1 second").drop("at"))
+    box.run()
+    assert box.progress("out")["input_rows"] in (0, 10) and box.result("out").count() == 10
+    assert "FileScan" in box.plan("out") or "StreamingRelation" in box.plan("out") or "Scan" in box.plan("out")
+    box.run()  # nothing new: the input is what the output waits for
+    assert box.waiting_inputs() == ["out"]

@@ -8,6 +8,7 @@ from ..functions.time import INF, MIN_T
 from ..plans.overlap import overlap_join
 from ..plans.sweep import ACTIVE, sweep
 from ..plans.timeline import instants, with_following
+from ..sources.scratch import settle
 
 #: Bytes of a side that may be broadcast.
 SMALL_BYTES = 32 << 20
@@ -131,12 +132,16 @@ class JoinOps:
         out = self.join(right, on, residual)
         return out._with(out.df.select(*keep))
 
+    def _idle(self, bounded=False) -> DataFrame:
+        """Per key, the maximal periods without any active row after the first start; if bounded, before the last end."""
+        seg = sweep(self.df, self.keys, {}, self.cuts, keep_idle=True).where(F.col(ACTIVE) == 0)
+        return (seg.where(F.col("ve") < INF) if bounded else seg).select(*self.keys, "vs", "ve")
+
     def coverage_gaps(self):
         """Per key, the maximal periods without any active row, from the start of time to its end."""
         self = self._ready()
         keys = self.keys
-        seg = sweep(self.df, keys, {}, self.cuts, keep_idle=True)
-        inner = seg.where(F.col(ACTIVE) == 0).select(*keys, "vs", "ve")
+        inner = self._idle()
         first = self.df.groupBy(*keys).agg(F.min("vs").alias("ve"))
         head = first.where(F.col("ve") > MIN_T).select(*keys, F.lit(MIN_T).cast("long").alias("vs"), "ve")
         return self._with(inner.unionByName(head), wide=True)
@@ -154,26 +159,36 @@ class JoinOps:
             return self.where_not_exists(hits, on=cols)
         self, right = self._ready(), right._ready()
         s = Sides(self, right, on)
-        cover = right._with(
-            right.df.select("vs", "ve", *[F.col(b).alias("_k%d" % i) for i, b in enumerate(s.rk)]),
-            keys=["_k%d" % i for i in range(len(s.rk))],
+        ks = ["_k%d" % i for i in range(len(s.rk))]
+        renamed = [F.col(f"`{b}`").alias(k) for b, k in zip(s.rk, ks, strict=True)]
+        cover = right._with(right.df.select("vs", "ve", *renamed), keys=ks)
+        cols = ["vs", "ve", *[c for c in self.df.columns if c not in ("vs", "ve")]]
+        # what lies before the first or after the last right row of its key, or has none, needs that row's bounds only
+        bounds = cover.df.groupBy(*ks).agg(F.min("vs").alias("_first"), F.max("ve").alias("_last"))
+        if ks:
+            cond = F.lit(True)
+            for a, k in zip(s.lk, ks, strict=True):
+                cond = cond & F.col(f"l.`{a}`").eqNullSafe(F.col(f"r.`{k}`"))
+            bounded = self.df.alias("l").join(settle(bounds).alias("r"), cond, "left").select("l.*", "r._first", "r._last")
+        else:
+            bounded = self.df.withColumns({c: bounds.select(c).scalar() for c in ("_first", "_last")})
+        piece = lambda lo, hi: F.struct(lo.alias("_a"), hi.alias("_z"))
+        vs, ve, first, last = (F.col(c) for c in ("vs", "ve", "_first", "_last"))
+        outside = F.array(
+            F.when(first.isNull(), piece(vs, ve)),
+            F.when(vs < first, piece(vs, F.least(ve, first))),
+            F.when(ve > last, piece(F.greatest(vs, last), ve)),
         )
-        gaps = prefixed(cover.coverage_gaps().settle().df, "r_")
-        gkeys = ["r__k%d" % i for i in range(len(s.rk))]
-        pieces = overlap_join(s.ldf, gaps, s.lkeys, gkeys, lprops=self.props).select(
+        free = bounded.withColumn("_p", F.explode(F.filter(outside, lambda p: p.isNotNull())))
+        free = free.withColumns({"vs": F.col("_p._a"), "ve": F.col("_p._z")}).select(*cols)
+        # inside the bounds all lifetimes are finite
+        inner = bounded.withColumns({"vs": F.greatest(vs, first), "ve": F.least(ve, last)}).where("vs < ve").select(*cols)
+        gaps = prefixed(settle(cover._idle(bounded=True)), "r_")
+        gkeys = ["r_" + k for k in ks]
+        pieces = overlap_join(prefixed(inner, "l_"), gaps, s.lkeys, gkeys).select(
             F.greatest("l_vs", "r_vs").alias("vs"), F.least("l_ve", "r_ve").alias("ve"), *s.left_cols()
         )
-        if s.lk:
-            # rows whose key never occurs on the right have no gap row
-            seen = cover.df.select(*cover.keys).distinct()
-            cond = F.lit(True)
-            for a, b in zip(s.lk, cover.keys, strict=True):
-                cond = cond & F.col(f"l.`{a}`").eqNullSafe(F.col(f"r.`{b}`"))
-            free = self.df.alias("l").join(seen.alias("r"), cond, "leftanti")
-        else:
-            free = self.df.where(right.df.agg(F.count(F.lit(1)).alias("n")).scalar() == 0)
-        cols = ["vs", "ve", *[c for c in self.df.columns if c not in ("vs", "ve")]]
-        return self._with(pieces.select(*cols).unionByName(free.select(*cols)), wide=True)
+        return self._with(pieces.select(*cols).unionByName(free), wide=True)
 
     def left_outer_join(self, right, on=None, residual=None):
         """Inner matches, plus the unmatched stretches of the left side with nulls on the right."""

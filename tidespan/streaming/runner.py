@@ -78,11 +78,15 @@ class QueryContainer:
         return [n for n in self.running if self.progress(n)["input_rows"] == 0]
 
 
-def replay(path: str, *parts: DataFrame) -> None:
+#: Files that `replay` makes of a part; as many for each trigger give one part, or a little more, at a time.
+REPLAY_FILES = 4
+
+
+def replay(path: str, *parts: DataFrame, files: int = REPLAY_FILES) -> None:
     """Write tables one after the other into a folder, to be read as a stream in that order.
 
-    A last part with rows far in the future moves the watermark past all data, so that every window closes;
+    Each part is dealt evenly into `files` files. A last part with rows far in the future moves the watermark past all data, so that every window closes;
     filter those rows out of the result.
     """
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)

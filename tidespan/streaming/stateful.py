@@ -12,7 +12,7 @@ from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import IntegralType, StructType, _parse_datatype_string
 
 from ..functions.automaton import Matcher
 from ..functions.time import INF
@@ -26,7 +26,11 @@ def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema:
     """
     if not keys:
         raise ValueError("a stateful stream needs at least one key")
-    rows = df.select(*keys, "vs", *columns)
+    # whole numbers travel as text: among nulls, pandas would make them doubles
+    whole = [isinstance(df.schema[c].dataType, IntegralType) for c in columns]
+    parts = [F.col(f"`{c}`").cast("string") if w else F.col(f"`{c}`") for c, w in zip(columns, whole, strict=True)]
+    names_in = [f"_{i}" for i in range(len(columns))]
+    rows = df.select(*keys, "vs", *[c.alias(n) for c, n in zip(parts, names_in, strict=True)])
     rows = rows.withColumn("_at", F.timestamp_micros("vs")).withWatermark("_at", delay)
     names = schema.names
 
@@ -34,8 +38,11 @@ def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema:
         buffered, saved = pickle.loads(state.get[0]) if state.exists else ([], None)
         run = machine(key, saved)
         for pdf in batches:
-            values = zip(*(pdf[c].astype(object).where(pdf[c].notna(), None) for c in ["vs", *columns]), strict=True)
-            buffered.extend(tuple(v) for v in values)
+            values = [pdf["vs"].tolist()]
+            for n, w in zip(names_in, whole, strict=True):
+                given = pdf[n].astype(object).where(pdf[n].notna(), None)
+                values.append([x if x is None else int(x) for x in given] if w else given.tolist())
+            buffered.extend(zip(*values, strict=True))
         limit = state.getCurrentWatermarkMs() * 1000
         buffered.sort(key=lambda v: v[0])
         out, done = [], 0
@@ -56,7 +63,7 @@ def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema:
                 state.setTimeoutTimestamp(max(min(times) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
-        yield pd.DataFrame([(*key, *o) for o in out], columns=names)
+        yield pd.DataFrame([(*key, *o) for o in out], columns=names, dtype=object)
 
     return rows.groupBy(*keys).applyInPandasWithState(
         update, schema, _parse_datatype_string("state binary"), "append", "EventTimeTimeout"
@@ -89,11 +96,15 @@ class _Detect:
         return [(vs, ve, *reg) for vs, ve, reg in found]
 
     def advance(self, t):
-        # events up to the watermark are complete
-        return self._flush() if self.events and self.time <= t else []
+        # events up to the watermark are complete, and instances that it leaves behind are over
+        out = self._flush() if self.events and self.time <= t else []
+        limit = self.matcher.max_duration
+        self.matcher.instances = [i for i in self.matcher.instances if i[2] + limit > t]
+        return out
 
     def wake(self):
-        return None
+        ends = [began + self.matcher.max_duration for _, _, began in self.matcher.instances]
+        return min(ends) if ends and min(ends) < INF else None
 
     def save(self):
         if not self.matcher.instances and not self.events:
