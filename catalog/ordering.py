@@ -229,6 +229,18 @@ def drop_late_per_partition(t):
     return Disorder(arrivals(t, 1000, 617), "arrival", latency=6 * HOUR, per="user_id").drop()
 
 
+@query(
+    "drop_late_low_watermark",
+    clock_sql(WIDE, 6 * HOUR, "user_id").replace("c AS (SELECT *,", "c AS (SELECT *, max(vs) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high,")
+    + f""" SELECT event_id, user_id, arrival, vs, ve FROM c
+WHERE vs >= greatest(now, coalesce((high - {12 * HOUR}) // {HOUR} * {HOUR}, 0))""",
+)
+def drop_late_low_watermark(t):
+    """A clock per user, but none more than twelve hours behind the latest of all, in steps of an hour."""
+    low = {"low_lag": 12 * HOUR, "low_period": HOUR}
+    return Disorder(arrivals(t, 1000, 617), "arrival", latency=6 * HOUR, per="user_id", **low).drop()
+
+
 # Properties.
 
 

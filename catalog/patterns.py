@@ -316,20 +316,21 @@ def detect_folded(t):
 @query(
     "detect_not_overlapping",
     f"""WITH RECURSIVE p AS ({RANKED}),
-m AS (SELECT a.user_id, a.rn, a.event_id, a.vs AS began, b.vs AS ended,
-        a.event_type = 'view' AS starts, b.event_type = 'view' AND b.vs < a.vs + {DAY} AS completes
-      FROM p a LEFT JOIN p b ON b.user_id = a.user_id AND b.rn = a.rn + 1),
 walk AS (
-  SELECT user_id, rn, event_id, began, ended, starts, completes, false AS busy FROM m WHERE rn = 1
+  SELECT user_id, rn, vs, CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS done, event_id AS first_id, vs AS began,
+    false AS hit, event_id AS hit_id, vs AS hit_began FROM p WHERE rn = 1
   UNION ALL
-  SELECT m.user_id, m.rn, m.event_id, m.began, m.ended, m.starts, m.completes,
-    w.starts AND NOT w.busy AND false OR (w.starts AND NOT w.busy AND w.completes AND false)
-  FROM walk w JOIN m ON m.user_id = w.user_id AND m.rn = w.rn + 1)
-SELECT user_id, event_id AS first_id, 2::BIGINT AS n, ended AS vs, began + {DAY} AS ve FROM walk WHERE starts AND completes""",
+  SELECT p.user_id, p.rn, p.vs,
+    CASE WHEN w.done = 1 AND p.vs < w.began + {DAY} THEN 2 WHEN p.event_type = 'view' THEN 1 ELSE 0 END,
+    CASE WHEN w.done = 1 AND p.vs < w.began + {DAY} THEN w.first_id ELSE p.event_id END,
+    CASE WHEN w.done = 1 AND p.vs < w.began + {DAY} THEN w.began ELSE p.vs END,
+    w.done = 2 AND p.vs < w.began + {DAY} AND p.event_type = 'view', w.first_id, w.began
+  FROM walk w JOIN p ON p.user_id = w.user_id AND p.rn = w.rn + 1)
+SELECT user_id, hit_id AS first_id, 3::BIGINT AS n, vs, hit_began + {DAY} AS ve FROM walk WHERE hit""",
 )
 def detect_not_overlapping(t):
-    """view view, one instance at a time: the second view completes and, nothing being alive, starts again."""
-    pattern = P.sequence(of("view"), of("view"))
+    """view, anything, view, one instance at a time: views inside an instance start nothing."""
+    pattern = P.sequence(of("view"), P.single(F.lit(True), note), of("view"))
     return t.points().group_by("user_id").detect(pattern, DAY, FIRST, overlapping=False)
 
 

@@ -70,6 +70,71 @@ def stream_hopping(t):
     )
 
 
+@query(
+    "stream_hopping_uneven",
+    f"""SELECT user_id, h AS vs, h + {2 * HOUR} AS ve, count(*) AS n
+FROM (SELECT user_id, unnest(range({up('vs', 2 * HOUR)}, vs + {5 * HOUR}, {2 * HOUR})) AS h FROM ({POINTS})) GROUP BY ALL""",
+)
+def stream_hopping_uneven(t):
+    """Window size not a multiple of the hop."""
+    return streamed(
+        t, t.points(), lambda s: SW.hopping_windows(s, ["user_id"], 5 * HOUR, 2 * HOUR, "1 hour", n=F.count("*"))
+    )
+
+
+@query(
+    "stream_hopping_sparse",
+    f"""SELECT user_id, {up('vs', 5 * HOUR)} AS vs, {up('vs', 5 * HOUR)} + {2 * HOUR} AS ve, count(*) AS n
+FROM ({POINTS}) WHERE vs > {up('vs', 5 * HOUR)} - {2 * HOUR} GROUP BY ALL""",
+)
+def stream_hopping_sparse(t):
+    """Hop larger than the window."""
+    return streamed(
+        t, t.points(), lambda s: SW.hopping_windows(s, ["user_id"], 2 * HOUR, 5 * HOUR, "1 hour", n=F.count("*"))
+    )
+
+
+def late_sql(latency, rest):
+    return f"""WITH a AS (SELECT event_id, user_id, vs, ve, event_id // 1000 * 1000 + event_id * 617 % 1000 AS arrival FROM ({INTERVALS})),
+c AS (SELECT *, greatest(coalesce(max(vs) OVER (PARTITION BY user_id ORDER BY arrival
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {latency}, 0), 0) AS now FROM a) {rest}"""
+
+
+def late_stream(t, policy, latency):
+    """Rows arriving in disorder, in two parts; each user has a clock."""
+    arrival = F.expr("event_id div 1000 * 1000 + event_id * 617 % 1000")
+    df = t.intervals("event_id", "user_id").df.withColumn("arrival", arrival)
+    path, half = scratch_dir(t.spark, "feed"), F.col("arrival") < 5000
+    replay(path, df.where(half), df.where(~half))
+    box = QueryContainer(t.spark)
+    stream = box.register_input("in", path, df.schema, files_per_trigger=REPLAY_FILES)
+    box.register_output("out", ST.stream_disorder(stream, ["user_id"], "arrival", policy, latency))
+    box.run()
+    return box.result("out")
+
+
+@query("stream_drop_late", late_sql(6 * HOUR, "SELECT event_id, user_id, arrival, vs, ve FROM c WHERE vs >= now"))
+def stream_drop_late(t):
+    return late_stream(t, "drop", 6 * HOUR)
+
+
+@query(
+    "stream_adjust_late",
+    late_sql(HOUR, "SELECT event_id, user_id, arrival, greatest(vs, now) AS vs, ve FROM c WHERE greatest(vs, now) < ve"),
+)
+def stream_adjust_late(t):
+    return late_stream(t, "adjust", HOUR)
+
+
+@query(
+    "stream_late_report",
+    late_sql(HOUR, """SELECT event_id, user_id, arrival, vs, ve, CASE WHEN now >= ve THEN 'dropped' ELSE 'adjusted' END AS action,
+  CASE WHEN now < ve THEN now - vs END AS delta FROM c WHERE vs < now"""),
+)
+def stream_late_report(t):
+    return late_stream(t, "report adjust", HOUR)
+
+
 @query(
     "stream_partial_windows",
     f"""SELECT event_type, h AS vs, h + {2 * HOUR} AS ve, count(*) AS n

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..frame import Props, TemporalFrame
-from ..functions.time import INF, MIN_T, col, micros
+from ..functions.time import INF, MIN_T, col, micros, snap_left
 from ..plans.slices import BEFORE, SLICE, Cuts, carry, local, match
 from ..plans.timeline import instants, with_latest
 
@@ -115,9 +115,14 @@ class Disorder:
     Time at an arrival is the largest start seen before it minus `latency` (never below the start of time); with
     `per` each partition has a clock of its own. A row whose start lies before it is late. The running maximum
     is sliced over the arrival order.
+
+    With `low_lag`, a low watermark holds for all partitions: the largest start seen before in any of them, minus that
+    lag, snapped down to a multiple of `low_period`. Clocks behind it are raised to it.
     """
 
-    def __init__(self, df: DataFrame, arrival: str, latency: int = 0, per=(), end="ve"):
+    def __init__(
+        self, df: DataFrame, arrival: str, latency: int = 0, per=(), end="ve", low_lag: int | None = None, low_period: int = 1
+    ):
         self.per = [per] if isinstance(per, str) else list(per)
         self.end = end
         self.columns = df.columns
@@ -125,6 +130,11 @@ class Disorder:
         seen = with_latest(rows, self.per, arrival, F.col("vs"), "_high", inclusive=False)
         clock = F.greatest(F.col("_high") - F.lit(latency), F.lit(MIN_T))
         self.rows = seen.drop(SLICE).withColumn("_now", F.coalesce(clock, F.lit(MIN_T)))
+        if low_lag is not None:
+            everywhere = Cuts(df, [], arrival).attach(self.rows, arrival).repartition(SLICE)
+            everywhere = with_latest(everywhere, [], arrival, F.col("vs"), "_any", inclusive=False)
+            low = snap_left(F.col("_any") - F.lit(low_lag), low_period)
+            self.rows = everywhere.withColumn("_now", F.greatest("_now", low)).drop(SLICE, "_any")
         self.late = F.col("vs") < F.col("_now")
 
     def _frame(self, df, keys):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegralType, StructType, _parse_datatype_string
 
 from ..functions.automaton import Matcher
-from ..functions.time import INF
+from ..functions.time import INF, MIN_T
 
 
 def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema: StructType) -> DataFrame:
@@ -292,3 +292,66 @@ def stream_stitch(df, keys, delay):
     """`TemporalFrame.stitch` on a stream; `keys` must be all columns that make rows equal."""
     out = _out(df, keys, "vs bigint, ve bigint")
     return release_in_order(df, keys, ["ve"], delay, lambda key, saved: _Stitch(saved), out)
+
+
+def stream_arrivals(df, per, arrival: str):
+    """Rows with `_now`, their partition's clock when they arrived: the largest start seen before.
+
+    Partitions are the values of the columns `per`. The rows of a trigger are taken by `arrival`; between triggers a
+    partition keeps one number.
+    """
+    rest = [c for c in df.columns if c not in per]
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, IntegralType)}
+    rows = df.select(*per, *[(F.col(f"`{c}`").cast("string") if c in whole else F.col(f"`{c}`")).alias(c) for c in rest])
+    schema = StructType([*[df.schema[c] for c in per], *[df.schema[c] for c in rest]]).add("_now", "long")
+
+    def update(key, batches, state):
+        clock = state.get[0] if state.exists else None
+        values = []
+        for pdf in batches:
+            columns = []
+            for c in rest:
+                given = pdf[c].astype(object).where(pdf[c].notna(), None)
+                columns.append([x if x is None else int(x) for x in given] if c in whole else given.tolist())
+            values.extend(zip(*columns, strict=True))
+        at, start = rest.index(arrival), rest.index("vs")
+        values.sort(key=lambda v: v[at])
+        out = []
+        for v in values:
+            out.append((*key, *v, clock))
+            clock = v[start] if clock is None else max(clock, v[start])
+        state.update((clock,))
+        yield pd.DataFrame(out, columns=schema.names, dtype=object)
+
+    state = _parse_datatype_string("clock bigint")
+    return rows.groupBy(*per).applyInPandasWithState(update, schema, state, "append", "NoTimeout")
+
+
+def stream_disorder(df, per, arrival: str, policy: str, latency: int = 0, end: str = "ve"):
+    """`Disorder(per=...)` on a stream: what its policy makes of rows that arrive late.
+
+    `policy` is "drop", "adjust" (late starts move to the partition's time, rows that are over by then go) or "throw",
+    which give the rows in order; or "report drop" and "report adjust", which give the late rows with their `action` and
+    `delta`.
+    """
+    rows = stream_arrivals(df, per, arrival)
+    now = F.greatest(F.coalesce(F.col("_now") - F.lit(latency), F.lit(MIN_T)), F.lit(MIN_T))
+    rows = rows.withColumn("_now", now)
+    late = F.col("vs") < F.col("_now")
+    if policy == "drop":
+        out = rows.where(~late)
+    elif policy == "adjust":
+        out = rows.withColumn("vs", F.greatest("vs", "_now")).where(F.col("vs") < F.col(end))
+    elif policy == "throw":
+        bad = F.raise_error(F.concat(F.lit("late row at "), F.col("vs").cast("string")))
+        out = rows.withColumn("vs", F.when(late, bad).otherwise(F.col("vs")))
+    elif policy in ("report drop", "report adjust"):
+        over = F.lit(policy == "report drop") | (F.col("_now") >= F.col(end))
+        return rows.where(late).select(
+            *df.columns,
+            F.when(over, "dropped").otherwise("adjusted").alias("action"),
+            F.when(~over, F.col("_now") - F.col("vs")).alias("delta"),
+        )
+    else:
+        raise ValueError(f"no policy {policy!r}")
+    return out.select(*df.columns)

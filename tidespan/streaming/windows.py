@@ -28,14 +28,16 @@ def tumbling_windows(df: DataFrame, keys, size: int, delay: str, offset=0, **agg
 
 
 def hopping_windows(df: DataFrame, keys, size: int, period: int, delay: str, offset=0, **aggs) -> DataFrame:
-    """Aggregates of the windows (T-size, T] at every hop T, reported over [T, T+period)."""
-    if size % period:
-        raise ValueError("the window size must be a multiple of the period")
-    first = snap_right("vs", period, offset)
-    hops = F.explode(F.sequence(first, first + F.lit(size - period), F.lit(period)))
-    df = _marked(df.withColumn("_hop", hops), F.col("_hop"), delay)
+    """Aggregates of the windows (T-size, T] at every hop T, reported over [T, T+period).
+
+    The size need not be a multiple of the period. Where it is smaller, rows between windows are left out, and a window
+    is reported over [T, T+size).
+    """
+    first, last = snap_right("vs", period, offset), F.col("vs") + F.lit(size - 1)
+    hops = F.when(first <= last, F.sequence(first, last, F.lit(period)))
+    df = _marked(df.withColumn("_hop", F.explode(hops)), F.col("_hop"), delay)
     out = df.groupBy("_at", *keys).agg(*[a.alias(n) for n, a in aggs.items()])
-    return _unmarked(out, keys, period, aggs)
+    return _unmarked(out, keys, min(size, period), aggs)
 
 
 def partial_windows(df: DataFrame, keys, size: int, progress: int, delay: str, **aggs) -> DataFrame:
