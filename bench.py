@@ -38,6 +38,11 @@ HEADLINE = {
     "session": "events",
     "count_by_return_flag": "lineitem",
     "maximum": "events",
+    "snapshot_general": "events",
+    "sum_doubles": "events",
+    "extremes_open": "events",
+    "percentile_continuous": "events",
+    "stream_tumbling": "events",
 }
 
 

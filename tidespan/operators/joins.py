@@ -153,10 +153,7 @@ class JoinOps:
         are matched back by equality of the whole left row.
         """
         if residual is not None:
-            cols = self.payload + self.keys
-            hits = self.join(right, on, residual)
-            hits = hits._with(hits.df.select("vs", "ve", *cols), keys=[])
-            return self.where_not_exists(hits, on=cols)
+            return self._without_hits(self.join(right, on, residual))
         self, right = self._ready(), right._ready()
         s = Sides(self, right, on)
         ks = ["_k%d" % i for i in range(len(s.rk))]
@@ -190,11 +187,20 @@ class JoinOps:
         )
         return self._with(pieces.select(*cols).unionByName(free), wide=True)
 
+    def _without_hits(self, joined):
+        """The left lifetimes without what an inner join of them has matched."""
+        cols = self.payload + self.keys
+        return self.where_not_exists(joined._with(joined.df.select("vs", "ve", *cols), keys=[]), on=cols)
+
     def left_outer_join(self, right, on=None, residual=None):
         """Inner matches, plus the unmatched stretches of the left side with nulls on the right."""
         self, right = self._ready(), right._ready()
         inner = self.join(right, on, residual)
-        alone = self.where_not_exists(right, on, residual)
+        if residual is None:
+            alone = self.where_not_exists(right, on)
+        else:
+            inner = inner.settle()  # read here and below
+            alone = self._without_hits(inner)
         return inner._with(inner.df.unionByName(_with_nulls(alone.df, inner.df)))
 
     def full_outer_join(self, right, on=None):
