@@ -1,9 +1,9 @@
 """Overlap join: pairs of rows with equal keys (or no keys) whose lifetimes overlap.
 
 Every overlapping pair is found exactly once: either the right row starts inside the left lifetime, or the left
-row starts strictly inside the right lifetime. Each half is a point-in-interval join. An interval of length d is
-filed in the one or two buckets of width 2**ceil(log2(d)) it touches; a point is filed in one bucket per width
-that occurs. The join is then an equality on (keys, width, bucket), with candidates proportional to results
+row starts strictly inside the right lifetime. Each half is a point-in-interval join. An interval is filed in the one
+or two buckets it touches of the smallest width that is a power of four and holds it; a point is filed in one bucket
+per width that occurs, at most 32. The join is then an equality on (keys, width, bucket), with candidates proportional to results
 even without keys, instead of all pairs of a key or a nested loop.
 """
 
@@ -22,7 +22,7 @@ OPEN = 62  # the class of open lifetimes: one bucket holds all of time
 
 
 def width_class(vs="vs", ve="ve") -> Column:
-    length = F.ceil(F.log2((F.col(ve) - F.col(vs)).cast("double"))).cast("int")
+    length = 2 * F.ceil(F.log2((F.col(ve) - F.col(vs)).cast("double")) / 2).cast("int")
     return F.when(F.col(ve) >= INF, F.lit(OPEN)).otherwise(length)
 
 
@@ -39,12 +39,12 @@ def file_points(df: DataFrame, t: str, widths: Column) -> DataFrame:
 
 
 def widths_of(df: DataFrame, vs: str, ve: str, props) -> Column:
-    """The interval widths that occur: known from the declared properties, or else at most 63 small integers
+    """The interval widths that occur: known from the declared properties, or else at most 32 small integers
     as a scalar subquery."""
     if props is not None and props.open_ended:
         return F.array(F.lit(OPEN))
     if props is not None and props.duration is not None:
-        return F.array(F.lit((props.duration - 1).bit_length()))
+        return F.array(F.lit(2 * -(-(props.duration - 1).bit_length() // 2)))
     return df.agg(F.sort_array(F.collect_set(width_class(vs, ve))).alias("w")).scalar()
 
 
