@@ -173,21 +173,27 @@ def components(edges: DataFrame) -> DataFrame:
     """
     ordered = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = settle(ordered.distinct())
-    state = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = settle(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
-        large = settle(large)
+        large = settle(large.where("a != b").distinct())
         low = settle(large.groupBy("a").agg(F.min("b").alias("m")))
         moved = F.array(F.struct(F.col("b").alias("a"), "m"), F.struct("a", "m"))
         small = large.join(low, "a").select(F.explode(moved).alias("e"))
         edges = settle(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b")).where("a != b").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        state = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end `a` has one edge and is no smaller end `b`: then the smaller ends are the roots."""
+    ends = F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+    )
+    nodes = edges.select(F.explode(ends).alias("e")).groupBy("e.node")
+    nodes = nodes.agg(F.sum("e.up").alias("up"), F.sum("e.down").alias("down"))
+    return nodes.where("up > 1 OR (up = 1 AND down > 0)").isEmpty()
 
 
 def _joined(docs: DataFrame, text: str, key: str, words: int, radius: int) -> DataFrame:
