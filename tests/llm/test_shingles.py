@@ -1,0 +1,83 @@
+"""Near copies by shingles: similarity against brute force, what stays, and the pipeline's two stages."""
+
+import random
+
+import corpus_pipeline
+from tidespan.llm import shingles, simhash
+
+
+def jaccard(one, two, words=5):
+    def of(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))}
+
+    return len(of(one) & of(two)) / len(of(one) | of(two))
+
+
+def corpus():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows = []
+    for n in (6, 12, 30, 100, 400, 2000):
+        for _ in range(8):
+            base = [word() for _ in range(n)]
+            rows.append(" ".join(base))
+            for share in (0.005, 0.02, 0.05, 0.2):
+                other = list(base)
+                for i in rng.sample(range(n), max(1, int(share * n))):
+                    other[i] = word()
+                rows.append("  ".join(other).upper())
+    return rows + ["one two", "", "three"]
+
+
+def test_all_similar_texts_are_found_and_no_others(spark):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    node = {r.n: r.text for r in docs.select("text", shingles.node(docs.text).alias("n")).collect()}
+    links = shingles.alike(docs, shingles.suspects(docs)).collect()
+    assert links and all(jaccard(node[r.a], node[r.b]) >= 0.8 for r in links)
+    root = list(range(len(texts)))
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for i, one in enumerate(texts):
+        for j in range(i):
+            if one and texts[j] and jaccard(one, texts[j]) >= 0.8:
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    got = shingles.drop_near_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted({top(i) for i in range(len(texts))})
+
+
+def test_what_stays(spark):
+    base = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, base + " x"), (7, base + " y"), (7, base + " y"), (3, base + " z"), (None, "alone here"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = [tuple(r) for r in shingles.drop_near_copies(docs).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [rows[3], rows[4], rows[5]]))
+    assert shingles.drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_pipeline_drops_similar_texts_and_only_those(spark):
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    far = [w if i % 40 else "changed" for i, w in enumerate(base)]
+    near = list(base)
+    near[50] = near[200] = "other"
+    texts = [" ".join(x) for x in (base, near, far)]
+    assert jaccard(texts[0], texts[1]) >= 0.8 > jaccard(texts[0], texts[2])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for name, stage in corpus_pipeline.STAGES:
+        if name.endswith("near_dedup"):
+            docs = stage(spark, docs, None)
+    assert sorted(r.doc_id for r in docs.collect()) == [0, 2]
+
+
+def test_links_of_fingerprints_are_checked(spark):
+    # repeats make the fingerprints equal, while the sets of shingles differ
+    common = "same " * 400
+    rows = [(i, common + " ".join(f"v{i}x{k}" for k in range(12))) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert simhash.drop_near_copies(docs).count() < 3 and jaccard(rows[0][1], rows[1][1]) < 0.8
+    assert corpus_pipeline.drop_near_copies(spark, docs, None).count() == 3
