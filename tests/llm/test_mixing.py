@@ -1,6 +1,7 @@
 """Mixing: raked margins, calibrated probabilities, the draw."""
 
 import hashlib
+import itertools
 import random
 
 import pytest
@@ -76,3 +77,42 @@ def test_no_rows_and_no_tokens(spark):
     assert mixing.mark(docs.limit(0)).count() == 0
     blank = docs.where("coalesce(text, '') = ''")
     assert [r.kept for r in mixing.mark(blank).collect()] == [False, False]
+
+
+def test_bounded_samples_meet_their_targets(spark):
+    tokens_ = [8249, 191, 111, 9937, 234, 174, 2008, 491, 6013, 291, 8298, 435]
+    sizes = dict(zip(itertools.product(("a", None, "c"), "xy", "pq"), tokens_, strict=True))
+    cells = spark.createDataFrame([(*k, n) for k, n in sizes.items()], "source string, lang string, topic string, n long")
+    aims = {m: mixing.tempered(cells, m, mixing.TEMPERATURES[m]) for m in mixing.MARGINS}
+
+    def worst(out):
+        out = out.collect()
+        tokens = sum(r.n * r.p for r in out)
+        shares = {(m, r[0]): r[1] for m, aim in aims.items() for r in aim.collect()}
+        return max(abs(sum(r.n * r.p for r in out if r[m] == v) / tokens - s) for (m, v), s in shares.items())
+
+    out, report = mixing.bounded(cells, aims, 0.6)
+    assert worst(out) < 1e-5 < 0.01 < worst(mixing.calibrated(mixing.raked(cells, aims), 0.6))
+    assert all(0 <= r.p <= 1 for r in out.collect()) and any(r.p == 1 for r in out.collect())
+    assert sum(r.n * r.p for r in out.collect()) == pytest.approx(0.6 * sum(sizes.values()), rel=1e-5)
+    assert all(r.reached == pytest.approx(r.target, abs=1e-5) for r in report.collect())
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 900), ("b", "x", "p", 100), ("b", "y", "p", 0)], "source string, lang string, topic string, n long")
+    half = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, share double")
+    aims = {"source": half} | {m: mixing.tempered(cells, m, 1.0) for m in ("lang", "topic")}
+    out, report = mixing.bounded(cells, aims, 0.8)
+    b = next(r for r in report.collect() if (r.margin, r.value) == ("source", "b"))
+    assert (b.target, b.reached, b.available) == pytest.approx((0.5, 0.125, 0.125))
+    assert {(r.source, r.lang): r.p for r in out.collect()}["b", "x"] == 1
+
+
+def test_bounded_marks(spark):
+    rows, docs = corpus(spark)
+    marked = mixing.mark(docs, bound=True).collect()
+    assert len(marked) == len(rows) and all(0 <= r.probability <= 1 for r in marked)
+    assert {r.margin for r in mixing.margins(docs).collect()} == set(mixing.MARGINS)
+    kept = mixing.sample(docs, bound=True)
+    assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(r.doc_id) for r in marked if r.kept)
+    assert mixing.sample(docs.limit(0), bound=True).count() == 0

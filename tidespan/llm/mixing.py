@@ -7,10 +7,17 @@ that the expected sample has the asked share of all tokens; no probability excee
 made up by the others. The draw is a hash of the key, so it is the same in every run and every retry.
 
 Only the cells, a table with a row for each combination of values, go through the rounds; each round is written.
+
+Cells that fill up pull such a sample off its targets. With `bounded` the bound is part of the raking, which then goes on
+until the margins of the sample itself are met or come no closer; the driver does this, with one row for each cell.
 """
 
 from __future__ import annotations
 
+import logging
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .base import replacing, settle
@@ -26,6 +33,8 @@ TOPICS = {"listing": r" \| ", "contact": "@", "markup": r"[&%#$*]{3}", "rights":
 TEMPERATURES = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 #: Bits of the draw.
 DRAW_BITS = 32
+#: Bounded raking ends when no share is off by more than this, or has not come closer by it within so many passes.
+TOLERANCE, PATIENCE = 1e-6, 200
 
 
 def topic(text: Column, topics: dict[str, str] = TOPICS, other: str = "prose") -> Column:
@@ -90,12 +99,93 @@ def calibrated(cells: DataFrame, fraction: float = FRACTION, scalings: int = SCA
     return out.select(*cells.columns, F.least(F.lit(1.0), F.col("r") * scale).alias("p"))
 
 
+def _filled(w: np.ndarray, n: np.ndarray, codes: np.ndarray, budget: np.ndarray) -> np.ndarray:
+    """Of each value the factor f with sum(min(n, f * w)) = budget; one that fills all its cells if they hold less."""
+    sums = lambda x: np.bincount(codes, x, len(budget))
+    full, f = np.zeros(len(n), bool), np.ones(len(budget))
+    while True:
+        rest, open_ = budget - sums(n * full), sums(np.where(full, 0.0, w))
+        np.divide(np.maximum(rest, 0), open_, out=f, where=open_ > 0)
+        more = full | ((w > 0) & (f[codes] * w >= n))
+        if (more == full).all():
+            return f
+        full = more
+
+
+def bounded(cells: DataFrame, targets: dict[str, DataFrame], fraction: float = FRACTION) -> tuple[DataFrame, DataFrame]:
+    """The cells with `w` and `p` <= 1, raked so that the sample meets the targets; and the margins that it reaches.
+
+    A cell keeps min(n, w) tokens, w being its tokens times a factor for each of its values. The factors are found in
+    turn, each with the bound in force, until every margin has its target share of the fraction of all tokens. If
+    that cannot be, those of the passes with the smallest worst miss stay. The margins are (margin, value, target,
+    reached, available), in shares of the sample asked for; available is what the value has in all.
+    """
+    table = cells.select(*targets, "n").toArrow()
+    n = np.nan_to_num(table.column("n").to_numpy().astype(np.float64))
+    asked, margins = n.sum() * fraction, {}
+    for margin, target in targets.items():
+        values = table.column(margin).to_pylist()
+        names = list(dict.fromkeys(values))
+        place = {v: i for i, v in enumerate(names)}
+        codes = np.array([place[v] for v in values], np.int64)
+        given = {r[0]: r[1] for r in target.where(F.col(margin).isin(*names) | F.col(margin).isNull()).select(margin, "share").collect()}
+        share = np.array([given.get(v) or 0.0 for v in names])
+        share[np.bincount(codes, n, len(names)) == 0] = 0
+        margins[margin] = names, codes, share / (share.sum() or 1.0)
+    w = n.copy()
+    kept, worst, best, since = n * fraction, np.inf, np.inf, 0
+    while len(n) and asked and worst > TOLERANCE and since < PATIENCE:
+        for _, codes, share in margins.values():
+            w = np.clip(w * _filled(w, n, codes, share * asked)[codes], 0, 1e150)
+            now = np.minimum(n, w)
+            off = [np.abs(np.bincount(c, now, len(s)) / asked - s).max() for _, c, s in margins.values()]
+            if max(off) < worst:
+                kept, worst = now, max(off)
+        since = 0 if worst < best - TOLERANCE else since + 1
+        best = min(best, worst) if since == 0 else best
+    spark = cells.sparkSession
+    p = np.divide(kept, n, out=np.zeros(len(n)), where=n > 0)
+    out = table.append_column("p", pa.array(np.minimum(p, 1.0))).append_column("w", pa.array(kept / fraction))
+    kinds = ", ".join(f"{m} string" for m in targets)
+    reached = []
+    for margin, (names, codes, share) in margins.items():
+        have = [np.bincount(codes, x, len(names)) / (asked or 1.0) for x in (kept, n)]
+        reached += [(margin, v, *map(float, x)) for v, *x in zip(names, share, *have, strict=True)]
+    if np.isfinite(worst) and worst > 1e-3:
+        logging.getLogger(__name__).warning(
+            "targets cannot all be met: %.1f %% of the tokens, worst share off by %.4f", 100 * kept.sum() / n.sum(), worst
+        )
+    report = "margin string, value string, target double, reached double, available double"
+    return settle(spark.createDataFrame(out, f"{kinds}, n long, p double, w double")), spark.createDataFrame(reached, report)
+
+
 def draw(key: Column, text: Column) -> Column:
     """A number from 0 to below 1 that depends on the key alone, or on the text where the key is null."""
     digest = F.md5(F.coalesce(key.cast("string"), text).cast("binary"))
     return F.conv(F.substring(digest, 1, DRAW_BITS // 4), 16, 10).cast("double") / float(1 << DRAW_BITS)
 
 
+def _rows(docs: DataFrame, text: str, key: str, source: str, lang: str) -> DataFrame:
+    names = {"source": source, "lang": lang}
+    body = F.coalesce(F.col("row").getField(text), F.lit(""))
+    return docs.select(F.struct("*").alias("row")).select(
+        "row",
+        *[F.col("row").getField(c).cast("string").alias(m) for m, c in names.items()],
+        topic(body).alias("topic"),
+        tokens(body).alias("tokens"),
+        draw(F.col("row").getField(key), body).alias("u"),
+    )
+
+
+def _aimed(
+    rows: DataFrame, targets: dict[str, DataFrame] | None, temperatures: dict[str, float] | None
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The cells of the rows, and the targets by margin."""
+    cells = settle(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("n")))
+    powers, given = TEMPERATURES | (temperatures or {}), targets or {}
+    return cells, {m: settle(given[m] if m in given else tempered(cells, m, powers[m])) for m in MARGINS}
+
+
 def weighed(
     docs: DataFrame,
     text: str = "text",
@@ -105,26 +195,18 @@ def weighed(
     targets: dict[str, DataFrame] | None = None,
     fraction: float = FRACTION,
     temperatures: dict[str, float] | None = None,
+    bound: bool = False,
 ) -> DataFrame:
     """All rows as a struct `row` with `topic`, `tokens`, the probability `p`, the weight `w` of a token, and `kept`.
 
     `targets` has, for "source", "lang" and "topic", a DataFrame (that column, `share`); without them the tempered shares
     of the data are the targets. Null sources and languages are values like any other; documents without tokens
-    follow their cell's probability, which is 0 if the cell has none. Rows that share a key share their draw.
+    follow their cell's probability, which is 0 if the cell has none. Rows that share a key share their draw. With `bound`
+    the probabilities are those of `bounded`.
     """
-    names = {"source": source, "lang": lang}
-    body = F.coalesce(F.col("row").getField(text), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row")).select(
-        "row",
-        *[F.col("row").getField(c).cast("string").alias(m) for m, c in names.items()],
-        topic(body).alias("topic"),
-        tokens(body).alias("tokens"),
-        draw(F.col("row").getField(key), body).alias("u"),
-    )
-    cells = settle(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("n")))
-    powers, given = TEMPERATURES | (temperatures or {}), targets or {}
-    aims = {m: settle(given[m] if m in given else tempered(cells, m, powers[m])) for m in MARGINS}
-    shares = settle(calibrated(raked(cells, aims), fraction))
+    rows = _rows(docs, text, key, source, lang)
+    cells, aims = _aimed(rows, targets, temperatures)
+    shares = bounded(cells, aims, fraction)[0] if bound else settle(calibrated(raked(cells, aims), fraction))
     shares = shares.select(*[F.col(m).alias("_" + m) for m in MARGINS], "p", "n", "w")
     same = [F.col(m).eqNullSafe(F.col("_" + m)) for m in MARGINS]
     joined = rows.join(shares, same[0] & same[1] & same[2])
@@ -132,6 +214,19 @@ def weighed(
     return joined.select("row", "topic", "tokens", "p", per_token.alias("w"), (F.col("u") < F.col("p")).alias("kept"))
 
 
+def margins(
+    docs: DataFrame,
+    text: str = "text",
+    source: str = "source",
+    lang: str = "lang",
+    targets: dict[str, DataFrame] | None = None,
+    fraction: float = FRACTION,
+    temperatures: dict[str, float] | None = None,
+) -> DataFrame:
+    """What a bounded sample is expected to reach: (margin, value, target, reached, available); see `bounded`."""
+    return bounded(*_aimed(_rows(docs, text, text, source, lang), targets, temperatures), fraction)[1]
+
+
 def mark(docs: DataFrame, **options) -> DataFrame:
     """Every row with `topic`, `tokens`, `probability`, `weight` and `kept`; options as of `weighed`."""
     return weighed(docs, **options).select(
