@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, hamming, mixing, packing, pii, quality, simhash, toxicity, warc
+from . import chat, exact_dedup, hamming, html_text, mixing, packing, pii, quality, resampling, simhash, spelling, toxicity, warc
 from .base import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as it is read back from the archives."""
     records = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), least=0, with_payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its form, root and number of near words."""
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op12_html_extraction")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op13_importance_resampling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document towards the benchmark's texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.mark(docs, table(spark, sf_dir, "benchmark"))
