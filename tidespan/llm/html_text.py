@@ -268,7 +268,7 @@ def main_text(page: str) -> str:
             if name in RAW:
                 end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
                 at = end.start() if end else size
-        elif mark in ("!", "?", "/") and mark:
+        elif mark in ("!", "?", "/") and mark and (mark != "/" or lt + 2 < size):
             out.text(page[at:lt])
             if page.startswith("<!--", lt):
                 short = re.compile(r"-?>").match(page, lt + 4)
