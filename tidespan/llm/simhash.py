@@ -229,19 +229,6 @@ def near_copies(
     )
 
 
-def suspects(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, radius: int = RADIUS
-) -> DataFrame:
-    """Pairs (a, b) of hashes of texts that connect texts of one fingerprint, and of linked fingerprints."""
-    rows = settle(fingerprints(docs, text, key, words).select("hash", "print_").distinct())
-    classes = settle(rows.groupBy("print_").agg(F.min("hash").alias("first")))
-    same = rows.join(classes, "print_").where("hash != first").select(F.col("first").alias("a"), F.col("hash").alias("b"))
-    found = links(classes.select("print_"), radius)
-    for end in "ab":
-        found = found.join(classes.select(F.col("print_").alias(end), F.col("first").alias("_" + end)), end)
-    return settle(same.unionByName(found.select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
-
-
 def drop_near_copies(
     docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, radius: int = RADIUS
 ) -> DataFrame:
