@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidespan.functions import automaton as P
+from tidespan.functions.time import INF
 
 from .base import DAY, HOUR, HOURLY, INTERVALS, POINTS, query
 
@@ -167,19 +168,94 @@ g AS (SELECT *, CASE WHEN lag(event_type) OVER w = event_type THEN 0 ELSE 1 END
 r AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS run FROM g)"""
 
 
-@query(
-    "detect_plus_plus",
-    RUNS
-    + f""" SELECT a.user_id, a.event_id AS first_id, CAST(b.rn - a.rn + 1 AS BIGINT) AS n, b.vs, a.vs + {3 * DAY} AS ve
+PLUS_PLUS = RUNS + f""" SELECT a.user_id, a.event_id AS first_id, CAST(b.rn - a.rn + 1 AS BIGINT) AS n, b.vs, a.vs + {3 * DAY} AS ve
 FROM r a JOIN r b ON b.user_id = a.user_id AND b.run = a.run + 1
-WHERE a.event_type = 'view' AND b.event_type = 'click' AND b.vs < a.vs + {3 * DAY}""",
-)
+WHERE a.event_type = 'view' AND b.event_type = 'click' AND b.vs < a.vs + {3 * DAY}"""
+
+
+def outer(first, last, n):
+    return {"first_id": first("event_id"), "n": n}
+
+
+@query("detect_plus_plus", PLUS_PLUS)
 def detect_plus_plus(t):
-    """view+ click+: a match at every accepting event, from every start."""
+    """view+ click+, evaluated natively: a match at every accepting event, from every start."""
+    f = t.points().group_by("user_id")
+    return f.detect_runs("event_type", [("view", "+"), ("click", "+")], 3 * DAY, outer)
+
+
+@query("detect_plus_plus_automaton", PLUS_PLUS)
+def detect_plus_plus_automaton(t):
+    """The same by the automaton."""
     pattern = P.sequence(of("view").repeated(), of("click").repeated())
     return t.points().group_by("user_id").detect(pattern, 3 * DAY, FIRST)
 
 
+@query(
+    "detect_runs_of_one_kind",
+    RUNS
+    + f""" SELECT a.user_id, a.event_id AS first_id, CAST(b.rn - a.rn + 1 AS BIGINT) AS n, b.vs, a.vs + {DAY} AS ve
+FROM r a JOIN r b ON b.user_id = a.user_id AND b.run = a.run AND b.rn >= a.rn
+WHERE a.event_type = 'view' AND b.vs < a.vs + {DAY}""",
+)
+def detect_runs_of_one_kind(t):
+    """view+, natively."""
+    return t.points().group_by("user_id").detect_runs("event_type", [("view", "+")], DAY, outer)
+
+
+@query(
+    "detect_runs_between",
+    RUNS
+    + f""", e AS (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY rn) AS nth, count(*) OVER (PARTITION BY user_id, run) AS size FROM r),
+f AS (SELECT * FROM e WHERE nth = 1)
+SELECT a.user_id, a.event_id AS first_id, CAST(c.rn - a.rn + 1 AS BIGINT) AS n, c.vs, a.vs + {3 * DAY} AS ve
+FROM e a JOIN f b ON b.user_id = a.user_id AND b.run = a.run + 1 AND a.nth = a.size JOIN f c ON c.user_id = a.user_id AND c.run = a.run + 2
+WHERE a.event_type = 'click' AND b.event_type = 'view' AND c.event_type = 'purchase' AND c.vs < a.vs + {3 * DAY}
+UNION ALL
+SELECT a.user_id, a.event_id, CAST(c.rn - a.rn + 1 AS BIGINT), c.vs, a.vs + {3 * DAY}
+FROM e a JOIN f c ON c.user_id = a.user_id AND c.rn = a.rn + 1
+WHERE a.event_type = 'click' AND c.event_type = 'purchase' AND c.vs < a.vs + {3 * DAY}""",
+)
+def detect_runs_between(t):
+    """click view* purchase, natively."""
+    steps = [("click", "1"), ("view", "*"), ("purchase", "1")]
+    return t.points().group_by("user_id").detect_runs("event_type", steps, 3 * DAY, outer)
+
+
+UNKEYED = f"SELECT *, row_number() OVER (ORDER BY vs) AS rn FROM ({POINTS})"
+OPEN_STEPS = " ".join(f"JOIN p e{i} ON e{i}.rn = e0.rn + {i} AND e{i}.event_type = '{x}'" for i, x in enumerate(STEPS) if i)
+OPEN_SEQUENCE = f"""WITH p AS ({UNKEYED})
+SELECT e0.event_id AS first_id, 3::BIGINT AS n, e2.vs, {INF} AS ve FROM p e0 {OPEN_STEPS} WHERE e0.event_type = '{STEPS[0]}'"""
+
+
+@query("detect_sequence_unbounded", OPEN_SEQUENCE)
+def detect_sequence_unbounded(t):
+    """No bound and no key: blocks of instants that read on for two more."""
+    return t.points().detect_sequence(
+        [is_type(x) for x in STEPS], INF, lambda e: {"first_id": e[0]("event_id"), "n": F.lit(3).cast("bigint")}
+    )
+
+
+@query("detect_unbounded", OPEN_SEQUENCE)
+def detect_unbounded(t):
+    """The same by the automaton, over time slices whose maps between states are composed."""
+    return t.points("event_id", "event_type").detect(P.sequence(*map(of, STEPS)), INF, FIRST)
+
+
+@query(
+    "detect_unbounded_not_overlapping",
+    f"""WITH p AS ({UNKEYED}),
+g AS (SELECT *, CASE WHEN event_type = 'view' AND lag(event_type) OVER w = 'view' THEN 0 ELSE 1 END AS fresh FROM p WINDOW w AS (ORDER BY rn)),
+r AS (SELECT *, sum(fresh) OVER (ORDER BY rn ROWS UNBOUNDED PRECEDING) AS run FROM g),
+v AS (SELECT run, min(event_id) AS any_id, arg_min(event_id, rn) AS first_id, count(*) AS views, max(rn) AS last FROM r WHERE event_type = 'view' GROUP BY ALL)
+SELECT v.first_id, v.views + 1 AS n, p.vs, {INF} AS ve FROM v JOIN p ON p.rn = v.last + 1 WHERE p.event_type = 'purchase'""",
+)
+def detect_unbounded_not_overlapping(t):
+    """view+ purchase, one instance at a time, without a bound: the history is cut where no instance is under way."""
+    pattern = P.sequence(of("view").repeated(), of("purchase"))
+    return t.points("event_id", "event_type").detect(pattern, INF, FIRST, overlapping=False)
+
+
 @query(
     "detect_star",
     f"""WITH p AS ({RANKED}),

@@ -11,8 +11,13 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from ..functions.automaton import Matcher
 from ..functions.time import INF, col
 from ..plans.ordered import scan_ordered
-from ..plans.slices import match
-from ..plans.timeline import instants, with_following, with_latest, with_neighbours
+from ..plans.runs import alternatives, matched_runs, numbered_runs
+from ..plans.slices import BEFORE, SLICE, carry, local, match
+from ..plans.timeline import instants, with_following, with_neighbours
+from ..plans.transitions import events_decide, pieces
+
+#: Instants of a key in a block of an unbounded sequence.
+BLOCK = 4096
 
 
 def _pair(left: DataFrame, right: DataFrame, keys, at: str) -> DataFrame:
@@ -78,28 +83,52 @@ class PatternOps:
         out = _chosen(_pair(rows, ends.df, inner.keys, "_next"), inner.keys, "vs", select)
         return inner._with(out, wide=True).ungroup(*names)
 
-    def _chunks(self, df: DataFrame, max_duration: int, overlapping: bool) -> DataFrame:
-        """Independent pieces of each key's history: `_chunk`, and `_own` for rows that may start a match.
+    def _slices_ahead(self, df: DataFrame, max_duration: int) -> DataFrame:
+        """Time slices with as much of the future as overlapping instances may last: `_chunk`, and `_own` for rows that
+        may start a match in it."""
+        df = df.withColumn("_reach", F.col("vs") - F.lit(max_duration - 1))
+        df = self.cuts.attach(self.cuts.attach(df, "_reach", "_lo"), "vs", "_hi")
+        df = df.withColumn("_chunk", F.explode(F.sequence(F.col("_lo").cast("long"), F.col("_hi").cast("long"))))
+        return df.withColumn("_own", F.col("_chunk") == F.col("_hi")).drop("_reach", "_lo", "_hi")
+
+    def _between_pauses(self, df: DataFrame, max_duration: int, going) -> DataFrame:
+        """Pieces of each key's history at whose beginning nothing can be under way: after a pause of `max_duration`,
+        or at an instant that no instance survives. Each slice is cut at the first such place.
 
-        Overlapping instances never outlive `max_duration`, so a time slice plus that much of the future
-        decides all matches that start in it. Otherwise the pieces end where a key pauses for `max_duration`.
+        `going` are the conditions of arcs out of states between instants; None if they are not known.
         """
         keys = self.keys
-        if max_duration >= INF:
-            return df.withColumn("_chunk", F.lit(0).cast("long")).withColumn("_own", F.lit(True))
-        if overlapping:
-            df = df.withColumn("_reach", F.col("vs") - F.lit(max_duration - 1))
-            df = self.cuts.attach(self.cuts.attach(df, "_reach", "_lo"), "vs", "_hi")
-            df = df.withColumn("_chunk", F.explode(F.sequence(F.col("_lo").cast("long"), F.col("_hi").cast("long"))))
-            return df.withColumn("_own", F.col("_chunk") == F.col("_hi")).drop("_reach", "_lo", "_hi")
-        tl = with_neighbours(instants(self.df, keys, "vs", self.cuts), keys, "vs")
+        survived = F.lit(True) if going is None else reduce(lambda a, b: a | b, going, F.lit(False))
+        lone = F.lit(True) if going is None else F.count(F.lit(1)) == 1
+        rows = self.df.select(*keys, "vs", F.coalesce(survived, F.lit(False)).alias("_on"))
+        tl = instants(rows, keys, "vs", self.cuts, _on=lone & F.bool_or("_on"))
+        tl = with_neighbours(tl, keys, "vs")
         pause = F.col("_prev").isNull() | (F.col("vs") - F.col("_prev") >= max_duration)
-        tl = with_latest(tl, keys, "vs", F.when(pause, F.col("vs")), "_chunk")
-        tl = tl.select(*keys, "vs", "_chunk")
+        tl = tl.withColumn("_cut", F.when(pause | ~F.col("_on"), F.col("vs")))
+        tl = carry(
+            tl, keys, {"_first": F.min("_cut")},
+            lambda w: {"_here": F.col("_first"), "_before": F.max("_first").over(w.rowsBetween(*BEFORE))},
+        )
+        chunk = F.when(F.col("vs") >= F.col("_here"), F.col("_here")).otherwise(F.col("_before"))
+        tl = tl.select(*keys, "vs", chunk.alias("_chunk"))
         cond = match("l", "r", [*keys, "vs"])
         df = df.alias("l").join(tl.alias("r"), cond).select("l.*", "r._chunk")
         return df.withColumn("_own", F.lit(True))
 
+    def _rank_blocks(self, df: DataFrame, steps: int) -> DataFrame:
+        """Blocks of consecutive instants of a key, each with the `steps - 1` instants that follow it."""
+        keys = self.keys
+        tl = carry(
+            self.cuts.attach(df, "vs").repartition(*keys, SLICE), keys, {"_n": F.count(F.lit(1))},
+            lambda w: {"_base": F.sum("_n").over(w.rowsBetween(*BEFORE))},
+        )
+        rank = F.row_number().over(local(keys).orderBy("vs")) - 1 + F.coalesce(F.col("_base"), F.lit(0))
+        tl = tl.withColumn("_rank", rank).drop(SLICE, "_base")
+        first = F.floor(F.greatest(F.col("_rank") - (steps - 1), F.lit(0)) / BLOCK)
+        own = F.floor(F.col("_rank") / BLOCK)
+        tl = tl.withColumn("_chunk", F.explode(F.sequence(first, own)))
+        return tl.withColumn("_own", F.col("_chunk") == own).drop("_rank")
+
     def detect(
         self, pattern, max_duration: int, schema: str, register=None, overlapping=True, deterministic=False,
         result=None,
@@ -118,12 +147,23 @@ class PatternOps:
         rows = self.df.select(
             *self.keys, "vs", *payload, *[F.coalesce(c, F.lit(False)).alias(n) for c, n in zip(conds, tests, strict=True)]
         )
-        rows = self._chunks(rows, max_duration, overlapping)
+        rows = rows.withColumn("_flags", F.array(*tests).cast("array<boolean>")).drop(*tests)
+        decided = events_decide(tables)
+        if max_duration < INF and overlapping:
+            rows = self._slices_ahead(rows, max_duration)
+        elif max_duration < INF:
+            under_way = {s for out in tables["arcs"].values() for *_, reach in out for s in reach}
+            going = {cond for s in under_way for _, cond, *_ in tables["arcs"].get(s, ())} if decided else None
+            rows = self._between_pauses(rows, max_duration, going and [conds[i] for i in sorted(going)])
+        elif decided:
+            rows = pieces(rows, self.keys, self.cuts, tables, overlapping, deterministic)
+        else:
+            rows = rows.withColumn("_chunk", F.lit(0).cast("long")).withColumn("_own", F.lit(True))
         reg_type = _parse_datatype_string(schema)
         key_fields = [f for f in self.df.schema.fields if f.name in self.keys]
         times = _parse_datatype_string("vs bigint, ve bigint")
         out = StructType([*times.fields, *key_fields, *reg_type.fields])
-        rows = rows.select(*self.keys, "_chunk", "vs", "_own", F.array(*tests).alias("_flags"), *payload)
+        rows = rows.select(*self.keys, "_chunk", "vs", "_own", "_flags", *payload)
         machine = _runner(tables, max_duration, overlapping, deterministic, len(self.keys), payload, result)
         found = scan_ordered(rows, [*self.keys, "_chunk"], ["vs"], machine, out)
         return self._with(found, wide=True)
@@ -140,7 +180,7 @@ class PatternOps:
         # one row per instant: a crowded instant can only break a match, so its rows need not be kept
         event = F.struct(*self.df.columns, *marks)
         df = self.df.groupBy(*keys, "vs").agg((F.count(F.lit(1)) == 1).alias("_lone"), F.any_value(event).alias("_e0"))
-        df = self._chunks(df, max_duration, overlapping=True)
+        df = self._slices_ahead(df, max_duration) if max_duration < INF else self._rank_blocks(df, n)
         w = Window.partitionBy(*keys, "_chunk").orderBy("vs")
         step = F.struct("_lone", "_e0")
         df = df.select("*", *[F.lead(step, i).over(w).alias(f"_s{i}") for i in range(1, n)])
@@ -158,6 +198,31 @@ class PatternOps:
         )
         return self._with(out, wide=True)
 
+    def detect_runs(self, kind, steps, max_duration: int, select):
+        """A sequence of runs of events, wholly native: as `detect` finds it, one row for each start and accepted end.
+
+        `steps` are pairs of a value of `kind` and how often it comes: "1", "+" (once or more), "?" (at most once) or "*".
+        Steps that can follow each other are of different kinds. `select(first, last, n)` maps names to results, where
+        `first` and `last` access the columns of the outer events and `n` is the number of events. Simultaneous events
+        of a key break a match.
+        """
+        self = self._ready()
+        keys = self.keys
+        event = F.struct(*self.df.columns, col(kind).alias("_kind"))
+        df = self.df.groupBy(*keys, "vs").agg((F.count(F.lit(1)) == 1).alias("_lone"), F.any_value(event).alias("_e"))
+        df = df.select(*keys, "vs", "_e", F.when(F.col("_lone"), F.col("_e._kind")).alias("_kind"))
+        rows = numbered_runs(df, keys, self.cuts, "_kind")
+        found = [matched_runs(rows, keys, one, max_duration) for one in alternatives(steps)]
+        pairs = reduce(DataFrame.unionByName, found)
+        names = select(lambda c: F.col(f"s._e.`{c}`"), lambda c: F.col(f"e._e.`{c}`"), F.col("e._rank") - F.col("s._rank") + 1)
+        out = pairs.select(
+            F.col("e.vs").alias("vs"),
+            F.least(F.col("s.vs") + F.lit(max_duration), F.lit(INF)).alias("ve"),
+            *[F.col(f"s.`{k}`").alias(k) for k in keys],
+            *[e.alias(n) for n, e in names.items()],
+        )
+        return self._with(out, wide=True)
+
 
 def _runner(tables, max_duration, overlapping, deterministic, n_keys, payload, result):
     """Groups the rows of an instant and feeds them to the automaton."""
