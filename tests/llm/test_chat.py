@@ -44,6 +44,12 @@ def test_links_and_states(spark):
     ]
     results = [(1, 1, "a", "first"), (1, 3, "a", "second"), (1, 3, "b", None), (2, 9, "zz", "lost"), (2, 9, None, "lost too"), (None, 1, "n", ""), (2, 5, "big", "y")]
     rows = linked(spark, calls, results)
+    again = [r for r in rows if r.status == "repeated"]
+    assert sorted((r.conv_id, r.call_id, r.turn, r.call is None, r.result) for r in again) == [
+        (1, "a", 3, True, '{"content":"second","id":"a"}'), (1, "a", 5, False, None),
+    ]
+    assert len(rows) == len(calls) + len(results) - sum(r.call is not None and r.result is not None for r in rows)
+    rows = [r for r in rows if r.status != "repeated"]
     got = {(r.conv_id, r.call_id): r for r in rows}
     assert len(rows) == 15 and len(got) == 14
     status = {k: r.status for k, r in got.items() if k != (2, None)}
@@ -86,6 +92,17 @@ def test_topological_order(spark, seed):
             assert all(place(r) < place(c) for r in refs[c])
 
 
+def test_every_repeated_row_is_returned(spark):
+    """Two results for one call, equal ones too, and most rows under one identifier."""
+    rows = linked(spark, [(1, 0, "x", "t", GOOD, [])] * 3, [(1, 1, "x", "one"), (1, 1, "x", "two"), (1, 1, "x", "two")] + [(1, 2, "x", str(i)) for i in range(200)])
+    linked_row = next(r for r in rows if r.status == "linked")
+    assert json.loads(linked_row.result)["content"] == "one" and linked_row.copies == 3
+    again = [r for r in rows if r.status == "repeated"]
+    assert sum(r.call is not None for r in again) == 2 and all(r.call_id == "x" and r.depth is None for r in again)
+    contents = [json.loads(r.result)["content"] for r in again if r.result is not None]
+    assert sorted(contents) == sorted(["two", "two", *map(str, range(200))])
+
+
 def test_no_rows(spark):
     assert linked(spark, [], []) == []
     assert [r.status for r in linked(spark, [], [(1, 1, "a", "x")])] == ["orphan"]

@@ -9,8 +9,9 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from tests.llm.test_dedup import components_of, slow_print
+from tests.llm.test_packing import contract_ids
 from tests.oracle import compare, connect
-from tidespan.llm import packing, queries
+from tidespan.llm import queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,7 +29,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
@@ -74,12 +75,12 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in after} <= set(before) and 0.6 < len(after) / len(before) < 0.95
 
     before, after = rows["best_fit_packing"]
-    plain, pieces, sequences = packing.open_tokenizer(queries.TOKENIZER), defaultdict(list), defaultdict(list)
+    pieces, sequences = defaultdict(list), defaultdict(list)
     for r in after:
         pieces[r.doc_id].append((r.start, bytes(r.ids)))
         sequences[r.sequence_id].append((r.offset, r.length))
     for d, t in before.items():
-        ids = plain.encode(t or "", add_special_tokens=False).ids + [0]
+        ids = contract_ids(t or "") + [0]
         assert b"".join(p for _, p in sorted(pieces[d])) == np.array(ids, "<u4").tobytes()
     for parts in sequences.values():
         parts.sort()

@@ -159,3 +159,12 @@ def _weights(x, weights):
             at += 1
         out.append(w)
     return np.array(out)
+
+
+def test_letters_outside_the_basic_plane_are_letters():
+    """An insult in mathematical letters is read like one in plain letters."""
+    plain = "You utter fool 42"
+    bold = "".join(chr(0x1D41A + ord(c) - 97) if c.islower() else chr(0x1D400 + ord(c) - 65) if c.isupper() else chr(0x1D7CE + int(c)) if c.isdigit() else c for c in plain)
+    assert toxicity.symbols(bold).tolist() == toxicity.symbols(plain).tolist()
+    assert toxicity.symbols("🙂x🙂").tolist() == toxicity.symbols(" x ").tolist()
+    assert (toxicity.symbols("𐌰𐌱") != 0).sum() == 2

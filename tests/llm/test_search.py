@@ -33,29 +33,39 @@ def codes(seed, n=300):
     return rows + [(n, None), (None, 5), rows[0], rows[0], (n + 1, 0), (n + 2, -1)]
 
 
-@pytest.mark.parametrize("k,class_block,query_block", [(1, 8192, 128), (10, 8192, 128), (7, 50, 3), (400, 64, 16)])
-def test_equals_brute_force(spark, k, class_block, query_block):
+@pytest.mark.parametrize("k,file_classes,query_block", [(10, 8192, 8192), (7, 16, 3), (400, 64, 16)])
+def test_equals_brute_force(spark, k, file_classes, query_block):
     rows = codes(k)
     df = spark.createDataFrame(rows, "vec_id long, code long")
-    out = hamming.nearest(df, df.where("vec_id % 20 = 0"), k, class_block=class_block, query_block=query_block)
+    out = hamming.nearest(df, df.where("vec_id % 20 = 0"), k, file_classes=file_classes, query_block=query_block)
     got = sorted(tuple(r) for r in out.select("query_id", "rank", "neighbour_id", "distance").collect())
     assert got == brute(rows, [r for r in rows if r[0] is not None and r[0] % 20 == 0], k)
 
 
-@pytest.mark.parametrize("n", [1, 3, 40, 5000])
-def test_search_stops_only_when_covered(n):
-    rng = np.random.default_rng(n)
-    have = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
-    counts = rng.integers(1, 3, len(have))
-    index = hamming.MultiIndex(have, counts)
-    for query in rng.integers(0, 2**63, 20, dtype=np.uint64):
-        places, distances = index.search(int(query), 10)
-        true = np.bitwise_count(have ^ query)
-        order = np.argsort(true, kind="stable")
-        held = np.cumsum(counts[order])
-        last = true[order][min(np.searchsorted(held, min(10, counts.sum())), len(have) - 1)]
-        assert sorted(places.tolist()) == np.flatnonzero(true <= last).tolist()
-        assert (true[places] == distances).all()
+def test_ties_and_clashing_columns(spark):
+    """Many classes at one distance, one segment value in most codes, and columns named like the operator's own."""
+    rows = [(i, signed((1 << 63) | (1 << i % 40) | (1 << i % 23))) for i in range(400)]
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "vec_id long, code long, query string, distance int, n int")
+    out = hamming.nearest(df, df.where("vec_id % 20 = 0"), 5, file_classes=8, query_block=4)
+    assert sorted(tuple(r) for r in out.collect()) == brute(rows, [r for r in rows if r[0] % 20 == 0], 5)
+
+
+def test_probes_follow_the_open_queries(spark, monkeypatch):
+    """Each round sends open queries only, and no row for each pair of a block of classes and a query."""
+    sent = []
+    settled = hamming._probes
+
+    def watched(open_, segments, radius):
+        sent.append((radius, open_.count(), segments))
+        return settled(open_, segments, radius)
+
+    monkeypatch.setattr(hamming, "_probes", watched)
+    rows = [(i, signed(random.Random(i // 40).getrandbits(64) ^ (1 << i % 40))) for i in range(2000)]
+    rows += [(3000 + i, signed(random.Random(-1 - i).getrandbits(64))) for i in range(0, 100, 20)]
+    df = spark.createDataFrame(rows, "vec_id long, code long")
+    assert hamming.nearest(df, df.where("vec_id % 20 = 0"), 10).count() == 105 * 10
+    opened = [n for _, n, _ in sent]
+    assert opened[0] == 105 and max(opened[1:]) < 10 and opened == sorted(opened, reverse=True)
 
 
 def test_sign_codes(spark):

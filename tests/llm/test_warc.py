@@ -49,6 +49,21 @@ def test_round_trip(spark, least):
     assert rows_of(warc.archive(pages, least=least)) == wanted(ROWS, least)
 
 
+def test_keys_and_addresses_of_any_text(spark):
+    """Texts as keys: empty, brackets, blanks, escapes, line ends; no key is not the empty key."""
+    keys = ["", "a>", "<a>", " a ", "%41", "a\r\nb", "{x", "\x85\u2028", "é日🙂", None, "%", "urn:x-page:"]
+    rows = [(k, k, f"<p>{i // 2}</p>") for i, k in enumerate(keys)]
+    out = warc.archive(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert sorted(map(repr, ((r.page_id, r.url) for r in out))) == sorted(map(repr, ((k, k) for k in keys)))
+    by = {r.page_id: r for r in out}
+    for a, b in zip(keys[::2], keys[1::2], strict=True):
+        if None not in (a, b):
+            assert by[max(a, b)].refers_to == min(a, b) and by[min(a, b)].refers_to is None
+    for page in keys:
+        back = warc.parse(warc.record(page, page, b"x", None, False))
+        assert (back.page, back.url, back.refers) == (page, page, None)
+
+
 def test_many_packages_and_stretches(spark, monkeypatch):
     monkeypatch.setattr(warc, "STRETCH_BYTES", 700)
     folder = warc.scratch_dir(spark, "warc")

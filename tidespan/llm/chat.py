@@ -155,21 +155,38 @@ def ordered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def _first(rows: DataFrame, node: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """Of every node the smallest value and the number of rows, and all other rows, equal ones as often as they occur.
+
+    Equal rows are counted before anything is joined, and both sides of the join are read from tables, so that one node
+    may hold most rows.
+    """
+    counted = settle(rows.groupBy(node, value).agg(F.count("*").alias("n")))
+    first = settle(counted.groupBy(node).agg(F.min(value).alias(value), F.sum("n").alias("copies")))
+    least = first.select(F.col(node).alias("_node"), F.col(value).alias("_least"))
+    joined = counted.join(least, F.col(node) == F.col("_node"))
+    more = F.col("n") - F.when(F.col(value).eqNullSafe(F.col("_least")), 1).otherwise(0)
+    others = joined.withColumn("_again", F.explode(F.array_repeat(F.lit(1), more.cast("int"))))
+    return first, others.select(node, value)
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], scope: str = "conv_id") -> DataFrame:
-    """Every call with its result, and every result without a call.
+    """Every call with its result, every result without a call, and every repeated row.
 
     `calls` has the scope, `turn`, `call_id`, `name`, `arguments` (JSON text) and `refers` (array of call ids);
     `results` has the scope, `turn`, `call_id` and `content`. Of several calls or results with one identifier the first
-    counts, by turn and then by content; the others are only counted. Returned are the scope, `call_id`, `turn`,
-    `stage`, `depth`, `status`, `errors`, `copies` (calls with that identifier) and the canonical JSON `call` and
-    `result`, null where there is none. Sorted by stage, depth and call_id, a conversation is in topological order.
+    is linked, by turn and then by content; each of the others is a row of its own, with the identifier that it repeats.
+    Returned are the scope, `call_id`, `turn`, `stage`, `depth`, `status`, `errors`, `copies` (calls with that
+    identifier) and the canonical JSON `call` and `result`, null where there is none. Sorted by stage, depth and call_id,
+    a conversation is in topological order. Other columns are not carried along. Null scopes are one conversation.
 
     Status, the first that fits: "orphan" (a result without a call), "unnamed" (a call without an identifier), "circular",
-    "dangling" (refers to a call that is not there), "invalid" (arguments), "open" (no result), "linked".
+    "dangling" (refers to a call that is not there), "invalid" (arguments), "open" (no result), "linked"; and "repeated" (a
+    later call or result with an identifier that has one), without stage and depth.
     """
     call = F.struct("turn", "name", "arguments", "refers", F.col(scope).alias("scope"), F.col("call_id").alias("id"))
     told = calls.select(_identity(scope, "call_id").alias("node"), call.alias("c"))
-    named = settle(told.where("node IS NOT NULL").groupBy("node").agg(F.min("c").alias("c"), F.count("*").alias("copies")))
+    named, called_again = _first(told.where("node IS NOT NULL"), "node", "c")
     unnamed = told.where("node IS NULL").select(F.lit(None).cast("string").alias("node"), "c", F.lit(1).cast("long").alias("copies"))
 
     links = named.select("node", F.explode(F.array_distinct("c.refers")).alias("ref"), "c.scope")
@@ -182,15 +199,18 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], scope:
     answer = F.struct("turn", "content", F.col(scope).alias("scope"), F.col("call_id").alias("id"))
     given = results.select(_identity(scope, "call_id").alias("answered"), answer.alias("r"))
     nameless = given.where("answered IS NULL")
-    given = settle(given.where("answered IS NOT NULL").groupBy("answered").agg(F.min("r").alias("r")))
-    given = given.unionByName(nameless)
+    answered, answered_again = _first(given.where("answered IS NOT NULL"), "answered", "r")
+    given = answered.drop("copies").unionByName(nameless)
 
     joined = (
         named.unionByName(unnamed)
         .join(places, "node", "left")
         .join(dangling, F.col("node") == F.col("broken"), "left")
         .join(given.hint("shuffle_hash"), F.col("node") == F.col("answered"), "full_outer")
+        .withColumn("again", F.lit(False))
     )
+    for repeated in (called_again, answered_again):
+        joined = joined.unionByName(repeated.withColumn("again", F.lit(True)), allowMissingColumns=True)
 
     @F.pandas_udf("call string, errors array<string>")
     def checked(names, arguments, ids, refers):
@@ -216,7 +236,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], scope:
         F.when(has_result, spoken("r.id", "r.content")).alias("result"),
     )
     status = (
-        F.when(~is_call, "orphan")
+        F.when(F.col("again"), "repeated")
+        .when(~is_call, "orphan")
         .when(F.col("node").isNull(), "unnamed")
         .when(F.col("depth").isNull(), "circular")
         .when(F.col("broken").isNotNull(), "dangling")

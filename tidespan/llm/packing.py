@@ -48,22 +48,22 @@ def open_tokenizer(file: str):
         import public_tokenizers
 
         file = public_tokenizers.path(file)
-    tokenizer = Tokenizer.from_file(file)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(file)
 
 
 class Ids:
     """Ids of texts, as little-endian unsigned 32-bit integers.
 
     The byte-level vocabulary also comes as ranks, with which tiktoken finds the same ids in a third of the time. It is
-    used for texts of Latin letters and common punctuation, where both libraries' character classes agree for certain.
+    used for texts of Latin letters and common punctuation, where both libraries' character classes agree for certain,
+    unless they hold the string of a special token: `tokenizers` gives that its own id.
     """
 
     def __init__(self, file: str):
         import re
 
-        self.file, self.tokenizer, self.ranked = file, None, None
+        self.tokenizer, self.ranked = open_tokenizer(file), None
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.common = re.compile("[\x00-\u024f\u2010-\u2027]*").fullmatch
         if file in RANKS:
             import public_tokenizers
@@ -76,10 +76,8 @@ class Ids:
             )
 
     def of(self, text: str) -> bytes:
-        if self.ranked is not None and self.common(text):
+        if self.ranked is not None and self.common(text) and not any(t in text for t in self.special):
             return np.array(self.ranked.encode_ordinary(text), dtype="<u4").tobytes()
-        if self.tokenizer is None:
-            self.tokenizer = open_tokenizer(self.file)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
@@ -87,8 +85,11 @@ def tokenise(docs: DataFrame, tokenizer_file: str, tokens: int = 2048, text: str
     """Pieces of at most `tokens` ids: key, `piece`, `start`, `length`, `ids` (little-endian unsigned 32-bit, binary).
 
     A document is its ids and one id 0; a null text is empty and gives that id alone. Only a longer document is cut,
-    into full pieces after a first one that may be shorter. Rows that repeat are tokenised one by one.
+    into full pieces after a first one that may be shorter. Rows that repeat are tokenised one by one. The string of a
+    special token in a text becomes that token's id. The key has a name of its own.
     """
+    if key in ("piece", "start", "length", "ids"):
+        raise ValueError(f"the key column cannot be named {key!r}")
     end = np.array([END_ID], dtype="<u4").tobytes()
     kind = docs.schema[key].dataType
     schema = T.StructType(

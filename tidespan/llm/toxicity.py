@@ -43,20 +43,20 @@ SAMPLE, CALIBRATION_ROWS = 200_000, 20_000
 CALIBRATION = 4
 
 
-def _symbol_table() -> np.ndarray:
+def _symbol(cp: int) -> int:
     import unicodedata
 
-    out = np.zeros(1 << 16, np.uint8)
-    for cp in range(1 << 16):
-        c = chr(cp)
-        base = unicodedata.normalize("NFKD", c)[:1].lower()
-        if "a" <= base <= "z":
-            out[cp] = ord(base) - 96
-        elif c.isdigit():
-            out[cp] = 27
-        elif c.isalpha():
-            out[cp] = 1 + cp % 26
-    return out
+    c = chr(cp)
+    base = unicodedata.normalize("NFKD", c)[:1].lower()
+    if "a" <= base <= "z":
+        return ord(base) - 96
+    if c.isdigit() or base.isdigit():
+        return 27
+    return 1 + cp % 26 if c.isalpha() else 0
+
+
+def _symbol_table() -> np.ndarray:
+    return np.array([_symbol(cp) for cp in range(1 << 16)], np.uint8)
 
 
 def symbols(text: str) -> np.ndarray:
@@ -64,7 +64,11 @@ def symbols(text: str) -> np.ndarray:
     table = process_state("toxicity_symbols", _symbol_table)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     out = np.zeros(len(points) + 2, np.uint8)
-    out[1:-1] = np.where(points < 1 << 16, table[np.minimum(points, 0xFFFF)], 0)
+    out[1:-1] = table[np.minimum(points, 0xFFFF)]
+    far = np.flatnonzero(points > 0xFFFF)
+    if len(far):  # letters outside the basic plane, such as mathematical ones
+        met, which = np.unique(points[far], return_inverse=True)
+        out[1 + far] = np.array([_symbol(int(cp)) for cp in met], np.uint8)[which]
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != 0) | (out[:-1] != 0)
     return out[keep]

@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,7 +29,8 @@ from .base import scratch_dir, settle
 
 #: A package is closed when its records reach this size; stretches of this size are read by one task.
 PACKAGE_BYTES = 256 << 20
-STRETCH_BYTES = 32 << 20
+#: Bytes that are read one after the other, and bytes that a task reads.
+STRETCH_BYTES, TASK_BYTES = 4 << 20, 64 << 20
 BATCH_BYTES = 8 << 20
 DATE = "2024-01-01T00:00:00Z"
 
@@ -37,7 +39,7 @@ END, END64_PLACE, END64, ENTRY, LOCAL = b"PK\x05\x06", b"PK\x06\x07", b"PK\x06\x
 ALL16, ALL32 = 0xFFFF, 0xFFFFFFFF
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATA_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
-ID = "urn:x-page:"
+ID, NO_ID = "urn:x-page:", "urn:x-no-page:"
 
 
 # ---- packages -----------------------------------------------------------------------------------------------------
@@ -143,13 +145,28 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+#: What cannot stand in a header, an identifier in angle brackets or a line of an index.
+UNSAFE = re.compile("[%\x00-\x20<>{}\x7f-\x9f\u2028\u2029]")
+ESCAPED = re.compile("(?:%[0-9A-F]{2})+")
+
+
 def _clean(value: str) -> str:
-    """A header value without line breaks; what is left of a broken URL still tells it apart."""
-    return value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+    """A text with unsafe characters as the bytes of their UTF-8 after percent signs."""
+    return UNSAFE.sub(lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), value)
 
 
 def _plain(value: str) -> str:
-    return value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+    return ESCAPED.sub(lambda m: bytes.fromhex(m[0].replace("%", "")).decode(), value)
+
+
+def _name(page: str | None) -> str:
+    """A record's identifier; no page is not the page without a name."""
+    return f"<{NO_ID}>" if page is None else f"<{ID}{_clean(page)}>"
+
+
+def _page(name: str | None) -> str | None:
+    inner = (name or "")[1:-1]
+    return _plain(inner.removeprefix(ID)) if inner.startswith(ID) else None
 
 
 def record(page: str | None, url: str | None, payload: bytes, refers: str | None, is_revisit: bool) -> bytes:
@@ -160,14 +177,14 @@ def record(page: str | None, url: str | None, payload: bytes, refers: str | None
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if is_revisit else 'response'}",
-        f"WARC-Record-ID: <{ID}{'' if page is None else _clean(page)}>",
+        f"WARC-Record-ID: {_name(page)}",
         f"WARC-Date: {DATE}",
         f"WARC-Payload-Digest: sha1:{digest}",
     ]
     if url is not None:
         head.append(f"WARC-Target-URI: {_clean(url)}")
     if is_revisit:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{ID}{_clean(refers or '')}>"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_name(refers)}"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     body = "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
     packer = zlib.compressobj(4, zlib.DEFLATED, 31)
@@ -204,17 +221,15 @@ def parse(packed: bytes) -> Record:
     if not is_revisit and digest_of(payload) != digest:
         raise ValueError(f"the payload of {fields['warc-record-id']} is damaged")
     size = int(_headers(http)[1]["content-length"])
-    ids = [fields.get(n) for n in ("warc-record-id", "warc-refers-to")]
-    page, refers = (_plain(x.strip("<>").removeprefix(ID)) if x else None for x in ids)
     url = fields.get("warc-target-uri")
     return Record(
-        page or None,
+        _page(fields["warc-record-id"]),
         None if url is None else _plain(url),
         fields["warc-type"],
         None if is_revisit else payload,
         size,
         digest,
-        refers or None,
+        _page(fields.get("warc-refers-to")),
     )
 
 
@@ -271,7 +286,7 @@ def write_packages(rows: DataFrame, folder: str, package_bytes: int = PACKAGE_BY
                         page, url, packed = item
                         data.write(packed)
                         entry = {"url": url, "filename": DATA_MEMBER, "offset": str(at), "length": str(len(packed))}
-                        index.append(f"{page or '-'} {DATE} {json.dumps(entry)}\n")
+                        index.append(f"{_name(page)} {DATE} {json.dumps(entry)}\n")
                         at += len(packed)
                         item = next(source, None)
                 package.writestr(zipfile.ZipInfo(INDEX_MEMBER), "".join(index).encode("utf-8", "surrogatepass"))
@@ -345,8 +360,13 @@ def read_records(places: DataFrame, folder: str, with_payload: bool = True) -> D
         if rows:
             yield batch()
 
+    places = settle(places)
+    size = places.agg(F.sum("length")).first()[0] or 0
+    spark = places.sparkSession
+    # an explicit number: the rows are small, but what they stand for is not, and must not be merged into few tasks
+    tasks = max(1, -(-size // TASK_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // STRETCH_BYTES)))
     stretch = (F.col("offset") / STRETCH_BYTES).cast("long")
-    dealt = places.repartition(F.col("path"), stretch).sortWithinPartitions("path", "offset")
+    dealt = places.repartition(tasks, F.col("path"), stretch).sortWithinPartitions("path", "offset")
     schema = (
         "page string, url string, record_type string, payload binary, payload_bytes bigint, payload_digest string, "
         "refers_to string"
