@@ -3,12 +3,14 @@
 from pyspark.sql import functions as F
 
 from tidespan.functions import automaton as P
+from tidespan.functions.time import INF
 from tidespan.sources.scratch import scratch_dir
 from tidespan.streaming import stateful as ST
 from tidespan.streaming import windows as SW
 from tidespan.streaming.runner import REPLAY_FILES, QueryContainer, replay
 
 from .base import DAY, HOUR, INTERVALS, POINTS, query, segments_sql
+from .joining import anti_sql
 from .patterns import FIRST, RUNS, note
 from .lifetimes import session_sql
 
@@ -323,3 +325,87 @@ def stream_two_outputs(t):
     box.run()
     first = box.result("first").withColumn("part", F.lit("purchase"))
     return first.unionByName(box.result("second").withColumn("part", F.lit("dear")))
+
+
+# Two inputs in one stateful operator. The closing row of the replay is on both sides, so that it moves all time on.
+
+
+def kinds(s, first, second):
+    last = F.col("vs") >= FAR
+    a = s.where((F.col("event_type") == first) | last)
+    b = s.where((F.col("event_type") == second) | last)
+    return a, b
+
+
+CLIPS = f"""WITH r AS (SELECT DISTINCT user_id, vs FROM ({POINTS}) WHERE event_type = 'error')
+SELECT event_id, l.user_id, l.vs, least(l.ve, coalesce(r.vs, {INF})) AS ve
+FROM (SELECT *, vs + 1 AS after FROM ({INTERVALS}) WHERE event_type = 'view') l ASOF LEFT JOIN r ON r.user_id = l.user_id AND r.vs >= l.after"""
+
+
+@query("stream_clip_by", CLIPS)
+def stream_clip_by(t):
+    """Views end at the user's next error, live."""
+
+    def build(s):
+        views, errors = kinds(s, "view", "error")
+        return ST.stream_clip_by(views.drop("event_type"), errors, ["user_id"], "1 hour")
+
+    return streamed(t, t.intervals("event_id", "user_id", "event_type"), build)
+
+
+@query(
+    "stream_clip_by_unkeyed",
+    CLIPS.replace("DISTINCT user_id, vs", "DISTINCT vs").replace("l.user_id, ", "").replace("r.user_id = l.user_id AND ", ""),
+)
+def stream_clip_by_unkeyed(t):
+    """Views end at the next error of anyone, live."""
+
+    def build(s):
+        views, errors = kinds(s, "view", "error")
+        return ST.stream_clip_by(views.select("event_id", "vs", "ve"), errors, [], "1 hour")
+
+    return streamed(t, t.intervals("event_id", "user_id", "event_type"), build)
+
+
+LEFT, RIGHT = (f"SELECT * FROM ({INTERVALS}) WHERE event_type = '{k}'" for k in ("view", "purchase"))
+STREAM_ANTI = anti_sql(LEFT, RIGHT, ["user_id"], ["user_id", "event_id"])
+
+
+def sides(s):
+    a, b = kinds(s, "view", "purchase")
+    return a.select("user_id", "event_id", "vs", "ve"), b.select("user_id", F.col("event_id").alias("p_id"), "vs", "ve")
+
+
+@query("stream_anti_join", STREAM_ANTI)
+def stream_anti_join(t):
+    """Views minus the times with a purchase of the same user: several stretches for a view, live."""
+    f = t.intervals("event_id", "user_id", "event_type")
+    return streamed(t, f, lambda s: ST.stream_anti_join(*sides(s), ["user_id"], "1 hour"))
+
+
+@query(
+    "stream_left_outer_join",
+    f"""SELECT a.user_id, a.event_id, b.event_id AS p_id, greatest(a.vs, b.vs) AS vs, least(a.ve, b.ve) AS ve
+FROM ({LEFT}) a JOIN ({RIGHT}) b ON a.user_id = b.user_id AND a.vs < b.ve AND b.vs < a.ve
+UNION ALL SELECT user_id, event_id, NULL, vs, ve FROM ({STREAM_ANTI})""",
+)
+def stream_left_outer_join(t):
+    """Views with the purchases that overlap them, and the rest of the views alone, live."""
+    f = t.intervals("event_id", "user_id", "event_type")
+    return streamed(t, f, lambda s: ST.stream_left_outer_join(*sides(s), ["user_id"], "1 hour"))
+
+
+@query(
+    "stream_anti_join_unkeyed",
+    anti_sql(
+        INTERVALS, f"SELECT vs, vs + {HOUR // 4} AS ve FROM ({POINTS}) WHERE event_type = 'error'", [], ["event_id"]
+    ),
+)
+def stream_anti_join_unkeyed(t):
+    """Lifetimes minus the quarter hours after any error, live."""
+
+    def build(s):
+        errors = s.where((F.col("event_type") == "error") | (F.col("vs") >= FAR))
+        return ST.stream_anti_join(s.select("event_id", "vs", "ve"), errors.select("vs", (F.col("vs") + HOUR // 4).alias("ve")), [], "1 hour")
+
+    return streamed(t, t.intervals("event_id", "event_type"), build)

@@ -1,9 +1,11 @@
 """Random small inputs against a plain model that walks time tick by tick, under several slicings and skews."""
 
+import math
 import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidespan import INF, TemporalFrame
@@ -177,3 +179,44 @@ def test_stitch_preserves_snapshots(spark, sliced):
             assert sum(r.vs <= t < r.ve and r.k == k for r in out) == sum(r[0] <= t < r[1] and r[2] == k for r in given)
     ends, starts = {(r.k, r.ve) for r in out}, {(r.k, r.vs) for r in out}
     assert not ends & starts
+
+
+@pytest.mark.parametrize("duration", [1, 5, 64])
+def test_constant_lifetimes(spark, duration):
+    """Every merge that has a two-way form, over blocks shorter and longer than a slice."""
+    spark.conf.set("tidespan.slices", 16)
+    given = [(vs, vs + duration, k, v) for vs, _, k, v in events(duration, n=90, horizon=120)]
+    f = TemporalFrame(spark.createDataFrame(given, SCHEMA), "k").set_duration(duration)
+    out = f.aggregate(
+        n=A.count(), s=A.sum_("v"), d=A.sum_(F.col("v") / 4), lo=A.min_("v"), hi=A.max_("v"), p=A.product("v"),
+        odd=A.sum_("v").where(F.col("v") % 2 == 1), first=A.min_by("v", F.col("v") % 3),
+    )
+    want = snapshots(given, lambda a: (
+        len(a), sum(a), sum(a) / 4, min(a), max(a), float(math.prod(a)), sum(x for x in a if x % 2), min(a, key=lambda x: (x % 3, x))
+    ))
+    spark.conf.unset("tidespan.slices")
+    assert bag(out, "k", "vs", "ve", "n", "s", "d", "lo", "hi", "p", "odd", "first") == want
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_percentiles_of_long_and_equal_values(spark, seed):
+    """Lifetimes over many slices, values that most rows share, open rows: places at both ends and in the middle."""
+    spark.conf.set("tidespan.slices", 16)
+    rnd = random.Random(seed)
+    given = []
+    for _ in range(400):
+        vs = rnd.randrange(300)
+        ve = INF if rnd.random() < 0.1 else vs + 1 + rnd.randrange(rnd.choice([3, 250]))
+        v = 50 if rnd.random() < 0.3 else rnd.randrange(100)
+        given.append((vs, ve, "hot" if rnd.random() < 0.8 else rnd.choice(["a", None]), v))
+    shares = [0.0, 0.1, 0.5, 0.97, 1.0]
+    at = lambda a, p: sorted(a)[max(math.ceil(p * len(a)), 1) - 1]
+    want = snapshots(given, lambda a: tuple(at(a, p) for p in shares))
+    for kind in ("long", "string"):
+        df = spark.createDataFrame(given, SCHEMA)
+        v = F.col("v") if kind == "long" else F.lpad(F.col("v").cast("string"), 3, "0")
+        f = TemporalFrame(df.withColumn("v", v), "k")
+        outs = {f"p{i}": A.percentile_discrete("v", p) for i, p in enumerate(shares)}
+        out = f.aggregate(**outs).df.select("k", "vs", "ve", *[F.col(c).cast("int").alias(c) for c in outs])
+        assert bag(out, "k", "vs", "ve", *outs) == want
+    spark.conf.unset("tidespan.slices")

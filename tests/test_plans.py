@@ -136,3 +136,23 @@ def test_stream_inspection(spark, tmp_path):
     assert "FileScan" in box.plan("out") or "StreamingRelation" in box.plan("out") or "Scan" in box.plan("out")
     box.run()  # nothing new: the input is what the output waits for
     assert box.waiting_inputs() == ["out"]
+
+
+@pytest.mark.parametrize("name", ["snapshot_hopping", "snapshot_sliding"])
+def test_constant_lifetimes_need_no_tree(spark, name):
+    """Panes are merged before the first shuffle, and nothing is written in between."""
+    text, _ = plan(spark, name)
+    scans = [line for line in text.splitlines() if "Scan parquet" in line]
+    assert scans and all("event_type" in s or "user_id" in s for s in scans) and "_lvl" not in text
+    assert "partial_" in text
+
+
+def test_percentiles_scan_each_stretch_once(spark, monkeypatch):
+    """However many distinct values there are, there is one sweep and one scan."""
+    from tidespan.plans import quantiles
+
+    calls = []
+    for name in ("sweep", "scan_ordered"):
+        monkeypatch.setattr(quantiles, name, lambda *a, f=getattr(quantiles, name), n=name, **k: calls.append(n) or f(*a, **k))
+    entry.queries()["percentile_continuous"](spark, SF)
+    assert calls == ["sweep", "scan_ordered"]

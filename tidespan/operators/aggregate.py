@@ -9,6 +9,7 @@ from ..functions.time import INF, col
 from ..plans.quantiles import counted_segments, order_statistics
 from ..plans.ranks import blocks_and_lookups, look_up
 from ..plans.slices import BEFORE, SLICE, UPTO, by, local, match
+from ..plans.sliding import MERGES, sliding
 from ..plans.sweep import sweep
 from ..plans.timeline import instants
 
@@ -27,14 +28,21 @@ class AggregateOps:
         self = self._ready()
         aggs = {n: a.over(self.df) if isinstance(a, (Additive, Spread)) else a for n, a in aggs.items()}
         families = []
-        additive = {n: a for n, a in aggs.items() if isinstance(a, Additive)}
+        if self.props.duration is not None:
+            flat = {n: a for n, a in aggs.items() if _two_way(a)}
+            if flat:
+                families.append(_slid(self.df, keys, flat, self.props.duration, self.cuts))
+            rest = {n: a for n, a in aggs.items() if n not in flat}
+        else:
+            rest = aggs
+        additive = {n: a for n, a in rest.items() if isinstance(a, Additive)}
         if additive:
             families.append(_swept(self.df, keys, additive, self.cuts))
-        mergeable = {n: a for n, a in aggs.items() if isinstance(a, Mergeable)}
+        mergeable = {n: a for n, a in rest.items() if isinstance(a, Mergeable)}
         if mergeable:
             plan = _running if self.props.open_ended else _merged
             families.append(plan(self.df, keys, mergeable, self.cuts))
-        moments = {n: a for n, a in aggs.items() if isinstance(a, Moments)}
+        moments = {n: a for n, a in rest.items() if isinstance(a, Moments)}
         if moments:
             families.append(_moments(self.df, keys, moments, self.cuts))
         for n, a in aggs.items():
@@ -169,6 +177,21 @@ def _tumbling(df: DataFrame, keys, aggs) -> DataFrame:
     return rows.groupBy(*group).agg(*merges).select(*group, *outs)
 
 
+def _two_way(agg) -> bool:
+    """Whether two states of the aggregate can be merged by an expression."""
+    return isinstance(agg, Additive) or (isinstance(agg, Mergeable) and all(m in MERGES for m in agg.merge.values()))
+
+
+def _slid(df, keys, aggs, duration, cuts) -> DataFrame:
+    parts = {p: c for ps in _parts(aggs).values() for p, c in ps.items()}
+    merges = {f"_{n}_{p}": F.sum if isinstance(a, Additive) else a.merge[p] for n, a in aggs.items() for p in a.parts}
+    seg = sliding(df, keys, duration, parts, merges, cuts)
+    outs = [
+        _finish(n, a, (lambda p: F.coalesce(F.col(p), F.lit(0))) if isinstance(a, Additive) else F.col) for n, a in aggs.items()
+    ]
+    return seg.select(*keys, "vs", "ve", *outs)
+
+
 def _swept(df, keys, aggs, cuts) -> DataFrame:
     deltas = {p: c for parts in _parts(aggs).values() for p, c in parts.items()}
     seg = sweep(df, keys, deltas, cuts)

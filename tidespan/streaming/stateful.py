@@ -2,6 +2,9 @@
 
 Events are buffered per key until the watermark passes them and then run through a small state machine in time
 order; the machine's state is kept between triggers. The machines for patterns are those of the batch operators.
+
+State carries the version of what wrote it: the operator, its parameters and its columns. A query that is restarted with
+another version fails instead of reading state that it would misunderstand.
 """
 
 from __future__ import annotations
@@ -18,14 +21,16 @@ from ..functions.automaton import Matcher
 from ..functions.time import INF, MIN_T
 
 
-def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema: StructType) -> DataFrame:
+def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema: StructType, version: str) -> DataFrame:
     """Feed each key's rows (`vs` and `columns`) to `machine(key, saved)` in time order.
 
     The machine has `row(t, values)` and `advance(t)`, both returning output tuples (without the key), and
-    `save()`, whose result is passed back as `saved` later.
+    `save()`, whose result is passed back as `saved` later. `version` names the machine and all that its state depends on.
     """
     if not keys:
         raise ValueError("a stateful stream needs at least one key")
+    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in (*keys, "vs", *columns))
+    version = f"{version} of ({kinds})"
     # whole numbers travel as text: among nulls, pandas would make them doubles
     whole = [isinstance(df.schema[c].dataType, IntegralType) for c in columns]
     parts = [F.col(f"`{c}`").cast("string") if w else F.col(f"`{c}`") for c, w in zip(columns, whole, strict=True)]
@@ -35,7 +40,9 @@ def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema:
     names = schema.names
 
     def update(key, batches, state):
-        buffered, saved = pickle.loads(state.get[0]) if state.exists else ([], None)
+        written, buffered, saved = pickle.loads(state.get[0]) if state.exists else (version, [], None)
+        if written != version:
+            raise ValueError(f"the state was written by {written}, and cannot be read by {version}")
         run = machine(key, saved)
         for pdf in batches:
             values = [pdf["vs"].tolist()]
@@ -58,7 +65,7 @@ def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema:
         times = [int(v[0]) for v in rest[:1]] + ([wake] if wake is not None else [])
         saved = run.save()
         if rest or saved is not None:
-            state.update((pickle.dumps((rest, saved)),))
+            state.update((pickle.dumps((version, rest, saved)),))
             if times:
                 state.setTimeoutTimestamp(max(min(times) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
@@ -124,7 +131,10 @@ def stream_detect(df, keys, pattern, max_duration, schema, delay, register=None,
         return _Detect(Matcher(tables, max_duration, overlapping), payload, saved)
 
     out = _out(df, keys, "vs bigint, ve bigint, " + schema)
-    return release_in_order(rows, keys, [*payload, "_flags"], delay, machine, out)
+    shape = {s: [(single, cond if isinstance(cond, int) else "call", reach) for single, cond, _, reach in arcs] for s, arcs in tables["arcs"].items()}
+    tests = [c._jc.toString() if hasattr(c, "_jc") else str(c) for c in conds]
+    version = f"detect 1 {shape} {tests} {sorted(tables['finals'])} {max_duration} {overlapping} {schema}"
+    return release_in_order(rows, keys, [*payload, "_flags"], delay, machine, out, version)
 
 
 class _Signal:
@@ -154,7 +164,7 @@ def stream_signal(df, keys, delay):
     payload = [c for c in df.columns if c not in ("vs", "ve", *keys)]
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in payload)
     out = _out(df, keys, "vs bigint, ve bigint, " + types)
-    return release_in_order(df, keys, payload, delay, lambda key, saved: _Signal(saved), out)
+    return release_in_order(df, keys, payload, delay, lambda key, saved: _Signal(saved), out, "signal 1")
 
 
 class _Session:
@@ -207,7 +217,8 @@ def stream_session(df, keys, timeout, delay, max_duration=None):
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in payload)
     out = _out(df, keys, "vs bigint, ve bigint, " + types)
     return release_in_order(
-        df, keys, payload, delay, lambda key, saved: _Session(timeout, max_duration, saved), out
+        df, keys, payload, delay, lambda key, saved: _Session(timeout, max_duration, saved), out,
+        f"session 1 {timeout} {max_duration}",
     )
 
 
@@ -253,7 +264,7 @@ def stream_snapshot(df, keys, value, delay):
     """Count and sum per snapshot for general lifetimes, on a stream."""
     rows = df.select(*keys, "vs", "ve", F.col(value).alias("_v"))
     out = _out(df, keys, "vs bigint, ve bigint, n bigint, total bigint")
-    return release_in_order(rows, keys, ["ve", "_v"], delay, lambda key, saved: _Snapshot(saved), out)
+    return release_in_order(rows, keys, ["ve", "_v"], delay, lambda key, saved: _Snapshot(saved), out, "snapshot 1")
 
 
 class _Stitch:
@@ -291,7 +302,154 @@ class _Stitch:
 def stream_stitch(df, keys, delay):
     """`TemporalFrame.stitch` on a stream; `keys` must be all columns that make rows equal."""
     out = _out(df, keys, "vs bigint, ve bigint")
-    return release_in_order(df, keys, ["ve"], delay, lambda key, saved: _Stitch(saved), out)
+    return release_in_order(df, keys, ["ve"], delay, lambda key, saved: _Stitch(saved), out, "stitch 1")
+
+
+def _tagged(left: DataFrame, right: DataFrame, keys) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows of both sides with their `_side`, and the payload columns of either; without keys one that is always equal."""
+    mine, theirs = ([c for c in df.columns if c not in ("vs", "ve", *keys)] for df in (left, right))
+    if set(mine) & set(theirs):
+        raise ValueError("payload columns must be named differently on the two sides")
+    ends = [df if "ve" in df.columns else df.withColumn("ve", F.col("vs") + 1) for df in (left, right)]
+    sides = [df.select(*(keys or [F.lit(0).alias("_all")]), "vs", "ve", *p, F.lit(i).alias("_side")) for i, (df, p) in enumerate(zip(ends, (mine, theirs), strict=True))]
+    return sides[0].unionByName(sides[1], allowMissingColumns=True), mine, theirs
+
+
+class _Clip:
+    """Open rows, by their ends; the next event of the other side that comes after their start closes them."""
+
+    def __init__(self, saved):
+        self.open, self.seen = saved or ([], 0)
+
+    def _over(self, t):
+        out = []
+        while self.open and self.open[0][0] <= t:
+            ve, _, vs, payload = heappop(self.open)
+            out.append((vs, ve, *payload))
+        return out
+
+    def row(self, t, values):
+        side, ve, *payload = values
+        out = self._over(t)
+        if side:
+            out.extend((vs, t, *p) for _, _, vs, p in self.open if vs < t)
+            self.open = [o for o in self.open if o[2] == t]
+        else:
+            self.seen += 1
+            heappush(self.open, (int(ve), self.seen, t, tuple(payload)))
+        return out
+
+    def advance(self, t):
+        return self._over(t)
+
+    def wake(self):
+        return self.open[0][0] if self.open and self.open[0][0] < INF else None
+
+    def save(self):
+        return (self.open, self.seen) if self.open else None
+
+
+def stream_clip_by(left, right, keys, delay):
+    """`TemporalFrame.clip_by` on streams: the row is emitted when it is clipped or the watermark passes its end."""
+    rows, mine, _ = _tagged(left, right.select(*keys, "vs"), keys)
+    names = list(keys) or ["_all"]
+    types = "".join(f", `{c}` {left.schema[c].dataType.simpleString()}" for c in mine)
+    out = _out(rows, names, "vs bigint, ve bigint" + types)
+    found = release_in_order(rows, names, ["_side", "ve", *mine], delay, lambda key, saved: _Clip(saved), out, "clip 1")
+    return found if keys else found.drop("_all")
+
+
+class _Uncovered:
+    """Left rows with the time since which no right row covers them, and the right rows that are active.
+
+    A stretch without cover is emitted when a right row or the end of the left row closes it. With `pairs`, so is every
+    overlap of two rows, as soon as both have begun.
+    """
+
+    def __init__(self, pairs, n_left, n_right, saved):
+        self.pairs, self.n_left, self.n_right = pairs, n_left, n_right
+        self.left, self.right, self.seen = saved or ({}, [], 0)  # left: number -> [since, vs, ve, payload]
+
+    def _stretch(self, row, t):
+        since, _, _, payload = row
+        return [(since, t, *payload, *[None] * (self.n_right if self.pairs else 0))] if since is not None and since < t else []
+
+    def _over(self, t):
+        """Ends up to t, of both sides, in order."""
+        out = []
+        while True:
+            first = min(((r[2], i) for i, r in self.left.items()), default=None)
+            end = self.right[0][0] if self.right else None
+            if end is not None and end <= t and (first is None or end <= first[0]):
+                heappop(self.right)
+                if not self.right:
+                    for row in self.left.values():
+                        row[0] = end
+            elif first is not None and first[0] <= t:
+                out.extend(self._stretch(self.left.pop(first[1]), first[0]))
+            else:
+                return out
+
+    def _pair(self, left, right, t):
+        _, _, ve, payload = left
+        return (t, min(ve, right[0]), *payload, *right[2])
+
+    def row(self, t, values):
+        side, ve, *payload = values
+        out, ve = self._over(t), int(ve)
+        self.seen += 1
+        if side:
+            right = (ve, self.seen, tuple(payload[self.n_left :]))
+            for row in self.left.values():
+                out.extend(self._stretch(row, t))
+                row[0] = None
+                if self.pairs:
+                    out.append(self._pair(row, right, t))
+            heappush(self.right, right)
+        else:
+            row = [None if self.right else t, t, ve, tuple(payload[: self.n_left])]
+            self.left[self.seen] = row
+            if self.pairs:
+                out.extend(self._pair(row, right, t) for right in self.right)
+        return out
+
+    def advance(self, t):
+        return self._over(t)
+
+    def wake(self):
+        ends = [r[2] for r in self.left.values()] + [r[0] for r in self.right[:1]]
+        return min(ends) if ends and min(ends) < INF else None
+
+    def save(self):
+        return (self.left, self.right, self.seen) if self.left or self.right else None
+
+
+def _uncovered(left, right, keys, delay, pairs: bool):
+    rows, mine, theirs = _tagged(left, right, keys)
+    names = list(keys) or ["_all"]
+    shown = [*mine, *theirs] if pairs else mine
+    types = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in shown)
+    out = _out(rows, names, "vs bigint, ve bigint" + types)
+    n, m = len(mine), len(theirs)
+    version = f"uncovered 1 {pairs}"
+    found = release_in_order(
+        rows, names, ["_side", "ve", *mine, *theirs], delay, lambda key, saved: _Uncovered(pairs, n, m, saved), out, version
+    )
+    return found if keys else found.drop("_all")
+
+
+def stream_anti_join(left, right, keys, delay):
+    """`TemporalFrame.where_not_exists` on streams, for general lifetimes: several stretches for a row.
+
+    A stretch comes out when a right row or the row's end closes it and the watermark has passed that. Right rows keep
+    only their ends as long as they are active.
+    """
+    return _uncovered(left, right.select(*keys, "vs", "ve"), keys, delay, pairs=False)
+
+
+def stream_left_outer_join(left, right, keys, delay):
+    """`TemporalFrame.left_outer_join` on streams: overlaps with their right rows, and uncovered stretches with nulls."""
+    return _uncovered(left, right, keys, delay, pairs=True)
 
 
 def stream_arrivals(df, per, arrival: str):
