@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidespan.functions import aggregates as A
-from tidespan.sources.ingress import Disorder
+from tidespan.sources.ingress import Disorder, DisorderedEdges
 
 from .base import DAY, HOUR, HOURLY, INTERVALS, OPENED, POINTS, query, segments_sql
 
@@ -193,6 +193,41 @@ def adjust_late(t):
     return Disorder(arrivals(t), "arrival", latency=HOUR // 2).adjust()
 
 
+# Edges: of each row its start and its end arrive on their own, up to four hours late, each user with a clock.
+
+EDGES = f"""SELECT event_id, user_id, 0 AS kind, vs, vs AS start, (vs + event_id * 617 % 5 * {HOUR}) // 1000 * 200000 + event_id * 2 AS arrival FROM ({INTERVALS})
+UNION ALL SELECT event_id, user_id, 1, ve, vs, (ve + (event_id * 617 % 5 + event_id * 31 % 3) * {HOUR}) // 1000 * 200000 + event_id * 2 + 1 FROM ({INTERVALS})"""
+EDGE_CLOCK = f"""WITH e AS ({EDGES}),
+c AS (SELECT *, greatest(coalesce(max(vs) OVER (PARTITION BY user_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {HOUR}, 0), 0) AS now FROM e),
+m AS (SELECT event_id AS late_id, now AS moved FROM c WHERE kind = 0 AND vs < now),
+j AS (SELECT c.*, moved FROM c LEFT JOIN m ON kind = 1 AND late_id = event_id)"""
+
+
+def edges(t):
+    """Start and end edges of the intervals in order of arrival."""
+    df = t.intervals("event_id", "user_id").df
+    late, later = F.expr("event_id * 617 % 5"), F.expr("event_id * 31 % 3")
+    order = lambda at, extra: F.expr("cast(0 as bigint)") + F.floor(at / 1000).cast("long") * 200000 + F.col("event_id") * 2 + extra
+    begin = df.select("event_id", "user_id", F.lit(0).alias("kind"), "vs", F.col("vs").alias("start"), order(F.col("vs") + late * HOUR, 0).alias("arrival"))
+    end = df.select("event_id", "user_id", F.lit(1).alias("kind"), F.col("ve").alias("vs"), F.col("vs").alias("start"), order(F.col("ve") + (late + later) * HOUR, 1).alias("arrival"))
+    return DisorderedEdges(begin.unionByName(end), "arrival", F.col("kind") == 0, "start", ["event_id"], latency=HOUR, per="user_id")
+
+
+@query("drop_late_edges", f"{EDGE_CLOCK} SELECT event_id, user_id, kind, vs, start, arrival FROM j WHERE vs >= now AND moved IS NULL")
+def drop_late_edges(t):
+    """A dropped start takes its end along, even if that is in time."""
+    return edges(t).drop()
+
+
+@query(
+    "adjust_late_edges",
+    f"""{EDGE_CLOCK} SELECT event_id, user_id, kind, greatest(vs, now) AS vs, CASE WHEN kind = 1 THEN coalesce(moved, start) ELSE start END AS start, arrival FROM j""",
+)
+def adjust_late_edges(t):
+    """The end of a moved start names the new start."""
+    return edges(t).adjust()
+
+
 @query("throw_on_late", f"SELECT event_id, user_id, event_id AS arrival, vs, ve FROM ({INTERVALS})")
 def throw_on_late(t):
     """Rows that do arrive in order pass; a late one would fail the query."""

@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from tidespan.functions import automaton as P
 from tidespan.functions.time import INF
 from tidespan.sources.scratch import scratch_dir
+from tidespan.streaming import snapshots as SN
 from tidespan.streaming import stateful as ST
 from tidespan.streaming import windows as SW
 from tidespan.streaming.runner import REPLAY_FILES, QueryContainer, replay
 
-from .base import DAY, HOUR, INTERVALS, POINTS, query, segments_sql
+from .base import DAY, HOUR, INTERVALS, ORACLES, POINTS, query, segments_sql
 from .joining import anti_sql
 from .patterns import FIRST, RUNS, note
 from .lifetimes import session_sql
@@ -409,3 +410,115 @@ def stream_anti_join_unkeyed(t):
         return ST.stream_anti_join(s.select("event_id", "vs", "ve"), errors.select("vs", (F.col("vs") + HOUR // 4).alias("ve")), [], "1 hour")
 
     return streamed(t, t.intervals("event_id", "event_type"), build)
+
+
+def live(t, frame, keys, **aggs):
+    """Snapshot aggregates by bucket; the closing row is not among them."""
+    pieces = streamed(t, frame, lambda s: SN.aggregate(s, keys, DAY, "1 hour", **aggs))
+    return SN.whole(pieces, keys)
+
+
+@query(
+    "stream_extremes",
+    segments_sql(INTERVALS, "event_type", "count(*) AS n, min(cents) AS low, max(cents) AS high, CAST(sum(cents) AS BIGINT) AS total"),
+)
+def stream_extremes(t):
+    """Counts, sums and extremes of general lifetimes, live."""
+    f = t.intervals("event_type", "cents")
+    return live(t, f, ["event_type"], n=SN.count(), low=SN.min_("cents"), high=SN.max_("cents"), total=SN.sum_("cents"))
+
+
+@query(
+    "stream_percentiles",
+    segments_sql(INTERVALS, "event_type", "quantile_cont(cents, 0.9) AS p90, quantile_disc(cents, 0.5) AS p50"),
+)
+def stream_percentiles(t):
+    f = t.intervals("event_type", "cents")
+    return live(t, f, ["event_type"], p90=SN.percentile_continuous("cents", 0.9), p50=SN.percentile_discrete("cents", 0.5))
+
+
+@query("stream_top_k", segments_sql(INTERVALS, "event_type", "list_sort(list(cents), 'DESC')[1:3] AS top"))
+def stream_top_k(t):
+    """The three largest values of every snapshot."""
+    return live(t, t.intervals("event_type", "cents"), ["event_type"], top=SN.top("cents", 3))
+
+
+@query("stream_sum_doubles", segments_sql(INTERVALS, "event_type", "round(sum(cents / 8.0), 4) AS total"))
+def stream_sum_doubles(t):
+    """Floating-point sums, exact through every start and end."""
+    f = t.intervals("event_type", "cents").select("event_type", eighths=F.col("cents") / F.lit(8.0))
+    return live(t, f, ["event_type"], total=SN.sum_("eighths")).withColumn("total", F.round("total", 4))
+
+
+@query("stream_extremes_unkeyed", segments_sql(INTERVALS, "", "count(*) AS n, max(cents) AS high"))
+def stream_extremes_unkeyed(t):
+    """No key: the buckets of one timeline are tasks of their own."""
+    return live(t, t.intervals("cents"), [], n=SN.count(), high=SN.max_("cents"))
+
+
+# Restarts: a container is stopped in the middle of open state, and another goes on from its folder.
+
+
+def restarted(t, frame, build):
+    """The first half of a frame, then in a new container of the same home the second."""
+    path, home = scratch_dir(t.spark, "feed"), scratch_dir(t.spark, "container")
+    df, middle = frame.df, 1704067200000000 + 15 * DAY
+    last = t.spark.range(1).select(
+        *[(F.lit(FAR) if c in ("vs", "ve") else F.lit(-1)).cast(df.schema[c].dataType).alias(c) for c in df.columns]
+    )
+    for parts in ((df.where(F.col("vs") < middle),), (df.where(F.col("vs") >= middle), last)):
+        replay(path, *parts)
+        box = QueryContainer(t.spark, home)
+        box.register_output("out", build(box.register_input("in", path, df.schema, files_per_trigger=REPLAY_FILES)))
+        box.run()
+    return box.result("out").where(F.col("vs") < FAR)
+
+
+@query("stream_restart_detect", ORACLES["stream_detect"])
+def stream_restart_detect(t):
+    """Instances of a pattern that are under way when the container stops."""
+    kind = F.col("event_type")
+    pattern = P.sequence(P.single(kind == "view", note).repeated(), P.single(kind == "click", note).repeated())
+    f = t.points("event_id", "user_id", "event_type")
+    return restarted(t, f, lambda s: ST.stream_detect(s, ["user_id"], pattern, 3 * DAY, FIRST, "1 hour"))
+
+
+@query("stream_restart_session", ORACLES["stream_session_capped"])
+def stream_restart_session(t):
+    """Open sessions with a cap."""
+    f = t.points("event_id", "user_id")
+    return restarted(t, f, lambda s: ST.stream_session(s, ["user_id"], 12 * HOUR, "1 hour", max_duration=DAY))
+
+
+@query("stream_restart_stitch", ORACLES["stream_stitch"])
+def stream_restart_stitch(t):
+    """Pieces that wait for their continuation."""
+    f = t.intervals("event_id").chop(0, 2 * HOUR)
+    return restarted(t, f, lambda s: ST.stream_stitch(s, ["event_id"], "1 hour"))
+
+
+@query(
+    "stream_late_consumer",
+    f"""SELECT 'all' AS consumer, event_type, {up('vs', DAY)} AS vs, {up('vs', DAY)} + {DAY} AS ve, count(*) AS n FROM ({POINTS}) GROUP BY ALL
+UNION ALL SELECT 'late', event_type, {up('vs', DAY)}, {up('vs', DAY)} + {DAY}, count(*) FROM ({POINTS}) WHERE vs >= 1704067200000000 + 10 * {DAY} GROUP BY ALL""",
+)
+def stream_late_consumer(t):
+    """Consumers that attach to a published log while its container runs: one from its beginning, one from the tenth day."""
+    df, path = t.points("event_type").df, scratch_dir(t.spark, "feed")
+    middle = 1704067200000000 + 15 * DAY
+    last = t.spark.range(1).select(F.lit("").alias("event_type"), F.lit(FAR).alias("vs"), F.lit(FAR).alias("ve"))
+    windows = lambda s: SW.tumbling_windows(s, ["event_type"], DAY, "1 hour", n=F.count("*"))
+    box = QueryContainer(t.spark)
+    replay(path, df.where(F.col("vs") < middle))
+    box.publish("log", box.register_input("in", path, df.schema, files_per_trigger=REPLAY_FILES))
+    box.run()
+    box.attach("all", "log", windows).awaitTermination()
+    box.detach("all")
+    replay(path, df.where(F.col("vs") >= middle), last.select(*df.columns))
+    box.run()
+    box.attach("all", "log", windows)
+    box.attach("late", "log", windows, since=1704067200000000 + 10 * DAY)
+    for name in ("all", "late"):
+        box.running[name].awaitTermination()
+    found = [box.result(n).withColumn("consumer", F.lit(n)) for n in ("all", "late")]
+    return found[0].unionByName(found[1]).where(F.col("vs") < FAR)

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..frame import Props, TemporalFrame
 from ..functions.time import INF, MIN_T, col, micros, snap_left
 from ..plans.slices import BEFORE, SLICE, Cuts, carry, local, match
-from ..plans.timeline import instants, with_latest
+from ..plans.timeline import instants, with_latest, with_running
+from .scratch import settle
 
 
 def from_starts(df: DataFrame, start, keys=()) -> TemporalFrame:
@@ -163,3 +164,57 @@ class Disorder:
             F.when(over, "dropped").otherwise("adjusted").alias("action"),
             F.when(~over, F.col("_now") - F.col("vs")).alias("delta"),
         )
+
+
+class DisorderedEdges(Disorder):
+    """Start and end edges in order of arrival, and the rule for those that come late.
+
+    Of a start edge `vs` is its start, of an end edge the end, with the row's start in the column `start`. What happens to a
+    late start happens to its row: an end edge takes the first start of its own payload and original start that was
+    late and has not met an end yet. An end edge that finds none is on its own, and late if time has passed it.
+
+    Such queues are a walk that goes up with each late start and down with each end, but not below zero. Its height is
+    the running sum less its lowest point so far, both sliced over the arrival order, and the numbers of late starts and of
+    ends that found one are what joins them.
+    """
+
+    def __init__(self, df: DataFrame, arrival: str, is_start, start: str, payload, latency: int = 0, per=(), **low):
+        super().__init__(df, arrival, latency, per, **low)
+        self.start, self.payload = start, list(payload)
+        rows = settle(self.rows.withColumn("_begins", col(is_start)))
+        self.rows = rows
+        queue = [*dict.fromkeys([*self.per, *self.payload]), "_origin"]
+        step = F.when(F.col("_begins") & self.late, 1).when(~F.col("_begins"), -1)
+        walk = rows.withColumn("_origin", F.when(F.col("_begins"), F.col("vs")).otherwise(F.col(start)))
+        walk = walk.withColumn("_step", step.cast("long")).where("_step IS NOT NULL")
+        walk = Cuts(walk, queue, arrival).attach(walk, arrival).repartition(*queue, SLICE)
+        walk = with_running(walk, queue, arrival, {"_step": "_sum"})
+        walk = carry(
+            walk, queue, {"_low": F.min("_sum")}, lambda w: {"_lows": F.min("_low").over(w.rowsBetween(*BEFORE))}
+        )
+        here = F.min("_sum").over(local(queue).orderBy(arrival).rowsBetween(*BEFORE))
+        lowest = F.least(F.lit(0), here, F.col("_lows"))
+        found = (F.col("_step") < 0) & (F.col("_sum") - F.col("_step") - lowest > 0)
+        walk = walk.withColumn("_found", found).drop("_lows", "_sum")
+        walk = walk.withColumn("_up", F.when(F.col("_step") > 0, 1).otherwise(0)).withColumn("_down", F.col("_found").cast("int"))
+        walk = settle(with_running(walk, queue, arrival, {"_up": "_nth_up", "_down": "_nth_down"}))
+        mine = walk.where("_found").select(*[F.col(q).alias(f"{q}_") for q in queue], F.col("_nth_down").alias("_nth_"), F.col(arrival).alias("_end"))
+        starts = walk.where("_step > 0").select(*queue, "_nth_up", F.col("_now").alias("_moved"))
+        same = F.col("_nth_up") == F.col("_nth_")
+        for q in queue:
+            same = same & F.col(q).eqNullSafe(F.col(f"{q}_"))
+        linked = mine.join(starts, same).select(*[F.col(f"{k}_").alias(f"{k}_") for k in self.per], "_end", "_moved")
+        at = F.col(arrival) == F.col("_end")
+        for k in self.per:
+            at = at & F.col(k).eqNullSafe(F.col(f"{k}_"))
+        self.edges = rows.join(linked, at & ~F.col("_begins"), "left")
+
+    def drop(self) -> DataFrame:
+        """Edges without late starts, their ends, and other late ends."""
+        return self.edges.where(~self.late & F.col("_moved").isNull()).select(*self.columns)
+
+    def adjust(self) -> DataFrame:
+        """Late edges at the time of their arrival; ends of moved starts carry the new start."""
+        origin = F.when(~F.col("_begins"), F.coalesce("_moved", self.start)).otherwise(F.col(self.start))
+        out = self.edges.withColumn(self.start, origin).withColumn("vs", F.greatest("vs", "_now"))
+        return out.select(*self.columns)

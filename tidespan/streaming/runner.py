@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.scratch import scratch_dir
 
 
+@contextmanager
+def _state_store(spark: SparkSession):
+    """Queries start with a state store that has typed state and timers; the session's own setting is put back."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class QueryContainer:
     """Named streaming inputs and outputs that run, stop and resume together.
 
@@ -37,14 +51,39 @@ class QueryContainer:
         return f"{self.home}/out/{name}"
 
     def start(self, trigger: dict | None = None) -> dict[str, StreamingQuery]:
-        """Start or resume all outputs. The default trigger works through what is there and stops."""
+        """Start or resume all outputs that do not run. The default trigger works through what is there and stops."""
         for name, df in self.outputs.items():
+            if name in self.running and self.running[name].isActive:
+                continue
             writer = df.writeStream.format("parquet").outputMode("append")
             writer = writer.option("checkpointLocation", f"{self.home}/state/{name}").queryName(name)
             writer = writer.trigger(**(trigger or {"availableNow": True}))
-            self.running[name] = writer.start(self.path(name))
+            with _state_store(self.spark):
+                self.running[name] = writer.start(self.path(name))
         return self.running
 
+    def publish(self, name: str, df: DataFrame) -> None:
+        """An output that is a log as well: consumers may attach to it at any time. What it writes is kept in order of
+        its triggers, and each consumer has an offset of its own in its checkpoint."""
+        self.register_output(name, df)
+
+    def attach(self, name: str, log: str, build, since: int | None = None, trigger: dict | None = None) -> StreamingQuery:
+        """Start a consumer of a published log while other queries run: `build(stream)` makes its output `name`.
+
+        It begins with the first row of the log, or with those from the time `since` on, and sees what it would have seen
+        had it been there from the beginning. Attached again under its name, it goes on where it was.
+        """
+        stream = self.spark.readStream.schema(self.outputs[log].schema).parquet(self.path(log))
+        if since is not None:
+            stream = stream.where(F.col("vs") >= since)
+        self.register_output(name, build(stream))
+        return self.start(trigger)[name]
+
+    def detach(self, name: str) -> None:
+        """Stop a consumer; the log and other consumers go on, and its offset and state stay."""
+        self.running.pop(name).stop()
+        del self.outputs[name]
+
     def run(self) -> None:
         """Start, process all available input, stop."""
         for q in self.start().values():
