@@ -1,44 +1,43 @@
 """Mixing sources to target weights, in DataFrame functions only.
 
-Documents are counted into cells of (source, language, topic). Iterative proportional fitting rakes the cells' token
-weights, one margin after another, until each margin has its target share; the cells keep the interactions that the
-data have. A document is then kept with the probability that turns its cell's tokens into the cell's weight, scaled so
-that the expected sample has the asked share of all tokens; no probability exceeds 1, and what a cell cannot supply is
-made up by the others. The draw is a hash of the key, so it is the same in every run and every retry.
-
-Only the cells, a table with a row for each combination of values, go through the rounds; each round is written.
-
-Cells that fill up pull such a sample off its targets. With `bounded` the bound is part of the raking, which then goes on
-until the margins of the sample itself are met or come no closer; the driver does this, with one row for each cell.
+Documents are counted into cells of (source, language, topic). Iterative proportional fitting rakes the tokens that a
+sample takes from the cells, one margin after another, until each margin has its target share; the cells keep the
+interactions that the data have. No cell can give more than it has, and that bound is part of the raking: a full cell
+stays full, and the other cells of its margin make up for it. A document is then kept with the probability that turns its
+cell's tokens into the cell's share of the sample. The draw is a hash of the key, so it is the same in every run and
+every retry.
+
+Only the cells, a table with a row for each combination of values, go through the rounds; each round is written. Rounds
+end when nothing moves any more. Targets that the data cannot meet at the asked size are missed by as little as the
+rounds can; `margins` reports every target with what is reached and what there is.
 """
 
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .base import replacing, settle
 
 MARGINS = ("source", "lang", "topic")
-#: Passes over the three margins, and passes that find the scale.
-ROUNDS = 6
-SCALINGS = 6
-FRACTION = 0.8
+#: Passes over the three margins at most; they end when no cell's share of the sample changes by more than the tolerance.
+ROUNDS, TOLERANCE = 20, 1e-7
+#: The share of all tokens that a sample has.
+FRACTION = 0.7
 #: Topics by what marks them, in the order in which ties are settled; a text with none of the marks is "prose".
 TOPICS = {"listing": r" \| ", "contact": "@", "markup": r"[&%#$*]{3}", "rights": r"[Ll]icen[cs]e|[Rr]ights reserved"}
 #: Targets are shares to this power, made to add up to one: below 1 it lifts small sources.
 TEMPERATURES = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 #: Bits of the draw.
 DRAW_BITS = 32
-#: Bounded raking ends when no share is off by more than this, or has not come closer by it within so many passes.
-TOLERANCE, PATIENCE = 1e-6, 200
+#: A miss of a target share that is worth a warning.
+MISS = 1e-3
 
 
 def topic(text: Column, topics: dict[str, str] = TOPICS, other: str = "prose") -> Column:
-    """The topic whose pattern occurs most often in the text, the first of several; `other` if none occurs."""
+    """The topic whose pattern occurs most often in the text, of equally frequent ones the first named; `other` if none occurs."""
     counts = [F.regexp_count(text, F.lit(p)) for p in topics.values()]
     most = F.greatest(*counts, F.lit(0))
     out = F.when(most == 0, other)
@@ -60,103 +59,68 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return sums.select(margin, (raised / total).alias("share"))
 
 
-def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """The cells (margins, `n` tokens) with `w`, raked to the targets (margin, `share`).
+def _aims(cells: DataFrame, margin: str, target: DataFrame) -> DataFrame:
+    """(value, tokens there are, share) of every value of a margin; shares add up to one over the values with tokens."""
+    have = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("n").alias("available"))
+    given = target.select(F.col(margin).alias("_v"), F.col("share").cast("double").alias("share"))
+    joined = have.join(given, F.col("value").eqNullSafe(F.col("_v")), "left")
+    share = F.when(F.col("available") > 0, F.greatest(F.coalesce("share", F.lit(0.0)), F.lit(0.0))).otherwise(0.0)
+    aims = settle(joined.select("value", F.coalesce("available", F.lit(0)).alias("available"), share.alias("share")))
+    total = aims.agg(F.sum("share")).first()[0] or 1.0
+    return aims.withColumn("share", F.col("share") / total)
+
 
-    Weights begin as tokens. Values that a target does not name get weight 0; shares are taken to add up to one over the
-    values that occur. Nulls are a value like any other.
+def _fitted(cells: DataFrame, margin: str, aims: DataFrame, asked: float) -> DataFrame:
+    """The cells with `w` moved so that the tokens taken from each value, at most n of a cell, come to its budget.
+
+    One step: what the full cells hold is set off, and the open ones are scaled to the rest. Where the full cells alone
+    hold more than the budget, all are scaled down.
     """
-    total = float(cells.agg(F.sum("n")).first()[0] or 0)
-    out = cells.withColumn("w", F.col("n").cast("double"))
-    for _ in range(rounds):
-        for margin, target in targets.items():
-            sums = out.groupBy(F.col(margin).alias("_m")).agg(F.sum("w").alias("s"))
-            aims = target.select(F.col(margin).alias("_a"), "share")
-            factor = F.when(F.col("s") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("s")).otherwise(0.0)
-            scale = sums.join(aims, F.col("_m").eqNullSafe(F.col("_a")), "left").select("_m", factor.alias("f"))
-            weighted = out.join(scale, F.col(margin).eqNullSafe(F.col("_m")))
-            out = settle(weighted.select(*cells.columns, (F.col("w") * F.col("f")).alias("w")))
-    return out
+    full = F.col("w") >= F.col("n")
+    sums = cells.groupBy(F.col(margin).alias("_m")).agg(
+        F.sum(F.when(full, F.col("n")).otherwise(0.0)).alias("filled"),
+        F.sum(F.when(full, 0.0).otherwise(F.col("w"))).alias("open"),
+        F.sum(F.least("w", "n")).alias("all"),
+    )
+    budget = F.col("share") * asked
+    over = F.col("filled") > budget
+    factor = F.when(over, budget / F.col("all")).when(F.col("open") > 0, (budget - F.col("filled")) / F.col("open")).otherwise(1.0)
+    sums = sums.join(aims, F.col("_m").eqNullSafe(F.col("value"))).select("_m", over.alias("over"), factor.alias("f"))
+    base = F.when(F.col("over"), F.least("w", "n")).otherwise(F.col("w"))
+    joined = cells.join(sums, F.col(margin).eqNullSafe(F.col("_m")))
+    return joined.select(*[c for c in cells.columns if c != "w"], F.least(base * F.col("f"), F.lit(1e150)).alias("w"))
 
 
-def calibrated(cells: DataFrame, fraction: float = FRACTION, scalings: int = SCALINGS) -> DataFrame:
-    """The cells with `p` = min(1, scale * w / n), where the expected tokens are the fraction of all tokens.
+def fitted(cells: DataFrame, targets: dict[str, DataFrame], fraction: float = FRACTION, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """The cells (margins, `n` tokens) with the probability `p` of a token, and the margins that are reached.
 
-    Each pass spreads what the full cells cannot take over the others; `scalings` passes suffice for as many steps of
-    cells filling up.
-    """
-    ratio = F.when(F.col("n") > 0, F.col("w") / F.col("n")).otherwise(F.lit(0.0))
-    out = cells.withColumn("r", ratio)
-    sums = out.agg(F.sum("n"), F.sum("w")).first()
-    scale = sums[0] * fraction / sums[1] if sums[1] else 0.0
-    for _ in range(scalings - 1):
-        full = F.col("r") * scale >= 1
-        filled, rest = out.agg(
-            F.sum(F.when(full, F.col("n")).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(F.col("w")))
-        ).first()
-        if rest:
-            scale = (sums[0] * fraction - filled) / rest
-    return out.select(*cells.columns, F.least(F.lit(1.0), F.col("r") * scale).alias("p"))
-
-
-def _filled(w: np.ndarray, n: np.ndarray, codes: np.ndarray, budget: np.ndarray) -> np.ndarray:
-    """Of each value the factor f with sum(min(n, f * w)) = budget; one that fills all its cells if they hold less."""
-    sums = lambda x: np.bincount(codes, x, len(budget))
-    full, f = np.zeros(len(n), bool), np.ones(len(budget))
-    while True:
-        rest, open_ = budget - sums(n * full), sums(np.where(full, 0.0, w))
-        np.divide(np.maximum(rest, 0), open_, out=f, where=open_ > 0)
-        more = full | ((w > 0) & (f[codes] * w >= n))
-        if (more == full).all():
-            return f
-        full = more
-
-
-def bounded(cells: DataFrame, targets: dict[str, DataFrame], fraction: float = FRACTION) -> tuple[DataFrame, DataFrame]:
-    """The cells with `w` and `p` <= 1, raked so that the sample meets the targets; and the margins that it reaches.
-
-    A cell keeps min(n, w) tokens, w being its tokens times a factor for each of its values. The factors are found in
-    turn, each with the bound in force, until every margin has its target share of the fraction of all tokens. If
-    that cannot be, those of the passes with the smallest worst miss stay. The margins are (margin, value, target,
-    reached, available), in shares of the sample asked for; available is what the value has in all.
+    `targets` has for each margin a DataFrame (margin, `share`). Values that it does not name get nothing; nulls are a value
+    like any other. The margins are (margin, value, target, reached, available), in shares of the sample asked for;
+    available is what the value has in all.
     """
-    table = cells.select(*targets, "n").toArrow()
-    n = np.nan_to_num(table.column("n").to_numpy().astype(np.float64))
-    asked, margins = n.sum() * fraction, {}
-    for margin, target in targets.items():
-        values = table.column(margin).to_pylist()
-        names = list(dict.fromkeys(values))
-        place = {v: i for i, v in enumerate(names)}
-        codes = np.array([place[v] for v in values], np.int64)
-        given = {r[0]: r[1] for r in target.where(F.col(margin).isin(*names) | F.col(margin).isNull()).select(margin, "share").collect()}
-        share = np.array([given.get(v) or 0.0 for v in names])
-        share[np.bincount(codes, n, len(names)) == 0] = 0
-        margins[margin] = names, codes, share / (share.sum() or 1.0)
-    w = n.copy()
-    kept, worst, best, since = n * fraction, np.inf, np.inf, 0
-    while len(n) and asked and worst > TOLERANCE and since < PATIENCE:
-        for _, codes, share in margins.values():
-            w = np.clip(w * _filled(w, n, codes, share * asked)[codes], 0, 1e150)
-            now = np.minimum(n, w)
-            off = [np.abs(np.bincount(c, now, len(s)) / asked - s).max() for _, c, s in margins.values()]
-            if max(off) < worst:
-                kept, worst = now, max(off)
-        since = 0 if worst < best - TOLERANCE else since + 1
-        best = min(best, worst) if since == 0 else best
-    spark = cells.sparkSession
-    p = np.divide(kept, n, out=np.zeros(len(n)), where=n > 0)
-    out = table.append_column("p", pa.array(np.minimum(p, 1.0))).append_column("w", pa.array(kept / fraction))
-    kinds = ", ".join(f"{m} string" for m in targets)
+    aims = {m: _aims(cells, m, t) for m, t in targets.items()}
+    total = float(cells.agg(F.sum("n")).first()[0] or 0)
+    asked = total * fraction
+    out = settle(cells.select(*targets, F.coalesce("n", F.lit(0)).cast("double").alias("n")).withColumn("w", F.col("n")))
+    for _ in range(rounds if asked else 0):
+        moved = out.withColumn("_was", F.least("w", "n"))
+        for margin in targets:
+            moved = _fitted(moved, margin, aims[margin], asked)
+        moved = settle(moved)
+        change = moved.agg(F.max(F.abs(F.least("w", "n") - F.col("_was")))).first()[0]
+        out = moved.drop("_was")
+        if change <= TOLERANCE * asked:
+            break
+    taken = F.least("w", "n")
+    out = out.select(*targets, F.col("n").cast("long").alias("n"), F.when(F.col("n") > 0, taken / F.col("n")).otherwise(0.0).alias("p"))
+    out = settle(out)
     reached = []
-    for margin, (names, codes, share) in margins.items():
-        have = [np.bincount(codes, x, len(names)) / (asked or 1.0) for x in (kept, n)]
-        reached += [(margin, v, *map(float, x)) for v, *x in zip(names, share, *have, strict=True)]
-    if np.isfinite(worst) and worst > 1e-3:
-        logging.getLogger(__name__).warning(
-            "targets cannot all be met: %.1f %% of the tokens, worst share off by %.4f", 100 * kept.sum() / n.sum(), worst
-        )
-    report = "margin string, value string, target double, reached double, available double"
-    return settle(spark.createDataFrame(out, f"{kinds}, n long, p double, w double")), spark.createDataFrame(reached, report)
+    for margin, aim in aims.items():
+        have = out.groupBy(F.col(margin).alias("_m")).agg((F.sum(F.col("n") * F.col("p")) / (asked or 1.0)).alias("reached"))
+        joined = aim.join(have, F.col("value").eqNullSafe(F.col("_m")))
+        columns = F.col("share").alias("target"), "reached", (F.col("available") / (asked or 1.0)).alias("available")
+        reached.append(joined.select(F.lit(margin).alias("margin"), F.col("value").cast("string").alias("value"), *columns))
+    return out, reduce(DataFrame.unionByName, reached)
 
 
 def draw(key: Column, text: Column) -> Column:
@@ -195,23 +159,24 @@ def weighed(
     targets: dict[str, DataFrame] | None = None,
     fraction: float = FRACTION,
     temperatures: dict[str, float] | None = None,
-    bound: bool = False,
 ) -> DataFrame:
     """All rows as a struct `row` with `topic`, `tokens`, the probability `p`, the weight `w` of a token, and `kept`.
 
     `targets` has, for "source", "lang" and "topic", a DataFrame (that column, `share`); without them the tempered shares
     of the data are the targets. Null sources and languages are values like any other; documents without tokens
-    follow their cell's probability, which is 0 if the cell has none. Rows that share a key share their draw. With `bound`
-    the probabilities are those of `bounded`.
+    follow their cell's probability, which is 0 if the cell has none. Rows that share a key share their draw; repeated rows
+    stay or go together. Texts of any length are read whole, null texts as empty.
     """
     rows = _rows(docs, text, key, source, lang)
     cells, aims = _aimed(rows, targets, temperatures)
-    shares = bounded(cells, aims, fraction)[0] if bound else settle(calibrated(raked(cells, aims), fraction))
-    shares = shares.select(*[F.col(m).alias("_" + m) for m in MARGINS], "p", "n", "w")
+    shares, reached = fitted(cells, aims, fraction)
+    worst = reached.agg(F.max(F.abs(F.col("target") - F.col("reached")))).first()[0] or 0.0
+    if worst > MISS:
+        logging.getLogger(__name__).warning("targets cannot all be met at this size: the worst share is off by %.4f", worst)
+    shares = shares.select(*[F.col(m).alias("_" + m) for m in MARGINS], "p")
     same = [F.col(m).eqNullSafe(F.col("_" + m)) for m in MARGINS]
     joined = rows.join(shares, same[0] & same[1] & same[2])
-    per_token = F.when(F.col("n") > 0, F.col("w") / F.col("n")).otherwise(F.lit(0.0))
-    return joined.select("row", "topic", "tokens", "p", per_token.alias("w"), (F.col("u") < F.col("p")).alias("kept"))
+    return joined.select("row", "topic", "tokens", "p", (F.col("p") / fraction).alias("w"), (F.col("u") < F.col("p")).alias("kept"))
 
 
 def margins(
@@ -223,8 +188,8 @@ def margins(
     fraction: float = FRACTION,
     temperatures: dict[str, float] | None = None,
 ) -> DataFrame:
-    """What a bounded sample is expected to reach: (margin, value, target, reached, available); see `bounded`."""
-    return bounded(*_aimed(_rows(docs, text, text, source, lang), targets, temperatures), fraction)[1]
+    """What a sample is expected to reach: (margin, value, target, reached, available); see `fitted`."""
+    return fitted(*_aimed(_rows(docs, text, text, source, lang), targets, temperatures), fraction)[1]
 
 
 def mark(docs: DataFrame, **options) -> DataFrame:
@@ -265,31 +230,33 @@ cells AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS n FROM t2 G
             f"aim_{m} AS (SELECT {m}, pow(n, {TEMPERATURES[m]}) / sum(pow(n, {TEMPERATURES[m]})) OVER () AS share "
             f"FROM (SELECT {m}, sum(n) AS n FROM cells GROUP BY 1) WHERE n > 0)"
         )
-    last, wt = "w0", "w0 AS (SELECT *, n AS w FROM cells)"
-    parts.append(wt)
-    for i in range(ROUNDS):
+    last = "w0"
+    parts.append(f"w0 AS MATERIALIZED (SELECT *, n AS w, 1e300 AS change, {FRACTION} * sum(n) OVER () AS asked FROM cells)")
+    for i in range(1, ROUNDS + 1):
+        before = last
         for m in MARGINS:
             now = f"w{i}_{m}"
             parts.append(
-                f"{now} AS (SELECT c.source, c.lang, c.topic, n, CASE WHEN s > 0 THEN w * (coalesce(share, 0.0) * total / s) "
-                f"ELSE 0 END AS w FROM (SELECT *, sum(w) OVER (PARTITION BY {m}) AS s, sum(n) OVER () AS total FROM {last}) c "
-                f"LEFT JOIN aim_{m} a ON a.{m} IS NOT DISTINCT FROM c.{m})"
+                f"{now} AS MATERIALIZED (SELECT * EXCLUDE (w, filled, open, taken, b), CASE WHEN filled > b THEN least(w, n) * (b / taken) "
+                f"WHEN open > 0 THEN w * ((b - filled) / open) ELSE w END AS w FROM (SELECT c.*, coalesce(share, 0.0) * asked AS b, "
+                f"sum(CASE WHEN w >= n THEN n ELSE 0 END) OVER v AS filled, sum(CASE WHEN w >= n THEN 0 ELSE w END) OVER v AS open, "
+                f"sum(least(w, n)) OVER v AS taken FROM {last} c LEFT JOIN aim_{m} a ON a.{m} IS NOT DISTINCT FROM c.{m} "
+                f"WINDOW v AS (PARTITION BY c.{m})))"
             )
             last = now
-    parts.append(f"ratios AS (SELECT *, CASE WHEN n > 0 THEN w / n ELSE 0 END AS r FROM {last})")
-    parts.append(f"s0 AS (SELECT sum(n) * {FRACTION} / sum(w) AS scale FROM ratios)")
-    for i in range(1, SCALINGS):
+        same = " AND ".join(f"x.{m} IS NOT DISTINCT FROM y.{m}" for m in MARGINS)
+        # rounds after the one in which nothing moves any more change nothing
         parts.append(
-            f"s{i} AS (SELECT CASE WHEN sum(CASE WHEN r * scale >= 1 THEN 0 ELSE w END) > 0 THEN "
-            f"(sum(n) * {FRACTION} - sum(CASE WHEN r * scale >= 1 THEN n ELSE 0 END)) / "
-            f"sum(CASE WHEN r * scale >= 1 THEN 0 ELSE w END) ELSE max(scale) END AS scale FROM ratios, s{i - 1})"
+            f"w{i} AS MATERIALIZED (SELECT x.* EXCLUDE (w, change), CASE WHEN x.change <= {TOLERANCE} * x.asked THEN x.w ELSE y.w END AS w, "
+            f"CASE WHEN x.change <= {TOLERANCE} * x.asked THEN x.change ELSE max(abs(least(x.w, x.n) - least(y.w, y.n))) OVER () END AS change "
+            f"FROM {before} x JOIN {last} y ON {same})"
         )
+        last = f"w{i}"
+    parts.append(f"shares AS (SELECT *, CASE WHEN n > 0 THEN least(w, n) / n ELSE 0 END AS p FROM {last})")
     return (
         "WITH "
         + ",\n".join(parts)
         + f"""
-SELECT doc_id, t2.topic, tokens, round(least(1.0, r * scale), 9) AS probability, round(r, 9) AS weight,
-  u < least(1.0, r * scale) AS kept
-FROM t2 JOIN ratios c ON t2.topic = c.topic AND t2.source IS NOT DISTINCT FROM c.source
-  AND t2.lang IS NOT DISTINCT FROM c.lang, s{SCALINGS - 1}"""
+SELECT doc_id, t2.topic, tokens, round(p, 6) AS probability, round(p / {FRACTION}, 6) AS weight, u < p AS kept
+FROM t2 JOIN shares c ON t2.topic = c.topic AND t2.source IS NOT DISTINCT FROM c.source AND t2.lang IS NOT DISTINCT FROM c.lang"""
     )

@@ -30,7 +30,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic, raked weight, sampling probability and draw of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     out = mixing.mark(docs)
-    places = [F.round(c, 9).alias(c) for c in ("probability", "weight")]
+    places = [F.round(c, 6).alias(c) for c in ("probability", "weight")]
     return out.select("doc_id", "topic", "tokens", *places, "kept")
 
 
