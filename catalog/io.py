@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidespan import TemporalFrame
 from tidespan.functions.time import micros
 from tidespan.sources import ingress
 from tidespan.sources.scratch import scratch_dir
@@ -13,6 +14,9 @@ EDGES = f"""SELECT event_id, user_id, vs AS sync, {INF} AS other, 'start' AS kin
 UNION ALL SELECT event_id, user_id, ve, vs, 'end' FROM ({INTERVALS})"""
 
 
+UP = f"((vs + {6 * HOUR} - 1) // {6 * HOUR} * {6 * HOUR})"
+
+
 @query("to_changelog", EDGES)
 def to_changelog(t):
     """Start and end edges."""
@@ -181,3 +185,20 @@ def cache(t):
     """Materialised once, used twice."""
     f = t.intervals("event_id").cache()
     return f.union(f)
+
+
+@query("cache_first_rows", f"SELECT event_id, user_id, vs, ve FROM ({INTERVALS}) ORDER BY vs, ve, event_id LIMIT 200")
+def cache_first_rows(t):
+    """Only the first rows in time are kept."""
+    return t.intervals("event_id", "user_id").cache(limit=200)
+
+
+@query(
+    "cache_inferred",
+    f"SELECT event_type, {UP} AS vs, {UP} + {6 * HOUR} AS ve, count(*) AS n FROM ({POINTS}) GROUP BY ALL",
+)
+def cache_inferred(t):
+    """Windows whose constant length and grid are found in the data, so that a plain aggregation does."""
+    f = TemporalFrame(t.points("event_type").tumbling(6 * HOUR).df, "event_type").cache(infer=True)
+    assert f.props.tumbling
+    return f.count()

@@ -522,3 +522,28 @@ def stream_late_consumer(t):
         box.running[name].awaitTermination()
     found = [box.result(n).withColumn("consumer", F.lit(n)) for n in ("all", "late")]
     return found[0].unionByName(found[1]).where(F.col("vs") < FAR)
+
+
+@query(
+    "stream_input_rows",
+    f"""SELECT event_type AS input, count(*) AS n, event_type = 'error' AS waiting FROM ({POINTS}) WHERE event_type IN ('view', 'error') GROUP BY ALL""",
+)
+def stream_input_rows(t):
+    """What two named inputs have brought; one of them brings nothing in the last run and holds the other back."""
+    paths = {}
+    for name in ("view", "error"):
+        df = t.points("event_id", "event_type").where(f"event_type = '{name}'").df
+        paths[name] = scratch_dir(t.spark, "feed"), df
+    box = QueryContainer(t.spark)
+    early = F.col("vs") < 1704067200000000 + 15 * DAY
+    for name, (path, df) in paths.items():
+        replay(path, df.where(early) if name == "view" else df)
+    both = [box.register_input(name, path, df.schema) for name, (path, df) in paths.items()]
+    box.register_output("out", both[0].unionByName(both[1]))
+    box.run()
+    first = box.input_rows()
+    replay(paths["view"][0], paths["view"][1].where(~early))
+    box.run()
+    waiting, second = box.waiting_inputs(), box.input_rows()
+    rows = [(name, first[name] + second[name], name in waiting) for name in paths]
+    return t.spark.createDataFrame(rows, "input string, n bigint, waiting boolean")

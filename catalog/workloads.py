@@ -194,14 +194,8 @@ RULED = f"""SELECT rule, event_id, cents, vs - vs % (size * {HOUR}) AS vs, vs -
 JOIN (VALUES ('A', 1), ('B', 6), ('C', 24)) r(name, size) ON name = rule"""
 
 
-@query(
-    "rules_engine",
-    f"""SELECT rule, measure, amount, vs, ve FROM (
-  SELECT rule, vs, ve, unnest(['count', 'max', 'sum']) AS measure, unnest([n, high, total]) AS amount FROM (
-    {segments_sql(RULED, 'rule', 'count(*) AS n, max(cents) AS high, CAST(sum(cents) AS BIGINT) AS total')}))""",
-)
-def rules_engine(t):
-    """Events fan out to rules, every rule has its own window, and its aggregate fans out to results."""
+def ruled(t):
+    """Events fan out to rules, and every rule has windows of its own."""
     rules = (
         F.when(F.col("event_type") == "view", F.array(F.lit("A"), F.lit("B")))
         .when(F.col("event_type") == "purchase", F.array(F.lit("B"), F.lit("C")))
@@ -210,8 +204,40 @@ def rules_engine(t):
     )
     size = F.when(F.col("rule") == "A", HOUR).when(F.col("rule") == "B", 6 * HOUR).otherwise(24 * HOUR)
     f = t.points().flat_map(rules, "rule", keep=["event_id", "cents"]).partition("rule")
-    f = f.set_lifetime(F.col("vs") - F.col("vs") % size, size.cast("bigint"))
-    out = f.aggregate(n=A.count(), high=A.max_("cents"), total=A.sum_("cents"))
+    return f.set_lifetime(F.col("vs") - F.col("vs") % size, size.cast("bigint"))
+
+
+@query(
+    "rules_engine_user_aggregate",
+    f"""SELECT rule, measure, amount, vs, ve FROM (
+  SELECT rule, vs, ve, unnest(['gap', 'spread']) AS measure,
+    unnest([coalesce(list_max([s[i + 1] - s[i] for i in range(1, len(s))]), 0), s[len(s)] - s[1]]) AS amount FROM (
+    {segments_sql(RULED, 'rule', 'list_sort(list(cents)) AS s')}))""",
+)
+def rules_engine_user_aggregate(t):
+    """The rules' windows under an aggregate of the user's: the widest gap between neighbours of the ordered values."""
+    long = lambda v: v.cast("bigint")
+    start = F.struct(long(F.lit(None)).alias("first"), long(F.lit(None)).alias("last"), long(F.lit(0)).alias("gap"))
+
+    def step(state, v):
+        gap = F.greatest(state["gap"], v - F.coalesce(state["last"], v))
+        return F.struct(F.coalesce(state["first"], v).alias("first"), v.alias("last"), gap.alias("gap"))
+
+    both = lambda s: F.struct(s["gap"].alias("gap"), (s["last"] - s["first"]).alias("spread"))
+    out = ruled(t).aggregate(u=A.user_fold("cents", start, step, both))
+    measures = [F.struct(F.lit(n).alias("measure"), F.col("u")[n].alias("amount")) for n in ("gap", "spread")]
+    return out.flat_map(F.array(*measures), "m").select(measure="m.measure", amount="m.amount")
+
+
+@query(
+    "rules_engine",
+    f"""SELECT rule, measure, amount, vs, ve FROM (
+  SELECT rule, vs, ve, unnest(['count', 'max', 'sum']) AS measure, unnest([n, high, total]) AS amount FROM (
+    {segments_sql(RULED, 'rule', 'count(*) AS n, max(cents) AS high, CAST(sum(cents) AS BIGINT) AS total')}))""",
+)
+def rules_engine(t):
+    """Events fan out to rules, every rule has its own window, and its aggregate fans out to results."""
+    out = ruled(t).aggregate(n=A.count(), high=A.max_("cents"), total=A.sum_("cents"))
     measures = F.array(
         *[
             F.struct(F.lit(name).alias("measure"), F.col(c).alias("amount"))

@@ -156,3 +156,13 @@ def test_percentiles_scan_each_stretch_once(spark, monkeypatch):
         monkeypatch.setattr(quantiles, name, lambda *a, f=getattr(quantiles, name), n=name, **k: calls.append(n) or f(*a, **k))
     entry.queries()["percentile_continuous"](spark, SF)
     assert calls == ["sweep", "scan_ordered"]
+
+
+def test_several_families_of_aggregates_scan_their_input_once(spark, monkeypatch):
+    """Sums, extremes and deviations share one timeline: the table is written once, and read from there."""
+    from tidespan.operators import aggregate
+
+    texts = []
+    monkeypatch.setattr(aggregate, "settle", lambda df, f=aggregate.settle: texts.append(df._jdf.queryExecution().executedPlan().toString()) or f(df))
+    final, _ = plan(spark, "multi_aggregate")
+    assert len(texts) == 1 and texts[0].count("events.parquet") == 1 and "events.parquet" not in final

@@ -8,10 +8,11 @@ from ..functions.aggregates import Additive, Mergeable, Moments, Multiset, Quant
 from ..functions.time import INF, col
 from ..plans.quantiles import counted_segments, order_statistics
 from ..plans.ranks import blocks_and_lookups, look_up
-from ..plans.slices import BEFORE, SLICE, UPTO, by, local, match
+from ..plans.slices import BEFORE, SLICE, UPTO, Cuts, by, local, match
 from ..plans.sliding import MERGES, sliding
 from ..plans.sweep import sweep
 from ..plans.timeline import instants
+from ..sources.scratch import settle
 
 
 class AggregateOps:
@@ -36,15 +37,15 @@ class AggregateOps:
         else:
             rest = aggs
         additive = {n: a for n, a in rest.items() if isinstance(a, Additive)}
-        if additive:
-            families.append(_swept(self.df, keys, additive, self.cuts))
         mergeable = {n: a for n, a in rest.items() if isinstance(a, Mergeable)}
-        if mergeable:
-            plan = _running if self.props.open_ended else _merged
-            families.append(plan(self.df, keys, mergeable, self.cuts))
         moments = {n: a for n, a in rest.items() if isinstance(a, Moments)}
-        if moments:
-            families.append(_moments(self.df, keys, moments, self.cuts))
+        if mergeable and self.props.open_ended:
+            families.append(_running(self.df, keys, mergeable, self.cuts))
+            mergeable = {}
+        if mergeable or moments:
+            families.append(_ranked(self.df, keys, additive, mergeable, moments))
+        elif additive:
+            families.append(_swept(self.df, keys, additive, self.cuts))
         for n, a in aggs.items():
             if isinstance(a, Quantile):
                 families.append(_by_rank(self.df, keys, n, a, self.cuts))
@@ -198,18 +199,50 @@ def _swept(df, keys, aggs, cuts) -> DataFrame:
     return seg.select(*keys, "vs", "ve", *[_finish(n, a, F.col) for n, a in aggs.items()])
 
 
-def _merged(df, keys, aggs, cuts) -> DataFrame:
-    parts = _parts(aggs)
-    merge = {f"_{n}_{p}": a.merge[p] for n, a in aggs.items() for p in a.parts}
-    rows = df.select(*keys, "vs", "ve", *[c.alias(p) for ps in parts.values() for p, c in ps.items()])
+def _ranked(df, keys, additive, mergeable, moments) -> DataFrame:
+    """All aggregates over one timeline of ranked instants, from one scan of the input.
+
+    What can be taken away again is summed along the instants. Merged states, and counts, means and squared deviations,
+    are kept for each block; a snapshot has at most one block of each level and side, so what is listed for it is short.
+    """
+    sums = {p: c for ps in _parts(additive).values() for p, c in ps.items()}
+    parts = {p: c for ps in _parts(mergeable).values() for p, c in ps.items()}
+    merge = {f"_{n}_{p}": a.merge[p] for n, a in mergeable.items() for p in a.parts}
+    values = {f"_{n}": a.row() for n, a in moments.items()}
+    rows = df.select(*keys, "vs", "ve", *[c.alias(n) for n, c in (sums | parts | values).items()])
+
+    def fold(frame, group, **more):
+        return frame.groupBy(*group).agg(*[m(p).alias(p) for p, m in merge.items()], *[c.alias(n) for n, c in more.items()])
+
+    if not moments:
+        rows = fold(rows, [*keys, "vs", "ve"], **{p: F.sum(p) for p in sums}, _c=F.count(F.lit(1))).drop("_c")
+    rows = settle(rows)
+    cuts = Cuts(rows, keys, "vs")
+    blocks, lookups = blocks_and_lookups(rows, keys, cuts, list(sums))
+    states = {
+        v: F.struct(F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2")) for v in values
+    }
+    found = look_up(lookups, fold(blocks, [*keys, "_lvl", "_node"], **states), keys)
+    listed = {v: F.array_sort(F.collect_list(v)) for v in values}
+    out = fold(found, [*keys, "vs", "ve"], **listed, **{p: F.any_value(p) for p in sums})
+    outs = [_finish(n, a, F.col) for n, a in (additive | mergeable).items()]
+    for n, a in moments.items():
+        total = F.aggregate(f"_{n}", _no_moments(), _merged_moments)
+        outs.append(a.finish(total["n"], total["mean"], total["m2"]).alias(n))
+    return out.select(*keys, "vs", "ve", *outs)
+
 
-    def fold(frame, group):
-        return frame.groupBy(*group).agg(*[m(p).alias(p) for p, m in merge.items()])
+def _no_moments() -> Column:
+    return F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
 
-    blocks, lookups = blocks_and_lookups(fold(rows, [*keys, "vs", "ve"]), keys, cuts)
-    found = look_up(lookups, fold(blocks, [*keys, "_lvl", "_node"]), keys)
-    out = fold(found, [*keys, "vs", "ve"])
-    return out.select(*keys, "vs", "ve", *[_finish(n, a, F.col) for n, a in aggs.items()])
+
+def _merged_moments(a: Column, b: Column) -> Column:
+    n = a["n"] + b["n"]
+    gap = b["mean"] - a["mean"]
+    mean = a["mean"] + gap * b["n"] / n
+    m2 = a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n
+    one = lambda name, c: F.when(a["n"] == 0, b[name]).when(b["n"] == 0, a[name]).otherwise(c).alias(name)
+    return F.struct(n.alias("n"), one("mean", mean), one("m2", m2))
 
 
 def _running(df, keys, aggs, cuts) -> DataFrame:
@@ -242,41 +275,6 @@ def _running(df, keys, aggs, cuts) -> DataFrame:
     return out.select(*keys, "vs", ends, *[_finish(n, a, F.col) for n, a in aggs.items()])
 
 
-def _moments(df, keys, aggs, cuts) -> DataFrame:
-    """Counts, means and squared deviations of each block, merged for each snapshot.
-
-    A snapshot has at most one block of each level and side, so what is listed for it is short.
-    """
-    rows = df.select(*keys, "vs", "ve", *[a.row().alias(f"_{n}") for n, a in aggs.items()])
-    blocks, lookups = blocks_and_lookups(rows, keys, cuts)
-    state = {
-        n: F.struct(
-            F.count(f"_{n}").alias("n"),
-            F.avg(f"_{n}").alias("mean"),
-            (F.var_pop(f"_{n}") * F.count(f"_{n}")).alias("m2"),
-        )
-        for n in aggs
-    }
-    states = blocks.groupBy(*keys, "_lvl", "_node").agg(*[c.alias(f"_{n}") for n, c in state.items()])
-    found = look_up(lookups, states, keys).groupBy(*keys, "vs", "ve")
-    found = found.agg(*[F.array_sort(F.collect_list(f"_{n}")).alias(f"_{n}") for n in aggs])
-
-    def merged(a, b):
-        n = a["n"] + b["n"]
-        gap = b["mean"] - a["mean"]
-        mean = a["mean"] + gap * b["n"] / n
-        m2 = a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n
-        one = lambda name, c: F.when(a["n"] == 0, b[name]).when(b["n"] == 0, a[name]).otherwise(c).alias(name)
-        return F.struct(n.alias("n"), one("mean", mean), one("m2", m2))
-
-    empty = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-    outs = []
-    for n, a in aggs.items():
-        total = F.aggregate(f"_{n}", empty, merged)
-        outs.append(a.finish(total["n"], total["mean"], total["m2"]).alias(n))
-    return found.select(*keys, "vs", "ve", *outs)
-
-
 def _by_rank(df, keys, name, agg, cuts) -> DataFrame:
     rows = df.select(*keys, "vs", "ve", agg.row().alias("_v"))
     segments = counted_segments(rows, keys, cuts)

@@ -5,6 +5,10 @@ row starts strictly inside the right lifetime. Each half is a point-in-interval
 or two buckets it touches of the smallest width that is a power of four and holds it; a point is filed in one bucket
 per width that occurs, at most 32. The join is then an equality on (keys, width, bucket), with candidates proportional to results
 even without keys, instead of all pairs of a key or a nested loop.
+
+Open lifetimes hold all points that come after their start. Under a key they share one bucket. Without keys they are filed
+by the time slice in which they start, and a point in every slice up to its own: no task has them all, and pairs in the
+wrong order are met in one slice only.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.time import INF
+from .slices import Cuts
 
 LVL, BUCKET = "_w", "_b"
 
@@ -26,16 +31,24 @@ def width_class(vs="vs", ve="ve") -> Column:
     return F.when(F.col(ve) >= INF, F.lit(OPEN)).otherwise(length)
 
 
-def file_intervals(df: DataFrame, vs: str, ve: str) -> DataFrame:
+def file_intervals(df: DataFrame, vs: str, ve: str, open_cuts: Cuts | None = None) -> DataFrame:
     df = df.withColumn(LVL, width_class(vs, ve))
-    return df.withColumn(
-        BUCKET,
-        F.explode(F.expr(f"sequence(shiftright(`{vs}`, {LVL}), shiftright(`{ve}` - 1, {LVL}))")),
-    )
+    buckets = F.expr(f"sequence(shiftright(`{vs}`, {LVL}), shiftright(`{ve}` - 1, {LVL}))")
+    if open_cuts is None:
+        return df.withColumn(BUCKET, F.explode(buckets))
+    df = open_cuts.attach(df, vs, "_start")
+    by_start = F.array(F.col("_start").cast("long"))
+    return df.withColumn(BUCKET, F.explode(F.when(F.col(LVL) == OPEN, by_start).otherwise(buckets))).drop("_start")
 
 
-def file_points(df: DataFrame, t: str, widths: Column) -> DataFrame:
-    return df.withColumn(LVL, F.explode(widths)).withColumn(BUCKET, F.expr(f"shiftright(`{t}`, {LVL})"))
+def file_points(df: DataFrame, t: str, widths: Column, open_cuts: Cuts | None = None) -> DataFrame:
+    df = df.withColumn(LVL, F.explode(widths))
+    bucket = F.expr(f"shiftright(`{t}`, {LVL})")
+    if open_cuts is None:
+        return df.withColumn(BUCKET, bucket)
+    df = open_cuts.attach(df, t, "_upto")
+    upto = F.sequence(F.lit(0).cast("long"), F.col("_upto").cast("long"))
+    return df.withColumn(BUCKET, F.explode(F.when(F.col(LVL) == OPEN, upto).otherwise(F.array(bucket)))).drop("_upto")
 
 
 def widths_of(df: DataFrame, vs: str, ve: str, props) -> Column:
@@ -66,8 +79,11 @@ def overlap_join(
     ):
         if strict and props is not None and props.duration == 1:
             continue  # nothing starts strictly inside a point
-        filed = file_intervals(ivs, lo, hi)
-        points = file_points(pts, t, widths_of(ivs, lo, hi, props))
+        widths = widths_of(ivs, lo, hi, props)
+        finite = props is not None and props.duration is not None
+        open_cuts = None if lk or finite else Cuts(ivs.where(F.col(hi) >= INF), [], lo)
+        filed = file_intervals(ivs, lo, hi, open_cuts)
+        points = file_points(pts, t, widths, open_cuts)
         a, b = (filed, points) if not strict else (points, filed)
         after = F.col(t) > F.col(lo) if strict else F.col(t) >= F.col(lo)
         cond = equal(lk, rk) & after & (F.col(t) < F.col(hi))

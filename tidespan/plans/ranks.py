@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.time import INF
 from ..sources.scratch import settle
-from .slices import BEFORE, SLICE, Cuts, carry, local, match
+from .slices import BEFORE, SLICE, UPTO, Cuts, carry, local, match
 from .timeline import instants
 
 
@@ -32,21 +32,26 @@ def with_blocks(df: DataFrame) -> DataFrame:
     return df.drop("_lo", "_hi")
 
 
-def ranked_segments(df: DataFrame, keys, cuts: Cuts) -> DataFrame:
-    """(keys, vs, ve, rank) for all instants of each key; the open end has a rank of its own."""
-    points = df.select(*keys, F.explode(F.array("vs", "ve")).alias("_t"))
-    tl = instants(points, keys, "_t", cuts)
+def ranked_segments(df: DataFrame, keys, cuts: Cuts, sums=()) -> DataFrame:
+    """(keys, vs, ve, rank) for all instants of each key, with the sums over the active rows of the columns `sums`, which
+    can be taken away again; the open end has a rank of its own."""
+    at = lambda t, sign: F.struct(F.col(t).alias("_t"), *[(sign * F.coalesce(s, F.lit(0))).alias(s) for s in sums])
+    points = df.select(*keys, F.explode(F.array(at("vs", 1), at("ve", -1))).alias("_p")).select(*keys, "_p.*")
+    tl = instants(points, keys, "_t", cuts, **{s: F.sum(s) for s in sums})
     tl = carry(
         tl,
         keys,
-        {"_n": F.count(F.lit(1)), "_first": F.min("_t")},
+        {"_n": F.count(F.lit(1)), "_first": F.min("_t"), **{f"_s{i}": F.sum(s) for i, s in enumerate(sums)}},
         lambda w: {
             "_base": F.sum("_n").over(w.rowsBetween(*BEFORE)),
             "_nextfirst": F.lead("_first").over(w),
+            **{f"_c{i}": F.sum(f"_s{i}").over(w.rowsBetween(*BEFORE)) for i, _ in enumerate(sums)},
         },
     )
     w = local(keys).orderBy("_t")
+    run = w.rowsBetween(*UPTO)
     return tl.select(
+        *[(F.sum(s).over(run) + F.coalesce(F.col(f"_c{i}"), F.lit(0))).alias(s) for i, s in enumerate(sums)],
         *keys,
         F.col("_t").alias("vs"),
         F.coalesce(F.lead("_t").over(w), F.col("_nextfirst")).alias("ve"),
@@ -63,13 +68,13 @@ def ranked_rows(rows: DataFrame, segments: DataFrame, keys) -> DataFrame:
     return rows
 
 
-def blocks_and_lookups(rows: DataFrame, keys, cuts: Cuts):
-    """Rows exploded to blocks, and segments exploded to the blocks above them.
+def blocks_and_lookups(rows: DataFrame, keys, cuts: Cuts, sums=()):
+    """Rows exploded to blocks, and segments, with their sums, exploded to the blocks above them.
 
     Segments are read three times and ranked rows twice, so both are written out once.
     """
-    segments = settle(ranked_segments(rows, keys, cuts))
-    ranked = settle(ranked_rows(rows, segments, keys))
+    segments = settle(ranked_segments(rows, keys, cuts, sums))
+    ranked = settle(ranked_rows(rows.drop(*sums), segments, keys))
     # each key has as many levels as its own longest lifetime needs
     spans = ranked.groupBy(*keys).agg(F.floor(F.log2(F.max(F.col("_hi") - F.col("_lo")))).cast("int").alias("_top"))
     blocks = with_blocks(ranked)
@@ -89,7 +94,7 @@ def look_up(lookups: DataFrame, blocks: DataFrame, keys) -> DataFrame:
     group = [*keys, "_lvl", "_node"]
     # size estimates do not see the explosion to levels: never let them choose a broadcast
     joined = lookups.hint("merge").alias("l").join(blocks.alias("r"), match("l", "r", group))
-    rest = [c for c in blocks.columns if c not in (*group, "vs", "ve")]
+    mine, rest = ([c for c in df.columns if c not in (*group, "vs", "ve")] for df in (lookups, blocks))
     return joined.select(
-        *[F.col(f"l.`{c}`") for c in (*keys, "vs", "ve")], *[F.col(f"r.`{c}`") for c in rest]
+        *[F.col(f"l.`{c}`") for c in (*keys, "vs", "ve", *mine)], *[F.col(f"r.`{c}`") for c in rest]
     )

@@ -61,10 +61,34 @@ class EgressOps:
         t = F.lit(t) if isinstance(t, int) else t
         return self.df.where((F.col("vs") <= t) & (F.col("ve") > t)).drop("vs", "ve")
 
-    def cache(self, limit: int = 0) -> "TemporalFrame":
-        """Materialise for replay, optionally only the first `limit` rows."""
-        df = self.df.limit(limit) if limit else self.df
-        return self._with(df.persist(StorageLevel.MEMORY_AND_DISK), props=self.props)
+    def cache(self, limit: int = 0, infer: bool = False) -> "TemporalFrame":
+        """Materialise for replay, optionally only the first `limit` rows in time.
+
+        Rows of equal start go by end and then by their other columns. With `infer`, facts that hold for all rows are
+        declared for the cheaper plans that they allow: one constant duration, starts on a grid of that width, or no ends.
+        """
+        df = self.df
+        if limit:
+            rest = [c for c in df.columns if c not in ("vs", "ve")]
+            df = df.orderBy("vs", "ve", *rest).limit(limit)
+        out = self._with(df.persist(StorageLevel.MEMORY_AND_DISK), props=self.props)
+        return out.infer() if infer else out
+
+    def infer(self) -> "TemporalFrame":
+        """Declare what one look at all lifetimes shows: duration, hop and offset, or open ends."""
+        length = F.when(F.col("ve") < INF, F.col("ve") - F.col("vs"))
+        seen = self.df.agg(
+            F.min(length).alias("least"), F.max(length).alias("most"), F.min("vs").alias("first"),
+            F.count_if(F.col("ve") >= INF).alias("open"), F.count_if(F.col("ve") < INF).alias("closed"),
+        ).first()
+        if seen.open and not seen.closed:
+            return self._with(self.df, props=self.props.but(open_ended=True, duration=None, hop=None))
+        if seen.open or not seen.closed or seen.least != seen.most:
+            return self
+        width, offset = seen.least, seen.first % seen.least
+        aligned = self.df.where(F.pmod(F.col("vs"), F.lit(width)) != offset).isEmpty() if width > 1 else False
+        hop = {"hop": width, "offset": offset} if aligned else {"hop": None}
+        return self._with(self.df, props=self.props.but(duration=width, open_ended=False, **hop))
 
     def write(self, path: str, partition_by=(), mode="overwrite") -> None:
         writer = self.df.write.mode(mode)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import io
+from contextlib import contextmanager, redirect_stdout
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,6 +34,7 @@ class QueryContainer:
         self.spark = spark
         self.home = home or scratch_dir(spark, "container")
         self.inputs: dict[str, DataFrame] = {}
+        self.paths: dict[str, str] = {}
         self.outputs: dict[str, DataFrame] = {}
         self.running: dict[str, StreamingQuery] = {}
 
@@ -41,6 +43,7 @@ class QueryContainer:
         reader = self.spark.readStream.schema(schema)
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+        self.paths[name] = path
         self.inputs[name] = reader.parquet(path)
         return self.inputs[name]
 
@@ -99,7 +102,10 @@ class QueryContainer:
 
     def plan(self, name: str) -> str:
         """The executed plan of an output's last trigger."""
-        return self.running[name]._jsq.explainInternal(True)
+        text = io.StringIO()
+        with redirect_stdout(text):
+            self.running[name].explain()
+        return text.getvalue()
 
     def progress(self, name: str) -> dict:
         """Rows buffered in state, and how far the watermark has come."""
@@ -112,9 +118,20 @@ class QueryContainer:
             "watermark": last.get("eventTime", {}).get("watermark"),
         }
 
+    def input_rows(self, last_only: bool = False) -> dict[str, int]:
+        """Rows that the running outputs have read from each named input, in all recent triggers or the last one."""
+        rows = dict.fromkeys(self.inputs, 0)
+        for query in self.running.values():
+            reports = query.recentProgress if not last_only else [p for p in (query.lastProgress,) if p is not None]
+            for source in (s for report in reports for s in report["sources"]):
+                for name, path in self.paths.items():
+                    if f"{path.rstrip('/')}]" in source["description"]:
+                        rows[name] += source["numInputRows"]
+        return rows
+
     def waiting_inputs(self) -> list[str]:
-        """Outputs whose last trigger read nothing: their inputs hold back progress."""
-        return [n for n in self.running if self.progress(n)["input_rows"] == 0]
+        """Named inputs of which the last triggers read nothing: they hold back the progress of what joins them."""
+        return sorted(name for name, n in self.input_rows(last_only=True).items() if n == 0)
 
 
 #: Files that `replay` makes of a part; as many for each trigger give one part, or a little more, at a time.
