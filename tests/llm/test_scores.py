@@ -168,3 +168,89 @@ def test_letters_outside_the_basic_plane_are_letters():
     assert toxicity.symbols(bold).tolist() == toxicity.symbols(plain).tolist()
     assert toxicity.symbols("🙂x🙂").tolist() == toxicity.symbols(" x ").tolist()
     assert (toxicity.symbols("𐌰𐌱") != 0).sum() == 2
+
+
+def test_features_of_chunks_are_those_of_the_whole(monkeypatch):
+    """Words and windows that cross the parts in which a long text is read count like others."""
+    rng = np.random.default_rng(4)
+    model = toxicity.Model(rng.integers(-60, 60, toxicity.GRAMS).astype(np.int8))
+    for size in (1, 30, 700):
+        text = " ".join("".join(rng.choice(list("abcé日"), rng.integers(1, 12))) for _ in range(size)) + " 𝐚𝐛c" * (size > 1)
+        monkeypatch.setattr(toxicity, "CHUNK", 1 << 20)
+        whole = model.features(text)
+        found = toxicity.symbols(text)
+        ratios = model.ratios[toxicity.grams(found)] * toxicity.STEP
+        ends = np.flatnonzero(found[1:] == 0)
+        words = sorted((float(ratios[a:b].sum()) for a, b in zip([0, *(ends[:-1] + 1)], ends + 1, strict=True)), reverse=True)
+        n = len(toxicity.WINDOWS)
+        assert whole[n : n + len(toxicity.WORDS)] == pytest.approx([sum(words[:k]) / k for k in toxicity.WORDS], abs=1e-4)
+        assert whole[-1] == pytest.approx(np.log1p(len(words))) and whole[-2] == pytest.approx(ratios.mean(), abs=1e-4)
+        monkeypatch.setattr(toxicity, "CHUNK", 37)
+        assert model.features(text) == pytest.approx(whole, abs=1e-4)
+
+
+def slow_kneser_ney(texts, symbols_, order, shared_order, discount, all_texts):
+    """log P(symbol | context) of one class by the textbook: counts of the highest order, continuation counts below."""
+    def grams_of(lines, n):
+        counts = {}
+        for line in lines:
+            padded = (0,) * (order - 2) + tuple(line)
+            for i in range(order - 1, len(padded)):
+                g = padded[i - n + 1 : i + 1]
+                counts[g] = counts.get(g, 0) + 1
+        return counts
+
+    def continuations(lines, n):
+        kinds = {}
+        for g in grams_of(lines, n + 1):
+            kinds[g[1:]] = kinds.get(g[1:], 0) + 1
+        return kinds
+
+    tables = [continuations(all_texts if n <= shared_order else texts, n) for n in range(1, order)] + [grams_of(texts, order)]
+
+    def probability(context, s):
+        p = 1 / symbols_
+        for n in range(1, order + 1):
+            head = tuple(context[len(context) - n + 1 :])
+            own = {g[-1]: c for g, c in tables[n - 1].items() if g[:-1] == head}
+            total = sum(own.values())
+            if total:
+                p = max(own.get(s, 0) - discount, 0) / total + discount * len(own) / total * p
+        return p
+
+    return probability
+
+
+def test_kneser_ney_against_the_textbook():
+    """Ratios of a few grams of a small corpus, one class after the other, smoothed through the counts of all texts."""
+    toxic, ordinary, others = ["bad bad dog", "a bad cab"], ["good day", "a dab of jam", "cab"], ["zebra dog"]
+    lines = {t: [int(x) for x in toxicity.symbols(t)] for t in toxic + ordinary + others}
+    counts = {}
+    for t, line in lines.items():
+        for g in toxicity.grams(np.array(line, np.uint8)):
+            row = counts.setdefault(int(g), [0, 0])
+            if t in toxic or t in ordinary:
+                row[0 if t in toxic else 1] += 1
+    keys = np.array(sorted(counts))
+    both = np.array([counts[int(k)] for k in keys], dtype=np.float64)
+    ratios = toxicity.kneser_ney(keys, both[:, 0], both[:, 1])
+    every = list(lines.values())
+    sides = [
+        slow_kneser_ney([lines[t] for t in part], toxicity.SYMBOLS, toxicity.ORDER, toxicity.SHARED, toxicity.DISCOUNT, every)
+        for part in (toxic, ordinary)
+    ]
+    for g in [*keys[:25].tolist(), 5, 28**4 + 3]:
+        digits = [g // toxicity.SYMBOLS ** (toxicity.ORDER - 1 - i) % toxicity.SYMBOLS for i in range(toxicity.ORDER)]
+        want = np.log(sides[0](digits[:-1], digits[-1])) - np.log(sides[1](digits[:-1], digits[-1]))
+        assert ratios[g] * toxicity.STEP == pytest.approx(want, abs=toxicity.STEP / 2 + 1e-9)
+
+
+def test_held_out_recall(spark):
+    """Labels of the held-out third of the given table: most toxic texts are caught, few others."""
+    from tidespan.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in queries.QUERIES["op5_toxicity"](spark, sf).collect()}
+    rows = [(r.toxic, got[r.doc_id].predicted) for r in spark.read.parquet(f"{sf}/labels.parquet").dropna().collect() if got[r.doc_id].held_out]
+    caught = sum(t and p for t, p in rows)
+    assert caught / sum(t for t, _ in rows) >= 0.6 and caught / sum(p for _, p in rows) >= 0.95

@@ -6,9 +6,10 @@ are counted. A class model discounts its counts and backs off to shorter context
 one distribution that both classes share: it is built from the continuation counts of all texts, labelled or not, so
 expressions that a class has hardly seen weigh nearly the same under either model.
 
-A text is scored by the log-likelihood ratio per symbol, in a sliding window: an insult of one word must not be diluted
-by thousands of ordinary ones. The highest window and the mean over the text, as a logistic function fitted on training
-rows whose grams were not counted, give the probability.
+A text is scored by length-normalised log-likelihood ratios of its parts: the highest mean per symbol over sliding windows,
+for an insult of one word must not be diluted by thousands of ordinary ones; the mean ratio of the words that stand out
+most, for a text can be toxic by several words of which each alone is doubtful; and the mean over the text. A logistic
+function of these and of the number of words, fitted on training rows whose grams were not counted, gives the probability.
 
 The tables have one cell for each possible gram, 28**5 bytes (17 MB), at any corpus size; that bounds the broadcast.
 The labels that a model learns from are a bounded sample, at most `SAMPLE` rows, so texts need no shuffle to meet them.
@@ -32,6 +33,9 @@ SHARED = 2
 GRAMS = SYMBOLS**ORDER
 DISCOUNT = 0.9
 WINDOWS = (6, 12)
+#: Numbers of outstanding words whose mean log ratio counts.
+WORDS = (1, 2, 3, 5, 8)
+FEATURES = len(WINDOWS) + len(WORDS) + 2
 #: Log ratios are stored as small integers of this many nats.
 STEP = 1 / 12
 #: Symbols that are worked on at a time.
@@ -93,13 +97,16 @@ class Model:
     coefficients: tuple[float, ...] = ()
 
     def features(self, text: str) -> tuple[float, ...]:
-        """Best mean log ratio over windows of each size, and the mean over the whole text."""
+        """Best mean log ratio over windows of each size, mean log ratios of the outstanding words, the mean over the
+        whole text, and the logarithm of the number of words. A word's ratio is the sum over its symbols and the
+        boundary behind it."""
         found = symbols(text)
         if len(found) < 2:
-            return (0.0,) * (len(WINDOWS) + 1)
+            return (0.0,) * FEATURES
         best, total = [-np.inf] * len(WINDOWS), 0.0
         reach = max(WINDOWS)
         keep = np.zeros(0, np.float32)  # the end of the chunk before, for windows across chunks
+        begun, words, highest = 0.0, 0, np.zeros(0)  # the ratio of a word that goes on in the next chunk
         for at in range(0, len(found) - 1, CHUNK):
             lead = max(0, at - ORDER + 2)
             part = grams(found[lead : at + CHUNK + 1])[at - lead :]
@@ -110,9 +117,20 @@ class Model:
             for i, size in enumerate(WINDOWS):
                 if len(line) >= size:
                     best[i] = max(best[i], float((sums[size:] - sums[:-size]).max()) / size)
+            upto = sums[len(keep) + 1 :] - sums[len(keep)]
+            ends = np.flatnonzero(found[at + 1 : at + 1 + len(ratio)] == 0)
+            if len(ends):
+                own = np.diff(upto[ends], prepend=0.0)
+                own[0] += begun
+                begun = float(upto[-1] - upto[ends[-1]])
+                words += len(own)
+                highest = np.sort(np.concatenate([highest, own]))[::-1][: max(WORDS)]
+            else:
+                begun += float(upto[-1])
             keep = line[-(reach - 1) :]
         mean = total / (len(found) - 1)
-        return (*(b if b > -np.inf else total / size for b, size in zip(best, WINDOWS, strict=True)), mean)
+        windows = (b if b > -np.inf else total / size for b, size in zip(best, WINDOWS, strict=True))
+        return (*windows, *(float(highest[:k].sum()) / k for k in WORDS), mean, float(np.log1p(words)))
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         z = features @ np.array(self.coefficients[1:]) + self.coefficients[0]
@@ -278,7 +296,7 @@ def fit(
 
     checked = texts.join(picked, "_key").select("_text", "_label")
     checked = checked.mapInArrow(measured, "features array<double>, label int").toArrow()
-    features = np.array(checked.column("features").to_pylist(), dtype=np.float64).reshape(-1, len(WINDOWS) + 1)
+    features = np.array(checked.column("features").to_pylist(), dtype=np.float64).reshape(-1, FEATURES)
     model.coefficients = logistic(features, checked.column("label").to_numpy().astype(np.float64))
     return model
 
@@ -286,7 +304,8 @@ def fit(
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """All rows with `score`, the probability of being toxic, and `predicted`, 1 from the threshold on.
 
-    Null and empty texts have no grams: log ratio 0.
+    Null and empty texts have no grams: all features are 0. Repeated rows are scored one by one, texts of any length whole;
+    columns of the input named like the new ones are replaced. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model).copy())
     names = docs.columns
@@ -297,7 +316,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
         model = Model(**shared.value)
         for b in batches:
             features = np.array([model.features(t.as_py() or "") for t in b.column(1)], dtype=np.float64)
-            values = model.probability(features.reshape(-1, len(WINDOWS) + 1))
+            values = model.probability(features.reshape(-1, FEATURES))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(values)], names=["row", "_score"])
 
     out = rows.mapInArrow(scored, schema)
