@@ -50,33 +50,42 @@ def corpus():
         mail = "ann@quorvax.org" if i % 4 == 0 else f"p{i}@mail{i}.net"
         rows.append((i, f"Please write to {mail} at {where} today, thing{i} common words stay."))
     rows += [(100 + i, f"common words here and there {i}, the usual place with all") for i in range(60)]
+    # a name of two characters in the heading, the address far below, and an entity in most texts
+    rows += [(300 + i, "王明 " + "filler words " * 30 + f"mail wang@ming.cn, {i}") for i in range(4)]
+    rows += [(310 + i, f"call +49 30 1234567{i % 10} everyday {i}") for i in range(30)]
     return rows + [(200, None), (201, ""), (None, rows[0][1]), (None, rows[0][1]), (0, rows[0][1]), (202, "Quorvax only")]
 
 
+def terms_in(text, spans):
+    """Words of three characters or more, and pairs of neighbours in Chinese, outside spans."""
+    out = []
+    for m in re.finditer(r"[^\W_]+", text):
+        for part in re.finditer("[\u3400-\u9fff]+|[^\u3400-\u9fff]+", m.group()):
+            s, e = m.start() + part.start(), m.start() + part.end()
+            if "\u3400" <= text[s] <= "\u9fff":
+                out += [(text[i : i + 2], i, i + 2) for i in range(s, e - 1)]
+            elif e - s >= 3:
+                out.append((text[s:e].lower(), s, e))
+    return [t for t in out if not any(a < t[2] and t[1] < b for _, a, b in spans)]
+
+
 def brute(rows):
-    """Disclosing terms by definition."""
-    words, near, has = defaultdict(int), defaultdict(int), defaultdict(int)
+    """Disclosing terms by definition: over whole texts, each row a text."""
+    words, both, has = defaultdict(int), defaultdict(int), defaultdict(int)
     for _, t in rows:
         t = t or ""
         spans = plain(t)
-        for w in {m.group().lower() for m in pii.WORD.finditer(t)}:
+        for w in {w for w, _, _ in terms_in(t, [])}:
             words[w] += 1
-        pairs = set()
-        for kind, s, e in spans:
-            free = [m for m in pii.WORD.finditer(t) if not any(a < m.end() and m.start() < b for _, a, b in spans)]
-            left = [m for m in free if m.end() <= s][-pii.CONTEXT :]
-            right = [m for m in free if m.start() >= e][: pii.CONTEXT]
-            for m in left + right:
-                if len(m.group()) >= pii.SHORTEST:
-                    pairs |= {(x, m.group().lower()) for x in pii.entities(kind, t[s:e])}
-        for p in pairs:
-            near[p] += 1
-        for x in {x for x, _ in pairs}:
+        here = {x for k, s, e in spans for x in pii.entities(k, t[s:e])}
+        for x in here:
             has[x] += 1
+        for p in {(x, w) for x in here for w, _, _ in terms_in(t, spans)}:
+            both[p] += 1
     out = {}
-    for (x, w), n in near.items():
+    for (x, w), n in both.items():
         p = n / words[w]
-        if n >= pii.SUPPORT and p >= pii.GENERALISE and np.log2(p * len(rows) / has[x]) >= BITS:
+        if n >= pii.SUPPORT and p >= pii.GENERALISE and np.log2(p * len(rows) / has[x]) >= pii.BITS_OF_INFORMATION:
             out[w] = max(out.get(w, 0), p)
     return out
 
@@ -91,13 +100,12 @@ def test_terms_that_disclose(spark, monkeypatch):
     found = pii.find(docs)
     got = [(r.doc_id, [tuple(s) for s in r.spans], [(s.start, s.end) for s in r.terms]) for r in found.collect()]
     terms = brute(rows)
-    assert {"quorvax", "lab"} <= set(terms) and "common" not in terms
+    assert {"quorvax", "lab", "王明"} <= set(terms) and "common" not in terms
     want = []
     for i, t in rows:
         t = t or ""
         base = plain(t)
-        hits = [m.span() for m in pii.WORD.finditer(t) if m.group().lower() in terms]
-        want.append((i, base, [h for h in hits if not any(a < h[1] and h[0] < b for _, a, b in base)]))
+        want.append((i, base, [(a, b) for w, a, b in terms_in(t, base) if w in terms]))
     assert sorted(got, key=repr) == sorted(want, key=repr)
     clean = {(r.doc_id, r.text) for r in pii.sanitised(docs, found).collect()}
     assert (202, " only") in clean or (202, "[TERM] only") in clean
@@ -113,6 +121,16 @@ def test_one_bit_for_all_words_changes_nothing(spark, monkeypatch):
     assert sorted(map(repr, pii.find(docs).collect())) == want
 
 
+def test_terms_of_the_given_table(spark):
+    """Terms and their places of a whole given table are those of the definition."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()]
+    terms = brute(rows)
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    got = {(r.doc_id, s.start, s.end) for r in found for s in r.terms}
+    want = {(i, a, b) for i, t in rows if t for w, a, b in terms_in(t, []) if w in terms and (w, a, b) in terms_in(t, plain(t))}
+    assert got == want and len(terms) > 0
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(docs).count() == 0 and pii.sanitised(docs, pii.find(docs)).count() == 0

@@ -1,14 +1,17 @@
 """Personal data and the terms that give it away.
 
-Four kinds of personal data are found by their form: e-mail addresses, IP addresses, card and phone numbers. These are
-the protected entities. The corpus then tells which other terms disclose them: for a term t and an entity e, P(e | t) is
-the share of the documents with t in which t stands within `CONTEXT` words of e, and log2 P(e | t) / P(e) is the
-information that t gives about e. A term that has enough of both, seen with the entity in at least `SUPPORT` documents,
-is generalised wherever it occurs, and removed from a higher share on.
-
-Pairs are formed only inside the window around an entity, so their number grows with the mentions. Which documents have
-a term is asked only for the terms of those pairs: a bitmap of at most 2**23 bits (1 MB) over their hashes goes to the
-tasks, whose hits are then joined exactly. No term list is broadcast, and a full bitmap costs time, not correctness.
+Four kinds of personal data are found by their form: e-mail addresses, IP addresses, card and phone numbers. These, and the
+groups they belong to (mail domains, network halves, issuers, area codes), are the protected entities. The corpus then
+tells which other terms disclose them: for a term t and an entity e, P(e | t) is the share of the texts with t that have e
+as well, anywhere, and log2 P(e | t) / P(e) is the information that t gives about e. A term that has enough of both, seen
+with the entity in at least `SUPPORT` texts, is generalised wherever it occurs, and removed from a higher share on.
+Every row is a text. Terms are words of at least three characters; in scripts that are written
+without blanks, pairs of neighbouring characters.
+
+An entity in fewer texts than the support, or in so many that no term could give enough information about it, has no
+terms; the pairs of the others are counted inside the tasks before they are shuffled. Which texts have one of these
+entities, and how many have a term of those pairs, is asked with a bitmap of at most 2**23 bits (1 MB) over hashes, whose
+hits are then joined exactly. No list of entities or terms is broadcast, and a full bitmap costs time, not correctness.
 """
 
 from __future__ import annotations
@@ -25,12 +28,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .base import replacing, settle, whole
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 8
 SUPPORT = 3
 GENERALISE, REMOVE = 0.5, 0.9
 BITS_OF_INFORMATION = 4.0
 SHORTEST = 3
 FILTER_BITS = 1 << 23
+#: Distinct pairs that a task counts before it passes them on.
+HELD = 1 << 18
 BLOCK_BITS = 32_768
 
 # Fixed patterns of the four kinds and of words.
@@ -41,6 +45,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\W_]+")
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
+PARTS = re.compile(f"{UNSPACED.pattern}|{UNSPACED.pattern.replace('[', '[^', 1)}")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -116,25 +122,32 @@ def entities(kind: str, value: str) -> tuple[str, str]:
     return f"{kind}:{value}", f"{kind} group:{group}"
 
 
-def context(text: str, spans: list[tuple[str, int, int]], reach: int = CONTEXT) -> set[tuple[str, str]]:
-    """(entity, term) for the terms among the `reach` words on each side of a span, without those inside spans."""
-    taken = sorted((s, e) for _, s, e in spans)
-    starts = [s for s, _ in taken]
-    furthest = np.maximum.accumulate([e for _, e in taken]).tolist()
-    words = []
+def terms_of(text: str) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of all words and, in scripts without blanks, pairs of characters. Terms are in lower case."""
     for m in WORD.finditer(text):
-        i = bisect_left(starts, m.end())
-        if i == 0 or furthest[i - 1] <= m.start():
-            words.append((m.start(), m.group()))
-    places = [s for s, _ in words]
-    out = set()
-    for kind, start, end in spans:
-        here = entities(kind, text[start:end])
-        left, right = bisect_left(places, start), bisect_left(places, end)
-        for _, word in words[max(0, left - reach) : left] + words[right : right + reach]:
+        word, at = m.group(), m.start()
+        if not UNSPACED.search(word):
             if len(word) >= SHORTEST:
-                out.update((e, word.lower()) for e in here)
-    return out
+                yield word.lower(), at, m.end()
+            continue
+        for part in PARTS.finditer(word):
+            start, end = at + part.start(), at + part.end()
+            if UNSPACED.match(part.group()):
+                for i in range(start, end - 1):
+                    yield text[i : i + 2].lower(), i, i + 2
+            elif end - start >= SHORTEST:
+                yield part.group().lower(), start, end
+
+
+def free_terms(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """The terms that do not touch a span."""
+    taken = sorted((s, e) for _, s, e in spans)
+    starts = [s for s, _ in taken]
+    furthest = np.maximum.accumulate([e for _, e in taken]).tolist() if taken else []
+    for term, start, end in terms_of(text):
+        i = bisect_left(starts, end)
+        if i == 0 or furthest[i - 1] <= start:
+            yield term, start, end
 
 
 def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -144,29 +157,22 @@ def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def mentions(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Of every row `key`, `hash`, `spans` (kind, start, end) and `near` (entity, term)."""
+    """Of every row `key`, `hash`, `spans` (kind, start, end) and the distinct `entities`."""
     kind = docs.schema[key].dataType.simpleString()
-    span, pair = "struct<kind: string, start: int, end: int>", "struct<entity: string, term: string>"
-    kinds = [
-        pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])),
-        pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())])),
-    ]
+    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            spans, near = [], []
+            spans, named = [], []
             for t in b.column(2):
                 text = t.as_py()
                 found = base_spans(text)
                 spans.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
-                pairs = sorted(context(text, found)) if found else []
-                near.append([{"entity": e, "term": w} for e, w in pairs])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(spans, kinds[0]), pa.array(near, kinds[1])],
-                names=["key", "hash", "spans", "near"],
-            )
-
-    schema = f"key {kind}, hash bigint, spans array<{span}>, near array<{pair}>"
+                named.append(sorted({x for k, s, e in found for x in entities(k, text[s:e])}))
+            columns = [b.column(0), b.column(1), pa.array(spans, span), pa.array(named, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "hash", "spans", "entities"])
+
+    schema = f"key {kind}, hash bigint, spans array<struct<kind: string, start: int, end: int>>, entities array<string>"
     return _rows(docs, text, key).mapInArrow(find, schema)
 
 
@@ -182,33 +188,77 @@ def term_filter(terms: DataFrame) -> np.ndarray:
     return out
 
 
-def _hits(words: set[str], bits: np.ndarray, seen: dict[str, bool]) -> list[str]:
-    """The words that the bitmap may hold; `seen` remembers the answers."""
-    import xxhash
+class _Hits:
+    """Which strings a bitmap of `term_filter` may hold; answers are remembered."""
 
-    if len(seen) > 1_000_000:
-        seen.clear()
-    for w in words.difference(seen):
-        low = w.lower()
-        place = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 42) & (FILTER_BITS - 1)
-        seen[w] = len(low) >= SHORTEST and bool(bits[place >> 3] >> (place & 7) & 1)
-    return [w for w in words if seen[w]]
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.seen = bits, {}
 
+    def __call__(self, term: str) -> bool:
+        import xxhash
 
-def document_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many rows each `term` occurs: (term, df). Terms that only share a bit come along."""
-    shared = rows.sparkSession.sparkContext.broadcast(term_filter(terms))
+        found = self.seen.get(term)
+        if found is None:
+            if len(self.seen) > 1_000_000:
+                self.seen.clear()
+            place = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), 42) & (FILTER_BITS - 1)
+            found = self.seen[term] = bool(self.bits[place >> 3] >> (place & 7) & 1)
+        return found
+
+
+def _words(text: str) -> set[str]:
+    """The distinct terms of a text."""
+    if UNSPACED.search(text):
+        return {t for t, _, _ in terms_of(text)}
+    return {w.lower() for w in set(WORD.findall(text)) if len(w) >= SHORTEST}
+
+
+def _counted(found: Counter, names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*found, strict=True)) if len(names) > 2 else [list(found)]
+    columns = columns or [[] for _ in names[:-1]]
+    arrays = [pa.array(c, pa.string()) for c in columns]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(list(found.values()), pa.int64())], names=names)
+
+
+def document_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """In how many texts each `term` occurs: (term, df). Terms that only share a bit come along."""
+    shared = texts.sparkSession.sparkContext.broadcast(term_filter(terms))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits, found = _Hits(shared.value), Counter()
+        for b in batches:
+            for t in b.column(0):
+                found.update(filter(hits, _words(t.as_py())))
+            if len(found) > HELD:
+                yield _counted(found, ["term", "n"])
+                found.clear()
+        yield _counted(found, ["term", "n"])
+
+    return texts.select("text").mapInArrow(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("df"))
+
+
+def co_occurrences(texts: DataFrame, protected: DataFrame) -> DataFrame:
+    """In how many texts each `entity` and term occur together: (entity, term, n). Entities that only share a bit come along."""
+    shared = texts.sparkSession.sparkContext.broadcast(term_filter(protected.select(F.col("entity").alias("term"))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen, found = shared.value, {}, Counter()
+        hits, found = _Hits(shared.value), Counter()
         for b in batches:
             for t in b.column(0):
-                found.update({w.lower() for w in _hits(set(WORD.findall(t.as_py())), bits, seen)})
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["term", "n"]
-        )
+                text = t.as_py()
+                spans = base_spans(text)
+                here = {x for k, s, e in spans for x in entities(k, text[s:e]) if hits(x)}
+                if here:
+                    words = {w for w, _, _ in free_terms(text, spans)}
+                    for x in here:
+                        found.update((x, w) for w in words)
+                        if len(found) > HELD:
+                            yield _counted(found, ["entity", "term", "n"])
+                            found.clear()
+        yield _counted(found, ["entity", "term", "n"])
 
-    return rows.select("text").mapInArrow(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("df"))
+    pairs = texts.select("text").mapInArrow(count, "entity string, term string, n bigint")
+    return pairs.groupBy("entity", "term").agg(F.sum("n").alias("n"))
 
 
 def disclosing(rows: DataFrame, found: DataFrame, support: int = SUPPORT, share: float = GENERALISE) -> DataFrame:
@@ -217,14 +267,14 @@ def disclosing(rows: DataFrame, found: DataFrame, support: int = SUPPORT, share:
     `rows` are (key, hash, text), `found` the written result of `mentions`.
     """
     total = found.count()
-    pairs = found.select(F.explode("near").alias("p")).groupBy("p.entity", "p.term").agg(F.count("*").alias("n"))
-    pairs = settle(pairs.where(F.col("n") >= support))
-    of_entity = found.select(F.explode(F.array_distinct("near.entity")).alias("entity"))
-    of_entity = of_entity.groupBy("entity").agg(F.count("*").alias("rows"))
-    terms = pairs.select("term").distinct()
-    with_counts = pairs.join(settle(document_counts(rows, terms)), "term").join(settle(of_entity), "entity")
+    named = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("texts"))
+    known = (F.col("texts") >= support) & (F.log2(F.lit(float(max(1, total))) / F.col("texts")) >= BITS_OF_INFORMATION)
+    protected = settle(named.where(known))
+    pairs = settle(co_occurrences(rows, protected).where(F.col("n") >= support))
+    pairs = settle(pairs.join(protected, "entity"))
+    with_counts = pairs.join(settle(document_counts(rows, pairs.select("term").distinct())), "term")
     p = F.col("n") / F.col("df")
-    bits = F.log2(p * F.lit(float(max(1, total))) / F.col("rows"))
+    bits = F.log2(p * F.lit(float(max(1, total))) / F.col("texts"))
     strong = with_counts.select("term", p.alias("p"), bits.alias("bits"))
     strong = strong.where((F.col("p") >= share) & (F.col("bits") >= BITS_OF_INFORMATION))
     return strong.groupBy("term").agg(F.max("p").alias("share"), F.max("bits").alias("bits"))
@@ -236,18 +286,13 @@ def occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
     kind = rows.schema["key"].dataType.simpleString()
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = shared.value, {}
+        hits = _Hits(shared.value)
         for b in batches:
             out = []
             for i, t in enumerate(b.column(2)):
                 text = t.as_py()
-                hits = set(_hits(set(WORD.findall(text)), bits, seen))
-                if not hits:
-                    continue
-                taken = base_spans(text)
-                for m in WORD.finditer(text):
-                    if m.group() in hits and not any(s < m.end() and m.start() < e for _, s, e in taken):
-                        out.append((i, m.group().lower(), m.start(), m.end()))
+                if any(map(hits, _words(text))):
+                    out += [(i, term, s, e) for term, s, e in free_terms(text, base_spans(text)) if hits(term)]
             if out:
                 row, term, start, end = zip(*out, strict=True)
                 row = pa.array(row, pa.int32())
