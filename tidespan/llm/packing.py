@@ -10,6 +10,7 @@ any input size; they cost at most a few unfilled sequences in each block.
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,15 +41,19 @@ class Capacity:
         return np.array([self.tokens, self.pieces or self.tokens, self.attention or self.tokens**2], dtype=np.float64)
 
 
-def open_tokenizer(file: str):
+def tokenizer_path(file: str) -> str:
     """A tokenizer file by path, or by its name among the installed public vocabularies."""
-    from tokenizers import Tokenizer
+    if "/" in file:
+        return file
+    import public_tokenizers
+
+    return public_tokenizers.path(file)
 
-    if "/" not in file:
-        import public_tokenizers
 
-        file = public_tokenizers.path(file)
-    return Tokenizer.from_file(file)
+def open_tokenizer(file: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path(file))
 
 
 class Ids:
@@ -62,13 +67,15 @@ class Ids:
     def __init__(self, file: str):
         import re
 
-        self.tokenizer, self.ranked = open_tokenizer(file), None
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.file, self.tokenizer, self.ranked = file, None, None
+        self.special: list[str] = []
         self.common = re.compile("[\x00-\u024f\u2010-\u2027]*").fullmatch
         if file in RANKS:
             import public_tokenizers
             import tiktoken
 
+            with open(tokenizer_path(file), encoding="utf-8") as whole:
+                self.special = [t["content"] for t in json.load(whole)["added_tokens"]]
             with open(public_tokenizers.path(RANKS[file]), "rb") as lines:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self.ranked = tiktoken.Encoding(
@@ -78,6 +85,8 @@ class Ids:
     def of(self, text: str) -> bytes:
         if self.ranked is not None and self.common(text) and not any(t in text for t in self.special):
             return np.array(self.ranked.encode_ordinary(text), dtype="<u4").tobytes()
+        if self.tokenizer is None:  # only where a text needs it: it takes memory
+            self.tokenizer = open_tokenizer(self.file)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
