@@ -16,6 +16,7 @@ import time
 
 from catalog import QUERIES
 from tests.session import local_session
+from tidespan.sources.scratch import workspace
 
 HEADLINE = {
     # query: table whose rows count as its input
@@ -54,9 +55,10 @@ def main() -> None:
     rows = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in {HEADLINE.get(n, "events") for n in names}}
 
     def run(name: str) -> float:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        with workspace(spark):
+            start = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - start
 
     seconds = {}
     for name in names:
