@@ -58,15 +58,28 @@ def test_drops_copies(spark):
 
 
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
-    """With one block for far more rows than it is made for, every row is suspected."""
-    monkeypatch.setattr(exact_dedup, "MOST_BLOCKS", 1)
-    monkeypatch.setattr(exact_dedup, "BLOCK_BITS", 8)
+    """With a bit for each row instead of sixteen, every row is suspected."""
+    monkeypatch.setattr(exact_dedup, "BITS_PER_ROW", 1)
+    monkeypatch.setattr(exact_dedup, "BLOCK_BITS", 512)
     rows = [(i, f"text {i % 150}") for i in range(300)]
     out = exact_dedup.mark_copies(spark.createDataFrame(rows, "doc_id long, text string"))
     got = out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
     assert sorted(map(tuple, got), key=repr) == wanted(rows)
 
 
+def test_ranges_keep_the_filter_small(spark, monkeypatch):
+    """With memory for one block, rows go by ranges of their hash, and few that are alone are suspected."""
+    monkeypatch.setattr(exact_dedup, "MOST_BLOCKS", 1)
+    monkeypatch.setattr(exact_dedup, "BLOCK_BITS", 1024)
+    rows = [(i, f"text {i}") for i in range(400)] + [(1000 + i, f"again {i % 15}") for i in range(45)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, range int")
+    got = exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == wanted(rows)
+    alone, rest = exact_dedup._parts(docs, "text", "doc_id")
+    assert 45 <= rest.count() <= 45 + 40 and alone.count() + rest.count() == len(rows)
+    assert len(exact_dedup._ranges(docs, "text")) == 8
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert exact_dedup.mark_copies(empty).count() == 0

@@ -5,16 +5,18 @@ Bloom filter: a text whose positions are not all in it is certainly alone. Pass
 rows that pass through are finished where they are, and only the possibly repeated ones are shuffled, as
 (digest, length, doc_id), to find the row that stays.
 
-The filter has `BITS_PER_ROW` bits for each row, up to `MOST_BLOCKS` blocks of 4 KiB (64 MiB), which bounds what is
-broadcast. Beyond about 33 million rows it fills up: then more rows than necessary are shuffled, and the result is the
-same.
+The filter has `BITS_PER_ROW` bits for each row. What is broadcast is bounded: at most `MOST_BLOCKS` blocks of 4 KiB (64 MiB).
+Rows that need more are first written once by ranges of their hash, without a shuffle, and each range goes through both
+passes with a filter of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
 
-from .base import replacing, settle, whole
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from .base import replacing, scratch_dir, settle, whole
 
 BLANKS = " \t\n\x0b\x0c\r"
 BLOCK_BITS = 32_768
@@ -29,8 +31,8 @@ def normalised(text: str = "text") -> Column:
 
 
 def _blocks(rows: int) -> int:
-    needed = -(-rows * BITS_PER_ROW // BLOCK_BITS)
-    return min(MOST_BLOCKS, 1 << max(0, needed - 1).bit_length())
+    """Filter blocks for so many rows, a power of two."""
+    return 1 << max(0, -(-rows * BITS_PER_ROW // BLOCK_BITS) - 1).bit_length()
 
 
 def _hashed(docs: DataFrame, text: str, blocks: int) -> DataFrame:
@@ -47,8 +49,8 @@ def _hashed(docs: DataFrame, text: str, blocks: int) -> DataFrame:
 
 
 def repeated_filter(docs: DataFrame, blocks: int, text: str = "text") -> DataFrame:
-    """The Bloom filter as rows (block, bits): bit positions that at least two rows hit."""
-    return (
+    """The Bloom filter as rows (block, words): bit positions that at least two rows hit, 64 to a word."""
+    bits = (
         _hashed(docs, text, blocks)
         .select("block", F.explode(F.array_distinct("places")).alias("place"))
         .groupBy("block", "place")
@@ -59,20 +61,40 @@ def repeated_filter(docs: DataFrame, blocks: int, text: str = "text") -> DataFra
         .groupBy("block")
         .agg(F.bitmap_construct_agg(F.col("place").cast("long")).alias("bits"))
     )
+    word = lambda i: F.conv(F.hex(F.substr("bits", i * 8 + 1, F.lit(8))), 16, -10).cast("long")
+    return bits.select("block", F.transform(F.sequence(F.lit(0), F.lit(max(1, BLOCK_BITS // 64) - 1)), word).alias("words"))
 
 
 def _set(place: Column) -> Column:
-    byte = F.substr(F.col("bits"), F.shiftright(place, 3) + 1, F.lit(1))
-    bit = F.pow(F.lit(2), place.bitwiseAND(7)).cast("int")
-    return F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(bit) != 0
+    """Whether the bit of a position is set. Bytes of a word are read as one number, the first byte highest."""
+    word = F.get("words", F.shiftright(place, 6))
+    bit = (7 - F.shiftright(place, 3).bitwiseAND(7)) * 8 + place.bitwiseAND(7)
+    return F.getbit(word, bit) == 1
+
+
+def _ranges(docs: DataFrame, text: str) -> list[tuple[DataFrame, int]]:
+    """The rows by ranges of the hash of their text, each with the filter blocks it needs: one unless they are too many."""
+    blocks = _blocks(docs.count())
+    if blocks <= MOST_BLOCKS:
+        return [(docs, blocks)]
+    path, count = scratch_dir(docs.sparkSession, "ranges"), blocks // MOST_BLOCKS
+    number = F.shiftrightunsigned(F.xxhash64(normalised(text), F.lit(2)), 8).bitwiseAND(count - 1).cast("int")
+    docs.select(F.struct("*").alias("row"), number.alias("range")).write.partitionBy("range").parquet(path)
+    kinds = T.StructType([T.StructField("row", docs.schema), T.StructField("range", T.IntegerType())])
+    rows = docs.sparkSession.read.schema(kinds).parquet(path)
+    return [(rows.where(F.col("range") == i).select("row.*"), MOST_BLOCKS) for i in range(count)]
 
 
 def _parts(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows that are certainly alone, and the others with the best row and the size of their group."""
-    blocks = _blocks(docs.count())
+    parts = [_two_passes(rows, blocks, text, key) for rows, blocks in _ranges(docs, text)]
+    return tuple(reduce(DataFrame.unionByName, side) for side in zip(*parts, strict=True))
+
+
+def _two_passes(docs: DataFrame, blocks: int, text: str, key: str) -> tuple[DataFrame, DataFrame]:
     filled = F.broadcast(settle(repeated_filter(docs, blocks, text).withColumnRenamed("block", "filled")))
     tested = _hashed(docs, text, blocks).join(filled, F.col("block") == F.col("filled"), "left")
-    suspect = F.col("bits").isNotNull()
+    suspect = F.col("words").isNotNull()
     for i in range(PROBES):
         suspect = suspect & F.coalesce(_set(F.col("places")[i]), F.lit(False))
     tested = tested.select("row", suspect.alias("suspect"))
