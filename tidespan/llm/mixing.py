@@ -32,6 +32,8 @@ TOPICS = {"listing": r" \| ", "contact": "@", "markup": r"[&%#$*]{3}", "rights":
 TEMPERATURES = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 #: Bits of the draw.
 DRAW_BITS = 32
+#: Cells in a partition. Up to that many, what is known of a margin's values is broadcast to its cells.
+CELL_ROWS = 100_000
 #: A miss of a target share that is worth a warning.
 MISS = 1e-3
 
@@ -59,18 +61,28 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return sums.select(margin, (raised / total).alias("share"))
 
 
-def _aims(cells: DataFrame, margin: str, target: DataFrame) -> DataFrame:
+def _gathered(df: DataFrame, cells: int) -> DataFrame:
+    """A frame derived from so many cells, in no more partitions than they fill."""
+    return df.coalesce(1 + cells // CELL_ROWS)
+
+
+def _known(df: DataFrame, cells: int) -> DataFrame:
+    """One row for each value of a margin, for a join with so many cells."""
+    return F.broadcast(_gathered(df, cells)) if cells <= CELL_ROWS else df
+
+
+def _aims(cells: DataFrame, margin: str, target: DataFrame, count: int) -> DataFrame:
     """(value, tokens there are, share) of every value of a margin; shares add up to one over the values with tokens."""
     have = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("n").alias("available"))
     given = target.select(F.col(margin).alias("_v"), F.col("share").cast("double").alias("share"))
     joined = have.join(given, F.col("value").eqNullSafe(F.col("_v")), "left")
     share = F.when(F.col("available") > 0, F.greatest(F.coalesce("share", F.lit(0.0)), F.lit(0.0))).otherwise(0.0)
-    aims = settle(joined.select("value", F.coalesce("available", F.lit(0)).alias("available"), share.alias("share")))
+    aims = settle(_gathered(joined.select("value", F.coalesce("available", F.lit(0)).alias("available"), share.alias("share")), count))
     total = aims.agg(F.sum("share")).first()[0] or 1.0
     return aims.withColumn("share", F.col("share") / total)
 
 
-def _fitted(cells: DataFrame, margin: str, aims: DataFrame, asked: float) -> DataFrame:
+def _fitted(cells: DataFrame, margin: str, aims: DataFrame, asked: float, count: int) -> DataFrame:
     """The cells with `w` moved so that the tokens taken from each value, at most n of a cell, come to its budget.
 
     One step: what the full cells hold is set off, and the open ones are scaled to the rest. Where the full cells alone
@@ -85,7 +97,8 @@ def _fitted(cells: DataFrame, margin: str, aims: DataFrame, asked: float) -> Dat
     budget = F.col("share") * asked
     over = F.col("filled") > budget
     factor = F.when(over, budget / F.col("all")).when(F.col("open") > 0, (budget - F.col("filled")) / F.col("open")).otherwise(1.0)
-    sums = sums.join(aims, F.col("_m").eqNullSafe(F.col("value"))).select("_m", over.alias("over"), factor.alias("f"))
+    sums = _gathered(sums, count).join(_known(aims, count), F.col("_m").eqNullSafe(F.col("value")))
+    sums = _known(sums.select("_m", over.alias("over"), factor.alias("f")), count)
     base = F.when(F.col("over"), F.least("w", "n")).otherwise(F.col("w"))
     joined = cells.join(sums, F.col(margin).eqNullSafe(F.col("_m")))
     return joined.select(*[c for c in cells.columns if c != "w"], F.least(base * F.col("f"), F.lit(1e150)).alias("w"))
@@ -98,15 +111,16 @@ def fitted(cells: DataFrame, targets: dict[str, DataFrame], fraction: float = FR
     like any other. The margins are (margin, value, target, reached, available), in shares of the sample asked for;
     available is what the value has in all.
     """
-    aims = {m: _aims(cells, m, t) for m, t in targets.items()}
-    total = float(cells.agg(F.sum("n")).first()[0] or 0)
-    asked = total * fraction
-    out = settle(cells.select(*targets, F.coalesce("n", F.lit(0)).cast("double").alias("n")).withColumn("w", F.col("n")))
+    total, count = cells.agg(F.sum("n"), F.count("*")).first()
+    aims = {m: _aims(cells, m, t, count) for m, t in targets.items()}
+    asked = float(total or 0) * fraction
+    out = cells.select(*targets, F.coalesce("n", F.lit(0)).cast("double").alias("n")).withColumn("w", F.col("n"))
+    out = settle(_gathered(out, count))
     for _ in range(rounds if asked else 0):
         moved = out.withColumn("_was", F.least("w", "n"))
         for margin in targets:
-            moved = _fitted(moved, margin, aims[margin], asked)
-        moved = settle(moved)
+            moved = _fitted(moved, margin, aims[margin], asked, count)
+        moved = settle(_gathered(moved, count))
         change = moved.agg(F.max(F.abs(F.least("w", "n") - F.col("_was")))).first()[0]
         out = moved.drop("_was")
         if change <= TOLERANCE * asked:
@@ -146,6 +160,7 @@ def _aimed(
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The cells of the rows, and the targets by margin."""
     cells = settle(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("n")))
+    cells = settle(_gathered(cells, cells.count()))
     powers, given = TEMPERATURES | (temperatures or {}), targets or {}
     return cells, {m: settle(given[m] if m in given else tempered(cells, m, powers[m])) for m in MARGINS}
 
