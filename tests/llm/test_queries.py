@@ -86,3 +86,42 @@ def test_stages(spark, tmp_path):
         parts.sort()
         assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:], strict=False))
         assert sum(n for _, n in parts) <= 2048
+
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long, topic string, kept boolean"
+
+
+def small_corpus(spark, folder, rows):
+    """A folder of tables with columns that the operators use as well."""
+    spark.createDataFrame(rows, DOCUMENT).write.parquet(f"{folder}/documents.parquet")
+    labels = [(r[0], 1, int(i % 9 == 0)) for i, r in enumerate(rows) if r[0] is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null keys, texts, sources and languages, repeated and empty rows, long texts and clashing columns: nothing fails, and
+    what the first stages keep is what their definitions say."""
+    rows = [(i, f"words of document number {i} about subject {i * 7} and so on {i * i}", "en", "a" if i % 3 else None, 5, "t", True) for i in range(60)]
+    rows += [(None, None, None, None, None, None, None), (None, None, None, None, None, None, None), (200, "", "de", "b", 0, None, False)]
+    rows += [(201, "long text " * 30_000, "en", "b", 1, "x", None), rows[5], rows[5], (202, rows[6][1], "en", "a", 5, "t", True), (203, "x" * 100_000, None, "b", 1, None, None)]
+    folder = small_corpus(spark, tmp_path / "odd", rows)
+    docs, kept = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, out = docs.collect(), stage(spark, docs, folder)
+        assert out.columns == columns
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        kept[name] = before, docs.collect()
+    before, after = kept["exact_dedup"]
+    assert len(after) == len({re.sub(r"[\x20\x09-\x0D]", "", r.text or "") for r in before})
+    before, after = kept["simhash_near_dedup"]
+    assert {slow_print(r.text) for r in after} <= {slow_print(r.text) for r in before} and 0 < len(after) <= len(before)
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id for r in packed} <= {r[0] for r in rows} and all(0 < r.length <= 2048 for r in packed)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    folder = small_corpus(spark, tmp_path / "none", [])
+    assert corpus_pipeline.run(spark, folder).collect() == []

@@ -117,7 +117,10 @@ class Model:
 
 
 def measured(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Key and `stats` of every row."""
+    """Key and `stats` of every row, repeated rows one by one; other columns are not carried along.
+
+    Null and empty texts have the statistics of an empty text; texts of any length are measured whole. A null key stays.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +213,8 @@ def fit(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "
 
 
 def score(stats: DataFrame, model: Model, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """Key, `score` (the probability of label 1) and `predicted` of every row of `measured`."""
+    """Key, `score` (the probability of label 1) and `predicted` of every row of `measured`, null keys and repeated rows
+    included. An empty table gives an empty result."""
     shared = stats.sparkSession.sparkContext.broadcast(vars(model).copy())
     kind = stats.schema[key].dataType.simpleString()
 
