@@ -1,4 +1,7 @@
-"""Literal inputs with the results the reference's tests expect."""
+"""Literal inputs with the results the reference's tests expect.
+
+The inputs and expected values below are fixed values: they must equal the reference's for right results.
+"""
 
 import pytest
 from pyspark.sql import functions as F
