@@ -121,3 +121,16 @@ def test_no_python_on_the_main_path(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     text = mixing.mark(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_many_cells_are_raked_alike(spark, monkeypatch):
+    """Cells that do not fit one partition are shuffled by margin, to the same shares."""
+    sizes = {k: 50 + 37 * i % 400 for i, k in enumerate(itertools.product(("a", None, "c"), "xy", "pq"))}
+    cells = spark.createDataFrame([(*k, n) for k, n in sizes.items()], "source string, lang string, topic string, n long")
+    aims = {m: mixing.tempered(cells, m, mixing.TEMPERATURES[m]) for m in mixing.MARGINS}
+    found = []
+    for limit in (mixing.CELL_ROWS, 5):
+        monkeypatch.setattr(mixing, "CELL_ROWS", limit)
+        out, _ = mixing.fitted(cells, aims, 0.7, rounds=4)
+        found.append({(r.source, r.lang, r.topic): r.p for r in out.collect()})
+    assert found[0] == pytest.approx(found[1], rel=1e-9)

@@ -17,7 +17,7 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .base import replacing, settle
 
@@ -32,8 +32,8 @@ TOPICS = {"listing": r" \| ", "contact": "@", "markup": r"[&%#$*]{3}", "rights":
 TEMPERATURES = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 #: Bits of the draw.
 DRAW_BITS = 32
-#: Cells in a partition. Up to that many, what is known of a margin's values is broadcast to its cells.
-CELL_ROWS = 100_000
+#: Cells in a partition. Up to that many go through several rounds in one task; more are shuffled by margin in each.
+CELL_ROWS, ROUNDS_AT_ONCE = 100_000, 5
 #: A miss of a target share that is worth a warning.
 MISS = 1e-3
 
@@ -66,11 +66,6 @@ def _gathered(df: DataFrame, cells: int) -> DataFrame:
     return df.coalesce(1 + cells // CELL_ROWS)
 
 
-def _known(df: DataFrame, cells: int) -> DataFrame:
-    """One row for each value of a margin, for a join with so many cells."""
-    return F.broadcast(_gathered(df, cells)) if cells <= CELL_ROWS else df
-
-
 def _aims(cells: DataFrame, margin: str, target: DataFrame, count: int) -> DataFrame:
     """(value, tokens there are, share) of every value of a margin; shares add up to one over the values with tokens."""
     have = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("n").alias("available"))
@@ -82,26 +77,46 @@ def _aims(cells: DataFrame, margin: str, target: DataFrame, count: int) -> DataF
     return aims.withColumn("share", F.col("share") / total)
 
 
-def _fitted(cells: DataFrame, margin: str, aims: DataFrame, asked: float, count: int) -> DataFrame:
+def _fitted(cells: DataFrame, margin: str, asked: float, together: bool) -> DataFrame:
     """The cells with `w` moved so that the tokens taken from each value, at most n of a cell, come to its budget.
 
     One step: what the full cells hold is set off, and the open ones are scaled to the rest. Where the full cells alone
-    hold more than the budget, all are scaled down.
+    hold more than the budget, all are scaled down. Cells that are `together` in one partition need no shuffle.
     """
     full = F.col("w") >= F.col("n")
-    sums = cells.groupBy(F.col(margin).alias("_m")).agg(
-        F.sum(F.when(full, F.col("n")).otherwise(0.0)).alias("filled"),
-        F.sum(F.when(full, 0.0).otherwise(F.col("w"))).alias("open"),
-        F.sum(F.least("w", "n")).alias("all"),
+    sums = {
+        "_filled": F.sum(F.when(full, F.col("n")).otherwise(0.0)),
+        "_open": F.sum(F.when(full, 0.0).otherwise(F.col("w"))),
+        "_all": F.sum(F.least("w", "n")),
+    }
+    if together:
+        own = Window.partitionBy(margin)
+        joined = cells.select("*", *[c.over(own).alias(name) for name, c in sums.items()])
+    else:
+        found = cells.groupBy(F.col(margin).alias("_m")).agg(*[c.alias(name) for name, c in sums.items()])
+        joined = cells.join(found, F.col(margin).eqNullSafe(F.col("_m"))).drop("_m")
+    budget = F.col(f"_share_{margin}") * asked
+    moved = (
+        F.when(F.col("_filled") > budget, F.least("w", "n") * (budget / F.col("_all")))
+        .when(F.col("_open") > 0, F.col("w") * ((budget - F.col("_filled")) / F.col("_open")))
+        .otherwise(F.col("w"))
     )
-    budget = F.col("share") * asked
-    over = F.col("filled") > budget
-    factor = F.when(over, budget / F.col("all")).when(F.col("open") > 0, (budget - F.col("filled")) / F.col("open")).otherwise(1.0)
-    sums = _gathered(sums, count).join(_known(aims, count), F.col("_m").eqNullSafe(F.col("value")))
-    sums = _known(sums.select("_m", over.alias("over"), factor.alias("f")), count)
-    base = F.when(F.col("over"), F.least("w", "n")).otherwise(F.col("w"))
-    joined = cells.join(sums, F.col(margin).eqNullSafe(F.col("_m")))
-    return joined.select(*[c for c in cells.columns if c != "w"], F.least(base * F.col("f"), F.lit(1e150)).alias("w"))
+    return joined.withColumn("w", F.least(moved, F.lit(1e150))).drop(*sums)
+
+
+def _raked(cells: DataFrame, margins: list[str], asked: float, rounds: int, together: bool) -> DataFrame:
+    """So many rounds over all margins; `_change` is the largest move of a cell's tokens in the last round that moved any
+    by more than the tolerance or was the first not to. Rounds after that one leave all as it is."""
+    for _ in range(rounds):
+        done = F.col("_change") <= TOLERANCE * asked
+        cells = cells.withColumn("_was", F.col("w"))
+        for margin in margins:
+            cells = _fitted(cells, margin, asked, together)
+        step = F.abs(F.least("w", "n") - F.least("_was", "n"))
+        change = F.max(step).over(Window.partitionBy(F.lit(0))) if together else step
+        cells = cells.withColumns({"w": F.when(done, F.col("_was")).otherwise(F.col("w")), "_change": F.when(done, F.col("_change")).otherwise(change)})
+        cells = cells.drop("_was")
+    return cells
 
 
 def fitted(cells: DataFrame, targets: dict[str, DataFrame], fraction: float = FRACTION, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -113,17 +128,17 @@ def fitted(cells: DataFrame, targets: dict[str, DataFrame], fraction: float = FR
     """
     total, count = cells.agg(F.sum("n"), F.count("*")).first()
     aims = {m: _aims(cells, m, t, count) for m, t in targets.items()}
-    asked = float(total or 0) * fraction
+    asked, together, margins_ = float(total or 0) * fraction, count <= CELL_ROWS, list(targets)
     out = cells.select(*targets, F.coalesce("n", F.lit(0)).cast("double").alias("n")).withColumn("w", F.col("n"))
-    out = settle(_gathered(out, count))
-    for _ in range(rounds if asked else 0):
-        moved = out.withColumn("_was", F.least("w", "n"))
-        for margin in targets:
-            moved = _fitted(moved, margin, aims[margin], asked, count)
-        moved = settle(_gathered(moved, count))
-        change = moved.agg(F.max(F.abs(F.least("w", "n") - F.col("_was")))).first()[0]
-        out = moved.drop("_was")
-        if change <= TOLERANCE * asked:
+    for m, aim in aims.items():
+        shares = aim.select(F.col("value").alias("_v"), F.col("share").alias(f"_share_{m}"))
+        out = out.join(shares, F.col(m).eqNullSafe(F.col("_v"))).drop("_v")
+    out = settle(_gathered(out.withColumn("_change", F.lit(1e300)), count))
+    at_once = ROUNDS_AT_ONCE if together else 1
+    for _ in range(0, rounds if asked else 0, at_once):
+        rows = out.coalesce(1) if together else out.withColumn("_change", F.lit(1e300))
+        out = settle(_gathered(_raked(rows, margins_, asked, at_once, together), count))
+        if out.agg(F.max("_change")).first()[0] <= TOLERANCE * asked:
             break
     taken = F.least("w", "n")
     out = out.select(*targets, F.col("n").cast("long").alias("n"), F.when(F.col("n") > 0, taken / F.col("n")).otherwise(0.0).alias("p"))
