@@ -135,9 +135,9 @@ def fitted(cells: DataFrame, targets: dict[str, DataFrame], fraction: float = FR
         out = out.join(shares, F.col(m).eqNullSafe(F.col("_v"))).drop("_v")
     out = settle(_gathered(out.withColumn("_change", F.lit(1e300)), count))
     at_once = ROUNDS_AT_ONCE if together else 1
-    for _ in range(0, rounds if asked else 0, at_once):
+    for begun in range(0, rounds if asked else 0, at_once):
         rows = out.coalesce(1) if together else out.withColumn("_change", F.lit(1e300))
-        out = settle(_gathered(_raked(rows, margins_, asked, at_once, together), count))
+        out = settle(_gathered(_raked(rows, margins_, asked, min(at_once, rounds - begun), together), count))
         if out.agg(F.max("_change")).first()[0] <= TOLERANCE * asked:
             break
     taken = F.least("w", "n")
