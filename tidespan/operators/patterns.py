@@ -85,9 +85,14 @@ class PatternOps:
 
     def _slices_ahead(self, df: DataFrame, max_duration: int) -> DataFrame:
         """Time slices with as much of the future as overlapping instances may last: `_chunk`, and `_own` for rows that
-        may start a match in it."""
+        may start a match in it.
+
+        Slices are no shorter than that, so a row is read in its own slice and at most in the one before; shorter ones
+        would read as much of the future each.
+        """
+        cuts = self.cuts.apart(max_duration)
         df = df.withColumn("_reach", F.col("vs") - F.lit(max_duration - 1))
-        df = self.cuts.attach(self.cuts.attach(df, "_reach", "_lo"), "vs", "_hi")
+        df = cuts.attach(cuts.attach(df, "_reach", "_lo"), "vs", "_hi")
         df = df.withColumn("_chunk", F.explode(F.sequence(F.col("_lo").cast("long"), F.col("_hi").cast("long"))))
         return df.withColumn("_own", F.col("_chunk") == F.col("_hi")).drop("_reach", "_lo", "_hi")
 

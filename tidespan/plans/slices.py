@@ -16,6 +16,8 @@ from copy import copy
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..functions.time import INF
+
 SLICE = "_slice"
 CUTS = "_cuts"
 SAMPLE_TARGET = 20_000
@@ -37,7 +39,7 @@ class Cuts:
         self._keys = list(keys)
         self.count = slice_count(df.sparkSession)
         self._column = None
-        self._shift = 0
+        self._shift, self._least = 0, 0
 
     def shifted(self, ticks: int) -> Cuts:
         """The same cuts for times moved by a constant."""
@@ -45,6 +47,12 @@ class Cuts:
         other._shift = self._shift + ticks
         return other
 
+    def apart(self, least: int) -> Cuts:
+        """The same cuts without those that are less than `least` ticks after the one before."""
+        other = copy(self)
+        other._column, other._least = None, least
+        return other
+
     def column(self) -> Column:
         if self._column is None:
             total = self._rows.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -61,7 +69,15 @@ class Cuts:
                 values = F.sort_array(F.collect_set("_t"))
                 places = F.expr(f"sequence(1, {self.count - 1})")
                 points = F.transform(places, lambda i: F.get(values, F.floor(i * F.size(values) / self.count).cast("int")))
-            self._column = picked.agg(points.alias("p")).scalar()
+            found = picked.agg(points.alias("p"))
+            if self._least:
+                # all dropped cuts go to the end, where no time reaches them: slices stay numbered without gaps
+                none, last = F.array().cast("array<bigint>"), F.element_at("p", F.lit(-1))
+                far = lambda kept, x: (F.size(kept) == 0) | (x >= F.try_element_at(kept, F.lit(-1)) + F.lit(self._least))
+                kept = F.aggregate("p", none, lambda kept, x: F.when(far(kept, x), F.array_append(kept, x)).otherwise(kept))
+                rest = F.array_repeat(F.lit(INF).cast("long"), F.lit(self.count - 1) - F.size(kept))
+                found = found.select(F.when(last.isNotNull(), F.concat(kept, rest)).otherwise(F.col("p")).alias("p"))
+            self._column = found.scalar()
         return self._column
 
     def attach(self, df: DataFrame, time: str, name: str = SLICE) -> DataFrame:
