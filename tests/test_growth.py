@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tidespan import TemporalFrame
 from tidespan.functions import automaton as P
+from tidespan.streaming import stateful as ST
+from tidespan.streaming.runner import QueryContainer, replay
 
 
 def test_rows_are_read_in_two_slices_at_most(spark):
@@ -35,3 +37,28 @@ def test_slices_ahead_find_what_one_slice_finds(spark):
         found.append(sorted(tuple(r) for r in out.df.select("k", "vs", "ve", "first", "n").collect()))
     spark.conf.unset("tidespan.slices")
     assert found[0] and found[0] == found[1]
+
+
+def test_keys_of_a_stream_share_groups(spark, tmp_path):
+    """State is kept by shard, not by key; keys may be null, and values among nulls keep their digits."""
+    rows = spark.range(1, 6001).select(
+        F.when(F.col("id") % 3000 > 0, F.col("id") % 3000).alias("k"), F.when(F.col("id") % 5 > 0, "x").alias("name"),
+        F.col("id").alias("vs"), F.when(F.col("id") % 7 > 0, F.col("id") + 9007199254740993).alias("wide"),
+    )
+    replay(str(tmp_path / "in"), rows)
+    box = QueryContainer(spark, str(tmp_path / "home"))
+    stream = box.register_input("in", str(tmp_path / "in"), rows.schema)
+    box.register_output("out", ST.stream_signal(stream, ["k", "name"], "1 second"))
+    box.run()
+    assert 0 < box.progress("out")["state_rows"] <= ST.SHARDS < 3000
+    replay(str(tmp_path / "in"), rows.limit(1).withColumn("vs", F.lit(10**13)).withColumn("k", F.lit(-1).cast("long")))
+    box.run()
+    got = sorted((tuple(r) for r in box.result("out").select("k", "name", "vs", "ve", "wide").collect()), key=repr)
+    given = sorted(rows.collect(), key=lambda r: r.vs)
+    last, want = {}, []
+    for r in given:
+        before = last.get((r.k, r.name))
+        if before is not None:
+            want.append((r.k, r.name, before.vs, r.vs, before.wide))
+        last[r.k, r.name] = r
+    assert got == sorted(want, key=repr)

@@ -1,7 +1,8 @@
 """Operators that need their events in order, on unbounded input.
 
-Events are buffered per key until the watermark passes them and then run through a small state machine in time
-order; the machine's state is kept between triggers. The machines for patterns are those of the batch operators.
+Events are buffered until the watermark passes them and then run through a small state machine of their key in time
+order; the machines' state is kept between triggers, by shards of many keys. The machines for patterns are those of the
+batch operators.
 
 State carries the version of what wrote it: the operator, its parameters and its columns. A query that is restarted with
 another version fails instead of reading state that it would misunderstand.
@@ -12,15 +13,20 @@ from __future__ import annotations
 import pickle
 from collections import deque, namedtuple
 from heapq import heappop, heappush
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import IntegralType, StructType, _parse_datatype_string
+from pyspark.sql.types import IntegralType, StringType, StructType, _parse_datatype_string
 
 from ..functions.automaton import Matcher
 from ..functions.time import INF, MIN_T
 
 
+#: Groups that the keys of a stream are dealt into. State is kept by group, so the number cannot change between runs.
+SHARDS = 2048
+
+
 def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema: StructType, version: str) -> DataFrame:
     """Feed each key's rows (`vs` and `columns`) to `machine(key, saved)` in time order.
 
@@ -31,13 +37,15 @@ def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema:
         raise ValueError("a stateful stream needs at least one key")
     kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in (*keys, "vs", *columns))
     version = f"{version} of ({kinds})"
-    # whole numbers travel as text: among nulls, pandas would make them doubles
+    # among nulls, pandas would make whole numbers doubles: they travel with a mark instead
     whole = [isinstance(df.schema[c].dataType, IntegralType) for c in columns]
-    parts = [F.col(f"`{c}`").cast("string") if w else F.col(f"`{c}`") for c, w in zip(columns, whole, strict=True)]
-    names_in = [f"_{i}" for i in range(len(columns))]
-    rows = df.select(*keys, "vs", *[c.alias(n) for c, n in zip(parts, names_in, strict=True)])
+    parts, names_in = [], [f"_{i}" for i in range(len(columns))]
+    for c, n, w in zip(columns, names_in, whole, strict=True):
+        value = F.col(f"`{c}`")
+        parts += [F.coalesce(value.cast("long"), F.lit(0)).alias(n), value.isNull().alias(n + "_null")] if w else [value.alias(n)]
+    rows = df.select(*keys, "vs", *parts)
     rows = rows.withColumn("_at", F.timestamp_micros("vs")).withWatermark("_at", delay)
-    names = schema.names
+    names, at = schema.names, itemgetter(0)
 
     def update(key, batches, state):
         written, buffered, saved = pickle.loads(state.get[0]) if state.exists else (version, [], None)
@@ -47,11 +55,14 @@ def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema:
         for pdf in batches:
             values = [pdf["vs"].tolist()]
             for n, w in zip(names_in, whole, strict=True):
-                given = pdf[n].astype(object).where(pdf[n].notna(), None)
-                values.append([x if x is None else int(x) for x in given] if w else given.tolist())
+                if w:
+                    given, null = pdf[n].tolist(), pdf[n + "_null"]
+                    values.append([None if z else x for x, z in zip(given, null, strict=True)] if null.any() else given)
+                else:
+                    values.append(pdf[n].astype(object).where(pdf[n].notna(), None).tolist())
             buffered.extend(zip(*values, strict=True))
         limit = state.getCurrentWatermarkMs() * 1000
-        buffered.sort(key=lambda v: v[0])
+        buffered.sort(key=at)
         out, done = [], 0
         for v in buffered:
             if v[0] > limit:
@@ -77,6 +88,47 @@ def release_in_order(df: DataFrame, keys, columns, delay: str, machine, schema:
     )
 
 
+class _Shard:
+    """The machines of many keys; the values of a row begin with its key."""
+
+    def __init__(self, machine, n, saved):
+        self.machine, self.n = machine, n
+        self.runs = {key: machine(key, state) for key, state in saved or ()}
+
+    def row(self, t, values):
+        key = values[: self.n]
+        run = self.runs.get(key)
+        if run is None:
+            run = self.runs[key] = self.machine(key, None)
+        return [(*key, *o) for o in run.row(t, values[self.n :])]
+
+    def advance(self, t):
+        return [(*key, *o) for key, run in self.runs.items() for o in run.advance(t)]
+
+    def wake(self):
+        return min((w for w in (run.wake() for run in self.runs.values()) if w is not None), default=None)
+
+    def save(self):
+        states = ((key, run.save()) for key, run in self.runs.items())
+        return [(key, state) for key, state in states if state is not None] or None
+
+
+def release_by_key(df: DataFrame, keys, columns, delay: str, machine, schema: StructType, version: str) -> DataFrame:
+    """`release_in_order` for any number of keys: a group of the stream is not a key but a shard of many.
+
+    A call for every key and trigger costs far more than the few rows of a key. Keys are dealt by hash if they are whole
+    numbers or strings, whose values mean the same as parts of a row; others are groups of their own.
+    """
+    plain = all(isinstance(df.schema[k].dataType, IntegralType) or df.schema[k].dataType == StringType() for k in keys)
+    if not keys or not plain:
+        return release_in_order(df, keys, columns, delay, machine, schema, version)
+    n, dealt = len(keys), df.withColumn("_shard", F.pmod(F.xxhash64(*keys), F.lit(SHARDS)).cast("int"))
+    fields = [dealt.schema["_shard"], *schema.fields]
+    shard = lambda key, saved: _Shard(machine, n, saved)
+    found = release_in_order(dealt, ["_shard"], [*keys, *columns], delay, shard, StructType(fields), f"{version} in {SHARDS}")
+    return found.drop("_shard")
+
+
 def _out(df: DataFrame, keys, more: str) -> StructType:
     fields = [f for f in df.schema.fields if f.name in keys]
     return StructType([*fields, *_parse_datatype_string(more).fields])
@@ -134,7 +186,7 @@ def stream_detect(df, keys, pattern, max_duration, schema, delay, register=None,
     shape = {s: [(single, cond if isinstance(cond, int) else "call", reach) for single, cond, _, reach in arcs] for s, arcs in tables["arcs"].items()}
     tests = [c._jc.toString() if hasattr(c, "_jc") else str(c) for c in conds]
     version = f"detect 1 {shape} {tests} {sorted(tables['finals'])} {max_duration} {overlapping} {schema}"
-    return release_in_order(rows, keys, [*payload, "_flags"], delay, machine, out, version)
+    return release_by_key(rows, keys, [*payload, "_flags"], delay, machine, out, version)
 
 
 class _Signal:
@@ -164,7 +216,7 @@ def stream_signal(df, keys, delay):
     payload = [c for c in df.columns if c not in ("vs", "ve", *keys)]
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in payload)
     out = _out(df, keys, "vs bigint, ve bigint, " + types)
-    return release_in_order(df, keys, payload, delay, lambda key, saved: _Signal(saved), out, "signal 1")
+    return release_by_key(df, keys, payload, delay, lambda key, saved: _Signal(saved), out, "signal 1")
 
 
 class _Session:
@@ -216,7 +268,7 @@ def stream_session(df, keys, timeout, delay, max_duration=None):
     payload = [c for c in df.columns if c not in ("vs", "ve", *keys)]
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in payload)
     out = _out(df, keys, "vs bigint, ve bigint, " + types)
-    return release_in_order(
+    return release_by_key(
         df, keys, payload, delay, lambda key, saved: _Session(timeout, max_duration, saved), out,
         f"session 1 {timeout} {max_duration}",
     )
@@ -264,7 +316,7 @@ def stream_snapshot(df, keys, value, delay):
     """Count and sum per snapshot for general lifetimes, on a stream."""
     rows = df.select(*keys, "vs", "ve", F.col(value).alias("_v"))
     out = _out(df, keys, "vs bigint, ve bigint, n bigint, total bigint")
-    return release_in_order(rows, keys, ["ve", "_v"], delay, lambda key, saved: _Snapshot(saved), out, "snapshot 1")
+    return release_by_key(rows, keys, ["ve", "_v"], delay, lambda key, saved: _Snapshot(saved), out, "snapshot 1")
 
 
 class _Stitch:
@@ -302,7 +354,7 @@ class _Stitch:
 def stream_stitch(df, keys, delay):
     """`TemporalFrame.stitch` on a stream; `keys` must be all columns that make rows equal."""
     out = _out(df, keys, "vs bigint, ve bigint")
-    return release_in_order(df, keys, ["ve"], delay, lambda key, saved: _Stitch(saved), out, "stitch 1")
+    return release_by_key(df, keys, ["ve"], delay, lambda key, saved: _Stitch(saved), out, "stitch 1")
 
 
 def _tagged(left: DataFrame, right: DataFrame, keys) -> tuple[DataFrame, list[str], list[str]]:
@@ -355,7 +407,7 @@ def stream_clip_by(left, right, keys, delay):
     names = list(keys) or ["_all"]
     types = "".join(f", `{c}` {left.schema[c].dataType.simpleString()}" for c in mine)
     out = _out(rows, names, "vs bigint, ve bigint" + types)
-    found = release_in_order(rows, names, ["_side", "ve", *mine], delay, lambda key, saved: _Clip(saved), out, "clip 1")
+    found = release_by_key(rows, names, ["_side", "ve", *mine], delay, lambda key, saved: _Clip(saved), out, "clip 1")
     return found if keys else found.drop("_all")
 
 
@@ -432,7 +484,7 @@ def _uncovered(left, right, keys, delay, pairs: bool):
     out = _out(rows, names, "vs bigint, ve bigint" + types)
     n, m = len(mine), len(theirs)
     version = f"uncovered 1 {pairs}"
-    found = release_in_order(
+    found = release_by_key(
         rows, names, ["_side", "ve", *mine, *theirs], delay, lambda key, saved: _Uncovered(pairs, n, m, saved), out, version
     )
     return found if keys else found.drop("_all")
