@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidespan.functions import automaton as P
 from tidespan.functions.time import INF
 from tidespan.sources.scratch import scratch_dir
+from tidespan.streaming import bucketed as SB
 from tidespan.streaming import snapshots as SN
 from tidespan.streaming import stateful as ST
 from tidespan.streaming import windows as SW
@@ -363,9 +364,9 @@ def stream_clip_by_unkeyed(t):
 
     def build(s):
         views, errors = kinds(s, "view", "error")
-        return ST.stream_clip_by(views.select("event_id", "vs", "ve"), errors, [], "1 hour")
+        return SB.clip_by(views.select("event_id", "vs", "ve"), errors, [], 6 * HOUR, "1 hour")
 
-    return streamed(t, t.intervals("event_id", "user_id", "event_type"), build)
+    return SB.whole_clips(streamed(t, t.intervals("event_id", "user_id", "event_type"), build))
 
 
 LEFT, RIGHT = (f"SELECT * FROM ({INTERVALS}) WHERE event_type = '{k}'" for k in ("view", "purchase"))
@@ -407,9 +408,9 @@ def stream_anti_join_unkeyed(t):
 
     def build(s):
         errors = s.where((F.col("event_type") == "error") | (F.col("vs") >= FAR))
-        return ST.stream_anti_join(s.select("event_id", "vs", "ve"), errors.select("vs", (F.col("vs") + HOUR // 4).alias("ve")), [], "1 hour")
+        return SB.anti_join(s.select("event_id", "vs", "ve"), errors.select("vs", (F.col("vs") + HOUR // 4).alias("ve")), [], 6 * HOUR, "1 hour")
 
-    return streamed(t, t.intervals("event_id", "event_type"), build)
+    return SB.whole_stretches(streamed(t, t.intervals("event_id", "event_type"), build))
 
 
 def live(t, frame, keys, **aggs):

@@ -1,10 +1,15 @@
 """How much work operators make of larger inputs, and that larger inputs give whole results."""
 
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidespan import TemporalFrame
 from tidespan.functions import automaton as P
-from tidespan.streaming import stateful as ST
+from tidespan.streaming import bucketed as SB, snapshots as SN, stateful as ST
 from tidespan.streaming.runner import QueryContainer, replay
 
 
@@ -62,3 +67,56 @@ def test_keys_of_a_stream_share_groups(spark, tmp_path):
             want.append((r.k, r.name, before.vs, r.vs, before.wide))
         last[r.k, r.name] = r
     assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_buckets_of_clips_and_stretches(seed):
+    """What buckets say of rows, put together, is what the machine over all time says."""
+    rnd = random.Random(seed)
+    left = [(vs := rnd.randrange(40), vs + 1 + rnd.randrange(25), i) for i in range(15)]
+    right = np.array([(vs := rnd.randrange(45), vs + 1 + rnd.randrange(6)) for _ in range(rnd.randrange(8))], np.int64).reshape(-1, 2)
+    clips, ticks = {}, Counter()
+    for lo in range(0, 80, 8):
+        inside = lambda r, lo=lo: r[0] < lo + 8 and r[1] > lo
+        here = np.array([r for r in right if inside(r)], np.int64).reshape(-1, 2)
+        mine = [r for r in left if inside(r)]
+        events = here[(here[:, 0] >= lo)]
+        for vs, ve, i, clip, first, last in SB.clipped(mine, events, lo, lo + 8):
+            assert first == (vs >= lo) and last == (ve <= lo + 8)
+            clips[vs, ve, i] = min(clips.get((vs, ve, i), ve), ve if clip is None else clip)
+        for vs, ve, i, own_vs, own_ve, before, after in SB.uncovered(mine, here, lo, lo + 8):
+            assert before == (vs == lo and own_vs < lo) and after == (ve == lo + 8 and own_ve > lo + 8)
+            ticks.update((t, i) for t in range(vs, ve))
+    assert clips == {(vs, ve, i): min([ve, *(int(t) for t, _ in right if t > vs)]) for vs, ve, i in left}
+    covered = {t for a, b in right for t in range(a, b)}
+    assert ticks == Counter((t, i) for vs, ve, i in left for t in range(vs, ve) if t not in covered)
+
+
+def test_one_timeline_is_spread_over_buckets(spark, tmp_path):
+    """Equal rows, rows over many buckets, null payloads; no group has all rows."""
+    given = [(i % 50 * 10 + 10**6, 1 + i * i % 90, None if i % 4 == 0 else i % 3, i % 5 == 0) for i in range(200)] * 2
+    df = spark.createDataFrame([(vs, vs + n, k, right) for vs, n, k, right in given] + [(10**12, 10**12 + 1, 0, r) for r in (True, False)],
+                               "vs long, ve long, k int, right boolean")
+    replay(str(tmp_path / "in"), df)
+    found = {}
+    for name, build, whole in (("clip", SB.clip_by, SB.whole_clips), ("anti", SB.anti_join, SB.whole_stretches)):
+        box = QueryContainer(spark, str(tmp_path / name))
+        stream = box.register_input("in", str(tmp_path / "in"), df.schema)
+        box.register_output("out", build(stream.where("not right").drop("right"), stream.where("right").select("vs", "ve"), [], 64, "1 second"))
+        box.run()
+        found[name] = Counter(tuple(r) for r in whole(box.result("out")).select("vs", "ve", "k").collect())
+    left = [(vs, vs + n, k) for vs, n, k, right in given if not right]
+    right = [(vs, vs + n) for vs, n, _, right in given if right]
+    assert found["clip"] == Counter((vs, min([ve, *(t for t, _ in right if t > vs)]), k) for vs, ve, k in left)
+    machine, want = ST._Uncovered(False, 1, 0, None), []
+    for t, values in sorted([(vs, (0, ve, k)) for vs, ve, k in left] + [(vs, (1, ve, None)) for vs, ve in right], key=lambda r: r[0]):
+        want += machine.row(t, values)
+    assert found["anti"] == Counter(want + machine.advance(10**9))
+
+
+def test_snapshots_read_their_rows_once():
+    """Rows come one by one out of state and are not gathered as rows."""
+    rows = [(i % 7, i % 7 + 3 + i % 5, i) for i in range(50)]
+    aggs = [SN.count(), SN.max_("v")]
+    assert list(SN.snapshots(iter(rows), 2, 9, aggs, ["v"])) == list(SN.snapshots(rows, 2, 9, aggs, ["v"])) != []
+    assert list(SN.snapshots(iter(()), 2, 9, aggs, ["v"])) == []

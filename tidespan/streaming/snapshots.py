@@ -12,15 +12,18 @@ A snapshot that goes on beyond a bucket comes out in pieces; `whole` puts them t
 from __future__ import annotations
 
 import math
+from array import array
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, Row, Window, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..functions.time import INF
 from ..plans.slices import by
+from .bucketed import appended
 
 #: Doubles are whole multiples of two to the power of minus this.
 FINEST = 1074
@@ -135,27 +138,34 @@ _Nan.last = _Nan(math.inf)
 
 def snapshots(rows, lo: int, hi: int, aggs: list[Live], columns: list[str]):
     """(vs, ve, results, whether the piece is cut at its beginning, and at its end) of the rows within [lo, hi)."""
-    edges = []
-    for i, (vs, ve, *_) in enumerate(rows):
-        edges.append((max(vs, lo), 1, i))
-        if ve < hi:
-            edges.append((ve, 0, i))
-    edges.sort()
-    starts_at_lo = any(vs == lo for vs, *_ in rows)
-    ends_at_hi = any(ve == hi for _, ve, *_ in rows)
+    starts, ends, given = array("q"), array("q"), [[] for _ in columns]
+    for vs, ve, *found in rows:  # read once, into columns
+        starts.append(vs)
+        ends.append(ve)
+        for column, v in zip(given, found, strict=True):
+            column.append(v)
+    starts, ends = np.array(starts, np.int64), np.array(ends, np.int64)
+    starts_at_lo, ends_at_hi = bool((starts == lo).any()), bool((ends == hi).any())
+    over = np.flatnonzero(ends < hi)
+    times = np.concatenate((np.maximum(starts, lo), ends[over]))
+    # edge i of the first ones begins row i; ends come before starts of their instant
+    row = np.concatenate((np.arange(len(starts)), over))
+    sign = np.repeat(np.array([1, -1], np.int8), [len(starts), len(over)])
+    order = np.lexsort((row, sign, times))
+    times, row, sign = times[order], row[order], sign[order]
+    bounds = np.append(np.flatnonzero(np.diff(times)) + 1, len(times)) if len(times) else ()
     values, active, k = {c: _Values() for c in columns}, 0, 0
-    while k < len(edges):
-        t = edges[k][0]
-        while k < len(edges) and edges[k][0] == t:
-            _, begins, i = edges[k]
-            active += 1 if begins else -1
-            for c, v in zip(columns, rows[i][2:], strict=True):
-                values[c].change(v, 1 if begins else -1)
-            k += 1
-        until = edges[k][0] if k < len(edges) else hi
+    for stop in map(int, bounds):
+        t = int(times[k])
+        for i, change in zip(row[k:stop].tolist(), sign[k:stop].tolist(), strict=True):
+            active += change
+            for c, column in zip(columns, given, strict=True):
+                values[c].change(column[i], change)
+        k = stop
+        until = int(times[k]) if k < len(times) else hi
         if active:
             found = [active if a.kind == "count" else values[a.column].result(a) for a in aggs]
-            yield t, until, found, t == lo and not starts_at_lo, k == len(edges) and not ends_at_hi
+            yield t, until, found, t == lo and not starts_at_lo, k == len(times) and not ends_at_hi
 
 
 class _Bucket(StatefulProcessor):
@@ -167,17 +177,16 @@ class _Bucket(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         fields = self.schema.names
-        self.rows.appendList([tuple(r[f] for f in fields) for r in rows])
+        appended(self.rows, (tuple(r[f] for f in fields) for r in rows))
         self.handle.registerTimer(-(-(key[-1] + 1) * self.width // 1000))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        rows = [tuple(r) for r in self.rows.get()]
-        self.rows.clear()
         lo = key[-1] * self.width
         make = Row(*self.names)
-        for vs, ve, found, *cuts in snapshots(rows, lo, lo + self.width, self.aggs, self.columns):
+        for vs, ve, found, *cuts in snapshots(self.rows.get(), lo, lo + self.width, self.aggs, self.columns):
             yield make(*key[:-1], vs, ve, *found, *cuts)
+        self.rows.clear()
 
     def close(self):
         pass
