@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidespan import TemporalFrame
-from tidespan.functions import automaton as P
+from tidespan.functions import aggregates as A, automaton as P
 from tidespan.streaming import bucketed as SB, snapshots as SN, stateful as ST
 from tidespan.streaming.runner import QueryContainer, replay
 
@@ -120,3 +120,53 @@ def test_snapshots_read_their_rows_once():
     aggs = [SN.count(), SN.max_("v")]
     assert list(SN.snapshots(iter(rows), 2, 9, aggs, ["v"])) == list(SN.snapshots(rows, 2, 9, aggs, ["v"])) != []
     assert list(SN.snapshots(iter(()), 2, 9, aggs, ["v"])) == []
+
+
+def shuffled_rows(df) -> int:
+    """Rows that the shuffles of a query have written."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+
+    def walk(node):
+        name, below = node.getClass().getSimpleName(), node.children()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name == "ReusedExchangeExec":
+            return 0
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        mine = node.metrics().get("shuffleRecordsWritten").get().value() if name == "ShuffleExchangeExec" else 0
+        return mine + sum(walk(below.apply(i)) for i in range(below.size()))
+
+    return walk(plan)
+
+
+@pytest.mark.parametrize("made", ["top", "extremes", "deviations"])
+def test_states_are_handed_down_the_blocks(spark, made):
+    """Lifetimes that overlap by the hundred: a snapshot does not look up every level above it, and the results are whole."""
+    n = 2000
+    rnd = random.Random(5)
+    given = [(i * 3, i * 3 + 1 + rnd.randrange(n), float(rnd.randrange(10**6)) if i % 11 else None) for i in range(n)]
+    f = TemporalFrame(spark.createDataFrame(given, "vs long, ve long, v double").coalesce(1))
+    instants = sorted({t for vs, ve, _ in given for t in (vs, ve)})
+    if made == "top":
+        out = f.top_k(2, "v").df.select("vs", "rank", "v")
+        want = lambda a: [(1 + sum(x > y for x in a), y) for y in sorted(a, reverse=True)[:2]]
+    elif made == "extremes":
+        out = f.aggregate(n=A.count(), lo=A.min_("v"), hi=A.max_("v")).df.select("vs", "n", "lo", "hi")
+    else:
+        out = f.aggregate(d=A.population_variance("v"), e=A.population_stddev("v")).df.select("vs", "d", "e")
+    assert shuffled_rows(out) <= 16 * len(instants)
+    got = {}
+    for vs, *values in out.collect():
+        got.setdefault(vs, []).append(tuple(values))
+    for vs in rnd.sample(instants[:-1], 60):
+        alive = [v for a, b, v in given if a <= vs < b]
+        known = [v for v in alive if v is not None]
+        if made == "top" and len(known) > 1:
+            assert sorted(got[vs]) == sorted(want(known))
+        elif made == "extremes" and alive:
+            assert got[vs] == [(len(alive), min(known, default=None), max(known, default=None))]
+        elif made == "deviations" and alive:
+            d = np.var(known) if known else None
+            assert got[vs][0] == ((None, None) if d is None else pytest.approx((d, d**0.5), rel=1e-9, abs=1e-6))

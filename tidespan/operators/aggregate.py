@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.aggregates import Additive, Mergeable, Moments, Multiset, Quantile, Spread
 from ..functions.time import INF, col
 from ..plans.quantiles import counted_segments, order_statistics
-from ..plans.ranks import blocks_and_lookups, look_up
+from ..plans.ranks import at_ranks, blocks_and_lookups, descend, look_up, ranked_table
 from ..plans.slices import BEFORE, SLICE, UPTO, Cuts, by, local, match
 from ..plans.sliding import MERGES, sliding
 from ..plans.sweep import sweep
@@ -99,14 +99,15 @@ class AggregateOps:
         order = F.col("_o").asc_nulls_last() if ascending else F.col("_o").desc_nulls_last()
         packed = F.struct(*payload).alias("_p")
         rows = self.df.select(*keys, "vs", "ve", col(by).alias("_o"), packed)
-        blocks, lookups = blocks_and_lookups(rows, keys, self.cuts)
+        segments, ranked = ranked_table(rows, keys, self.cuts)
         # per block only the first k ranks can matter; the filter on rank is applied before the shuffle too
-        in_block = Window.partitionBy(*keys, "_lvl", "_node").orderBy(order)
-        best = blocks.withColumn("_r", F.rank().over(in_block)).where(F.col("_r") <= k)
-        best = best.drop("_r", "vs", "ve")
-        found = look_up(lookups, best, keys)
-        in_segment = Window.partitionBy(*keys, "vs").orderBy(order)
-        out = found.withColumn("rank", F.rank().over(in_segment)).where(F.col("rank") <= k)
+        in_block = Window.partitionBy(*keys, "_node").orderBy(order)
+
+        def best(filed, handed):
+            both = filed if handed is None else filed.unionByName(handed.drop("rank"))
+            return both.withColumn("rank", F.rank().over(in_block)).where(F.col("rank") <= k)
+
+        out = at_ranks(segments, descend(ranked, best), keys)
         return self._with(out.select(*keys, "vs", "ve", "rank", "_p.*"), wide=True)
 
     def top_k_lists(self, k: int, by, ascending=False, name="top"):
@@ -203,12 +204,13 @@ def _ranked(df, keys, additive, mergeable, moments) -> DataFrame:
     """All aggregates over one timeline of ranked instants, from one scan of the input.
 
     What can be taken away again is summed along the instants. Merged states, and counts, means and squared deviations,
-    are kept for each block; a snapshot has at most one block of each level and side, so what is listed for it is short.
+    are kept for each block, and handed down from block to block.
     """
     sums = {p: c for ps in _parts(additive).values() for p, c in ps.items()}
     parts = {p: c for ps in _parts(mergeable).values() for p, c in ps.items()}
     merge = {f"_{n}_{p}": a.merge[p] for n, a in mergeable.items() for p in a.parts}
-    values = {f"_{n}": a.row() for n, a in moments.items()}
+    alike = _alike(df, moments)
+    values = {f"_{n}": moments[n].row() for n in dict.fromkeys(alike.values())}
     rows = df.select(*keys, "vs", "ve", *[c.alias(n) for n, c in (sums | parts | values).items()])
 
     def fold(frame, group, **more):
@@ -218,20 +220,33 @@ def _ranked(df, keys, additive, mergeable, moments) -> DataFrame:
         rows = fold(rows, [*keys, "vs", "ve"], **{p: F.sum(p) for p in sums}, _c=F.count(F.lit(1))).drop("_c")
     rows = settle(rows)
     cuts = Cuts(rows, keys, "vs")
-    blocks, lookups = blocks_and_lookups(rows, keys, cuts, list(sums))
-    states = {
-        v: F.struct(F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2")) for v in values
-    }
-    found = look_up(lookups, fold(blocks, [*keys, "_lvl", "_node"], **states), keys)
-    listed = {v: F.array_sort(F.collect_list(v)) for v in values}
-    out = fold(found, [*keys, "vs", "ve"], **listed, **{p: F.any_value(p) for p in sums})
+    segments, ranked = ranked_table(rows, keys, cuts, list(sums))
+
+    def merged(filed, handed):
+        first = handed is None
+        if not first:
+            filed = filed.unionByName(handed, allowMissingColumns=True)
+        # raw values and the one state handed down are in columns of their own
+        own = {v: F.struct(F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2")) for v in values}
+        above = {} if first else {f"{v}_up": F.any_value(f"{v}_state", F.lit(True)) for v in values}
+        out = fold(filed, [*keys, "_node"], **own, **above)
+        state = lambda v: F.col(v) if first else _merged_moments(F.coalesce(f"{v}_up", _no_moments()), F.col(v))
+        return out.select(*keys, "_node", *merge, *[state(v).alias(f"{v}_state") for v in values])
+
+    out = at_ranks(segments, descend(ranked, merged), keys)
     outs = [_finish(n, a, F.col) for n, a in (additive | mergeable).items()]
     for n, a in moments.items():
-        total = F.aggregate(f"_{n}", _no_moments(), _merged_moments)
+        total = F.col(f"_{alike[n]}_state")
         outs.append(a.finish(total["n"], total["mean"], total["m2"]).alias(n))
     return out.select(*keys, "vs", "ve", *outs)
 
 
+def _alike(df, aggs) -> dict[str, str]:
+    """For each aggregate the first one over the same values."""
+    rows = {n: df.select(a.row().alias("_v")) for n, a in aggs.items()}
+    return {n: next(m for m, other in rows.items() if m == n or other.sameSemantics(mine)) for n, mine in rows.items()}
+
+
 def _no_moments() -> Column:
     return F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
 

@@ -1,8 +1,10 @@
 """Segment trees for aggregates that cannot be undone (min, max, product, top-k, percentile, user aggregates).
 
 Every key's endpoints get dense ranks (sliced, see `slices`). A lifetime is the rank range [lo, hi), which splits
-into at most 2*log2(hi-lo) aligned blocks; rows are pre-aggregated per block, and each snapshot segment looks up
-the blocks above it. No pair of segment and row is formed for aggregates that merge, so the work stays
+into at most 2*log2(hi-lo) aligned blocks. What merges (`descend`) is handed down from the longest blocks to the two
+halves of each, and merged with what is filed there, until blocks are single ranks: a level has half as many blocks as
+the next, so that all levels together are two states a snapshot. Whatever needs all active values (`look_up`) is looked
+up in the blocks above each snapshot. No pair of segment and row is formed for aggregates that merge, so the work stays
 N log N even when many lifetimes overlap.
 """
 
@@ -32,6 +34,44 @@ def with_blocks(df: DataFrame) -> DataFrame:
     return df.drop("_lo", "_hi")
 
 
+def _on_level(ranked: DataFrame, level: int) -> DataFrame:
+    """The rows of the blocks of one level, as `with_blocks` files them: `_node` in place of [_lo, _hi)."""
+    lo, hi = F.expr(f"shiftright(_lo + {(1 << level) - 1}L, {level})"), F.expr(f"shiftright(_hi, {level})")
+    df = ranked.withColumns({"_lo": lo, "_hi": hi}).where("_lo < _hi and (_lo % 2 = 1 or _hi % 2 = 1)")
+    ends = F.array(F.when(F.col("_lo") % 2 == 1, F.col("_lo")), F.when(F.col("_hi") % 2 == 1, F.col("_hi") - 1))
+    return df.withColumn("_node", F.explode(ends)).where(F.col("_node").isNotNull()).drop("_lo", "_hi")
+
+
+def descend(ranked: DataFrame, reduce) -> DataFrame:
+    """What is active at each rank `_node` at which something is: rows [_lo, _hi) reduced by (keys, _node), from level to level.
+
+    `reduce(filed, handed)` makes one result of the rows filed in a block and of what `reduce` made of the block of twice
+    the length, null on the first level.
+    """
+    longest = ranked.agg(F.max(F.col("_hi") - F.col("_lo"))).first()[0]
+    found = None
+    for level in reversed(range(max(1, longest or 0).bit_length())):
+        if found is not None:
+            halves = F.array(F.col("_node") * 2, F.col("_node") * 2 + 1)
+            found = found.withColumn("_node", F.explode(halves))
+        found = reduce(_on_level(ranked, level), found)
+    return found
+
+
+def at_ranks(segments: DataFrame, found: DataFrame, keys) -> DataFrame:
+    """Segments with what was found at their rank."""
+    cond = match("l", "r", keys) & (F.col("l._rank") == F.col("r._node"))
+    # size estimates do not see the halving: never let them choose a broadcast
+    joined = _reported(segments).hint("merge").alias("l").join(found.alias("r"), cond)
+    mine = [c for c in segments.columns if c != "_rank"]
+    rest = [c for c in found.columns if c not in (*keys, "_node")]
+    return joined.select(*[F.col(f"l.`{c}`") for c in mine], *[F.col(f"r.`{c}`") for c in rest])
+
+
+def _reported(segments: DataFrame) -> DataFrame:
+    return segments.where((F.col("vs") < INF) & F.col("ve").isNotNull())
+
+
 def ranked_segments(df: DataFrame, keys, cuts: Cuts, sums=()) -> DataFrame:
     """(keys, vs, ve, rank) for all instants of each key, with the sums over the active rows of the columns `sums`, which
     can be taken away again; the open end has a rank of its own."""
@@ -68,17 +108,23 @@ def ranked_rows(rows: DataFrame, segments: DataFrame, keys) -> DataFrame:
     return rows
 
 
-def blocks_and_lookups(rows: DataFrame, keys, cuts: Cuts, sums=()):
-    """Rows exploded to blocks, and segments, with their sums, exploded to the blocks above them.
+def ranked_table(rows: DataFrame, keys, cuts: Cuts, sums=()):
+    """Segments, with their sums, and rows with their rank ranges.
 
-    Segments are read three times and ranked rows twice, so both are written out once.
+    Segments are read three times and ranked rows on each level, so both are written out once.
     """
     segments = settle(ranked_segments(rows, keys, cuts, sums))
-    ranked = settle(ranked_rows(rows.drop(*sums), segments, keys))
+    ranked = ranked_rows(rows.drop(*sums), segments, keys).drop("vs", "ve")
+    return segments, settle(ranked)
+
+
+def blocks_and_lookups(rows: DataFrame, keys, cuts: Cuts):
+    """Rows exploded to blocks, and segments exploded to the blocks above them."""
+    segments, ranked = ranked_table(rows, keys, cuts)
     # each key has as many levels as its own longest lifetime needs
     spans = ranked.groupBy(*keys).agg(F.floor(F.log2(F.max(F.col("_hi") - F.col("_lo")))).cast("int").alias("_top"))
     blocks = with_blocks(ranked)
-    asked = segments.where((F.col("vs") < INF) & F.col("ve").isNotNull())
+    asked = _reported(segments)
     if keys:
         asked = asked.alias("l").join(settle(spans).alias("r"), match("l", "r", keys)).select("l.*", "r._top")
     else:
