@@ -134,3 +134,17 @@ def test_terms_of_the_given_table(spark):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(docs).count() == 0 and pii.sanitised(docs, pii.find(docs)).count() == 0
+
+
+def test_terms_out_of_reach_are_not_counted(spark, monkeypatch):
+    """Words that are with many protected entities cannot disclose one of them; whole counts are made of the others only."""
+    rows = [(i, f"common words here, note{i % 8} for u{i % 8}@host{i % 8}.example") for i in range(64)]
+    rows += [(100 + i, "plain filler") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = []
+    count = pii.document_counts
+    monkeypatch.setattr(pii, "document_counts", lambda texts, terms: asked.extend(r[0] for r in terms.collect()) or count(texts, terms))
+    found = pii.settle(pii.mentions(docs))
+    out = pii.disclosing(pii._rows(docs, "text", "doc_id"), found).collect()
+    assert sorted(asked) == [f"note{i}" for i in range(8)] == sorted(r["term"] for r in out)
+    assert all(r["share"] == 1.0 for r in out)

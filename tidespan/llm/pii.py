@@ -9,7 +9,8 @@ Every row is a text. Terms are words of at least three characters; in scripts th
 without blanks, pairs of neighbouring characters.
 
 An entity in fewer texts than the support, or in so many that no term could give enough information about it, has no
-terms; the pairs of the others are counted inside the tasks before they are shuffled. Which texts have one of these
+terms; the pairs of the others are counted inside the tasks before they are shuffled. A term that is with other protected
+entities in too many texts for the share is left out before its texts are counted. Which texts have one of these
 entities, and how many have a term of those pairs, is asked with a bitmap of at most 2**23 bits (1 MB) over hashes, whose
 hits are then joined exactly. No list of entities or terms is broadcast, and a full bitmap costs time, not correctness.
 """
@@ -238,7 +239,10 @@ def document_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def co_occurrences(texts: DataFrame, protected: DataFrame) -> DataFrame:
-    """In how many texts each `entity` and term occur together: (entity, term, n). Entities that only share a bit come along."""
+    """In how many texts each `entity` and term occur together: (entity, term, n). Entities that only share a bit come along.
+
+    Rows of the entity "" have the number of texts in which the term occurs with any of them.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(term_filter(protected.select(F.col("entity").alias("term"))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +254,7 @@ def co_occurrences(texts: DataFrame, protected: DataFrame) -> DataFrame:
                 here = {x for k, s, e in spans for x in entities(k, text[s:e]) if hits(x)}
                 if here:
                     words = {w for w, _, _ in free_terms(text, spans)}
-                    for x in here:
+                    for x in ("", *here):
                         found.update((x, w) for w in words)
                         if len(found) > HELD:
                             yield _counted(found, ["entity", "term", "n"])
@@ -271,6 +275,9 @@ def disclosing(rows: DataFrame, found: DataFrame, support: int = SUPPORT, share:
     known = (F.col("texts") >= support) & (F.log2(F.lit(float(max(1, total))) / F.col("texts")) >= BITS_OF_INFORMATION)
     protected = settle(named.where(known))
     pairs = settle(co_occurrences(rows, protected).where(F.col("n") >= support))
+    # a term is in no fewer texts than those in which it is with any entity: most terms cannot reach the share
+    seen = pairs.where(F.col("entity") == "").select("term", F.col("n").alias("least"))
+    pairs = pairs.join(seen, "term").where(F.col("n") / F.col("least") >= share).drop("least")
     pairs = settle(pairs.join(protected, "entity"))
     with_counts = pairs.join(settle(document_counts(rows, pairs.select("term").distinct())), "term")
     p = F.col("n") / F.col("df")
