@@ -170,3 +170,56 @@ def test_states_are_handed_down_the_blocks(spark, made):
         elif made == "deviations" and alive:
             d = np.var(known) if known else None
             assert got[vs][0] == ((None, None) if d is None else pytest.approx((d, d**0.5), rel=1e-9, abs=1e-6))
+
+
+def test_quantiles_of_the_same_values_share_segments_and_scans(spark, monkeypatch):
+    """One sweep for all places; hot keys, which are cut, are scanned once for each place, and the results are whole."""
+    from tidespan.plans import quantiles
+
+    calls = []
+    monkeypatch.setattr(quantiles, "sweep", lambda *a, f=quantiles.sweep, **k: calls.append(1) or f(*a, **k))
+    spark.conf.set("tidespan.slices", 16)
+    rnd = random.Random(8)
+    given = [(t, t + 1 + rnd.randrange(60), rnd.choice(["hot", "hot", "hot", None, *"abcdefgh"]), rnd.randrange(99) if t % 9 else None) for t in range(400)]
+    f = TemporalFrame(spark.createDataFrame(given, "vs long, ve long, k string, v int"), ["k"])
+    shares = {"low": 0.1, "mid": 0.5, "high": 0.9}
+    out = f.aggregate(**{n: A.percentile_discrete("v", p) for n, p in shares.items()}, c=A.percentile_continuous("v", 0.5))
+    got = {(k, vs): values for k, vs, *values in out.df.select("k", "vs", *shares, "c").collect()}
+    spark.conf.unset("tidespan.slices")
+    assert len(calls) == 1
+    want = {}
+    for key in {r[2] for r in given}:
+        mine = [r for r in given if r[2] == key]
+        for t in {t for r in mine for t in r[:2]}:
+            alive = [r[3] for r in mine if r[0] <= t < r[1]]
+            known = sorted(v for v in alive if v is not None)
+            if alive:
+                places = [known[max(int(np.ceil(p * len(known))), 1) - 1] if known else None for p in shares.values()]
+                want[key, t] = [*places, float(np.median(known)) if known else None]
+    assert got == want
+
+
+def test_functions_of_snapshots_are_not_called_by_sparks_grouping(spark):
+    """Groups that reach over batches, nulls among the values, null keys, and results of several types."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    rnd = random.Random(9)
+    given = [(t, t + 1 + rnd.randrange(30), rnd.choice(["a", None]), rnd.randrange(99) if t % 5 else None) for t in range(80)]
+    f = TemporalFrame(spark.createDataFrame(given, "vs long, ve long, k string, v long"), ["k"])
+
+    def spread(v) -> int:
+        return None if v.isna().all() else int(v.max() - v.min()) * 10 + len(v)
+
+    out = f.aggregate_pandas(spread, "v", "bigint", "s").df
+    assert "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()
+    got = Counter(tuple(r) for r in out.select("k", "vs", "ve", "s").collect())
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = Counter()
+    for key in ("a", None):
+        mine = [r for r in given if r[2] == key]
+        cuts = sorted({t for r in mine for t in r[:2]})
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            alive = [r[3] for r in mine if r[0] <= a < r[1]]
+            known = [v for v in alive if v is not None]
+            if alive:
+                want[key, a, b, (max(known) - min(known)) * 10 + len(alive) if known else None] += 1
+    assert got == want

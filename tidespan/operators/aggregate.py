@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.aggregates import Additive, Mergeable, Moments, Multiset, Quantile, Spread
 from ..functions.time import INF, col
+from ..plans.ordered import call_by_group
 from ..plans.quantiles import counted_segments, order_statistics
 from ..plans.ranks import at_ranks, blocks_and_lookups, descend, look_up, ranked_table
 from ..plans.slices import BEFORE, SLICE, UPTO, Cuts, by, local, match
@@ -14,6 +15,8 @@ from ..plans.sweep import sweep
 from ..plans.timeline import instants
 from ..sources.scratch import settle
 
+NUMBERS = (T.IntegralType, T.FloatType, T.DoubleType)
+
 
 class AggregateOps:
     def aggregate(self, **aggs):
@@ -46,10 +49,13 @@ class AggregateOps:
             families.append(_ranked(self.df, keys, additive, mergeable, moments))
         elif additive:
             families.append(_swept(self.df, keys, additive, self.cuts))
+        quantiles = {n: a for n, a in aggs.items() if isinstance(a, Quantile)}
+        alike = _alike(self.df, quantiles)
+        for first in dict.fromkeys(alike.values()):
+            same = {n: a for n, a in quantiles.items() if alike[n] == first}
+            families.append(_by_rank(self.df, keys, same, self.cuts))
         for n, a in aggs.items():
-            if isinstance(a, Quantile):
-                families.append(_by_rank(self.df, keys, n, a, self.cuts))
-            elif isinstance(a, Multiset):
+            if isinstance(a, Multiset) and not isinstance(a, Quantile):
                 families.append(_from_values(self.df, keys, n, a, self.cuts))
         out = families[0]
         for more in families[1:]:
@@ -125,6 +131,9 @@ class AggregateOps:
         rows = self.df.select(*keys, "vs", "ve", col(value).alias("_v"))
         blocks, lookups = blocks_and_lookups(rows, keys, self.cuts)
         found = look_up(lookups, blocks.drop("vs", "ve"), keys)
+        # Spark's own call of a grouped function costs more than most functions; numbers need none of its conversions
+        if isinstance(rows.schema["_v"].dataType, NUMBERS) and isinstance(T.DataType.fromDDL(schema_type), (*NUMBERS, T.BooleanType)):
+            return self._with(call_by_group(found, [*keys, "vs"], "_v", fn, name, schema_type), wide=True)
         udf = F.pandas_udf(fn, schema_type)
         return self._with(found.groupBy(*keys, "vs", "ve").agg(udf("_v").alias(name)), wide=True)
 
@@ -290,13 +299,17 @@ def _running(df, keys, aggs, cuts) -> DataFrame:
     return out.select(*keys, "vs", ends, *[_finish(n, a, F.col) for n, a in aggs.items()])
 
 
-def _by_rank(df, keys, name, agg, cuts) -> DataFrame:
-    rows = df.select(*keys, "vs", "ve", agg.row().alias("_v"))
+def _by_rank(df, keys, aggs, cuts) -> DataFrame:
+    """Quantiles of the same values, which share segments and events."""
+    rows = df.select(*keys, "vs", "ve", next(iter(aggs.values())).row().alias("_v"))
     segments = counted_segments(rows, keys, cuts)
-    found = order_statistics(segments, rows, keys, cuts, agg.ranks)
-    names = agg.ranks(F.lit(1))
-    result = agg.post(agg.pick(F.col("_m"), {n: F.col(n) for n in names}))
-    return found.select(*keys, "vs", "ve", result.alias(name))
+    places = {n: {f"_{i}{r}": at for r, at in a.ranks(F.col("_m")).items()} for i, (n, a) in enumerate(aggs.items())}
+    found = order_statistics(segments, rows, keys, cuts, list(places.values()))
+    outs = []
+    for n, a in aggs.items():
+        at = dict(zip(a.ranks(F.lit(1)), places[n], strict=True))
+        outs.append(a.post(a.pick(F.col("_m"), {r: F.col(c) for r, c in at.items()})).alias(n))
+    return found.select(*keys, "vs", "ve", *outs)
 
 
 def _from_values(df, keys, name, agg, cuts) -> DataFrame:

@@ -49,10 +49,12 @@ def counted_segments(rows: DataFrame, keys, cuts: Cuts) -> DataFrame:
     return settle(sweep(rows, keys, {"_m": present}, cuts).select(*keys, "vs", "ve", "_m"))
 
 
-def order_statistics(segments: DataFrame, rows: DataFrame, keys, cuts: Cuts, ranks) -> DataFrame:
+def order_statistics(segments: DataFrame, rows: DataFrame, keys, cuts: Cuts, places) -> DataFrame:
     """The segments with one column per wanted rank.
 
-    `ranks(m)` maps names to 0-based ranks, as expressions over the number `m` of non-null active values.
+    Each of `places` maps names to 0-based ranks close to each other, as expressions over the number `_m` of non-null
+    active values. Keys that are not cut are scanned once for all of them, others once for each, since what a stretch
+    must know of its beginning lies around one place.
     """
     rows = rows.where(F.col("_v").isNotNull())
     whole = isinstance(rows.schema["_v"].dataType, IntegralType)
@@ -62,13 +64,20 @@ def order_statistics(segments: DataFrame, rows: DataFrame, keys, cuts: Cuts, ran
         values = settle(numbered_values(rows))
         rows = rows.join(values, "_v")
     events = settle(_events(rows, keys, cuts))
-    wanted = {n: F.when(F.col("_m") > 0, r).cast("long") for n, r in ranks(F.col("_m")).items()}
+    wanted = {n: F.when(F.col("_m") > 0, r).cast("long") for near in places for n, r in near.items()}
     asked = cuts.attach(segments.select(*keys, "vs", "ve", "_m", *[r.alias(n) for n, r in wanted.items()]), "vs")
     asked = asked.withColumnRenamed("vs", "_t")
     parts = settle(_parts(events, keys, cuts.count))
     events, asked = (_placed(df, parts, keys, cuts.count) for df in (events, asked))
-    held = _held(events.where(F.col(PARTS) > 1), asked.where(F.col(PARTS) > 1), keys, list(wanted))
-    found = _scanned(events, asked, held, keys, list(wanted))
+    cut = [df.where(F.col(PARTS) > 1) for df in (events, asked)]
+    if len(places) == 1:
+        found = _scanned(events, asked, _held(*cut, keys, list(wanted)), keys, list(wanted))
+    else:
+        found = _scanned(*[df.where(F.col(PARTS) == 1) for df in (events, asked)], None, keys, list(wanted))
+        apart = [_scanned(*cut, _held(*cut, keys, list(near)), keys, list(near)) for near in places]
+        for i, (near, more) in enumerate(zip(places, apart, strict=True)):
+            both = more if i == 0 else both.alias("l").join(more.alias("r"), match("l", "r", [*keys, "vs"])).select("l.*", *[f"r.{n}" for n in near])
+        found = found.unionByName(both)
     if whole:
         kind = rows.schema["_v"].dataType
         return found.select(*segments.columns, *[F.col(n).cast(kind).alias(n) for n in wanted])
@@ -211,7 +220,11 @@ def _scanned(events: DataFrame, asked: DataFrame, held: DataFrame, keys, names)
     """(keys, vs, ve, _m, the value number at each rank) of every segment."""
     events = events.withColumn("_kind", F.lit(EVENT))
     asked = asked.withColumn("_kind", F.lit(ASKED))
-    rows = events.unionByName(asked, allowMissingColumns=True).unionByName(held, allowMissingColumns=True)
+    rows = events.unionByName(asked, allowMissingColumns=True)
+    if held is None:  # no stretch begins with anything
+        rows = rows.withColumns({"_lo": F.lit(None).cast("int"), "_hi": F.lit(None).cast("int")})
+    else:
+        rows = rows.unionByName(held, allowMissingColumns=True)
     kinds = {f.name: f for f in rows.schema.fields}
     key_fields = [kinds[k] for k in keys]
     numbers = [StructField(n, LongType()) for n in ("vs", "ve", "_m", *names)]
