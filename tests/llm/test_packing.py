@@ -99,6 +99,28 @@ def test_blocks_and_no_rows(spark):
     assert packing.pack_documents(empty, FILE).count() == 0
 
 
+def test_ids_stay_out_of_the_blocks(spark):
+    rows = [(i % 3 if i % 4 else None, f"a text of some words {i % 5}") for i in range(40)]
+    out = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), FILE, packing.Capacity(tokens=32))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    packed = [line for line in plan if "FlatMapGroupsInArrow" in line]
+    assert len(packed) == 1 and "ids" not in packed[0]  # a block's ids would be held by one task
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
+    want = sorted((str(k), np.array(contract_ids(t) + [0], "<u4").tobytes()) for k, t in rows)
+    assert sorted((str(r.doc_id), bytes(r.ids)) for r in out.collect()) == want
+
+
+def test_other_columns_by_row(spark, tmp_path):
+    pieces = spark.range(100).select("id", (F.col("id") % 7 + 1).alias("length"), F.lit(None).cast("string").alias("x"))
+    pieces.withColumn("offset", F.lit(-1)).write.parquet(str(tmp_path / "pieces"))
+    out = packing.pack(spark.read.parquet(str(tmp_path / "pieces")), packing.Capacity(tokens=8), block_pieces=10, row="id")
+    rows = out.collect()
+    assert out.columns == ["id", "length", "x", "sequence_id", "offset"]
+    assert sorted((r.id, r.length, r.x) for r in rows) == [(i, i % 7 + 1, None) for i in range(100)]
+    places = {(r.sequence_id, r.offset + k) for r in rows for k in range(r.length)}
+    assert len(places) == sum(r.length for r in rows) and all(0 <= at < 8 for _, at in places)
+
+
 def test_too_long_a_piece(spark):
     pieces = spark.createDataFrame([(1, 9)], "doc_id long, length long")
     with pytest.raises(Exception, match="longer than a sequence"):

@@ -1,7 +1,7 @@
 """Vector best-fit packing of tokenised documents into training sequences.
 
-Documents are tokenised where they lie. The pieces, without their tokens unless asked for, are dealt evenly into blocks
-of about `BLOCK_PIECES`, and each block is packed by one task: pieces by falling demand, each into the open sequence
+Documents are tokenised where they lie. The pieces, without their tokens, are dealt evenly into blocks of about
+`BLOCK_PIECES`, and each block is packed by one task: pieces by falling demand, each into the open sequence
 that it leaves with the smallest weighted residual. A sequence has three capacities, tokens, pieces and attention cost
 (the sum of squared lengths), and a piece goes only where it fits in all three. Blocks bound a task's work and memory at
 any input size; they cost at most a few unfilled sequences in each block.
@@ -26,6 +26,8 @@ RANKS = {"byte_bpe_50k.json": "byte_bpe_50k.tiktoken"}
 #: Bytes of ids in an output batch.
 BATCH_BYTES = 8 << 20
 END_ID = 0
+#: Names a written piece while its ids are away; keys of documents may repeat.
+ROW = "_piece_row"
 
 
 @dataclass(frozen=True)
@@ -175,12 +177,20 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
     return where, offset
 
 
-def pack(pieces: DataFrame, capacity: Capacity = Capacity(), block_pieces: int = BLOCK_PIECES) -> DataFrame:
+def pack(
+    pieces: DataFrame, capacity: Capacity = Capacity(), block_pieces: int = BLOCK_PIECES, row: str | None = None
+) -> DataFrame:
     """The pieces with `sequence_id` and `offset`: each sequence is gapless and keeps to every capacity.
 
     `pieces` has a column `length` between 1 and the token capacity and is read from a written table; its other columns
-    are carried along. A piece longer than the capacity is an error.
+    are carried along. With `row`, a column whose values are written and all different, only it and the lengths go to
+    the tasks that pack, and the other columns, which may be large, are joined to the result. A piece longer than the
+    capacity is an error.
     """
+    if row is not None:
+        rest = pieces.drop("sequence_id", "offset")
+        placed = pack(pieces.select(row, "length"), capacity, block_pieces)
+        return rest.join(placed.drop("length"), row).select(*rest.columns, "sequence_id", "offset")
     blocks = max(1, -(-pieces.count() // block_pieces))
     schema = T.StructType(
         [f for f in pieces.schema.fields if f.name.lower() not in ("sequence_id", "offset")]
@@ -217,4 +227,6 @@ def pack_documents(
     """
     pieces = tokenise(docs, tokenizer_file, capacity.tokens, text, key)
     pieces = pieces.select(key, "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *["ids"] * with_ids)
-    return pack(settle(pieces), capacity)
+    if not with_ids:
+        return pack(settle(pieces), capacity)
+    return pack(settle(pieces.withColumn(ROW, F.monotonically_increasing_id())), capacity, row=ROW).drop(ROW)
