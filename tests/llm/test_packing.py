@@ -121,6 +121,13 @@ def test_other_columns_by_row(spark, tmp_path):
     assert len(places) == sum(r.length for r in rows) and all(0 <= at < 8 for _, at in places)
 
 
+def test_blocks_are_spread_over_tasks(spark):
+    pieces = spark.range(400).select("id", (F.col("id") % 7 + 1).alias("length"))
+    out = packing.pack(pieces, packing.Capacity(tokens=8), block_pieces=10)
+    tasks = out.select(F.spark_partition_id().alias("t"), "sequence_id").distinct().collect()
+    assert len({r.t for r in tasks}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_too_long_a_piece(spark):
     pieces = spark.createDataFrame([(1, 9)], "doc_id long, length long")
     with pytest.raises(Exception, match="longer than a sequence"):

@@ -210,7 +210,9 @@ def pack(
         )
 
     dealt = pieces.select(*names).withColumn("_block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
-    return dealt.groupBy("_block").applyInArrow(packed, schema)
+    # a number of partitions that is given is kept: rows are small for the time they take, and would go to few tasks
+    tasks = min(blocks, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.repartition(tasks, "_block").groupBy("_block").applyInArrow(packed, schema)
 
 
 def pack_documents(
