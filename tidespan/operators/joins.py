@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.time import INF, MIN_T
-from ..plans.overlap import overlap_join
+from ..plans.overlap import overlap_join, row_bytes
 from ..plans.sweep import ACTIVE, sweep
 from ..plans.timeline import instants, with_following
 from ..sources.scratch import settle
@@ -15,17 +15,8 @@ SMALL_BYTES = 32 << 20
 
 
 def byte_size(df: DataFrame) -> int:
-    """Bytes of the rows: texts and binary values by length, nested ones by their text, others 8, and 16 a row."""
-    sizes = [F.lit(16).cast("long")]
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("long"))
-        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            sizes.append(F.coalesce(F.octet_length(c.cast("string")), F.lit(0)).cast("long"))
-        else:
-            sizes.append(F.lit(8).cast("long"))
-    return df.agg(F.sum(sum(sizes[1:], sizes[0]))).first()[0] or 0
+    """Bytes of the rows, as `row_bytes` counts them."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
 
 
 def pairs(on, left, right) -> tuple[list[str], list[str]]:
@@ -99,7 +90,7 @@ class JoinOps:
         if s.lk and self.props.open_ended and right.props.open_ended:
             return self._join_open(s, extra, hint)
         return s.result(
-            overlap_join(s.ldf, s.rdf, s.lkeys, s.rkeys, extra, lprops=self.props, rprops=right.props)
+            overlap_join(s.ldf, s.rdf, s.lkeys, s.rkeys, extra, lprops=self.props, rprops=right.props, blocked=not s.lk)
         )
 
     def _join_small(self, s, extra, small):

@@ -9,22 +9,29 @@ even without keys, instead of all pairs of a key or a nested loop.
 Open lifetimes hold all points that come after their start. Under a key they share one bucket. Without keys they are filed
 by the time slice in which they start, and a point in every slice up to its own: no task has them all, and pairs in the
 wrong order are met in one slice only.
+
+Without keys the answer of a join can be far larger than the input, so its rows are made block by block (`block_join`): filed
+rows also go by time slices of the points, and those of a place are put in arrays of neighbouring rows, which meet whole. No task
+has all pairs of a bucket, and consecutive rows of the answer repeat each other: columnar files store them in far fewer bytes.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.time import INF
-from .slices import Cuts
+from .slices import BEFORE, SLICE, Cuts
 
 LVL, BUCKET = "_w", "_b"
 
 
 OPEN = 62  # the class of open lifetimes: one bucket holds all of time
 
+#: Rows of a block, if they have at most ROW_BYTES, else fewer. A task holds the pairs of two blocks at once.
+BLOCK_ROWS, ROW_BYTES = 128, 128
+
 
 def width_class(vs="vs", ve="ve") -> Column:
     length = 2 * F.ceil(F.log2((F.col(ve) - F.col(vs)).cast("double")) / 2).cast("int")
@@ -69,9 +76,12 @@ def equal(lk, rk) -> Column:
 
 
 def overlap_join(
-    left: DataFrame, right: DataFrame, lk=(), rk=(), residual: Column | None = None, lprops=None, rprops=None
+    left: DataFrame, right: DataFrame, lk=(), rk=(), residual: Column | None = None, lprops=None, rprops=None, blocked=False
 ) -> DataFrame:
-    """Inner overlap join. Inputs have disjoint column names; times are `l_vs, l_ve` and `r_vs, r_ve`."""
+    """Inner overlap join. Inputs have disjoint column names; times are `l_vs, l_ve` and `r_vs, r_ve`.
+
+    `blocked` makes the rows block by block, for answers without keys that may be far larger than the input.
+    """
     halves = []
     for ivs, pts, lo, hi, t, strict, props in (
         (left, right, "l_vs", "l_ve", "r_vs", False, lprops),
@@ -84,15 +94,63 @@ def overlap_join(
         open_cuts = None if lk or finite else Cuts(ivs.where(F.col(hi) >= INF), [], lo)
         filed = file_intervals(ivs, lo, hi, open_cuts)
         points = file_points(pts, t, widths, open_cuts)
-        a, b = (filed, points) if not strict else (points, filed)
         after = F.col(t) > F.col(lo) if strict else F.col(t) >= F.col(lo)
-        cond = equal(lk, rk) & after & (F.col(t) < F.col(hi))
+        cond = after & (F.col(t) < F.col(hi))
         if residual is not None:
             cond = cond & residual
-        joined = a.alias("l").join(b.alias("r"), cond)
-        halves.append(
-            joined.select(
-                *[F.col(f"l.`{c}`") for c in left.columns], *[F.col(f"r.`{c}`") for c in right.columns]
-            )
-        )
+        if not blocked:
+            a, b = (filed, points) if not strict else (points, filed)
+            joined = a.alias("l").join(b.alias("r"), equal(lk, rk) & cond)
+        else:
+            joined = block_join(points, filed, t, lo, hi, Cuts(pts, [], t)).where(cond)
+        halves.append(joined.select(*[F.col(f"`{c}`") for c in [*left.columns, *right.columns]]))
     return reduce(DataFrame.unionByName, halves)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: texts and binary values by length, nested ones by their text, others 8, and 16 a row."""
+    sizes = [F.lit(16).cast("long")]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("long"))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            sizes.append(F.coalesce(F.octet_length(c.cast("string")), F.lit(0)).cast("long"))
+        else:
+            sizes.append(F.lit(8).cast("long"))
+    return sum(sizes[1:], sizes[0])
+
+
+def blocks(df: DataFrame, place, order: str, lo: str, hi: str, name: str) -> DataFrame:
+    """Rows of a place in arrays of BLOCK_ROWS or fewer, neighbours in order, with the first `lo` and the last `hi` of each."""
+    rows = df.drop(*place)
+    weight = F.ceil(row_bytes(rows) / F.lit(ROW_BYTES))
+    before = F.sum(weight).over(Window.partitionBy(*place).orderBy(order).rowsBetween(*BEFORE))
+    df = df.withColumn("_n", F.floor(F.coalesce(before, F.lit(0)) / F.lit(BLOCK_ROWS)))
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    bounds = F.min(lo).alias(name + "_lo"), F.max(hi).alias(name + "_hi")
+    return df.groupBy(*place, "_n").agg(F.collect_list(row).alias(name), *bounds)
+
+
+def block_join(points: DataFrame, filed: DataFrame, t: str, lo: str, hi: str, cuts: Cuts) -> DataFrame:
+    """Pairs of filed points and intervals of one bucket and one slice of the points, those that may overlap among them.
+
+    An interval goes to every slice it touches, whose points it nearly all holds. Of two blocks, each point meets all
+    intervals before the next one does: points by time and intervals by end, so a point's rows are like those of the one before.
+    """
+    place = [LVL, BUCKET, SLICE]
+    is_open = F.col(LVL) == OPEN  # filed by slices already
+    points = cuts.attach(points, t).withColumn(SLICE, F.when(is_open, 0).otherwise(F.col(SLICE)))
+    filed = cuts.attach(filed, lo, "_from").withColumn("_end", F.col(hi) - 1)
+    filed = cuts.attach(filed, "_end", "_upto")
+    touched = F.when(is_open, F.array(F.lit(0))).otherwise(F.sequence("_from", "_upto"))
+    filed = filed.withColumn(SLICE, F.explode(touched)).drop("_from", "_end", "_upto")
+    # a given number of partitions: adaptive execution would merge them by their bytes, and few tasks make all pairs
+    outer = blocks(points.repartition(cuts.count, *place), place, t, t, t, "_p").alias("l")
+    inner = blocks(filed.repartition(cuts.count, *place), place, hi, lo, hi, "_i").alias("r")
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in place]
+    near = (F.col("_p_hi") >= F.col("_i_lo")) & (F.col("_p_lo") < F.col("_i_hi"))
+    met = outer.hint("merge").join(inner, reduce(Column.__and__, same) & near).select("_p", "_i")
+    # a narrow step that moves nothing: rows are made from one pair of blocks at a time, not from all blocks that one meets
+    met = met.coalesce(cuts.count)
+    return met.select(F.explode("_p").alias("_p"), "_i").select("_p", F.explode("_i").alias("_i")).select("_p.*", "_i.*")
