@@ -25,9 +25,11 @@ def brute(left, right):
 
 
 @pytest.mark.parametrize("longest", [2, 40, 3000, 40_000])
-def test_blocks_find_every_pair_once(spark, longest):
+def test_blocks_find_every_pair_once(spark, monkeypatch, longest):
     from tidespan.functions.time import INF
+    from tidespan.plans import overlap
 
+    monkeypatch.setattr(overlap, "PAIRS_PER_ROW", 0)
     opened = [(5, INF, -1), (19_000, INF, -2)]
     left, right = frames(spark, some(spark, 400, 1, longest, opened), some(spark, 300, 2, 3 * longest, opened[1:]))
     got = sorted(tuple(r) for r in left.join(right, []).df.select("vs", "ve", "x", "y").collect())
@@ -44,7 +46,10 @@ def test_blocks_of_wide_rows_are_small(spark):
     assert max(r.n for r in got) <= BLOCK_ROWS and max(r.n for r in got if r._p_lo >= 500) <= 3
 
 
-def test_payload_of_any_type_and_conditions(spark):
+def test_payload_of_any_type_and_conditions(spark, monkeypatch):
+    from tidespan.plans import overlap
+
+    monkeypatch.setattr(overlap, "PAIRS_PER_ROW", 0)
     left, right = frames(spark, some(spark, 50, 3, 2000), some(spark, 50, 4, 2000))
     left = left._with(left.df.select("vs", "ve", F.create_map("x", F.lit("a")).alias("odd name"), "x"))
     got = left.join(right, [], residual=lambda a, b: a("x") < b("y")).df
@@ -53,6 +58,18 @@ def test_payload_of_any_type_and_conditions(spark):
     assert got.where("`odd name`[x] = 'a'").count() == len(want)
 
 
+def test_only_dense_answers_are_made_in_blocks(spark):
+    """Lifetimes that hardly overlap, and those of which many are active at once, also if only for a short while."""
+    from tidespan.plans.overlap import dense
+    from tidespan.plans.slices import Cuts
+
+    sparse = some(spark, 3000, 7, 10)
+    short = sparse.withColumn("vs", F.col("vs") % 50).withColumn("ve", F.col("vs") + 9)
+    burst = short.unionByName(sparse.withColumns({c: F.col(c) + 10**9 for c in ("vs", "ve")}))
+    for df, wanted in ((sparse, False), (burst, True), (sparse.limit(0), False)):
+        assert dense(df, df, "vs", "ve", Cuts(df, [], "vs")) is wanted
+
+
 def test_dense_answers_take_few_bytes_and_many_tasks(spark, tmp_path):
     """All pairs that overlap, without a key: consecutive ones are alike, and no task has most of them."""
     left, right = frames(spark, some(spark, 6000, 5, 4000), some(spark, 6000, 6, 4000))

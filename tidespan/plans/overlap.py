@@ -10,7 +10,7 @@ Open lifetimes hold all points that come after their start. Under a key they sha
 by the time slice in which they start, and a point in every slice up to its own: no task has them all, and pairs in the
 wrong order are met in one slice only.
 
-Without keys the answer of a join can be far larger than the input, so its rows are made block by block (`block_join`): filed
+Without keys the answer of a join can be far larger than the input. Then its rows are made block by block (`block_join`): filed
 rows also go by time slices of the points, and those of a place are put in arrays of neighbouring rows, which meet whole. No task
 has all pairs of a bucket, and consecutive rows of the answer repeat each other: columnar files store them in far fewer bytes.
 """
@@ -31,6 +31,8 @@ OPEN = 62  # the class of open lifetimes: one bucket holds all of time
 
 #: Rows of a block, if they have at most ROW_BYTES, else fewer. A task holds the pairs of two blocks at once.
 BLOCK_ROWS, ROW_BYTES = 128, 128
+#: Pairs for each row of the inputs from which they are made block by block.
+PAIRS_PER_ROW = 32
 
 
 def width_class(vs="vs", ve="ve") -> Column:
@@ -80,7 +82,7 @@ def overlap_join(
 ) -> DataFrame:
     """Inner overlap join. Inputs have disjoint column names; times are `l_vs, l_ve` and `r_vs, r_ve`.
 
-    `blocked` makes the rows block by block, for answers without keys that may be far larger than the input.
+    `blocked` lets rows be made block by block if the answer is measured to be far larger than the input, as without keys.
     """
     halves = []
     for ivs, pts, lo, hi, t, strict, props in (
@@ -98,15 +100,31 @@ def overlap_join(
         cond = after & (F.col(t) < F.col(hi))
         if residual is not None:
             cond = cond & residual
-        if not blocked:
+        cuts = Cuts(pts, [], t)
+        if blocked and dense(ivs, pts, lo, hi, cuts):
+            joined = block_join(points, filed, t, lo, hi, cuts).where(cond)
+        else:
             a, b = (filed, points) if not strict else (points, filed)
             joined = a.alias("l").join(b.alias("r"), equal(lk, rk) & cond)
-        else:
-            joined = block_join(points, filed, t, lo, hi, Cuts(pts, [], t)).where(cond)
         halves.append(joined.select(*[F.col(f"`{c}`") for c in [*left.columns, *right.columns]]))
     return reduce(DataFrame.unionByName, halves)
 
 
+def touched(ivs: DataFrame, lo: str, hi: str, cuts: Cuts) -> DataFrame:
+    """Add the first and the last slice of each interval."""
+    ends = cuts.attach(ivs, lo, "_from").withColumn("_end", F.col(hi) - 1)
+    return cuts.attach(ends, "_end", "_upto").drop("_end")
+
+
+def dense(ivs: DataFrame, pts: DataFrame, lo: str, hi: str, cuts: Cuts) -> bool:
+    """Whether points in intervals are many more than the rows. As slices hold about equally many points, it is enough to
+    count the cuts that lie in intervals. This decides only how the pairs are made, never which."""
+    total = pts.agg(F.count(F.lit(1)).alias("n")).scalar()
+    crossed = touched(ivs, lo, hi, cuts).agg(F.sum(F.col("_upto") - F.col("_from")).alias("cuts"), F.count(F.lit(1)).alias("n"))
+    found = crossed.withColumn("points", total).first()
+    return (found.cuts or 0) * found.points >= PAIRS_PER_ROW * cuts.count * max(1, found.n + found.points)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Bytes of a row: texts and binary values by length, nested ones by their text, others 8, and 16 a row."""
     sizes = [F.lit(16).cast("long")]
@@ -141,10 +159,8 @@ def block_join(points: DataFrame, filed: DataFrame, t: str, lo: str, hi: str, cu
     place = [LVL, BUCKET, SLICE]
     is_open = F.col(LVL) == OPEN  # filed by slices already
     points = cuts.attach(points, t).withColumn(SLICE, F.when(is_open, 0).otherwise(F.col(SLICE)))
-    filed = cuts.attach(filed, lo, "_from").withColumn("_end", F.col(hi) - 1)
-    filed = cuts.attach(filed, "_end", "_upto")
-    touched = F.when(is_open, F.array(F.lit(0))).otherwise(F.sequence("_from", "_upto"))
-    filed = filed.withColumn(SLICE, F.explode(touched)).drop("_from", "_end", "_upto")
+    slices = F.when(is_open, F.array(F.lit(0))).otherwise(F.sequence("_from", "_upto"))
+    filed = touched(filed, lo, hi, cuts).withColumn(SLICE, F.explode(slices)).drop("_from", "_upto")
     # a given number of partitions: adaptive execution would merge them by their bytes, and few tasks make all pairs
     outer = blocks(points.repartition(cuts.count, *place), place, t, t, t, "_p").alias("l")
     inner = blocks(filed.repartition(cuts.count, *place), place, hi, lo, hi, "_i").alias("r")
